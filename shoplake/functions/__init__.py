@@ -1,5 +1,6 @@
 from shoplake.functions.expressions import (  # noqa: F401
     cents,
+    is_blank,
     date_parts,
     event_time,
     iso_text,

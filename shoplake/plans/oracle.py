@@ -7,7 +7,17 @@ Each statement starts from the same conformed ``curated`` view the Spark side bu
 
 from __future__ import annotations
 
-from shoplake.schema import CATEGORIES, FUNNEL_STAGES, STAGE_RATES
+from shoplake.operators.quality import DOMAINS
+from shoplake.schema import (
+    CATEGORIES,
+    CURATED_COLUMNS,
+    ERROR_TYPES,
+    EVENT_COLUMNS,
+    FUNNEL_STAGES,
+    NO_PRODUCT_EVENTS,
+    PURCHASE_RATE_BOUNDS,
+    STAGE_RATES,
+)
 from shoplake.sources.adapter import MARKET_SEGMENTS
 
 _CATEGORY_LIST = "[" + ", ".join(f"'{c}'" for c in CATEGORIES) + "]"
@@ -64,6 +74,10 @@ SESSION_STATS = """session_stats AS (
 STAGE_COUNTS = "stage_counts AS (SELECT event_type, COUNT(*) AS n FROM curated GROUP BY event_type)"
 
 
+def _in(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
 def _stages_values() -> str:
     return ", ".join(f"('{s}', {i})" for i, s in enumerate(FUNNEL_STAGES))
 
@@ -146,6 +160,122 @@ ANALYTICS = {
 }
 
 
+_HOUR_PARTS = ("strftime(event_ts, '%Y') AS year, strftime(event_ts, '%m') AS month, "
+               "strftime(event_ts, '%d') AS day, strftime(event_ts, '%H') AS hour")
+_REASONS = "(VALUES " + ", ".join(f"('{r}')" for r in ERROR_TYPES) + ") t(error_type)"
+_CURATED_15 = ", ".join(f'"{c}"' if c == "timestamp" else c for c in CURATED_COLUMNS)
+# The raw record as the landing writes it: every key present, null values as JSON null.
+_RAW_JSON = "json_object(" + ", ".join(f"'{c}', \"{c}\"" for c in EVENT_COLUMNS) + ")"
+
+BATCH = {
+    "raw_landing_counts": with_curated(
+        f"SELECT year, month, day, hour, COUNT(*) AS event_count FROM (SELECT {_HOUR_PARTS} FROM curated) "
+        "GROUP BY ALL"),
+    "landing_manifest": with_curated(
+        """SELECT 'events_' || strftime(window_start, '%Y%m%d_%H%M') || '.jsonl' AS source,
+                  printf('raw/year=%04d/month=%02d/day=%02d/hour=%02d/%s', year(window_start),
+                         month(window_start), day(window_start), hour(window_start),
+                         'events_' || strftime(window_start, '%Y%m%d_%H%M') || '.jsonl') AS target,
+                  COUNT(*) AS rows
+           FROM w GROUP BY window_start""",
+        f"w AS (SELECT {WINDOW_5} AS window_start FROM curated)"),
+    "partition_listing": with_curated(
+        """SELECT DISTINCT 'year=' || year || '/month=' || month || '/day=' || day || '/hour=' || hour AS partition,
+                  year, month, day, hour FROM p""",
+        f"p AS (SELECT {_HOUR_PARTS} FROM curated)"),
+    "etl_clean_counts": with_curated(
+        "SELECT COUNT(*) AS input_rows, COUNT(*) AS kept_rows, CAST(0 AS BIGINT) AS dropped_rows, "
+        + ", ".join(f"CAST(0 AS BIGINT) AS {r}" for r in ERROR_TYPES) + " FROM curated"),
+    "etl_partition_counts": with_curated(
+        "SELECT year, month, day, COUNT(*) AS event_count FROM curated GROUP BY year, month, day"),
+    "curated_write_readback": with_curated(f"SELECT {_CURATED_15} FROM curated"),
+    "quarantine_by_reason": f"SELECT error_type, CAST(0 AS BIGINT) AS rows FROM {_REASONS}",
+    "result_csv_readback": ANALYTICS["revenue_by_country_device"],
+    "catalog_refresh": with_curated(
+        "SELECT DISTINCT 'year=' || year || '/month=' || month || '/day=' || day AS partition FROM curated"),
+    "dq_missing_partitions": with_curated(
+        """SELECT DISTINCT 'year=' || year || '/month=' || month || '/day=' || day AS partition FROM curated
+           WHERE year || '-' || month || '-' || day = (SELECT MAX(year || '-' || month || '-' || day) FROM curated)"""),
+}
+
+_STAGES = f"stages AS (SELECT * FROM (VALUES {_stages_values()}) t(stage, rank))"
+_COUNTS = """counts AS (
+    SELECT s.stage, s.rank, COALESCE(c.n, 0) AS n FROM stages s
+    LEFT JOIN (SELECT event_type AS stage, COUNT(*) AS n FROM curated GROUP BY event_type) c ON s.stage = c.stage)"""
+_DOMAIN_VALUES = ", ".join(f"('{c}', '{v}')" for c, vs in DOMAINS.items() for v in vs)
+_LO, _HI = PURCHASE_RATE_BOUNDS
+
+QUALITY = {
+    "dq_funnel_shape": with_curated(
+        """SELECT rule, observed, lower, upper,
+                  COALESCE(observed IS NOT NULL AND (lower IS NULL OR observed > lower)
+                           AND (upper IS NULL OR observed < upper), false) AS passed
+           FROM rules""",
+        _STAGES, _COUNTS,
+        """lagged AS (SELECT stage, rank, n, LAG(n) OVER (ORDER BY rank) AS prev_n,
+                             LAG(stage) OVER (ORDER BY rank) AS prev_stage FROM counts)""",
+        f"""rules AS (
+            SELECT 'stage_positive:' || stage AS rule, CAST(n AS DOUBLE) AS observed, CAST(0 AS DOUBLE) AS lower,
+                   CAST(NULL AS DOUBLE) AS upper FROM lagged
+            UNION ALL
+            SELECT 'falls:' || prev_stage || '>' || stage, CAST(n AS DOUBLE), CAST(NULL AS DOUBLE),
+                   CAST(prev_n AS DOUBLE) FROM lagged WHERE prev_n IS NOT NULL
+            UNION ALL
+            SELECT 'purchase_rate',
+                   ROUND(CAST(MAX(CASE WHEN stage = '{FUNNEL_STAGES[-1]}' THEN n END) AS DOUBLE)
+                         / NULLIF(MAX(CASE WHEN stage = '{FUNNEL_STAGES[0]}' THEN n END), 0), 6),
+                   CAST({_LO} AS DOUBLE), CAST({_HI} AS DOUBLE) FROM counts)"""),
+    "dq_stage_rates": with_curated(
+        """SELECT e.from_stage, e.to_stage, e.expected_rate,
+                  ROUND(CAST(b.n AS DOUBLE) / NULLIF(a.n, 0), 4) AS observed_rate
+           FROM expected e LEFT JOIN counts a ON a.stage = e.from_stage LEFT JOIN counts b ON b.stage = e.to_stage""",
+        _STAGES, _COUNTS,
+        f"""expected AS (SELECT from_stage, to_stage, CAST(r AS DOUBLE) AS expected_rate
+                          FROM (VALUES {_rates_values()}) t(from_stage, to_stage, r))"""),
+    "dq_duplicate_ids": with_curated(
+        "SELECT event_id, COUNT(*) AS occurrences FROM curated GROUP BY event_id HAVING COUNT(*) > 1"),
+    "dq_domain_violations": with_curated(
+        """SELECT v.column_name, v.value, COUNT(*) AS rows FROM v
+           WHERE v.value IS NOT NULL
+             AND NOT EXISTS (SELECT 1 FROM dom d WHERE d.column_name = v.column_name AND d.value = v.value)
+           GROUP BY v.column_name, v.value""",
+        f"dom AS (SELECT * FROM (VALUES {_DOMAIN_VALUES}) t(column_name, value))",
+        "v AS (" + " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM curated" for c in DOMAINS) + ")"),
+    "dq_product_presence": with_curated(
+        f"""SELECT event_type, COUNT(*) AS events,
+                  COUNT(CASE WHEN (event_type IN ({_in(NO_PRODUCT_EVENTS)}) AND product_id IS NOT NULL)
+                               OR (event_type NOT IN ({_in(NO_PRODUCT_EVENTS)}) AND product_id IS NULL)
+                             THEN 1 END) AS violations
+           FROM curated GROUP BY event_type"""),
+    "dq_unexpected_keys": with_curated(
+        f"""SELECT key, problem, COUNT(*) AS rows FROM (
+               SELECT e.key, 'missing' AS problem FROM k JOIN expected e ON NOT list_contains(k.keys, e.key)
+               UNION ALL
+               SELECT key, 'unexpected' FROM (SELECT unnest(keys) AS key FROM k)
+               WHERE key NOT IN ({_in(EVENT_COLUMNS)}))
+           GROUP BY key, problem""",
+        f"k AS (SELECT json_keys({_RAW_JSON}) AS keys FROM curated)",
+        "expected AS (SELECT * FROM (VALUES " + ", ".join(f"('{c}')" for c in EVENT_COLUMNS) + ") t(key))"),
+    "schema_evolution_profile": with_curated(
+        """SELECT date_trunc('hour', event_ts) AS window_start, 'discount_code' AS field, COUNT(*) AS rows,
+                  COUNT(CASE WHEN list_contains(json_keys(j), 'discount_code') THEN 1 END) AS present_rows,
+                  COUNT(CASE WHEN discount_code IS NULL THEN 1 END) AS null_rows
+           FROM (SELECT *, """ + _RAW_JSON + """ AS j FROM curated) GROUP BY 1"""),
+    "dq_partition_mismatch": with_curated(
+        """SELECT year, month, day, hour, event_year, event_month, event_day, event_hour, COUNT(*) AS rows
+           FROM (SELECT strftime(ws, '%Y') AS year, strftime(ws, '%m') AS month, strftime(ws, '%d') AS day,
+                        strftime(ws, '%H') AS hour, strftime(event_ts, '%Y') AS event_year,
+                        strftime(event_ts, '%m') AS event_month, strftime(event_ts, '%d') AS event_day,
+                        strftime(event_ts, '%H') AS event_hour
+                 FROM (SELECT event_ts, """ + WINDOW_5 + """ AS ws FROM curated))
+           WHERE year <> event_year OR month <> event_month OR day <> event_day OR hour <> event_hour
+           GROUP BY ALL"""),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(ANALYTICS)
+    out.update(BATCH)
+    out.update(QUALITY)
     return out

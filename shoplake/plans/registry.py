@@ -9,8 +9,16 @@ from pyspark.sql import functions as F
 
 from shoplake.functions import partition_key, window_key, window_start
 from shoplake.operators import analytics as A
-from shoplake.session import configure
+from shoplake.operators import catalog as C
+from shoplake.operators import quality as Q
+from shoplake.operators.etl import quarantine_by_reason, split_bad
+from shoplake.operators.landing import land_batch
+from shoplake.plans.zones import build_zones, land_raw_zone
+from shoplake.schema import CURATED_PARTITIONS, CURATED_SCHEMA, EVENT_SCHEMA, RAW_PARTITIONS
+from shoplake.session import configure, scratch_dir
 from shoplake.sources.adapter import MARKET_SEGMENTS, curated_events
+from shoplake.sources.raw import read_curated, read_raw, read_raw_text
+from shoplake.sources.sinks import write_curated, write_result_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,7 +60,122 @@ ANALYTICS: dict[str, Query] = {
 }
 
 
+def _table_name(prefix: str) -> str:
+    import uuid
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+# --- batch path: landing, ETL, sinks, catalog -------------------------------------------------------
+
+def raw_landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A6: land the events by hour, read the zone back, count rows per hour partition."""
+    zones = land_raw_zone(spark, sf_dir)
+    return read_raw(spark, zones.raw).groupBy(*RAW_PARTITIONS).agg(F.count(F.lit(1)).alias("event_count"))
+
+
+def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dry run of the batch landing: target key and rows per 5-minute batch, nothing written."""
+    return land_batch(curated(spark, sf_dir), "unused", minutes=5, dry_run=True)
+
+
+def partition_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: hour partitions discovered on storage after landing, values kept zero-padded."""
+    zones = land_raw_zone(spark, sf_dir)
+    return C.storage_partitions(spark, zones.raw, RAW_PARTITIONS, "json")
+
+
+def etl_clean_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1 + B10 + J9: land, ETL with quarantine; the reconciliation row observed in the write pass."""
+    return build_zones(spark, sf_dir).reconciliation
+
+
+def etl_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B6 + A5: rows per curated day partition, read back from storage."""
+    zones = build_zones(spark, sf_dir)
+    return (read_curated(spark, zones.curated).groupBy(*CURATED_PARTITIONS)
+            .agg(F.count(F.lit(1)).alias("event_count")))
+
+
+def curated_write_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 + A5 + B8: the curated table as written, all 15 columns."""
+    return read_curated(spark, build_zones(spark, sf_dir).curated)
+
+
+def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 + B2: rejected raw records per reason (every reason listed)."""
+    zones = land_raw_zone(spark, sf_dir)
+    _, bad = split_bad(read_raw(spark, zones.raw))
+    return quarantine_by_reason(bad)
+
+
+def result_csv_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue by country and device written as CSV with a header and read back typed."""
+    result = A.revenue_by_country_device(curated(spark, sf_dir))
+    path = scratch_dir(spark, "results")
+    write_result_csv(result, path)
+    return spark.read.schema(result.schema).option("header", "true").csv(path)
+
+
+def catalog_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: register the curated zone as a partitioned table and add its partitions."""
+    zones = build_zones(spark, sf_dir)
+    return C.refresh_table(spark, _table_name("curated"), zones.curated, EVENT_SCHEMA, CURATED_PARTITIONS)
+
+
+def dq_missing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog is refreshed before the last day arrives; that day is on storage, not in the catalog."""
+    df = curated(spark, sf_dir)
+    date_key = F.concat_ws("-", *CURATED_PARTITIONS)
+    last_day = df.select(F.max(date_key)).scalar()
+    path = scratch_dir(spark, "curated")
+    write_curated(df.where(date_key < last_day), path, mode="full")
+    name = _table_name("curated")
+    C.refresh_table(spark, name, path, EVENT_SCHEMA, CURATED_PARTITIONS)
+    write_curated(df.where(date_key >= last_day), path, mode="incremental")
+    return C.missing_partitions(spark, name, path, CURATED_PARTITIONS)
+
+
+BATCH: dict[str, Query] = {
+    "raw_landing_counts": raw_landing_counts,
+    "landing_manifest": landing_manifest,
+    "partition_listing": partition_listing,
+    "etl_clean_counts": etl_clean_counts,
+    "etl_partition_counts": etl_partition_counts,
+    "curated_write_readback": curated_write_readback,
+    "quarantine_by_reason": quarantine_counts,
+    "result_csv_readback": result_csv_readback,
+    "catalog_refresh": catalog_refresh,
+    "dq_missing_partitions": dq_missing_partitions,
+}
+
+
+# --- data quality ---------------------------------------------------------------------------------
+
+def _on_raw_text(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(read_raw_text(spark, land_raw_zone(spark, sf_dir).raw))
+    return run
+
+
+def dq_partition_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.check_partitions(read_raw(spark, land_raw_zone(spark, sf_dir).raw))
+
+
+QUALITY: dict[str, Query] = {
+    "dq_funnel_shape": _on_curated(Q.check_funnel),
+    "dq_stage_rates": _on_curated(Q.check_stage_rates),
+    "dq_duplicate_ids": _on_curated(Q.check_duplicate_ids),
+    "dq_domain_violations": _on_curated(Q.check_domains),
+    "dq_product_presence": _on_curated(Q.check_product_presence),
+    "dq_unexpected_keys": _on_raw_text(Q.check_keys),
+    "schema_evolution_profile": _on_raw_text(lambda raw: Q.schema_profile(raw, 60)),
+    "dq_partition_mismatch": dq_partition_mismatch,
+}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(ANALYTICS)
+    out.update(BATCH)
+    out.update(QUALITY)
     return out
