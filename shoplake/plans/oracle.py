@@ -274,8 +274,26 @@ QUALITY = {
 }
 
 
+_STAGE_RANKS = f"ranks AS (SELECT * FROM (VALUES {_stages_values()}) t(stage, rank))"
+
+STREAMING = {
+    "stream_landing_by_event_date": BATCH["raw_landing_counts"],
+    "stream_quarantine": with_curated(
+        f"""SELECT 'kept' AS outcome, COUNT(*) AS rows FROM curated
+           UNION ALL SELECT error_type, CAST(0 AS BIGINT) FROM {_REASONS}"""),
+    "stream_dedup": with_curated(f"SELECT {_CURATED_15} FROM curated"),
+    "stream_session_stage": with_curated(
+        """SELECT c.session_id, MAX(r.rank) AS stage_rank FROM curated c JOIN ranks r ON c.event_type = r.stage
+           GROUP BY c.session_id""", _STAGE_RANKS),
+    "stream_events_per_5min": ANALYTICS["events_per_5min"],
+    "batch_stream_union": with_curated(
+        "SELECT " + ", ".join(f'"{c}"' if c == "timestamp" else c for c in EVENT_COLUMNS) + " FROM curated"),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(ANALYTICS)
     out.update(BATCH)
     out.update(QUALITY)
+    out.update(STREAMING)
     return out

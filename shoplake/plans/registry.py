@@ -14,11 +14,12 @@ from shoplake.operators import quality as Q
 from shoplake.operators.etl import quarantine_by_reason, split_bad
 from shoplake.operators.landing import land_batch
 from shoplake.plans.zones import build_zones, land_raw_zone
-from shoplake.schema import CURATED_PARTITIONS, CURATED_SCHEMA, EVENT_SCHEMA, RAW_PARTITIONS
+from shoplake.schema import CURATED_PARTITIONS, EVENT_COLUMNS, EVENT_SCHEMA, RAW_PARTITIONS
 from shoplake.session import configure, scratch_dir
 from shoplake.sources.adapter import MARKET_SEGMENTS, curated_events
 from shoplake.sources.raw import read_curated, read_raw, read_raw_text
 from shoplake.sources.sinks import write_curated, write_result_csv
+from shoplake.streaming import jobs as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -173,9 +174,111 @@ QUALITY: dict[str, Query] = {
 }
 
 
+# --- streaming -------------------------------------------------------------------------------------
+
+def _run(query, timeout_s: int = 900) -> None:
+    """Wait for an ``availableNow`` query to drain its input; surface its failure."""
+    finished = query.awaitTermination(timeout_s)
+    if not finished:
+        query.stop()
+        raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def _stream_landed(spark: SparkSession, sf_dir: str, partition_time: str) -> str:
+    path, ckpt = scratch_dir(spark, "stream-raw"), scratch_dir(spark, "ckpt")
+    _run(S.land_stream(S.driver_event_stream(spark, sf_dir), path, ckpt, partition_time=partition_time,
+                       available_now=True))
+    return path
+
+
+def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 + I1 + I3: stream into gzip JSON under ingest-time hour partitions; rows per partition."""
+    path = _stream_landed(spark, sf_dir, "ingest")
+    return read_raw(spark, path).groupBy(*RAW_PARTITIONS).agg(F.count(F.lit(1)).alias("event_count"))
+
+
+def stream_landing_by_event_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4: the same stream partitioned by each record's own event hour."""
+    path = _stream_landed(spark, sf_dir, "event")
+    return read_raw(spark, path).groupBy(*RAW_PARTITIONS).agg(F.count(F.lit(1)).alias("event_count"))
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I6 + A8: a raw JSON stream split into kept records and a quarantine by reason; rows per outcome."""
+    zones = land_raw_zone(spark, sf_dir)
+    good_path, bad_path = scratch_dir(spark, "stream-good"), scratch_dir(spark, "stream-bad")
+
+    def good_sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("append").parquet(good_path)
+
+    _run(S.split_stream(S.json_stream(spark, zones.raw), good_sink, bad_path, scratch_dir(spark, "ckpt"),
+                        available_now=True))
+    bad = spark.read.schema("error_type string").parquet(bad_path)
+    kept = spark.read.parquet(good_path).agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit("kept").alias("outcome"), "rows")
+    reasons = quarantine_by_reason(bad).select(F.col("error_type").alias("outcome"), "rows")
+    return kept.unionByName(reasons)
+
+
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events deduplicated on event_id within a 1-hour watermark, through an exactly-once file sink."""
+    path = scratch_dir(spark, "stream-dedup")
+    deduped = S.dedup_stream(S.driver_event_stream(spark, sf_dir)).drop("event_ts")
+    query = (deduped.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", scratch_dir(spark, "ckpt")).trigger(availableNow=True).start(path))
+    _run(query)
+    return spark.read.parquet(path)
+
+
+def stream_session_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I8: furthest funnel stage per session, from a stateful stream folded over its updates."""
+    path = scratch_dir(spark, "stream-stage")
+    updates = S.session_stage_updates(S.driver_event_stream(spark, sf_dir))
+    _run(S.write_updates(updates, path, scratch_dir(spark, "ckpt"), available_now=True))
+    return S.fold_max(spark, path, ["session_id"], "stage_rank")
+
+
+def stream_events_per_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per 5-minute window on the stream, watermarked, folded over its updates."""
+    path = scratch_dir(spark, "stream-windows")
+    updates = S.window_count_updates(S.driver_event_stream(spark, sf_dir), 5)
+    _run(S.write_updates(updates, path, scratch_dir(spark, "ckpt"), available_now=True))
+    return S.windowed_result(spark, path)
+
+
+def batch_stream_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1: history landed in batch, the last day streamed (without discount_code); read as one zone."""
+    df = curated(spark, sf_dir)
+    date_key = F.concat_ws("-", *CURATED_PARTITIONS)
+    last_day = df.select(F.max(date_key)).scalar()
+    batch_path = scratch_dir(spark, "raw")
+    land_batch(df.where(date_key < last_day), batch_path)
+    stream_path = scratch_dir(spark, "stream-raw")
+    live = S.driver_event_stream(spark, sf_dir)
+    live = live.where(F.concat_ws("-", *CURATED_PARTITIONS) >= last_day)
+    stream_cols = [c for c in EVENT_COLUMNS if c != "discount_code"]
+    _run(S.land_stream(live, stream_path, scratch_dir(spark, "ckpt"), partition_time="event",
+                       available_now=True, columns=stream_cols))
+    return A.union_zones(read_raw(spark, batch_path), read_raw(spark, stream_path))
+
+
+STREAMING: dict[str, Query] = {
+    "stream_landing": stream_landing,
+    "stream_landing_by_event_date": stream_landing_by_event_date,
+    "stream_quarantine": stream_quarantine,
+    "stream_dedup": stream_dedup,
+    "stream_session_stage": stream_session_stage,
+    "stream_events_per_5min": stream_events_per_5min,
+    "batch_stream_union": batch_stream_union,
+}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(ANALYTICS)
     out.update(BATCH)
     out.update(QUALITY)
+    out.update(STREAMING)
     return out
