@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shoplake.functions import partition_key, window_key, window_start
 from shoplake.operators import analytics as A
 from shoplake.operators import catalog as C
+from shoplake.operators import ops as O
 from shoplake.operators import quality as Q
 from shoplake.operators.etl import quarantine_by_reason, split_bad
 from shoplake.operators.landing import land_batch
@@ -275,10 +276,63 @@ STREAMING: dict[str, Query] = {
 }
 
 
+# --- operations ----------------------------------------------------------------------------------
+
+# Report date of the storage audit: late enough that the oldest landed hours have passed both
+# transition ages of the raw zone.
+AUDIT_AS_OF = "2024-04-15"
+
+
+def _lake_root(spark: SparkSession, sf_dir: str) -> str:
+    """A lake with raw/, curated/ and athena-results/ folders built from the driver tables."""
+    root = scratch_dir(spark, "lake")
+    df = curated(spark, sf_dir)
+    land_batch(df, f"{root}/raw")
+    write_curated(df, f"{root}/curated")
+    write_result_csv(A.revenue_by_country_device(read_curated(spark, f"{root}/curated")), f"{root}/athena-results")
+    return root
+
+
+def tier_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: tiers, objects and billable bytes per folder of a lake built from the tables."""
+    root = _lake_root(spark, sf_dir)
+    return O.tier_audit(O.list_objects(spark, root), O.lifecycle_rules(spark), AUDIT_AS_OF)
+
+
+def compaction_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: a curated zone written the naive way (one file per task and day), then compacted."""
+    df = curated(spark, sf_dir)
+    src, dst = scratch_dir(spark, "curated-small"), scratch_dir(spark, "curated-compact")
+    # The naive write: no shuffle by day, so every task writes a file into every day it touches.
+    df.repartition(16).write.mode("overwrite").partitionBy(*CURATED_PARTITIONS).parquet(src)
+    return O.compact(spark, src, dst, CURATED_PARTITIONS)
+
+
+def scan_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: bytes and cost of the revenue query over the raw JSON zone and over curated Parquet."""
+    root = _lake_root(spark, sf_dir)
+    needed = ["event_type", "country", "device_type", "price"]
+    json_scan = O.scan_bytes(spark, f"{root}/raw", "json").select(
+        F.lit("revenue_by_country_device").alias("query_name"), F.lit("json").alias("source_format"),
+        "bytes_scanned")
+    parquet_scan = O.scan_bytes(spark, f"{root}/curated", "parquet", needed).select(
+        F.lit("revenue_by_country_device").alias("query_name"), F.lit("parquet").alias("source_format"),
+        "bytes_scanned")
+    return O.scan_cost(json_scan.unionByName(parquet_scan))
+
+
+OPS: dict[str, Query] = {
+    "tier_audit": tier_audit,
+    "compaction_effect": compaction_effect,
+    "scan_cost": scan_cost,
+}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(ANALYTICS)
     out.update(BATCH)
     out.update(QUALITY)
     out.update(STREAMING)
+    out.update(OPS)
     return out
