@@ -2,8 +2,8 @@
 
 Counting is done with ``DataFrame.observe`` inside the write's own pass: the input, kept and
 per-reason dropped counts come out of the same scan that writes the curated table, instead of
-separate ``count()`` jobs that each rescan the raw zone. The quarantine write is the only second
-pass, and it keeps only rejected rows.
+separate ``count()`` jobs that each rescan the raw zone. The quarantine write is a second pass that
+runs only when there are rejected rows, and keeps only those.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.functions import is_blank, parse_ts
-from shoplake.schema import CORRUPT_COLUMN, CURATED_COLUMNS, ERROR_TYPES, EVENT_COLUMNS
+from shoplake.schema import CORRUPT_COLUMN, CURATED_COLUMNS, CURATED_PARTITIONS, ERROR_TYPES, EVENT_COLUMNS
 from shoplake.sources.sinks import write_curated, write_quarantine
 
 
@@ -49,7 +49,7 @@ def _bad_rows(tagged: DataFrame) -> DataFrame:
         F.date_format(today, "dd").alias("day"))
 
 
-def to_curated(good: DataFrame, with_event_ts: bool = False) -> DataFrame:
+def to_curated(good: DataFrame, with_event_ts: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """B6 + B7 + B8: derive the event time and its zero-padded date parts, fix the 15 columns.
 
     Date parts come from the event's own time in UTC, never from the raw path. A missing
@@ -64,7 +64,7 @@ def to_curated(good: DataFrame, with_event_ts: bool = False) -> DataFrame:
     df = (df.withColumn("year", F.date_format("event_ts", "yyyy"))
           .withColumn("month", F.date_format("event_ts", "MM"))
           .withColumn("day", F.date_format("event_ts", "dd")))
-    cols = CURATED_COLUMNS + (["event_ts"] if with_event_ts else [])
+    cols = CURATED_COLUMNS + (["event_ts"] if with_event_ts else []) + [k for k in keep if k in df.columns]
     return df.select(*cols)
 
 
@@ -84,18 +84,23 @@ def etl(raw: DataFrame, curated_path: str, quarantine_path: str | None = None, m
         strict: bool = True, with_event_ts: bool = False) -> DataFrame:
     """B1-B10 + J9: clean, conform and write ``raw``; return the reconciliation row.
 
+    Plan: tag each raw row with its rejection reason and conformed columns, rebalance by the date
+    partitions, count (``observe``), keep the good rows, write. The counters sit *after* the shuffle,
+    in the write's result stage, where Spark applies each task's update exactly once even when
+    tasks are retried or lost executors force map stages to re-run.
     ``input_rows = kept_rows + dropped_rows`` holds by construction and is checked.
     """
     spark = raw.sparkSession
     tagged = raw.withColumn("error_type", error_type(raw, strict))
+    conformed = to_curated(tagged, with_event_ts, keep=("error_type",))
     obs = Observation("etl_counts")
     metrics = [F.count(F.lit(1)).alias("input_rows"),
                F.count(F.when(F.col("error_type").isNull(), F.lit(1))).alias("kept_rows")]
     metrics += [F.count(F.when(F.col("error_type") == F.lit(r), F.lit(1))).alias(r) for r in ERROR_TYPES]
-    observed = tagged.observe(obs, *metrics)
-    good = observed.where(F.col("error_type").isNull()).drop("error_type")
+    balanced = conformed.hint("rebalance", *CURATED_PARTITIONS).observe(obs, *metrics)
+    good = balanced.where(F.col("error_type").isNull()).drop("error_type")
     extra = ["event_ts"] if with_event_ts else []
-    write_curated(to_curated(good, with_event_ts), curated_path, mode, extra)
+    write_curated(good, curated_path, mode, extra, rebalance=False)
     counts = obs.get
     if quarantine_path is not None and counts.get("input_rows", 0) != counts.get("kept_rows", 0):
         write_quarantine(_bad_rows(tagged), quarantine_path)

@@ -212,11 +212,11 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     good_path, bad_path = scratch_dir(spark, "stream-good"), scratch_dir(spark, "stream-bad")
 
     def good_sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").parquet(good_path)
+        S.write_batch(batch, good_path, batch_id)
 
     _run(S.split_stream(S.json_stream(spark, zones.raw), good_sink, bad_path, scratch_dir(spark, "ckpt"),
                         available_now=True))
-    bad = spark.read.schema("error_type string").parquet(bad_path)
+    bad = spark.read.schema("error_type string, batch_id int").parquet(bad_path)
     kept = spark.read.parquet(good_path).agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit("kept").alias("outcome"), "rows")
     reasons = quarantine_by_reason(bad).select(F.col("error_type").alias("outcome"), "rows")

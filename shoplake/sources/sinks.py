@@ -20,14 +20,16 @@ def _balanced(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str = "parquet",
-                      mode: str = "full", options: dict[str, str] | None = None) -> None:
+                      mode: str = "full", options: dict[str, str] | None = None, rebalance: bool = True) -> None:
     """Write ``df`` partitioned by ``partition_cols``.
 
     ``mode="full"`` replaces the whole target (a static overwrite drops partitions absent from
     ``df``); ``mode="incremental"`` replaces only the partitions present in ``df`` (dynamic
     partition overwrite); ``mode="append"`` adds files.
+    ``rebalance=False`` is for frames that were already rebalanced by the caller.
     """
-    writer = _balanced(df, partition_cols).write.partitionBy(*partition_cols).format(fmt)
+    source = _balanced(df, partition_cols) if rebalance else df
+    writer = source.write.partitionBy(*partition_cols).format(fmt)
     if mode == "full":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
     elif mode == "incremental":
@@ -41,11 +43,12 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], f
     writer.save(path)
 
 
-def write_curated(df: DataFrame, path: str, mode: str = "full", extra_columns: Sequence[str] = ()) -> None:
+def write_curated(df: DataFrame, path: str, mode: str = "full", extra_columns: Sequence[str] = (),
+                  rebalance: bool = True) -> None:
     """A5: curated columns to Snappy Parquet partitioned by year/month/day."""
     cols = CURATED_COLUMNS + [c for c in extra_columns if c not in CURATED_COLUMNS]
     write_partitioned(df.select(*cols), path, CURATED_PARTITIONS, "parquet", mode,
-                      {"compression": "snappy"})
+                      {"compression": "snappy"}, rebalance)
 
 
 def write_quarantine(bad: DataFrame, path: str, mode: str = "append") -> None:

@@ -8,7 +8,7 @@ Design rules used throughout:
   lost executor resumes from the last committed batch (file sinks are exactly-once).
 * Stateful operators run with a watermark so their state is evicted; results that must be exact at
   the end of the input are written as *updates* (``outputMode("update")`` + ``foreachBatch``
-  appending each batch's changed rows) and folded with ``max`` on read. Counts and stage ranks only
+  writing each batch's changed rows to a folder of its own batch id) and folded with ``max`` on read. Counts and stage ranks only
   grow, so the latest update of a key is its largest one, and the folded table equals a batch run.
 """
 
@@ -101,11 +101,27 @@ def land_stream(stream: DataFrame, path: str, checkpoint: str, partition_time: s
     return _trigger(writer, interval, available_now).start(path)
 
 
+def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
+                partition_cols: tuple[str, ...] = ()) -> None:
+    """Write one micro-batch idempotently: it replaces the folder of its own batch id.
+
+    A micro-batch that is replayed after a failure (same id, same input) overwrites its earlier
+    partial output instead of appending a second copy, so ``foreachBatch`` sinks stay exactly-once.
+    Readers see the batch id as a ``batch_id`` partition column.
+    """
+    writer = df.write.mode("overwrite").format(fmt)
+    if partition_cols:
+        writer = writer.partitionBy(*partition_cols)
+    writer.save(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
+
+
 def split_stream(stream: DataFrame, good_sink: Callable[[DataFrame, int], None],
                  bad_path: str, checkpoint: str, strict: bool = True, interval: str | None = None,
                  available_now: bool = False) -> StreamingQuery:
     """I6 + A8: route each micro-batch's rejected records to the quarantine and the rest to ``good_sink``.
 
+    ``good_sink(batch, batch_id)`` should be idempotent per batch id (see ``write_batch``).
+
     Counts of input and rejected rows per reason are observed in the stream's progress
     (``observedMetrics['stream_counts']``) instead of being lost.
     """
@@ -118,10 +134,10 @@ def split_stream(stream: DataFrame, good_sink: Callable[[DataFrame, int], None],
         bad = batch.where(F.col("error_type").isNotNull())
         raw_cols = [c for c in EVENT_COLUMNS + [CORRUPT_COLUMN] if c in batch.columns]
         load = F.current_date()
-        (bad.select(*raw_cols, "error_type", F.lit(batch_id).alias("batch_id"),
-                    F.date_format(load, "yyyy").alias("year"), F.date_format(load, "MM").alias("month"),
-                    F.date_format(load, "dd").alias("day"))
-         .write.mode("append").partitionBy("error_type", "year", "month", "day").parquet(bad_path))
+        write_batch(bad.select(*raw_cols, "error_type",
+                               F.date_format(load, "yyyy").alias("year"), F.date_format(load, "MM").alias("month"),
+                               F.date_format(load, "dd").alias("day")),
+                    bad_path, batch_id, partition_cols=("error_type", "year", "month", "day"))
         good_sink(batch.where(F.col("error_type").isNull()).drop("error_type"), batch_id)
 
     writer = observed.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
@@ -172,9 +188,9 @@ def window_count_updates(stream: DataFrame, minutes: int = 5, event_time: str =
 
 def write_updates(updates: DataFrame, path: str, checkpoint: str, interval: str | None = None,
                   available_now: bool = False) -> StreamingQuery:
-    """Append each micro-batch's updated rows (update mode) to a Parquet table with its batch id."""
+    """Write each micro-batch's updated rows (update mode) to a Parquet table, one folder per batch."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
+        write_batch(batch, path, batch_id)
 
     writer = (updates.writeStream.outputMode("update").foreachBatch(handle)
               .option("checkpointLocation", checkpoint))
