@@ -67,6 +67,8 @@ def land_files(spark: SparkSession, src: str, dst: str, glob: str = "*.jsonl", r
                      F.col("_metadata.file_block_start").alias("block_start"),
                      F.monotonically_increasing_id().alias("row_id"))
              .where(F.trim("value") != F.lit("")))
+    if lines.isEmpty():
+        raise FileNotFoundError(f"no non-empty file matching {glob!r} under {src}")
     ts = parse_ts_ntz(F.get_json_object("value", "$.timestamp"))
     if route == "row":
         routed = lines.select("value", "source", *_parts(ts))

@@ -43,14 +43,18 @@ def read_raw_text(spark: SparkSession, path: str, glob: str | None = None) -> Da
 
 
 def read_curated(spark: SparkSession, path: str, start_date: dt.date | str | None = None,
-                 end_date: dt.date | str | None = None, columns: list[str] | None = None) -> DataFrame:
+                 end_date: dt.date | str | None = None, columns: list[str] | None = None,
+                 merge_schema: bool = False) -> DataFrame:
     """Curated zone -> the 15 curated columns, optionally limited to an inclusive date range.
 
     The range turns into predicates on the padded string partition columns, which Spark applies as
-    partition filters: directories outside the range are never listed or opened.
+    partition filters: directories outside the range are never listed or opened. With
+    ``merge_schema`` the footers of all files are merged, for tables whose older files lack
+    newer columns (a missing column reads as null either way when ``columns`` names it).
     """
     configure(spark)
-    df = spark.read.parquet(path)
+    reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
+    df = reader.parquet(path)
     if start_date is not None or end_date is not None:
         date_key = F.concat_ws("-", *[F.col(p) for p in CURATED_PARTITIONS])
         if start_date is not None:

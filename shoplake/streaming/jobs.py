@@ -8,8 +8,9 @@ Design rules used throughout:
   lost executor resumes from the last committed batch (file sinks are exactly-once).
 * Stateful operators run with a watermark so their state is evicted; results that must be exact at
   the end of the input are written as *updates* (``outputMode("update")`` + ``foreachBatch``
-  writing each batch's changed rows to a folder of its own batch id) and folded with ``max`` on read. Counts and stage ranks only
-  grow, so the latest update of a key is its largest one, and the folded table equals a batch run.
+  writing each batch's changed rows to a folder of its own batch id) and folded with ``max`` on
+  read. Counts and stage ranks only grow, so the latest update of a key is its largest one, and
+  the folded table equals a batch run.
 """
 
 from __future__ import annotations

@@ -97,3 +97,23 @@ def test_read_curated_date_range_prunes_partitions(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
     assert F is not None
+
+
+def test_merge_schema_reads_old_and_new_files(spark, tmp_path):
+    path = tmp_path / "cur"
+    old = to_curated(edf(spark, [event("o1", ts="2026-09-10T10:00:00")])).drop("discount_code")
+    old.write.partitionBy("year", "month", "day").parquet(str(path))
+    new = to_curated(edf(spark, [event("n1", ts="2026-09-11T10:00:00", discount_code="VIP20")]))
+    new.write.mode("append").partitionBy("year", "month", "day").parquet(str(path))
+    rows = {r.event_id: r.discount_code for r in read_curated(spark, str(path), merge_schema=True).collect()}
+    assert rows == {"o1": None, "n1": "VIP20"}
+
+
+def test_revenue_scan_is_pruned_and_pushed(spark, tmp_path):
+    from shoplake.operators.analytics import revenue_by_country_device
+    from shoplake.sources.sinks import write_curated
+    path = str(tmp_path / "cur")
+    write_curated(to_curated(edf(spark, [event("p1", "purchase", product="p", category="b", price=1.0)])), path)
+    plan = revenue_by_country_device(read_curated(spark, path))._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(event_type,purchase)" in plan
+    assert "ReadSchema: struct<event_type:string,price:double,device_type:string,country:string>" in plan

@@ -75,3 +75,10 @@ def test_t15_gzip_and_plain_in_one_zone(spark, tmp_path):
     names = [n for _, _, files in os.walk(zone) for n in files if not n.startswith((".", "_"))]
     assert any(n.endswith(".gz") for n in names) and any(not n.endswith(".gz") for n in names)
     assert sorted(r.event_id for r in read_raw(spark, zone).collect()) == ["1", "2"]
+
+
+def test_no_matching_file_fails(spark, tmp_path):
+    import pytest
+    src = _src_file(tmp_path)
+    with pytest.raises(FileNotFoundError):
+        land_files(spark, str(src), str(tmp_path / "x"), glob="*.csv", dry_run=True)

@@ -74,3 +74,22 @@ def test_replayed_batch_is_not_duplicated(spark, tmp_path):
     S.write_batch(df, path, 0)  # the same micro-batch again, as after a failure
     S.write_batch(spark.range(2), path, 1)
     assert spark.read.parquet(path).count() == 5
+
+
+def test_clean_source_and_trigger_caps(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    for i in range(3):
+        (src / f"f{i}.jsonl").write_text(json.dumps(event(str(i), ts=f"2026-09-10T10:0{i}:00")) + "\n")
+    archive = tmp_path / "archive"
+    stream = S.json_stream(spark, str(src), clean="archive", archive_dir=str(archive), max_files_per_trigger=1)
+    out = str(tmp_path / "out")
+    q = (stream.drop("_corrupt_record").writeStream.format("parquet")
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start(out))
+    _run(q)
+    assert spark.read.parquet(out).count() == 3
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3  # one file per micro-batch
+    archived = [p for p in archive.rglob("*.jsonl")]
+    assert len(archived) >= 1  # files are moved one batch after they were processed
+    stream2 = S.json_stream(spark, str(src), max_bytes_per_trigger=5242880)
+    assert stream2.isStreaming
