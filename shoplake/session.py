@@ -21,6 +21,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even when that costs one more shuffle downstream (for example
+    # when an aggregation follows the join): one hot user must not become one straggler task.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Python workers hand batches over through Arrow wherever a pandas function is used.
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.schema import CORRUPT_COLUMN, CURATED_COLUMNS, CURATED_PARTITIONS, RAW_SCHEMA
+from shoplake.schema import CORRUPT_COLUMN, CURATED_COLUMNS, CURATED_PARTITIONS, EVENT_COLUMNS, RAW_SCHEMA
 from shoplake.session import configure
 
 
@@ -62,3 +62,22 @@ def read_curated(spark: SparkSession, path: str, start_date: dt.date | str | Non
         if end_date is not None:
             df = df.where(date_key <= F.lit(str(end_date)))
     return df.select(*(columns or CURATED_COLUMNS))
+
+
+def parse_events(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """JSON text records (a message stream's payload, a text column) -> raw event columns.
+
+    Same rules as the file reader: explicit schema, PERMISSIVE mode, and a record that is not valid
+    JSON kept whole in ``_corrupt_record``. Other columns of ``df`` are carried along.
+    """
+    parsed = F.from_json(F.col(value_col).cast("string"), RAW_SCHEMA,
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    others = [c for c in df.columns if c != value_col]
+    return df.select(*others, parsed.alias("_event")).select(*others, "_event.*")
+
+
+def to_json_events(df: DataFrame, keep_null_fields: bool = True) -> DataFrame:
+    """Event columns -> one JSON text per record in ``value`` (null values kept as JSON null)."""
+    cols = [c for c in EVENT_COLUMNS if c in df.columns]
+    opts = {"ignoreNullFields": "false" if keep_null_fields else "true"}
+    return df.select(F.to_json(F.struct(*cols), opts).alias("value"))

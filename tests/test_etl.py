@@ -117,3 +117,14 @@ def test_revenue_scan_is_pruned_and_pushed(spark, tmp_path):
     plan = revenue_by_country_device(read_curated(spark, path))._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(event_type,purchase)" in plan
     assert "ReadSchema: struct<event_type:string,price:double,device_type:string,country:string>" in plan
+
+
+def test_parse_and_serialise_json_text(spark):
+    from shoplake.sources.raw import parse_events, to_json_events
+    good = json.dumps(event("j1", "purchase", product="p", category="books", price=3.5))
+    text = spark.createDataFrame([(1, good), (2, '{"event_id": "j2", "timest')], "offset int, value string")
+    rows = {r.offset: r for r in parse_events(text).collect()}
+    assert rows[1].event_id == "j1" and rows[1].price == 3.5 and rows[1]._corrupt_record is None
+    assert rows[2]._corrupt_record is not None
+    back = json.loads(to_json_events(parse_events(text).where("offset = 1")).first().value)
+    assert back["event_id"] == "j1" and "discount_code" in back and back["discount_code"] is None
