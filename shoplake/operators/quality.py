@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.functions import date_parts, parse_ts, window_start
@@ -52,10 +52,10 @@ def check_funnel(df: DataFrame) -> DataFrame:
     purchase rate lies strictly inside ``PURCHASE_RATE_BOUNDS``.
     """
     counts = _stage_counts(df)
-    # Five rows in all, so a global window over them is bounded.
-    prev = F.lag("n").over(Window.orderBy("rank"))
-    prev_stage = F.lag("stage").over(Window.orderBy("rank"))
-    with_prev = counts.select("stage", "rank", "n", prev.alias("prev_n"), prev_stage.alias("prev_stage"))
+    # Each stage is paired with the one before it by rank: an equi-join of two five-row tables.
+    prev = counts.select((F.col("rank") + 1).alias("rank"), F.col("n").alias("prev_n"),
+                         F.col("stage").alias("prev_stage"))
+    with_prev = counts.join(F.broadcast(prev), "rank", "left")
     positive = with_prev.select(
         F.concat(F.lit("stage_positive:"), "stage").alias("rule"),
         F.col("n").cast("double").alias("observed"), F.lit(0.0).alias("lower"),
