@@ -83,3 +83,19 @@ def test_t18_missing_partition_found(spark, tmp_path):
     assert spark.table("t18_curated").count() == 2  # the catalog silently skips the new day
     refresh_table(spark, "t18_curated", path, EVENT_SCHEMA, CURATED_PARTITIONS)
     assert spark.table("t18_curated").count() == 3
+
+
+def test_catalog_add_columns(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from shoplake.operators.catalog import add_columns
+    from shoplake.schema import RAW_FIELDS
+    df = to_curated(edf(spark, [event("c1", ts="2026-09-10T10:00:00")]))
+    path = str(tmp_path / "cur")
+    write_curated(df, path)
+    old = T.StructType([T.StructField(n, t) for n, t in RAW_FIELDS if n != "discount_code"])
+    refresh_table(spark, "evolving_curated", path, old, CURATED_PARTITIONS)
+    assert "discount_code" not in spark.table("evolving_curated").columns
+    add_columns(spark, "evolving_curated", [T.StructField("discount_code", T.StringType())])
+    assert "discount_code" in spark.table("evolving_curated").columns
+    assert spark.table("evolving_curated").count() == 1
