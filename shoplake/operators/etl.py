@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.functions import is_blank, parse_ts
+from shoplake.functions.tables import constant_table
 from shoplake.schema import CORRUPT_COLUMN, CURATED_COLUMNS, CURATED_PARTITIONS, ERROR_TYPES, EVENT_COLUMNS
 from shoplake.sources.sinks import write_curated, write_quarantine
 
@@ -75,9 +76,7 @@ def reconciliation(spark: SparkSession, counts: dict) -> DataFrame:
     for reason in ERROR_TYPES:
         row[reason] = int(counts.get(reason, 0) or 0)
     cols = ["input_rows", "kept_rows", "dropped_rows", *ERROR_TYPES]
-    return spark.createDataFrame([tuple(row[c] for c in cols)],
-                                 "input_rows bigint, kept_rows bigint, dropped_rows bigint, "
-                                 + ", ".join(f"{r} bigint" for r in ERROR_TYPES))
+    return constant_table(spark, [tuple(row[c] for c in cols)], [(c, "bigint") for c in cols])
 
 
 def etl(raw: DataFrame, curated_path: str, quarantine_path: str | None = None, mode: str = "full",
@@ -115,7 +114,7 @@ def quarantine_by_reason(bad: DataFrame) -> DataFrame:
     """Rows per rejection reason, every reason listed (0 when none). Both sides have at most one row
     per reason, so the join is tiny whatever the size of ``bad``."""
     spark = bad.sparkSession
-    reasons = spark.createDataFrame([(r,) for r in ERROR_TYPES], "error_type string")
+    reasons = constant_table(spark, [(r,) for r in ERROR_TYPES], [("error_type", "string")])
     counted = bad.groupBy("error_type").agg(F.count(F.lit(1)).alias("rows"))
     return (reasons.join(counted, "error_type", "left")
             .select("error_type", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows")))

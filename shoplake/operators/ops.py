@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.functions import scan_cost_usd
+from shoplake.functions.tables import constant_table
 
 # ---------------------------------------------------------------------------------------------
 # Fixed values of the storage lifecycle, budgets and alert rules.
@@ -41,7 +42,7 @@ FAILURE_STATES = [
 
 
 def lifecycle_rules(spark: SparkSession, rules=LIFECYCLE_RULES) -> DataFrame:
-    return spark.createDataFrame(list(rules), "prefix string, min_age_days int, action string")
+    return constant_table(spark, list(rules), [("prefix", "string"), ("min_age_days", "int"), ("action", "string")])
 
 
 def top_prefix(key: str | F.Column) -> F.Column:
@@ -187,8 +188,9 @@ def scan_cost(query_log: DataFrame) -> DataFrame:
 
 
 def budgets(spark: SparkSession, rows=BUDGETS, project_tag: str = BUDGET_PROJECT_TAG) -> DataFrame:
-    return spark.createDataFrame([(n, project_tag, float(lim), int(t)) for n, lim, t in rows],
-                                 "name string, project_tag string, limit_usd double, threshold_pct int")
+    return constant_table(spark, [(n, project_tag, float(lim), int(t)) for n, lim, t in rows],
+                          [("name", "string"), ("project_tag", "string"), ("limit_usd", "double"),
+                           ("threshold_pct", "int")])
 
 
 def spend_by_service(billing: DataFrame) -> DataFrame:
@@ -224,6 +226,6 @@ def failed_runs(run_log: DataFrame, failure_states=FAILURE_STATES) -> DataFrame:
     ``run_log``: detail_type, name, state, at. Returns the same columns for failed runs.
     """
     spark = run_log.sparkSession
-    states = spark.createDataFrame(list(failure_states), "detail_type string, state string")
+    states = constant_table(spark, list(failure_states), [("detail_type", "string"), ("state", "string")])
     return run_log.join(F.broadcast(states), ["detail_type", "state"], "left_semi").select(
         "detail_type", "name", "state", "at")

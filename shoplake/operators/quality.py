@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.functions import date_parts, parse_ts, window_start
+from shoplake.functions.tables import constant_table
 from shoplake.schema import (
     CATEGORIES,
     COUNTRIES,
@@ -38,7 +39,7 @@ DOMAINS = {
 def _stage_counts(df: DataFrame) -> DataFrame:
     """``stage, rank, n`` for every funnel stage, 0 for a stage with no events."""
     spark = df.sparkSession
-    stages = spark.createDataFrame(list(enumerate(FUNNEL_STAGES)), "rank int, stage string")
+    stages = constant_table(spark, list(enumerate(FUNNEL_STAGES)), [("rank", "int"), ("stage", "string")])
     counts = (df.where(F.col("event_type").isin(*FUNNEL_STAGES))
               .groupBy(F.col("event_type").alias("stage")).agg(F.count(F.lit(1)).alias("n")))
     # ``counts`` has at most one row per stage: the join is between two tiny tables.
@@ -83,7 +84,8 @@ def check_stage_rates(df: DataFrame, expected: Sequence[tuple[str, str, float]]
     """Designed vs. observed step conversion ``from_stage, to_stage, expected_rate, observed_rate``."""
     spark = df.sparkSession
     counts = _stage_counts(df)
-    exp = spark.createDataFrame(list(expected), "from_stage string, to_stage string, expected_rate double")
+    exp = constant_table(spark, list(expected),
+                         [("from_stage", "string"), ("to_stage", "string"), ("expected_rate", "double")])
     a = counts.select(F.col("stage").alias("from_stage"), F.col("n").alias("from_n"))
     b = counts.select(F.col("stage").alias("to_stage"), F.col("n").alias("to_n"))
     joined = exp.join(a, "from_stage", "left").join(b, "to_stage", "left")
@@ -113,7 +115,8 @@ def check_domains(df: DataFrame, domains: dict[str, Sequence[str]] | None = None
     """``column_name, value, rows`` for non-null values outside their domain."""
     spark = df.sparkSession
     domains = domains or DOMAINS
-    dom = spark.createDataFrame([(c, v) for c, vs in domains.items() for v in vs], "column_name string, value string")
+    dom = constant_table(spark, [(c, v) for c, vs in domains.items() for v in vs],
+                         [("column_name", "string"), ("value", "string")])
     stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
                                 for c in domains]))
     values = df.select(stack.alias("cv")).select("cv.column_name", "cv.value").where(F.col("value").isNotNull())
