@@ -1,20 +1,33 @@
-"""Small constant tables built JVM-side (no Python worker, no RDD of Python rows)."""
+"""Small constant tables as local relations (no Python worker, no job of their own)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+
+def sql_literal(value) -> str:
+    """A Python constant as a Spark SQL literal."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, (int, float)):
+        return repr(value)
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def constant_table(spark: SparkSession, rows: Sequence[Sequence], columns: Sequence[tuple[str, str]]) -> DataFrame:
-    """Rows of literals -> DataFrame with the given ``(name, type)`` columns.
+    """Rows of constants -> DataFrame with the given ``(name, type)`` columns.
 
-    The table is one ``inline`` over an array of literal structs, planned as a local relation: a
-    handful of fixed rows never cost a job of their own and are cheap to broadcast.
+    Written as an inline ``VALUES`` table, which Spark plans as a local relation: a handful of fixed
+    rows is broadcast or joined without running a job, and no Python rows are shipped.
     """
+    names = ", ".join(f"`{n}`" for n, _ in columns)
+    select = ", ".join(f"CAST(`{n}` AS {t}) AS `{n}`" for n, t in columns)
     if not rows:
-        return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in columns])
-    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, columns)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+        nulls = ", ".join(f"CAST(NULL AS {t}) AS `{n}`" for n, t in columns)
+        return spark.sql(f"SELECT {nulls} WHERE false")
+    values = ", ".join("(" + ", ".join(sql_literal(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT {select} FROM VALUES {values} AS t({names})")

@@ -68,3 +68,14 @@ def test_compaction(spark, tmp_path):
     assert set(res) == {"year=2026/month=09/day=10", "year=2026/month=09/day=11"}
     assert all(before > after == 1 for before, after in res.values())
     assert spark.read.parquet(str(tmp_path / "big")).count() == 40
+
+
+def test_constant_table_types_and_quotes(spark):
+    from shoplake.functions.tables import constant_table
+    df = constant_table(spark, [("it's", 1, 2.5, None), ("b\\c", 2, 0.0, True)],
+                        [("s", "string"), ("i", "int"), ("d", "double"), ("f", "boolean")])
+    assert df.dtypes == [("s", "string"), ("i", "int"), ("d", "double"), ("f", "boolean")]
+    assert [tuple(r) for r in df.collect()] == [("it's", 1, 2.5, None), ("b\\c", 2, 0.0, True)]
+    empty = constant_table(spark, [], [("s", "string")])
+    assert empty.count() == 0 and empty.dtypes == [("s", "string")]
+    assert "LocalTableScan" in df._jdf.queryExecution().executedPlan().toString()
