@@ -9,7 +9,7 @@ curated table, read from storage as a user would. Each query runs to completion
 bytes a revenue query must read from JSON vs. Parquet, files per partition before and after
 compaction.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_REPEAT (default 2).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_REPEAT (default 3).
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ def _timed(fn, repeat: int) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     spark = build_session(master=f"local[{cpus}]", app="shoplake-bench", shuffle_partitions=cpus * 2)
