@@ -57,7 +57,7 @@ def main() -> None:
     spark = build_session(master=f"local[{cpus}]", app="shoplake-bench", shuffle_partitions=cpus * 2)
 
     # Warm-up: JVM, code generation and file listing caches.
-    _run(A.funnel_by_category(curated_events(spark, "/root/testdata/sf0.001")))
+    _run(A.funnel_by_category(curated_events(spark, sf_dir)))
 
     extras: dict = {}
     times: dict[str, float] = {}

@@ -24,6 +24,11 @@ REQUIRED_CONF = {
     # Split a skewed join partition even when that costs one more shuffle downstream (for example
     # when an aggregation follows the join): one hot user must not become one straggler task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Streaming state (open windows, sessions, dedup keys) lives in RocksDB on local disk instead of
+    # the executor heap, and commits write only the changes; the provider is pinned per checkpoint.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Python workers hand batches over through Arrow wherever a pandas function is used.
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
