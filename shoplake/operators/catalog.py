@@ -44,21 +44,23 @@ def catalog_partitions(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {name}")
 
 
-def storage_partitions(spark: SparkSession, path: str, partition_cols: Sequence[str],
-                       fmt: str = "parquet") -> DataFrame:
+def storage_partitions(spark: SparkSession, path: str, partition_cols: Sequence[str]) -> DataFrame:
     """A3: partition directories present on storage, as ``partition`` strings plus their columns.
 
-    Only the partition columns are selected, so no data column is decoded; the distinct runs as a
-    partial aggregate on the executors.
+    Built from the file listing alone (binary-file source, content column pruned): no data file is
+    opened, whatever its format. Hidden files (``_SUCCESS``, ``.crc``) are skipped by the listing.
+    Values stay exactly as in the path, so ``09`` stays ``"09"``.
     """
-    df = spark.read.format(fmt).load(path).select(*partition_cols).distinct()
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select("path"))
+    parts = [F.regexp_extract("path", f"/{p}=([^/]*)/", 1).alias(p) for p in partition_cols]
+    found = files.select(*parts).where(F.col(partition_cols[0]) != F.lit("")).distinct()
     label = F.concat_ws("/", *[F.concat(F.lit(f"{p}="), F.col(p)) for p in partition_cols])
-    return df.select(label.alias("partition"), *partition_cols)
+    return found.select(label.alias("partition"), *partition_cols)
 
 
-def missing_partitions(spark: SparkSession, table: str, path: str, partition_cols: Sequence[str],
-                       fmt: str = "parquet") -> DataFrame:
+def missing_partitions(spark: SparkSession, table: str, path: str, partition_cols: Sequence[str]) -> DataFrame:
     """Partitions on storage that the catalog does not list (queries silently skip them)."""
-    on_storage = storage_partitions(spark, path, partition_cols, fmt)
+    on_storage = storage_partitions(spark, path, partition_cols)
     known = catalog_partitions(spark, table)
     return on_storage.join(known, "partition", "left_anti").select("partition")

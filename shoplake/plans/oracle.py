@@ -31,9 +31,9 @@ CURATED_CTE = f"""curated AS (
            CAST(e.user_id AS VARCHAR) || '-' || strftime(e.ts, '%Y%m%d') AS session_id,
            strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp",
            CASE WHEN e.event_type <> 'error'
-                THEN CAST(CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 40 AS VARCHAR) END AS product_id,
+                THEN CAST(TRY_CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 40 AS VARCHAR) END AS product_id,
            CASE WHEN e.event_type <> 'error'
-                THEN {_CATEGORY_LIST}[CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 8 + 1] END AS category,
+                THEN {_CATEGORY_LIST}[TRY_CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 8 + 1] END AS category,
            CASE WHEN e.event_type <> 'error' THEN e.value END AS price,
            c.c_mktsegment AS device_type,
            CAST(NULL AS VARCHAR) AS referrer,

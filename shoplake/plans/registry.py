@@ -83,7 +83,7 @@ def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partition_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: hour partitions discovered on storage after landing, values kept zero-padded."""
     zones = land_raw_zone(spark, sf_dir)
-    return C.storage_partitions(spark, zones.raw, RAW_PARTITIONS, "json")
+    return C.storage_partitions(spark, zones.raw, RAW_PARTITIONS)
 
 
 def etl_clean_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,7 +62,7 @@ def shop_event_type(c: str = "event_type"):
 def conform_events(events: DataFrame, users: DataFrame, with_event_ts: bool = False) -> DataFrame:
     """Driver events + user dimension -> the curated columns (batch or streaming ``events``)."""
     has_product = F.col("event_type") != F.lit("error")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.get_json_object("props", "$.k").try_cast("int")
     categories = F.array(*[F.lit(c) for c in CATEGORIES])
     ts = F.col("ts").cast("timestamp_ntz")
     user = F.col("user_id").cast("string")
