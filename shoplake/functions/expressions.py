@@ -55,12 +55,14 @@ def window_start(ts: str | Column, minutes: int) -> Column:
 
     For N dividing 60 this equals ``window(ts, 'N minutes').start``; for other N the windows restart
     at every hour (the last one of each hour is shorter), which epoch-aligned windows do not do.
+    The start is a wall-clock ``TIMESTAMP_NTZ`` in the (UTC) session zone.
     """
     if minutes <= 0 or minutes > 60:
         raise ValueError("minutes must be in 1..60")
     ts = col_(ts)
     bucket = F.floor(F.minute(ts) / F.lit(minutes)) * F.lit(minutes)
-    return F.date_trunc("hour", ts) + F.make_dt_interval(F.lit(0), F.lit(0), bucket.cast("int"), F.lit(0))
+    start = F.date_trunc("hour", ts) + F.make_dt_interval(F.lit(0), F.lit(0), bucket.cast("int"), F.lit(0))
+    return start.cast("timestamp_ntz")
 
 
 def window_key(start: str | Column) -> Column:
