@@ -7,6 +7,8 @@ where it matters); the large side (object inventory, billing lines) is only scan
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,7 +90,8 @@ def list_objects(spark: SparkSession, root: str, date_from_path: bool = True) ->
     root = root.rstrip("/")
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
              .select("path", "length", "modificationTime"))
-    key = F.regexp_extract("path", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?/*" + _strip_scheme(root).lstrip("/") + r"/(.*)$", 1)
+    rel = re.escape(_strip_scheme(root).lstrip("/"))
+    key = F.regexp_extract("path", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?/*" + rel + r"/(.*)$", 1)
     y = F.regexp_extract("path", r"year=(\d{4})", 1)
     m = F.regexp_extract("path", r"month=(\d{2})", 1)
     d = F.regexp_extract("path", r"day=(\d{2})", 1)

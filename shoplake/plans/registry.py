@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,7 +64,6 @@ ANALYTICS: dict[str, Query] = {
 
 
 def _table_name(prefix: str) -> str:
-    import uuid
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
