@@ -10,7 +10,8 @@ Two entry points:
   goes to its own hour. The first line is found without reading a file into one row: it is the
   smallest row id within the split that starts at byte 0 of the file.
 
-Both return a manifest ``(source, target, rows)``; with ``dry_run=True`` nothing is written.
+Both return a manifest ``(source, target, rows)`` (``land_files`` adds a ``status``, landed or
+failed); with ``dry_run=True`` nothing is written.
 """
 
 from __future__ import annotations
@@ -78,11 +79,15 @@ def land_files(spark: SparkSession, src: str, dst: str, glob: str = "*.jsonl", r
                  .agg(F.min_by(F.struct(ts.alias("ts")), F.col("row_id")).alias("first")))
         first = first.select("file_path", F.col("first.ts").alias("first_ts"))
         routed = lines.join(first, "file_path", "left").select("value", "source", *_parts(F.col("first_ts")))
+    # A line (row route) or file (first-line route) without a parseable time cannot be routed: it is
+    # reported as failed and not landed, and the other inputs carry on.
+    landed = F.col("hour").isNotNull()
+    key = F.format_string("%s/year=%s/month=%s/day=%s/hour=%s/%s", F.lit(prefix), "year", "month", "day",
+                          "hour", "source")
     manifest = (routed.groupBy("source", *RAW_PARTITIONS).agg(F.count(F.lit(1)).alias("rows"))
-                .select("source",
-                        F.format_string("%s/year=%s/month=%s/day=%s/hour=%s/%s", F.lit(prefix), "year", "month",
-                                        "day", "hour", "source").alias("target"),
-                        "rows"))
+                .select("source", F.when(landed, key).alias("target"), "rows",
+                        F.when(landed, F.lit("landed")).otherwise(F.lit("failed")).alias("status")))
     if not dry_run:
-        write_partitioned(routed.select("value", *RAW_PARTITIONS), dst, RAW_PARTITIONS, "text", "append")
+        write_partitioned(routed.where(landed).select("value", *RAW_PARTITIONS), dst, RAW_PARTITIONS, "text",
+                          "append")
     return manifest

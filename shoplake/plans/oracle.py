@@ -171,6 +171,9 @@ BATCH = {
     "raw_landing_counts": with_curated(
         f"SELECT year, month, day, hour, COUNT(*) AS event_count FROM (SELECT {_HOUR_PARTS} FROM curated) "
         "GROUP BY ALL"),
+    "file_landing_counts": with_curated(
+        f"SELECT year, month, day, hour, COUNT(*) AS event_count FROM (SELECT {_HOUR_PARTS} FROM curated) "
+        "GROUP BY ALL"),
     "landing_manifest": with_curated(
         """SELECT 'events_' || strftime(window_start, '%Y%m%d_%H%M') || '.jsonl' AS source,
                   printf('raw/year=%04d/month=%02d/day=%02d/hour=%02d/%s', year(window_start),

@@ -14,7 +14,7 @@ from shoplake.operators import catalog as C
 from shoplake.operators import ops as O
 from shoplake.operators import quality as Q
 from shoplake.operators.etl import quarantine_by_reason, split_bad
-from shoplake.operators.landing import land_batch
+from shoplake.operators.landing import land_batch, land_files
 from shoplake.plans.zones import build_zones, land_raw_zone
 from shoplake.schema import CURATED_PARTITIONS, EVENT_COLUMNS, EVENT_SCHEMA, RAW_PARTITIONS
 from shoplake.session import configure, scratch_dir
@@ -75,6 +75,17 @@ def raw_landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, zones.raw).groupBy(*RAW_PARTITIONS).agg(F.count(F.lit(1)).alias("event_count"))
 
 
+def file_landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 + A12 + E3: the landed JSON files landed again, each routed by its first line; rows per hour.
+
+    Every landed file holds one hour, so routing by the first line must agree with routing by row.
+    """
+    zones = land_raw_zone(spark, sf_dir)
+    relanded = scratch_dir(spark, "raw-files")
+    land_files(spark, zones.raw, relanded, glob="*.json", route="file_first")
+    return read_raw(spark, relanded).groupBy(*RAW_PARTITIONS).agg(F.count(F.lit(1)).alias("event_count"))
+
+
 def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dry run of the batch landing: target key and rows per 5-minute batch, nothing written."""
     return land_batch(curated(spark, sf_dir), "unused", minutes=5, dry_run=True)
@@ -139,6 +150,7 @@ def dq_missing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 BATCH: dict[str, Query] = {
     "raw_landing_counts": raw_landing_counts,
+    "file_landing_counts": file_landing_counts,
     "landing_manifest": landing_manifest,
     "partition_listing": partition_listing,
     "etl_clean_counts": etl_clean_counts,

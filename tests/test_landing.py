@@ -82,3 +82,14 @@ def test_no_matching_file_fails(spark, tmp_path):
     src = _src_file(tmp_path)
     with pytest.raises(FileNotFoundError):
         land_files(spark, str(src), str(tmp_path / "x"), glob="*.csv", dry_run=True)
+
+
+def test_unroutable_file_fails_others_land(spark, tmp_path):
+    src = _src_file(tmp_path)
+    (src / "events_bad.jsonl").write_text('{"event_id": "x", "timestamp": "not a time"}\n'
+                                          + json.dumps(event("9", ts="2026-09-06T15:00:00")) + "\n")
+    man = {(r.source, r.status): (r.target, r.rows) for r in
+           land_files(spark, str(src), str(tmp_path / "zone")).collect()}
+    assert man[("events_bad.jsonl", "failed")] == (None, 2)
+    assert man[("events_20260906_1430.jsonl", "landed")][1] == 2
+    assert read_raw(spark, str(tmp_path / "zone")).count() == 2
