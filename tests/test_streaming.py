@@ -93,3 +93,19 @@ def test_clean_source_and_trigger_caps(spark, tmp_path):
     assert len(archived) >= 1  # files are moved one batch after they were processed
     stream2 = S.json_stream(spark, str(src), max_bytes_per_trigger=5242880)
     assert stream2.isStreaming
+
+
+def test_failed_runs_on_a_run_log_stream(spark, tmp_path):
+    from shoplake.operators.ops import failed_runs
+    src = tmp_path / "runs"
+    src.mkdir()
+    rows = [{"detail_type": "Glue Crawler State Change", "name": "c1", "state": "Failed", "at": "2026-09-20T10:00:00"},
+            {"detail_type": "Glue Job State Change", "name": "j1", "state": "FAILED", "at": "2026-09-20T10:01:00"},
+            {"detail_type": "Glue Crawler State Change", "name": "c2", "state": "FAILED", "at": "2026-09-20T10:02:00"}]
+    (src / "a.json").write_text("\n".join(json.dumps(r) for r in rows) + "\n")
+    stream = spark.readStream.schema("detail_type string, name string, state string, at timestamp").json(str(src))
+    out = str(tmp_path / "alerts")
+    q = (failed_runs(stream).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(availableNow=True).start(out))
+    _run(q)
+    assert sorted(r.name for r in spark.read.parquet(out).collect()) == ["c1", "j1"]
