@@ -37,61 +37,54 @@ DOMAINS = {
 
 
 def _stage_counts(df: DataFrame) -> DataFrame:
-    """``stage, rank, n`` for every funnel stage, 0 for a stage with no events."""
-    spark = df.sparkSession
-    stages = constant_table(spark, list(enumerate(FUNNEL_STAGES)), [("rank", "int"), ("stage", "string")])
-    counts = (df.where(F.col("event_type").isin(*FUNNEL_STAGES))
-              .groupBy(F.col("event_type").alias("stage")).agg(F.count(F.lit(1)).alias("n")))
-    # ``counts`` has at most one row per stage: the join is between two tiny tables.
-    return stages.join(counts, "stage", "left").select("stage", "rank", F.coalesce("n", F.lit(0)).alias("n"))
+    """One row: the number of events of every funnel stage, ``n0`` .. ``n4`` (0 when absent).
+
+    A single pass with conditional counts; the aggregate is partial per task, so the final step
+    sees one row per task whatever the size of ``df``.
+    """
+    return df.agg(*[F.count(F.when(F.col("event_type") == F.lit(stage), F.lit(1))).alias(f"n{i}")
+                    for i, stage in enumerate(FUNNEL_STAGES)])
+
+
+def _rule(name: str, observed, lower, upper):
+    as_double = [F.lit(None).cast("double") if v is None else (v if isinstance(v, F.Column) else F.lit(float(v)))
+                 for v in (observed, lower, upper)]
+    return F.struct(F.lit(name).alias("rule"), as_double[0].cast("double").alias("observed"),
+                    as_double[1].cast("double").alias("lower"), as_double[2].cast("double").alias("upper"))
 
 
 def check_funnel(df: DataFrame) -> DataFrame:
     """Funnel shape rules -> ``rule, observed, lower, upper, passed`` (bounds exclusive).
 
     Every stage has events; each stage has fewer events than the one before; the page_view ->
-    purchase rate lies strictly inside ``PURCHASE_RATE_BOUNDS``.
+    purchase rate lies strictly inside ``PURCHASE_RATE_BOUNDS``. One scan of ``df``.
     """
-    counts = _stage_counts(df)
-    # Each stage is paired with the one before it by rank: an equi-join of two five-row tables.
-    prev = counts.select((F.col("rank") + 1).alias("rank"), F.col("n").alias("prev_n"),
-                         F.col("stage").alias("prev_stage"))
-    with_prev = counts.join(F.broadcast(prev), "rank", "left")
-    positive = with_prev.select(
-        F.concat(F.lit("stage_positive:"), "stage").alias("rule"),
-        F.col("n").cast("double").alias("observed"), F.lit(0.0).alias("lower"),
-        F.lit(None).cast("double").alias("upper"))
-    falling = with_prev.where(F.col("prev_n").isNotNull()).select(
-        F.concat(F.lit("falls:"), "prev_stage", F.lit(">"), "stage").alias("rule"),
-        F.col("n").cast("double").alias("observed"), F.lit(None).cast("double").alias("lower"),
-        F.col("prev_n").cast("double").alias("upper"))
+    n = [F.col(f"n{i}") for i in range(len(FUNNEL_STAGES))]
+    rules = [_rule(f"stage_positive:{stage}", n[i], 0.0, None) for i, stage in enumerate(FUNNEL_STAGES)]
+    rules += [_rule(f"falls:{FUNNEL_STAGES[i - 1]}>{FUNNEL_STAGES[i]}", n[i], None, n[i - 1])
+              for i in range(1, len(FUNNEL_STAGES))]
     lo, hi = PURCHASE_RATE_BOUNDS
-    wide = counts.agg(
-        F.max(F.when(F.col("stage") == FUNNEL_STAGES[-1], F.col("n"))).alias("buy"),
-        F.max(F.when(F.col("stage") == FUNNEL_STAGES[0], F.col("n"))).alias("view"))
-    rate = wide.select(
-        F.lit("purchase_rate").alias("rule"),
-        F.round(F.col("buy").cast("double") / F.nullif("view", F.lit(0)), 6).alias("observed"),
-        F.lit(lo).alias("lower"), F.lit(hi).alias("upper"))
-    rules = positive.unionByName(falling).unionByName(rate)
+    rate = F.round(n[-1].cast("double") / F.nullif(n[0], F.lit(0)), 6)
+    rules.append(_rule("purchase_rate", rate, lo, hi))
+    table = _stage_counts(df).select(F.inline(F.array(*rules)))
     passed = (F.col("observed").isNotNull()
               & (F.col("lower").isNull() | (F.col("observed") > F.col("lower")))
               & (F.col("upper").isNull() | (F.col("observed") < F.col("upper"))))
-    return rules.select("rule", "observed", "lower", "upper", F.coalesce(passed, F.lit(False)).alias("passed"))
+    return table.select("rule", "observed", "lower", "upper", F.coalesce(passed, F.lit(False)).alias("passed"))
 
 
 def check_stage_rates(df: DataFrame, expected: Sequence[tuple[str, str, float]] = STAGE_RATES) -> DataFrame:
-    """Designed vs. observed step conversion ``from_stage, to_stage, expected_rate, observed_rate``."""
-    spark = df.sparkSession
-    counts = _stage_counts(df)
-    exp = constant_table(spark, list(expected),
-                         [("from_stage", "string"), ("to_stage", "string"), ("expected_rate", "double")])
-    a = counts.select(F.col("stage").alias("from_stage"), F.col("n").alias("from_n"))
-    b = counts.select(F.col("stage").alias("to_stage"), F.col("n").alias("to_n"))
-    joined = exp.join(a, "from_stage", "left").join(b, "to_stage", "left")
-    return joined.select(
-        "from_stage", "to_stage", "expected_rate",
-        F.round(F.col("to_n").cast("double") / F.nullif("from_n", F.lit(0)), 4).alias("observed_rate"))
+    """Designed vs. observed step conversion ``from_stage, to_stage, expected_rate, observed_rate``.
+
+    Stages must be funnel stages. One scan of ``df``.
+    """
+    idx = {stage: i for i, stage in enumerate(FUNNEL_STAGES)}
+    rows = [F.struct(F.lit(a).alias("from_stage"), F.lit(b).alias("to_stage"),
+                     F.lit(float(r)).alias("expected_rate"),
+                     F.round(F.col(f"n{idx[b]}").cast("double") / F.nullif(F.col(f"n{idx[a]}"), F.lit(0)), 4)
+                     .alias("observed_rate"))
+            for a, b, r in expected]
+    return _stage_counts(df).select(F.inline(F.array(*rows)))
 
 
 def check_duplicate_ids(df: DataFrame) -> DataFrame:
