@@ -71,9 +71,6 @@ SESSION_STATS = """session_stats AS (
     FROM curated GROUP BY session_id
 )"""
 
-STAGE_COUNTS = "stage_counts AS (SELECT event_type, COUNT(*) AS n FROM curated GROUP BY event_type)"
-
-
 def _in(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
