@@ -22,7 +22,7 @@ from shoplake.functions.tables import constant_table
 LIFECYCLE_RULES = [
     ("raw/", 30, "STANDARD_IA"),
     ("raw/", 90, "GLACIER_IR"),
-    ("athena-results/", 7, "EXPIRE"),
+    ("results/", 7, "EXPIRE"),
     ("test-intelligent-tiering/", 0, "INTELLIGENT_TIERING"),
 ]
 # Storage classes with a minimum billable object size, and that size in bytes.
@@ -30,11 +30,10 @@ MIN_BILLABLE_CLASSES = ["STANDARD_IA", "GLACIER_IR"]
 MIN_BILLABLE_BYTES = 128 * 1024
 # (budget name, monthly limit in USD, alert threshold in % of the limit); alerts fire above it.
 BUDGETS = [
-    ("clickstream-soft-limit", 150.0, 80),
-    ("clickstream-soft-limit", 150.0, 100),
-    ("clickstream-hard-stop", 180.0, 100),
+    ("soft-limit", 150.0, 80),
+    ("soft-limit", 150.0, 100),
+    ("hard-stop", 180.0, 100),
 ]
-BUDGET_PROJECT_TAG = "clickstream-lake"
 # (detail type, state that counts as a failure); states are compared case-sensitively.
 FAILURE_STATES = [
     ("Glue Crawler State Change", "Failed"),
@@ -190,7 +189,8 @@ def scan_cost(query_log: DataFrame) -> DataFrame:
                     .alias("reduction_pct")))
 
 
-def budgets(spark: SparkSession, rows=BUDGETS, project_tag: str = BUDGET_PROJECT_TAG) -> DataFrame:
+def budgets(spark: SparkSession, project_tag: str, rows=BUDGETS) -> DataFrame:
+    """The budget table for the spend of one cost-allocation tag."""
     return constant_table(spark, [(n, project_tag, float(lim), int(t)) for n, lim, t in rows],
                           [("name", "string"), ("project_tag", "string"), ("limit_usd", "double"),
                            ("threshold_pct", "int")])

@@ -296,12 +296,12 @@ AUDIT_AS_OF = "2024-04-15"
 
 
 def _lake_root(spark: SparkSession, sf_dir: str) -> str:
-    """A lake with raw/, curated/ and athena-results/ folders built from the driver tables."""
+    """A lake with raw/, curated/ and results/ folders built from the driver tables."""
     root = scratch_dir(spark, "lake")
     df = curated(spark, sf_dir)
     land_batch(df, f"{root}/raw")
     write_curated(df, f"{root}/curated")
-    write_result_csv(A.revenue_by_country_device(read_curated(spark, f"{root}/curated")), f"{root}/athena-results")
+    write_result_csv(A.revenue_by_country_device(read_curated(spark, f"{root}/curated")), f"{root}/results")
     return root
 
 

@@ -29,8 +29,8 @@ def test_tier_audit(spark):
         ("raw/b.json", 300_000, dt.datetime(2026, 3, 1)),    # 41 days -> IA
         ("raw/c.json", 1_000, dt.datetime(2026, 4, 1)),      # 10 days -> standard
         ("curated/d.parquet", 5_000, dt.datetime(2025, 1, 1)),
-        ("athena-results/e.csv", 10, dt.datetime(2026, 4, 1)),
-        ("athena-results/f.csv", 10, dt.datetime(2026, 4, 9)),
+        ("results/e.csv", 10, dt.datetime(2026, 4, 1)),
+        ("results/f.csv", 10, dt.datetime(2026, 4, 9)),
     ], "key string, size_bytes bigint, last_modified timestamp")
     rows = {(r.prefix, r.tier): (r.objects, r.bytes, r.billable_bytes)
             for r in O.tier_audit(inv, O.lifecycle_rules(spark), "2026-04-11").collect()}
@@ -38,20 +38,20 @@ def test_tier_audit(spark):
     assert rows[("raw/", "STANDARD_IA")] == (1, 300_000, 300_000)
     assert rows[("raw/", "STANDARD")] == (1, 1_000, 1_000)
     assert rows[("curated/", "STANDARD")] == (1, 5_000, 5_000)
-    assert rows[("athena-results/", "EXPIRED")][0] == 1
-    assert rows[("athena-results/", "STANDARD")][0] == 1
+    assert rows[("results/", "EXPIRED")][0] == 1
+    assert rows[("results/", "STANDARD")][0] == 1
 
 
 def test_budget_status_and_spend(spark):
     d = decimal.Decimal
     bill = spark.createDataFrame([
-        (dt.date(2026, 9, 1), "S3", "clickstream-lake", d("100.000000000")),
-        (dt.date(2026, 9, 2), "Glue", "clickstream-lake", d("30.500000000")),
+        (dt.date(2026, 9, 1), "S3", "shop-lake", d("100.000000000")),
+        (dt.date(2026, 9, 2), "Glue", "shop-lake", d("30.500000000")),
         (dt.date(2026, 9, 2), "EC2", "other", d("500.000000000")),
     ], "usage_date date, service string, project_tag string, cost_usd decimal(18,9)")
-    rows = {(r.budget, r.threshold_pct): r.crossed for r in O.budget_status(bill, O.budgets(spark)).collect()}
-    assert rows == {("clickstream-soft-limit", 80): True, ("clickstream-soft-limit", 100): False,
-                    ("clickstream-hard-stop", 100): False}
+    rows = {(r.budget, r.threshold_pct): r.crossed
+            for r in O.budget_status(bill, O.budgets(spark, "shop-lake")).collect()}
+    assert rows == {("soft-limit", 80): True, ("soft-limit", 100): False, ("hard-stop", 100): False}
     spend = {r.service: r.pct_of_month for r in O.spend_by_service(bill).collect()}
     assert spend["EC2"] == 79.3
 
