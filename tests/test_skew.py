@@ -50,3 +50,39 @@ def test_hot_user_join_is_split_and_results_whole(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_day_is_split_across_write_tasks(spark, tmp_path):
+    import os
+
+    from shoplake.schema import CURATED_COLUMNS
+    from shoplake.sources.sinks import write_curated
+
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "true"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 200000
+        day = F.when(F.col("id") % 10 < 9, F.lit("01")).otherwise(F.lpad(((F.col("id") % 28) + 1).cast("string"), 2, "0"))
+        df = spark.range(n).select(
+            F.col("id").cast("string").alias("event_id"), F.lit("page_view").alias("event_type"),
+            F.lit("u").alias("user_id"), F.col("id").cast("string").alias("session_id"),
+            F.lit("2026-09-01T00:00:00").alias("timestamp"), F.lit(None).cast("string").alias("product_id"),
+            F.lit(None).cast("string").alias("category"), F.lit(None).cast("double").alias("price"),
+            F.lit("mobile").alias("device_type"), F.lit("direct").alias("referrer"), F.lit("US").alias("country"),
+            F.lit(None).cast("string").alias("discount_code"), F.lit("2026").alias("year"), F.lit("09").alias("month"),
+            day.alias("day"))
+        path = str(tmp_path / "cur")
+        write_curated(df.select(*CURATED_COLUMNS), path)
+        hot = os.path.join(path, "year=2026", "month=09", "day=01")
+        files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
+        assert len(files) > 1  # the hot day was split across tasks
+        assert spark.read.parquet(path).count() == n
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
