@@ -8,8 +8,10 @@ Scale notes, per job:
   third of all rows turns into one partial row per task, not one huge task.
 * Distinct counts are authored two-level (group by key and session, then sum flags) instead of
   ``count(DISTINCT ...)``, which would plan an Expand that multiplies the input rows.
-* The anti join is authored as ``left_anti`` over pre-deduplicated pairs; the literal
-  ``LEFT JOIN ... IS NULL`` form stays an outer join plus filter in Catalyst.
+* The anti join is authored as ``left_anti``; the literal ``LEFT JOIN ... IS NULL`` form stays an
+  outer join plus filter in Catalyst. The purchase pairs are deduplicated before the join (a
+  partial aggregate); Catalyst moves the cart-side distinct above the join, where it still
+  pre-aggregates map-side.
 """
 
 from __future__ import annotations
@@ -143,9 +145,9 @@ def revenue_pivot(df: DataFrame, devices: Sequence[str]) -> DataFrame:
 def abandoned_cart_products(df: DataFrame, n: int | None = 20) -> DataFrame:
     """C1 + C2 + D9 + D10 + F1: products added to a cart and not bought in the same session.
 
-    Pairs are deduplicated before the join (a partial aggregate, which also collapses hot pairs
-    map-side), then anti-joined. A cart pair with a null session never matches and so counts as
-    abandoned, like the outer-join form it replaces. Top ``n`` by count, ties by product_id.
+    Distinct cart pairs anti-joined with distinct purchase pairs. A cart pair with a null session
+    never matches and so counts as abandoned, like the outer-join form it replaces. Top ``n`` by
+    count, ties broken by product_id.
     """
     pairs = df.where(F.col("product_id").isNotNull()).select("event_type", "session_id", "product_id")
     carts = pairs.where(F.col("event_type") == F.lit("add_to_cart")).select("session_id", "product_id").distinct()
