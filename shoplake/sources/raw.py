@@ -18,15 +18,32 @@ from shoplake.schema import CORRUPT_COLUMN, CURATED_COLUMNS, CURATED_PARTITIONS,
 from shoplake.session import configure
 
 
-def read_raw(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Raw zone -> 12 event columns, ``_corrupt_record`` and the path's partition columns."""
+def _date_range(df: DataFrame, start_date, end_date) -> DataFrame:
+    """Inclusive date range as predicates on the padded string partitions (partition pruning)."""
+    if start_date is None and end_date is None:
+        return df
+    date_key = F.concat_ws("-", *[F.col(p) for p in CURATED_PARTITIONS])
+    if start_date is not None:
+        df = df.where(date_key >= F.lit(str(start_date)))
+    if end_date is not None:
+        df = df.where(date_key <= F.lit(str(end_date)))
+    return df
+
+
+def read_raw(spark: SparkSession, path: str, glob: str | None = None, start_date: dt.date | str | None = None,
+             end_date: dt.date | str | None = None) -> DataFrame:
+    """Raw zone -> 12 event columns, ``_corrupt_record`` and the path's partition columns.
+
+    A date range reads only the matching ``year=/month=/day=`` directories (a daily load reads
+    one day of the zone, not all of it).
+    """
     configure(spark)
     reader = (spark.read.schema(RAW_SCHEMA)
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.json(path)
+    return _date_range(reader.json(path), start_date, end_date)
 
 
 def read_raw_text(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -54,13 +71,7 @@ def read_curated(spark: SparkSession, path: str, start_date: dt.date | str | Non
     """
     configure(spark)
     reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
-    df = reader.parquet(path)
-    if start_date is not None or end_date is not None:
-        date_key = F.concat_ws("-", *[F.col(p) for p in CURATED_PARTITIONS])
-        if start_date is not None:
-            df = df.where(date_key >= F.lit(str(start_date)))
-        if end_date is not None:
-            df = df.where(date_key <= F.lit(str(end_date)))
+    df = _date_range(reader.parquet(path), start_date, end_date)
     return df.select(*(columns or CURATED_COLUMNS))
 
 

@@ -93,3 +93,12 @@ def test_unroutable_file_fails_others_land(spark, tmp_path):
     assert man[("events_bad.jsonl", "failed")] == (None, 2)
     assert man[("events_20260906_1430.jsonl", "landed")][1] == 2
     assert read_raw(spark, str(tmp_path / "zone")).count() == 2
+
+
+def test_read_raw_date_range_prunes(spark, tmp_path):
+    zone = str(tmp_path / "zone")
+    land_batch(edf(spark, [event("1", ts="2026-09-06T14:30:00"), event("2", ts="2026-09-07T10:00:00")]), zone)
+    df = read_raw(spark, zone, start_date="2026-09-07", end_date="2026-09-07")
+    assert [r.event_id for r in df.collect()] == ["2"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
