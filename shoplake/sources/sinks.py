@@ -45,7 +45,13 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], f
 
 def write_curated(df: DataFrame, path: str, mode: str = "full", extra_columns: Sequence[str] = (),
                   rebalance: bool = True) -> None:
-    """A5: curated columns to Snappy Parquet partitioned by year/month/day."""
+    """A5: curated columns to Snappy Parquet partitioned by year/month/day.
+
+    ``mode="incremental"`` replaces each curated day present in ``df`` as a whole, so ``df`` must
+    hold every row of those event days. With event-time landing a raw day is an event day; with
+    ingest-time (stream) landing, late events of a day sit in later raw partitions: load the
+    neighbouring raw day too, or use ``mode="append"`` for late data.
+    """
     cols = CURATED_COLUMNS + [c for c in extra_columns if c not in CURATED_COLUMNS]
     write_partitioned(df.select(*cols), path, CURATED_PARTITIONS, "parquet", mode,
                       {"compression": "snappy"}, rebalance)
