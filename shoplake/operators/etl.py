@@ -8,6 +8,8 @@ runs only when there are rejected rows, and keeps only those.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,7 +94,7 @@ def etl(raw: DataFrame, curated_path: str, quarantine_path: str | None = None, m
     spark = raw.sparkSession
     tagged = raw.withColumn("error_type", error_type(raw, strict))
     conformed = to_curated(tagged, with_event_ts, keep=("error_type",))
-    obs = Observation("etl_counts")
+    obs = Observation(f"etl_counts_{uuid.uuid4().hex[:8]}")  # unique: concurrent loads in one session
     metrics = [F.count(F.lit(1)).alias("input_rows"),
                F.count(F.when(F.col("error_type").isNull(), F.lit(1))).alias("kept_rows")]
     metrics += [F.count(F.when(F.col("error_type") == F.lit(r), F.lit(1))).alias(r) for r in ERROR_TYPES]
