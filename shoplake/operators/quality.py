@@ -146,16 +146,21 @@ def check_product_presence(df: DataFrame) -> DataFrame:
 
 def schema_profile(raw_text: DataFrame, minutes: int = 60, fields: Sequence[str] = ("discount_code",)) -> DataFrame:
     """Per event-time window and field, ``rows``, ``present_rows`` (key in the record) and
-    ``null_rows`` (key absent or null); tells a key that is absent apart from one that is null."""
-    ts = parse_ts(F.get_json_object("value", "$.timestamp")).cast("timestamp_ntz")
-    keys = F.json_object_keys("value")
-    base = raw_text.select(window_start(ts, minutes).alias("window_start"), keys.alias("keys"), "value")
+    ``null_rows`` (key absent or null); tells a key that is absent apart from one that is null.
+
+    Each line is parsed twice whatever the number of fields: once for its key set, once by
+    ``json_tuple`` for the timestamp and all profiled values together.
+    """
+    fields = list(fields)
+    values = F.json_tuple("value", "timestamp", *fields)
+    base = raw_text.select(F.json_object_keys("value").alias("keys"), values)
+    ts = parse_ts("c0").cast("timestamp_ntz")
     per_field = base.select(
-        "window_start",
+        window_start(ts, minutes).alias("window_start"),
         F.explode(F.array(*[F.struct(
             F.lit(f).alias("field"),
             F.coalesce(F.array_contains("keys", F.lit(f)), F.lit(False)).alias("present"),
-            F.get_json_object("value", f"$.{f}").isNull().alias("is_null")) for f in fields])).alias("f"))
+            F.col(f"c{i + 1}").isNull().alias("is_null")) for i, f in enumerate(fields)])).alias("f"))
     return (per_field.groupBy("window_start", F.col("f.field").alias("field"))
             .agg(F.count(F.lit(1)).alias("rows"),
                  F.count(F.when(F.col("f.present"), F.lit(1))).alias("present_rows"),
