@@ -28,7 +28,9 @@ def duck():
 
 @pytest.mark.parametrize("name", ["funnel_by_category", "revenue_by_country_device", "session_engagement",
                                   "abandoned_cart_products", "events_per_5min", "dq_funnel_shape",
-                                  "etl_clean_counts", "revenue_pivot"])
+                                  "etl_clean_counts", "revenue_pivot", "curated_write_readback",
+                                  "file_landing_counts", "dq_unexpected_keys", "stream_session_stage",
+                                  "batch_stream_union", "dq_missing_partitions"])
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     rel = duck.execute(E.oracle_sql()[name])
