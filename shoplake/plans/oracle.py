@@ -165,6 +165,9 @@ _CURATED_15 = ", ".join(f'"{c}"' if c == "timestamp" else c for c in CURATED_COL
 _RAW_JSON = "json_object(" + ", ".join(f"'{c}', \"{c}\"" for c in EVENT_COLUMNS) + ")"
 
 BATCH = {
+    "raw_scan": with_curated(
+        "SELECT " + ", ".join(f'"{c}"' if c == "timestamp" else c for c in EVENT_COLUMNS)
+        + f", CAST(NULL AS VARCHAR) AS _corrupt_record, {_HOUR_PARTS} FROM curated"),
     "raw_landing_counts": with_curated(
         f"SELECT year, month, day, hour, COUNT(*) AS event_count FROM (SELECT {_HOUR_PARTS} FROM curated) "
         "GROUP BY ALL"),

@@ -16,7 +16,7 @@ from shoplake.operators import quality as Q
 from shoplake.operators.etl import quarantine_by_reason, split_bad
 from shoplake.operators.landing import land_batch, land_files
 from shoplake.plans.zones import build_zones, land_raw_zone
-from shoplake.schema import CURATED_PARTITIONS, EVENT_COLUMNS, EVENT_SCHEMA, RAW_PARTITIONS
+from shoplake.schema import CORRUPT_COLUMN, CURATED_PARTITIONS, EVENT_COLUMNS, EVENT_SCHEMA, RAW_PARTITIONS
 from shoplake.session import configure, scratch_dir
 from shoplake.sources.adapter import MARKET_SEGMENTS, curated_events
 from shoplake.sources.raw import read_curated, read_raw, read_raw_text
@@ -69,6 +69,12 @@ def _table_name(prefix: str) -> str:
 
 # --- batch path: landing, ETL, sinks, catalog -------------------------------------------------------
 
+def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A3: the landed raw zone read back whole: 12 event fields, corrupt-record column, partitions."""
+    zones = land_raw_zone(spark, sf_dir)
+    return read_raw(spark, zones.raw).select(*EVENT_COLUMNS, CORRUPT_COLUMN, *RAW_PARTITIONS)
+
+
 def raw_landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + A6: land the events by hour, read the zone back, count rows per hour partition."""
     zones = land_raw_zone(spark, sf_dir)
@@ -149,6 +155,7 @@ def dq_missing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BATCH: dict[str, Query] = {
+    "raw_scan": raw_scan,
     "raw_landing_counts": raw_landing_counts,
     "file_landing_counts": file_landing_counts,
     "landing_manifest": landing_manifest,
