@@ -92,3 +92,23 @@ def to_json_events(df: DataFrame, keep_null_fields: bool = True) -> DataFrame:
     cols = [c for c in EVENT_COLUMNS if c in df.columns]
     opts = {"ignoreNullFields": "false" if keep_null_fields else "true"}
     return df.select(F.to_json(F.struct(*cols), opts).alias("value"))
+
+
+def register_views(spark: SparkSession, raw_path: str | None = None, curated_path: str | None = None,
+                   quarantine_path: str | None = None) -> list[str]:
+    """Expose the zones to Spark SQL as temporary views ``raw``, ``curated`` and ``quarantine``.
+
+    The views are lazy scans with the readers' rules (explicit raw schema, padded partitions), so
+    SQL over them gets the same pruning and pushdown as the DataFrame functions.
+    """
+    names = []
+    if raw_path:
+        read_raw(spark, raw_path).createOrReplaceTempView("raw")
+        names.append("raw")
+    if curated_path:
+        read_curated(spark, curated_path).createOrReplaceTempView("curated")
+        names.append("curated")
+    if quarantine_path:
+        spark.read.parquet(quarantine_path).createOrReplaceTempView("quarantine")
+        names.append("quarantine")
+    return names

@@ -128,3 +128,16 @@ def test_parse_and_serialise_json_text(spark):
     assert rows[2]._corrupt_record is not None
     back = json.loads(to_json_events(parse_events(text).where("offset = 1")).first().value)
     assert back["event_id"] == "j1" and "discount_code" in back and back["discount_code"] is None
+
+
+def test_sql_over_registered_views(spark, tmp_path):
+    from shoplake.sources.raw import register_views
+    from shoplake.sources.sinks import write_curated
+    rows = [event("v1", "purchase", "2026-09-10T10:00:00", product="p", category="b", price=2.5),
+            event("v2", "page_view", "2026-09-11T10:00:00")]
+    write_curated(to_curated(edf(spark, rows)), str(tmp_path / "cur"))
+    assert register_views(spark, curated_path=str(tmp_path / "cur")) == ["curated"]
+    df = spark.sql("SELECT day, count(*) AS n FROM curated WHERE day = '11' GROUP BY day")
+    assert [tuple(r) for r in df.collect()] == [("11", 1)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
