@@ -9,7 +9,8 @@ curated table, read from storage as a user would. Each query runs to completion
 bytes a revenue query must read from JSON vs. Parquet, files per partition before and after
 compaction.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_REPEAT (default 3).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_REPEAT (default 3),
+BENCH_EVENT_LOG_DIR (optional: write a Spark event log there; summarize with tools/stage_times.py).
 """
 
 from __future__ import annotations
@@ -54,7 +55,11 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = build_session(master=f"local[{cpus}]", app="shoplake-bench", shuffle_partitions=cpus * 2)
+    extra = {}
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if log_dir:  # stage and task times for tools/stage_times.py; off by default
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+    spark = build_session(master=f"local[{cpus}]", app="shoplake-bench", shuffle_partitions=cpus * 2, extra=extra)
 
     # Warm-up: JVM, code generation and file listing caches.
     _run(A.funnel_by_category(curated_events(spark, sf_dir)))
