@@ -10,7 +10,8 @@ bytes a revenue query must read from JSON vs. Parquet, files per partition befor
 compaction.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_REPEAT (default 3),
-BENCH_EVENT_LOG_DIR (optional: write a Spark event log there; summarize with tools/stage_times.py).
+BENCH_SHUFFLE_PARTITIONS (default BENCH_CPUS), BENCH_EVENT_LOG_DIR (optional: write a Spark event log
+there; summarize with tools/stage_times.py).
 """
 
 from __future__ import annotations
@@ -59,7 +60,9 @@ def main() -> None:
     log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
     if log_dir:  # stage and task times for tools/stage_times.py; off by default
         extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
-    spark = build_session(master=f"local[{cpus}]", app="shoplake-bench", shuffle_partitions=cpus * 2, extra=extra)
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))  # one per core; AQE coalesces
+    spark = build_session(master=f"local[{cpus}]", app="shoplake-bench", shuffle_partitions=partitions,
+                          extra=extra)
 
     # Warm-up: JVM, code generation and file listing caches.
     _run(A.funnel_by_category(curated_events(spark, sf_dir)))
