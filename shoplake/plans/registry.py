@@ -16,7 +16,14 @@ from shoplake.operators import quality as Q
 from shoplake.operators.etl import quarantine_by_reason, split_bad
 from shoplake.operators.landing import land_batch, land_files
 from shoplake.plans.zones import build_zones, land_raw_zone
-from shoplake.schema import CORRUPT_COLUMN, CURATED_PARTITIONS, EVENT_COLUMNS, EVENT_SCHEMA, RAW_PARTITIONS
+from shoplake.schema import (
+    CORRUPT_COLUMN,
+    CURATED_COLUMNS,
+    CURATED_PARTITIONS,
+    EVENT_COLUMNS,
+    EVENT_SCHEMA,
+    RAW_PARTITIONS,
+)
 from shoplake.session import configure, scratch_dir
 from shoplake.sources.adapter import MARKET_SEGMENTS, curated_events
 from shoplake.sources.raw import read_curated, read_raw, read_raw_text
@@ -243,13 +250,10 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events deduplicated on event_id within a 1-hour watermark, through an exactly-once file sink."""
+    """Events deduplicated on event_id per micro-batch and against earlier batches, exactly once."""
     path = scratch_dir(spark, "stream-dedup")
-    deduped = S.dedup_stream(S.driver_event_stream(spark, sf_dir)).drop("event_ts")
-    query = (deduped.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", scratch_dir(spark, "ckpt")).trigger(availableNow=True).start(path))
-    _run(query)
-    return spark.read.parquet(path)
+    _run(S.dedup_into(S.driver_event_stream(spark, sf_dir), path, scratch_dir(spark, "ckpt"), available_now=True))
+    return spark.read.parquet(f"{path}/data").select(*CURATED_COLUMNS)
 
 
 def stream_session_stage(spark: SparkSession, sf_dir: str) -> DataFrame:

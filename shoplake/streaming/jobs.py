@@ -15,8 +15,10 @@ Design rules used throughout:
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -149,11 +151,50 @@ def dedup_stream(stream: DataFrame, event_time: str = "event_ts", delay: str = "
                  keys: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """Drop repeated events (same ``keys``) arriving within ``delay`` of each other.
 
-    State per key is kept only until the watermark passes it, so memory is bounded by the delay.
+    Spark's built-in stateful dedup. State per key is kept only until the watermark passes it, so
+    memory is bounded by the delay. All copies of a key meet in one state partition: where one
+    event's copies can be a large share of the stream, use ``dedup_into``.
     """
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def dedup_into(stream: DataFrame, path: str, checkpoint: str, key: str = "event_id", event_time: str = "event_ts",
+               horizon_days: int = 1, interval: str | None = None, available_now: bool = False) -> StreamingQuery:
+    """I7 for streams where one event's copies may be a large share of all rows.
+
+    Spark's stateful dedup sends every copy of a key to one state partition without any map-side
+    step. Here each micro-batch is deduplicated as a batch (a partial aggregate: copies collapse
+    inside every task before the shuffle), then anti-joined with the keys already seen. Seen keys
+    are a Parquet table partitioned by event day; only days within ``horizon_days`` of the batch's
+    earliest event are read, so the lookup stays bounded. Output and seen keys are written per batch
+    id (``write_batch``) and a batch only consults earlier batches, so a replayed batch yields the
+    same rows again: exactly-once. Output lands in ``<path>/data``.
+    """
+    data_path, seen_path = f"{path.rstrip('/')}/data", f"{path.rstrip('/')}/seen"
+    day = F.date_format(F.col(event_time), "yyyy-MM-dd")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        unique = batch.dropDuplicates([key])
+        first_day = unique.select(F.min(day)).first()[0]
+        if first_day is None:
+            return
+        try:
+            seen = spark.read.parquet(seen_path)
+        except AnalysisException:
+            seen = None  # no keys recorded yet
+        if seen is not None:
+            lo = (dt.date.fromisoformat(first_day) - dt.timedelta(days=horizon_days)).isoformat()
+            earlier = seen.where((F.col("batch_id").cast("int") < F.lit(batch_id)) & (F.col("day") >= F.lit(lo)))
+            unique = unique.join(earlier.select(key), key, "left_anti")
+        write_batch(unique, data_path, batch_id)
+        written = spark.read.parquet(f"{data_path}/batch_id={int(batch_id)}")
+        write_batch(written.select(key, day.alias("day")), seen_path, batch_id, partition_cols=("day",))
+
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return _trigger(writer, interval, available_now).start()
+
+
 def stage_rank() -> F.Column:
     """Rank of an event type along the funnel (page_view 0 ... purchase 4); null for other types."""
     rank = F.lit(None).cast("int")

@@ -109,3 +109,20 @@ def test_failed_runs_on_a_run_log_stream(spark, tmp_path):
          .trigger(availableNow=True).start(out))
     _run(q)
     assert sorted(r.name for r in spark.read.parquet(out).collect()) == ["c1", "j1"]
+
+
+def test_dedup_into_hot_copies_and_across_batches(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    hot = [event("hot", ts="2026-09-10T10:00:00")] * 3000  # one event's copies dominate the stream
+    (src / "f1.jsonl").write_text("\n".join(json.dumps(r) for r in hot + [event("a", ts="2026-09-10T10:01:00")]) + "\n")
+    (src / "f2.jsonl").write_text("\n".join(json.dumps(r) for r in [event("hot", ts="2026-09-10T10:00:00"),
+                                                                     event("b", ts="2026-09-11T09:00:00")]) + "\n")
+    stream = (S.json_stream(spark, str(src), max_files_per_trigger=1).drop("_corrupt_record")
+              .withColumn("event_ts", F.to_timestamp("timestamp")))
+    out = str(tmp_path / "dedup")
+    q = S.dedup_into(stream, out, str(tmp_path / "ck"), available_now=True)
+    _run(q)
+    rows = spark.read.parquet(f"{out}/data").select("event_id", "batch_id").collect()
+    assert sorted(r.event_id for r in rows) == ["a", "b", "hot"]  # the copy in the second batch is dropped
+    assert len({r.batch_id for r in rows}) == 2
