@@ -18,7 +18,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -172,23 +171,24 @@ def dedup_into(stream: DataFrame, path: str, checkpoint: str, key: str = "event_
     """
     data_path, seen_path = f"{path.rstrip('/')}/data", f"{path.rstrip('/')}/seen"
     day = F.date_format(F.col(event_time), "yyyy-MM-dd")
+    spark = stream.sparkSession
+    key_type = dict(stream.dtypes)[key]
+    seen_schema = f"`{key}` {key_type}, batch_id int, day string"
+    # An empty seen table before the first batch, so every batch can read it by schema.
+    (spark.range(0).select(F.lit(None).cast(key_type).alias(key), F.lit(None).cast("string").alias("day"))
+     .write.mode("overwrite").partitionBy("day").parquet(f"{seen_path}/batch_id=-1"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         unique = batch.dropDuplicates([key])
         first_day = unique.select(F.min(day)).first()[0]
         if first_day is None:
             return
-        try:
-            seen = spark.read.parquet(seen_path)
-        except AnalysisException:
-            seen = None  # no keys recorded yet
-        if seen is not None:
-            lo = (dt.date.fromisoformat(first_day) - dt.timedelta(days=horizon_days)).isoformat()
-            earlier = seen.where((F.col("batch_id").cast("int") < F.lit(batch_id)) & (F.col("day") >= F.lit(lo)))
-            unique = unique.join(earlier.select(key), key, "left_anti")
+        lo = (dt.date.fromisoformat(first_day) - dt.timedelta(days=horizon_days)).isoformat()
+        seen = batch.sparkSession.read.schema(seen_schema).parquet(seen_path)
+        earlier = seen.where((F.col("batch_id") < F.lit(batch_id)) & (F.col("day") >= F.lit(lo)))
+        unique = unique.join(earlier.select(key), key, "left_anti")
         write_batch(unique, data_path, batch_id)
-        written = spark.read.parquet(f"{data_path}/batch_id={int(batch_id)}")
+        written = batch.sparkSession.read.parquet(f"{data_path}/batch_id={int(batch_id)}")
         write_batch(written.select(key, day.alias("day")), seen_path, batch_id, partition_cols=("day",))
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
