@@ -91,8 +91,16 @@ def test_clean_source_and_trigger_caps(spark, tmp_path):
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3  # one file per micro-batch
     archived = [p for p in archive.rglob("*.jsonl")]
     assert len(archived) >= 1  # files are moved one batch after they were processed
-    stream2 = S.json_stream(spark, str(src), max_bytes_per_trigger=5242880)
-    assert stream2.isStreaming
+    src2 = tmp_path / "in2"
+    src2.mkdir()
+    for i in range(2):
+        (src2 / f"g{i}.jsonl").write_text(json.dumps(event(f"g{i}", ts="2026-09-10T10:00:00")) + "\n")
+    size = (src2 / "g0.jsonl").stat().st_size
+    capped = S.json_stream(spark, str(src2), max_bytes_per_trigger=size + 1).drop("_corrupt_record")
+    q2 = (capped.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck2"))
+          .trigger(availableNow=True).start(str(tmp_path / "out2")))
+    _run(q2)
+    assert [p["numInputRows"] for p in q2.recentProgress if p["numInputRows"] > 0] == [1, 1]  # byte cap per batch
 
 
 def test_failed_runs_on_a_run_log_stream(spark, tmp_path):
