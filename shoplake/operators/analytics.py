@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.functions import cents, event_time, money_mean, money_sum, pct, window_key, window_start
-from shoplake.schema import EVENT_COLUMNS, PAGE_LIKE_EVENTS
+from shoplake.schema import DEVICE_TYPES, EVENT_COLUMNS, PAGE_LIKE_EVENTS
 
 
 def _flag(event_type: str):
@@ -132,7 +132,7 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("event_count"))
 
 
-def revenue_pivot(df: DataFrame, devices: Sequence[str]) -> DataFrame:
+def revenue_pivot(df: DataFrame, devices: Sequence[str] = DEVICE_TYPES) -> DataFrame:
     """Revenue per country with one column per device; empty cells are 0.
 
     The device list is passed, which fixes the output schema and spares the job that would collect

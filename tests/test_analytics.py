@@ -12,7 +12,7 @@ def test_t12_pivot_gap_is_zero(spark):
                            device_type="mobile"),
                      event("2", "purchase", product="p", category="books", price=5.5, country="GB",
                            device_type="tablet")])
-    rows = {r.country: r.asDict() for r in A.revenue_pivot(df, ["mobile", "desktop", "tablet"]).collect()}
+    rows = {r.country: r.asDict() for r in A.revenue_pivot(df).collect()}
     assert rows["US"] == {"country": "US", "mobile": 10.0, "desktop": 0.0, "tablet": 0.0}
     assert rows["GB"]["tablet"] == 5.5 and rows["GB"]["mobile"] == 0.0
 
