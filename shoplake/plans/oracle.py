@@ -159,11 +159,22 @@ ANALYTICS = {
 
 _HOUR_PARTS = ("strftime(event_ts, '%Y') AS year, strftime(event_ts, '%m') AS month, "
                "strftime(event_ts, '%d') AS day, strftime(event_ts, '%H') AS hour")
-_REASONS = "(VALUES " + ", ".join(f"('{r}')" for r in ERROR_TYPES) + ") t(error_type)"
+_REASONS = "(VALUES " + ", ".join(f"('{r}')" for r in ERROR_TYPES) + ") r(error_type)"
 _CURATED_15 = ", ".join(f'"{c}"' if c == "timestamp" else c for c in CURATED_COLUMNS)
 # The raw record as the landing writes it: every key present, null values as JSON null.
 _RAW_JSON = "json_object(" + ", ".join(f"'{c}', \"{c}\"" for c in EVENT_COLUMNS) + ")"
 
+# Rejection reason of each record, tested in the same order as the Spark job.
+_TAGGED = f"""tagged AS (
+    SELECT CASE WHEN NOT json_valid(CAST({_RAW_JSON} AS VARCHAR)) THEN 'malformed_json'
+                WHEN event_id IS NULL OR event_id = '' THEN 'missing_event_id'
+                WHEN "timestamp" IS NULL THEN 'missing_timestamp'
+                WHEN TRY_CAST("timestamp" AS TIMESTAMP) IS NULL THEN 'unparseable_timestamp' END AS error_type
+    FROM curated)"""
+_REASON_COUNTS = f"""reason_counts AS (
+    SELECT r.error_type, CAST(COUNT(t.error_type) AS BIGINT) AS rows
+    FROM {_REASONS} LEFT JOIN tagged t ON t.error_type = r.error_type GROUP BY r.error_type)"""
+
 BATCH = {
     "raw_scan": with_curated(
         "SELECT " + ", ".join(f'"{c}"' if c == "timestamp" else c for c in EVENT_COLUMNS)
@@ -187,12 +198,14 @@ BATCH = {
                   year, month, day, hour FROM p""",
         f"p AS (SELECT {_HOUR_PARTS} FROM curated)"),
     "etl_clean_counts": with_curated(
-        "SELECT COUNT(*) AS input_rows, COUNT(*) AS kept_rows, CAST(0 AS BIGINT) AS dropped_rows, "
-        + ", ".join(f"CAST(0 AS BIGINT) AS {r}" for r in ERROR_TYPES) + " FROM curated"),
+        "SELECT COUNT(*) AS input_rows, COUNT(*) FILTER (WHERE error_type IS NULL) AS kept_rows, "
+        "COUNT(error_type) AS dropped_rows, "
+        + ", ".join(f"COUNT(*) FILTER (WHERE error_type = '{r}') AS {r}" for r in ERROR_TYPES) + " FROM tagged",
+        _TAGGED),
     "etl_partition_counts": with_curated(
         "SELECT year, month, day, COUNT(*) AS event_count FROM curated GROUP BY year, month, day"),
     "curated_write_readback": with_curated(f"SELECT {_CURATED_15} FROM curated"),
-    "quarantine_by_reason": f"SELECT error_type, CAST(0 AS BIGINT) AS rows FROM {_REASONS}",
+    "quarantine_by_reason": with_curated("SELECT error_type, rows FROM reason_counts", _TAGGED, _REASON_COUNTS),
     "result_csv_readback": ANALYTICS["revenue_by_country_device"],
     "catalog_refresh": with_curated(
         "SELECT DISTINCT 'year=' || year || '/month=' || month || '/day=' || day AS partition FROM curated"),
@@ -282,8 +295,8 @@ _STAGE_RANKS = f"ranks AS (SELECT * FROM (VALUES {_stages_values()}) t(stage, ra
 STREAMING = {
     "stream_landing_by_event_date": BATCH["raw_landing_counts"],
     "stream_quarantine": with_curated(
-        f"""SELECT 'kept' AS outcome, COUNT(*) AS rows FROM curated
-           UNION ALL SELECT error_type, CAST(0 AS BIGINT) FROM {_REASONS}"""),
+        """SELECT 'kept' AS outcome, COUNT(*) AS rows FROM tagged WHERE error_type IS NULL
+           UNION ALL SELECT error_type, rows FROM reason_counts""", _TAGGED, _REASON_COUNTS),
     "stream_dedup": with_curated(f"SELECT {_CURATED_15} FROM curated"),
     "stream_session_stage": with_curated(
         """SELECT c.session_id, MAX(r.rank) AS stage_rank FROM curated c JOIN ranks r ON c.event_type = r.stage
