@@ -80,12 +80,19 @@ def json_stream(spark: SparkSession, path: str, glob: str | None = None, clean:
 
 def land_stream(stream: DataFrame, path: str, checkpoint: str, partition_time: str = "ingest",
                 interval: str | None = "60 seconds", compression: str | None = "gzip",
-                available_now: bool = False, columns: list[str] | None = None) -> StreamingQuery:
+                available_now: bool = False, columns: list[str] | None = None,
+                files_per_batch: int | None = None) -> StreamingQuery:
     """A7 + I1 + I3 + I4: stream -> raw JSON zone under ``year=/month=/day=/hour=``.
 
     ``partition_time="ingest"`` partitions by the micro-batch's processing time (one value per
     batch: records near an hour boundary may land in the neighbouring hour); ``"event"`` partitions
     by the record's own timestamp. Files are gzip JSON lines by default.
+
+    File count: by default each source task writes its own files, so a wide stream with a short
+    trigger makes many small files. ``files_per_batch`` spreads every micro-batch round-robin over
+    that many writers (the rows of an ingest-time batch all share one hour, so shuffling by the
+    partition columns would put them in one task). Size it to about one trigger's bytes / 128 MB;
+    the compaction job merges what remains small.
     """
     if partition_time == "ingest":
         ts = F.current_timestamp()
@@ -96,6 +103,8 @@ def land_stream(stream: DataFrame, path: str, checkpoint: str, partition_time: s
     cols = columns or [c for c in EVENT_COLUMNS if c in stream.columns]
     out = stream.select(*cols, F.date_format(ts, "yyyy").alias("year"), F.date_format(ts, "MM").alias("month"),
                         F.date_format(ts, "dd").alias("day"), F.date_format(ts, "HH").alias("hour"))
+    if files_per_batch:
+        out = out.repartition(int(files_per_batch))
     writer = (out.writeStream.format("json").outputMode("append").partitionBy(*RAW_PARTITIONS)
               .option("checkpointLocation", checkpoint).option("ignoreNullFields", "false"))
     if compression:

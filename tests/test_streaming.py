@@ -134,3 +134,20 @@ def test_dedup_into_hot_copies_and_across_batches(spark, tmp_path):
     rows = spark.read.parquet(f"{out}/data").select("event_id", "batch_id").collect()
     assert sorted(r.event_id for r in rows) == ["a", "b", "hot"]  # the copy in the second batch is dropped
     assert len({r.batch_id for r in rows}) == 2
+
+
+def test_stream_landing_files_per_batch(spark, tmp_path):
+    import os
+    src = tmp_path / "in"
+    src.mkdir()
+    for i in range(6):
+        (src / f"f{i}.jsonl").write_text(json.dumps(event(str(i), ts="2026-09-10T10:00:00")) + "\n")
+    out = str(tmp_path / "zone")
+    q = S.land_stream(S.json_stream(spark, str(src)), out, str(tmp_path / "ck"), partition_time="event",
+                      available_now=True, files_per_batch=2)
+    _run(q)
+    hour = os.path.join(out, "year=2026", "month=09", "day=10", "hour=10")
+    files = [f for f in os.listdir(hour) if f.endswith(".gz")]
+    assert 1 <= len(files) <= 2
+    from shoplake.sources.raw import read_raw
+    assert read_raw(spark, out).count() == 6
