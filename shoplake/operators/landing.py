@@ -12,15 +12,25 @@ Two entry points:
 
 Both return a manifest ``(source, target, rows)`` (``land_files`` adds a ``status``, landed or
 failed); with ``dry_run=True`` nothing is written.
+
+Re-runs can be idempotent. Every load (``land_batch``: its ``load_id``; ``land_files``: each file's
+name) is its own ``batch=`` directory below the hour, written with dynamic partition overwrite.
+Landing the same load again replaces exactly that load, as putting an object under the same key
+does, and leaves every other load of the hour in place.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.functions import event_time, parse_ts_ntz, partition_key, window_key, window_start
 from shoplake.schema import EVENT_COLUMNS, RAW_PARTITIONS
+
+# Partition below the hour naming one landed batch or file.
+BATCH_COLUMN = "batch"
 from shoplake.sources.sinks import write_partitioned, write_raw_json
 
 
@@ -43,13 +53,20 @@ def batch_manifest(df: DataFrame, minutes: int = 5, prefix: str = "raw") -> Data
 
 
 def land_batch(df: DataFrame, path: str, minutes: int = 5, prefix: str = "raw", dry_run: bool = False,
-               compression: str | None = None, keep_null_fields: bool = True) -> DataFrame:
-    """A6 + A11: events -> raw JSON zone partitioned by the hour of their batch; returns the manifest."""
+               compression: str | None = None, keep_null_fields: bool = True,
+               load_id: str | None = None) -> DataFrame:
+    """A6 + A11: events -> raw JSON zone partitioned by the hour of their batch; returns the manifest.
+
+    Rows land under ``hour=HH/batch=<load_id>``. A stable ``load_id`` makes a re-run replace its
+    own earlier output; by default each call gets a fresh id (plain append).
+    """
     manifest = batch_manifest(df, minutes, prefix)
     if not dry_run:
         start = window_start(event_time(df), minutes)
-        out = df.select(*EVENT_COLUMNS, *_parts(start))
-        write_raw_json(out, path, RAW_PARTITIONS, compression=compression, keep_null_fields=keep_null_fields)
+        load = load_id or uuid.uuid4().hex[:16]
+        out = df.select(*EVENT_COLUMNS, *_parts(start), F.lit(load).alias(BATCH_COLUMN))
+        write_raw_json(out, path, [*RAW_PARTITIONS, BATCH_COLUMN], compression=compression,
+                       keep_null_fields=keep_null_fields, mode="incremental")
     return manifest
 
 
@@ -88,6 +105,7 @@ def land_files(spark: SparkSession, src: str, dst: str, glob: str = "*.jsonl", r
                 .select("source", F.when(landed, key).alias("target"), "rows",
                         F.when(landed, F.lit("landed")).otherwise(F.lit("failed")).alias("status")))
     if not dry_run:
-        write_partitioned(routed.where(landed).select("value", *RAW_PARTITIONS), dst, RAW_PARTITIONS, "text",
-                          "append")
+        batch = F.regexp_replace("source", r"\.[^.]*$", "")  # the file name without its extension
+        write_partitioned(routed.where(landed).select("value", *RAW_PARTITIONS, batch.alias(BATCH_COLUMN)), dst,
+                          [*RAW_PARTITIONS, BATCH_COLUMN], "text", "incremental")
     return manifest

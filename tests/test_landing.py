@@ -102,3 +102,17 @@ def test_read_raw_date_range_prunes(spark, tmp_path):
     assert [r.event_id for r in df.collect()] == ["2"]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+
+
+def test_landing_reruns_are_idempotent(spark, tmp_path):
+    zone = str(tmp_path / "zone")
+    first = edf(spark, [event("1", ts="2026-09-06T14:30:00"), event("2", ts="2026-09-06T14:40:00")])
+    land_batch(first, zone, load_id="load-1")
+    land_batch(first, zone, load_id="load-1")  # the same load again, e.g. a retried job
+    land_batch(edf(spark, [event("3", ts="2026-09-06T14:50:00")]), zone, load_id="load-2")
+    assert sorted(r.event_id for r in read_raw(spark, zone).collect()) == ["1", "2", "3"]
+    src = _src_file(tmp_path)
+    files_zone = str(tmp_path / "files")
+    land_files(spark, str(src), files_zone).collect()
+    land_files(spark, str(src), files_zone).collect()  # re-landing a file replaces it
+    assert read_raw(spark, files_zone).count() == 2
