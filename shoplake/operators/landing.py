@@ -65,8 +65,10 @@ def land_batch(df: DataFrame, path: str, minutes: int = 5, prefix: str = "raw",
         start = window_start(event_time(df), minutes)
         load = load_id or uuid.uuid4().hex[:16]
         out = df.select(*EVENT_COLUMNS, *_parts(start), F.lit(load).alias(BATCH_COLUMN))
+        # A fresh id matches no existing directory, so a plain append is the same and skips the
+        # staging and renames of a dynamic overwrite; a caller's id may repeat, so it overwrites.
         write_raw_json(out, path, [*RAW_PARTITIONS, BATCH_COLUMN], compression=compression,
-                       keep_null_fields=keep_null_fields, mode="incremental")
+                       keep_null_fields=keep_null_fields, mode="incremental" if load_id else "append")
     return manifest
 
 
