@@ -36,7 +36,7 @@ def error_type(df: DataFrame, strict: bool = True) -> Column:
 
 
 def split_bad(df: DataFrame, strict: bool = True) -> tuple[DataFrame, DataFrame]:
-    """A8 + B1 + B2: ``(good, bad)``; ``bad`` keeps the raw fields plus ``error_type`` and load date."""
+    """A8 + B1 + B2: ``(good, bad)``; ``bad`` keeps the raw fields plus ``error_type`` and raw date."""
     tagged = df.withColumn("error_type", error_type(df, strict))
     good = tagged.where(F.col("error_type").isNull()).drop("error_type")
     bad = _bad_rows(tagged)
@@ -44,12 +44,20 @@ def split_bad(df: DataFrame, strict: bool = True) -> tuple[DataFrame, DataFrame]
 
 
 def _bad_rows(tagged: DataFrame) -> DataFrame:
+    """Rejected rows with their reason, dated by the raw partition they came from.
+
+    Dating by the source partition (not the load date) makes quarantine writes replaceable: a
+    re-run of the same raw days replaces exactly their rejected rows. Input without raw date
+    partitions is dated by the load.
+    """
     raw_cols = [c for c in EVENT_COLUMNS + [CORRUPT_COLUMN] if c in tagged.columns]
     today = F.current_date()
-    return tagged.where(F.col("error_type").isNotNull()).select(
-        *raw_cols, "error_type",
-        F.date_format(today, "yyyy").alias("year"), F.date_format(today, "MM").alias("month"),
-        F.date_format(today, "dd").alias("day"))
+    if all(c in tagged.columns for c in ("year", "month", "day")):
+        dates = [F.col("year"), F.col("month"), F.col("day")]
+    else:
+        dates = [F.date_format(today, "yyyy").alias("year"), F.date_format(today, "MM").alias("month"),
+                 F.date_format(today, "dd").alias("day")]
+    return tagged.where(F.col("error_type").isNotNull()).select(*raw_cols, "error_type", *dates)
 
 
 def to_curated(good: DataFrame, with_event_ts: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -103,8 +111,14 @@ def etl(raw: DataFrame, curated_path: str, quarantine_path: str | None = None, m
     extra = ["event_ts"] if with_event_ts else []
     write_curated(good, curated_path, mode, extra, rebalance=False)
     counts = obs.get
-    if quarantine_path is not None and counts.get("input_rows", 0) != counts.get("kept_rows", 0):
-        write_quarantine(_bad_rows(tagged), quarantine_path)
+    if quarantine_path is not None:
+        # Same replacement rule as the curated table: a full load replaces the quarantine (an
+        # empty one clears stale rows; ``limit(0)`` plans no scan), an incremental load replaces
+        # the raw days it read. Only rejected rows cost a second pass over the input.
+        any_bad = counts.get("input_rows", 0) != counts.get("kept_rows", 0)
+        bad = _bad_rows(tagged) if any_bad else _bad_rows(tagged).limit(0)
+        if any_bad or mode == "full":
+            write_quarantine(bad, quarantine_path, "full" if mode == "full" else "incremental")
     result = reconciliation(spark, counts)
     dropped = sum(int(counts.get(r, 0) or 0) for r in ERROR_TYPES)
     if int(counts.get("input_rows", 0)) != int(counts.get("kept_rows", 0)) + dropped:

@@ -58,7 +58,7 @@ def write_curated(df: DataFrame, path: str, mode: str = "full", extra_columns: S
 
 
 def write_quarantine(bad: DataFrame, path: str, mode: str = "append") -> None:
-    """Rejected records, partitioned by error type and date of the load."""
+    """Rejected records, partitioned by error type and date (see ``etl``)."""
     write_partitioned(bad, path, ["error_type", "year", "month", "day"], "parquet", mode)
 
 

@@ -141,3 +141,24 @@ def test_sql_over_registered_views(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [("11", 1)]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+
+
+def test_etl_rerun_does_not_duplicate_quarantine(spark, tmp_path):
+    raw_dir = tmp_path / "raw" / "year=2026" / "month=09" / "day=10" / "hour=10"
+    _write_lines(raw_dir, _sample_lines())
+    for _ in range(2):  # the same load twice
+        etl(read_raw(spark, str(tmp_path / "raw")), str(tmp_path / "curated"), str(tmp_path / "quarantine"))
+    q = spark.read.parquet(str(tmp_path / "quarantine"))
+    assert q.count() == 3
+    assert {tuple(r) for r in q.select("year", "month", "day").distinct().collect()} == {("2026", "09", "10")}
+    assert read_curated(spark, str(tmp_path / "curated")).count() == 4
+
+
+def test_full_load_clears_stale_quarantine(spark, tmp_path):
+    raw_dir = tmp_path / "raw" / "year=2026" / "month=09" / "day=10" / "hour=10"
+    _write_lines(raw_dir, _sample_lines())
+    etl(read_raw(spark, str(tmp_path / "raw")), str(tmp_path / "curated"), str(tmp_path / "quarantine"))
+    clean = tmp_path / "raw2" / "year=2026" / "month=09" / "day=10" / "hour=10"
+    _write_lines(clean, _sample_lines()[:4])
+    etl(read_raw(spark, str(tmp_path / "raw2")), str(tmp_path / "curated"), str(tmp_path / "quarantine"))
+    assert spark.read.schema("event_id string, error_type string").parquet(str(tmp_path / "quarantine")).count() == 0
