@@ -64,3 +64,20 @@ def missing_partitions(spark: SparkSession, table: str, path: str, partition_col
     on_storage = storage_partitions(spark, path, partition_cols)
     known = catalog_partitions(spark, table)
     return on_storage.join(known, "partition", "left_anti").select("partition")
+
+
+def publish_version(spark: SparkSession, view: str, version_path: str, schema: T.StructType,
+                    partition_cols: Sequence[str], fmt: str = "parquet") -> str:
+    """A5 + A10: make a fully written table version the one readers see, in one catalog step.
+
+    A full rebuild written in place (static overwrite) is not atomic: readers can see a missing or
+    half-written table. Instead the rebuild goes to a new ``version_path``; this registers it as
+    its own table and repoints the view ``view`` to it. Readers of the view switch from the old
+    complete version to the new complete version. Old versions stay on storage until a retention
+    job removes them. Returns the name of the version table.
+    """
+    suffix = version_path.rstrip("/").rsplit("/", 1)[-1].replace("=", "_").replace("-", "_").replace(".", "_")
+    table = f"{view}__{suffix}"
+    refresh_table(spark, table, version_path, schema, partition_cols, fmt)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
+    return table

@@ -99,3 +99,16 @@ def test_catalog_add_columns(spark, tmp_path):
     add_columns(spark, "evolving_curated", [T.StructField("discount_code", T.StringType())])
     assert "discount_code" in spark.table("evolving_curated").columns
     assert spark.table("evolving_curated").count() == 1
+
+
+def test_publish_version_swaps_readers_atomically(spark, tmp_path):
+    from shoplake.operators.catalog import publish_version
+    v1 = to_curated(edf(spark, [event("a", ts="2026-09-10T10:00:00")]))
+    v2 = to_curated(edf(spark, [event("b", ts="2026-09-10T10:00:00"), event("c", ts="2026-09-11T10:00:00")]))
+    write_curated(v1, str(tmp_path / "v=1"))
+    publish_version(spark, "curated_live", str(tmp_path / "v=1"), EVENT_SCHEMA, CURATED_PARTITIONS)
+    assert [r.event_id for r in spark.table("curated_live").collect()] == ["a"]
+    write_curated(v2, str(tmp_path / "v=2"))  # readers still see version 1 while this is written
+    assert spark.table("curated_live").count() == 1
+    publish_version(spark, "curated_live", str(tmp_path / "v=2"), EVENT_SCHEMA, CURATED_PARTITIONS)
+    assert sorted(r.event_id for r in spark.table("curated_live").collect()) == ["b", "c"]
