@@ -207,6 +207,8 @@ BATCH = {
     "curated_write_readback": with_curated(f"SELECT {_CURATED_15} FROM curated"),
     "quarantine_by_reason": with_curated("SELECT error_type, rows FROM reason_counts", _TAGGED, _REASON_COUNTS),
     "result_csv_readback": ANALYTICS["revenue_by_country_device"],
+    "catalog_publish": with_curated(
+        "SELECT year, month, day, COUNT(*) AS event_count FROM curated GROUP BY year, month, day"),
     "catalog_refresh": with_curated(
         "SELECT DISTINCT 'year=' || year || '/month=' || month || '/day=' || day AS partition FROM curated"),
     "dq_missing_partitions": with_curated(

@@ -148,6 +148,14 @@ def catalog_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.refresh_table(spark, _table_name("curated"), zones.curated, EVENT_SCHEMA, CURATED_PARTITIONS)
 
 
+def catalog_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 + A10: the curated zone published as a version behind a view; rows per day read through it."""
+    zones = build_zones(spark, sf_dir)
+    view = _table_name("curated_live")
+    C.publish_version(spark, view, zones.curated, EVENT_SCHEMA, CURATED_PARTITIONS)
+    return spark.table(view).groupBy(*CURATED_PARTITIONS).agg(F.count(F.lit(1)).alias("event_count"))
+
+
 def dq_missing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog is refreshed before the last day arrives; that day is on storage, not in the catalog."""
     df = curated(spark, sf_dir)
@@ -173,6 +181,7 @@ BATCH: dict[str, Query] = {
     "quarantine_by_reason": quarantine_counts,
     "result_csv_readback": result_csv_readback,
     "catalog_refresh": catalog_refresh,
+    "catalog_publish": catalog_publish,
     "dq_missing_partitions": dq_missing_partitions,
 }
 
