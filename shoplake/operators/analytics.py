@@ -26,7 +26,8 @@ from shoplake.schema import DEVICE_TYPES, EVENT_COLUMNS, PAGE_LIKE_EVENTS
 
 
 def _flag(event_type: str):
-    return F.max((F.col("event_type") == F.lit(event_type)).cast("int"))
+    """1 if the group has an event of the type, else 0 (also when event types are null)."""
+    return F.max(F.when(F.col("event_type") == F.lit(event_type), F.lit(1)).otherwise(F.lit(0)))
 
 
 def event_type_counts(df: DataFrame) -> DataFrame:

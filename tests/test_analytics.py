@@ -87,3 +87,9 @@ def test_union_zones_fills_missing_columns(spark):
     stream = edf(spark, [event("2")], drop=("discount_code",))
     rows = {r.event_id: r.discount_code for r in A.union_zones(batch, stream).collect()}
     assert rows == {"1": "VIP20", "2": None}
+
+
+def test_funnel_counts_zero_when_event_types_are_null(spark):
+    df = _df(spark, [event("1", None, product="p", category="toys", price=1.0)])
+    row = A.funnel_by_category(df).first()
+    assert (row.viewed_sessions, row.added_to_cart_sessions, row.purchased_sessions) == (0, 0, 0)
