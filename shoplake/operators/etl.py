@@ -39,11 +39,11 @@ def split_bad(df: DataFrame, strict: bool = True) -> tuple[DataFrame, DataFrame]
     """A8 + B1 + B2: ``(good, bad)``; ``bad`` keeps the raw fields plus ``error_type`` and raw date."""
     tagged = df.withColumn("error_type", error_type(df, strict))
     good = tagged.where(F.col("error_type").isNull()).drop("error_type")
-    bad = _bad_rows(tagged)
+    bad = rejected_rows(tagged)
     return good, bad
 
 
-def _bad_rows(tagged: DataFrame) -> DataFrame:
+def rejected_rows(tagged: DataFrame) -> DataFrame:
     """Rejected rows with their reason, dated by the raw partition they came from.
 
     Dating by the source partition (not the load date) makes quarantine writes replaceable: a
@@ -116,7 +116,7 @@ def etl(raw: DataFrame, curated_path: str, quarantine_path: str | None = None, m
         # empty one clears stale rows; ``limit(0)`` plans no scan), an incremental load replaces
         # the raw days it read. Only rejected rows cost a second pass over the input.
         any_bad = counts.get("input_rows", 0) != counts.get("kept_rows", 0)
-        bad = _bad_rows(tagged) if any_bad else _bad_rows(tagged).limit(0)
+        bad = rejected_rows(tagged) if any_bad else rejected_rows(tagged).limit(0)
         if any_bad or mode == "full":
             write_quarantine(bad, quarantine_path, "full" if mode == "full" else "incremental")
     result = reconciliation(spark, counts)

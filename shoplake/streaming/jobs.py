@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shoplake.functions import parse_ts, window_key
-from shoplake.operators.etl import error_type
+from shoplake.operators.etl import error_type, rejected_rows
 from shoplake.schema import (
     CORRUPT_COLUMN,
     EVENT_COLUMNS,
@@ -142,13 +142,9 @@ def split_stream(stream: DataFrame, good_sink: Callable[[DataFrame, int], None],
     observed = tagged.observe("stream_counts", *metrics)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        bad = batch.where(F.col("error_type").isNotNull())
-        raw_cols = [c for c in EVENT_COLUMNS + [CORRUPT_COLUMN] if c in batch.columns]
-        load = F.current_date()
-        write_batch(bad.select(*raw_cols, "error_type",
-                               F.date_format(load, "yyyy").alias("year"), F.date_format(load, "MM").alias("month"),
-                               F.date_format(load, "dd").alias("day")),
-                    bad_path, batch_id, partition_cols=("error_type", "year", "month", "day"))
+        # Rejected rows as in the batch ETL: raw fields, reason, and the raw partition's date (or
+        # the load date when the source has no date partitions).
+        write_batch(rejected_rows(batch), bad_path, batch_id, partition_cols=("error_type", "year", "month", "day"))
         good_sink(batch.where(F.col("error_type").isNull()).drop("error_type"), batch_id)
 
     writer = observed.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
