@@ -3,8 +3,8 @@
 Two entry points:
 
 * ``land_batch`` takes event records, cuts them into hour-aligned N-minute event-time batches and
-  writes them as JSON lines under ``year=/month=/day=/hour=``. Windows never cross an hour, so a
-  batch's hour is every one of its rows' hours.
+  writes them as JSON lines under ``year=/month=/day=/hour=/batch=``. Windows never cross an hour,
+  so a batch's hour is every one of its rows' hours.
 * ``land_files`` lands existing JSON-lines files unchanged. With ``route="file_first"`` the hour of
   a file's *first* line decides the partition of the whole file; with ``route="row"`` each line
   goes to its own hour. The first line is found without reading a file into one row: it is the
@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 
 from shoplake.functions import event_time, parse_ts_ntz, partition_key, window_key, window_start
 from shoplake.schema import EVENT_COLUMNS, RAW_PARTITIONS
+from shoplake.sources.sinks import write_partitioned, write_raw_json
 
-# Partition below the hour naming one landed batch or file.
+# Partition below the hour naming one landed load or file.
 BATCH_COLUMN = "batch"
-from shoplake.sources.sinks import write_partitioned, write_raw_json
 
 
 def _parts(ts) -> list:
