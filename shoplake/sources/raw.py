@@ -31,16 +31,20 @@ def _date_range(df: DataFrame, start_date, end_date) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, path: str, glob: str | None = None, start_date: dt.date | str | None = None,
-             end_date: dt.date | str | None = None) -> DataFrame:
+             end_date: dt.date | str | None = None, skip_unreadable_files: bool = False) -> DataFrame:
     """Raw zone -> 12 event columns, ``_corrupt_record`` and the path's partition columns.
 
     A date range reads only the matching ``year=/month=/day=`` directories (a daily load reads
-    one day of the zone, not all of it).
+    one day of the zone, not all of it). A bad line never fails the read (it lands in
+    ``_corrupt_record``); a file that cannot be read at all (a broken gzip stream) does, unless
+    ``skip_unreadable_files``, in which case the load goes on and ``unread_files`` reports them.
     """
     configure(spark)
     reader = (spark.read.schema(RAW_SCHEMA)
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
+    if skip_unreadable_files:
+        reader = reader.option("ignoreCorruptFiles", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return _date_range(reader.json(path), start_date, end_date)
@@ -112,3 +116,15 @@ def register_views(spark: SparkSession, raw_path: str | None = None, curated_pat
         spark.read.parquet(quarantine_path).createOrReplaceTempView("quarantine")
         names.append("quarantine")
     return names
+
+
+def unread_files(spark: SparkSession, path: str, raw: DataFrame) -> DataFrame:
+    """Files under ``path`` that contributed no row to ``raw`` (unreadable or empty): ``path``.
+
+    The listing (binary-file source, content pruned) is anti-joined with the distinct source
+    files of the rows, so skipped inputs are reported instead of silently lost.
+    """
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+              .select(F.col("path")))
+    seen = raw.select(F.col("_metadata.file_path").alias("path")).distinct()
+    return listed.join(seen, "path", "left_anti")

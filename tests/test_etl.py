@@ -162,3 +162,18 @@ def test_full_load_clears_stale_quarantine(spark, tmp_path):
     _write_lines(clean, _sample_lines()[:4])
     etl(read_raw(spark, str(tmp_path / "raw2")), str(tmp_path / "curated"), str(tmp_path / "quarantine"))
     assert spark.read.schema("event_id string, error_type string").parquet(str(tmp_path / "quarantine")).count() == 0
+
+
+def test_unreadable_file_is_skipped_and_reported(spark, tmp_path):
+    import gzip
+
+    from shoplake.sources.raw import unread_files
+    hour = tmp_path / "raw" / "year=2026" / "month=09" / "day=10" / "hour=10"
+    _write_lines(hour, _sample_lines()[:4])
+    good_gz = gzip.compress((json.dumps(event("g1", ts="2026-09-10T10:30:00")) + "\\n").encode())
+    (hour / "good.jsonl.gz").write_bytes(good_gz)
+    (hour / "broken.jsonl.gz").write_bytes(good_gz[: len(good_gz) // 2])  # a truncated gzip stream
+    raw = read_raw(spark, str(tmp_path / "raw"), skip_unreadable_files=True)
+    assert raw.count() == 5  # the four lines of the plain file and the good gzip line
+    missed = [r.path.rsplit("/", 1)[-1] for r in unread_files(spark, str(tmp_path / "raw"), raw).collect()]
+    assert missed == ["broken.jsonl.gz"]
