@@ -61,7 +61,12 @@ MONEY_SUM = f"CAST(SUM({MONEY}) AS DOUBLE)"
 CENTS = f"CAST({MONEY} * 100 AS BIGINT)"
 MONEY_MEAN = (f"CASE WHEN COUNT(price) > 0 THEN CAST((2 * SUM({CENTS}) + COUNT(price)) // (2 * COUNT(price)) "
               f"AS DOUBLE) / 100.0 END")
-WINDOW_5 = ("date_trunc('hour', event_ts) + to_minutes(CAST(floor(minute(event_ts) / 5) * 5 AS BIGINT))")
+def _window(minutes: int) -> str:
+    return (f"date_trunc('hour', event_ts) + to_minutes(CAST(floor(minute(event_ts) / {minutes}) * {minutes} "
+            "AS BIGINT))")
+
+
+WINDOW_5 = _window(5)
 
 SESSION_STATS = """session_stats AS (
     SELECT session_id,
@@ -147,6 +152,10 @@ ANALYTICS = {
         """SELECT window_start, strftime(window_start, '%Y%m%d_%H%M') AS window_key, COUNT(*) AS event_count
            FROM w GROUP BY window_start ORDER BY window_key""",
         f"w AS (SELECT CAST({WINDOW_5} AS TIMESTAMP) AS window_start FROM curated)"),
+    "events_per_7min": with_curated(
+        """SELECT window_start, strftime(window_start, '%Y%m%d_%H%M') AS window_key, COUNT(*) AS event_count
+           FROM w GROUP BY window_start ORDER BY window_key""",
+        f"w AS (SELECT CAST({_window(7)} AS TIMESTAMP) AS window_start FROM curated)"),
     "partition_key": with_curated(
         """SELECT event_id,
                   printf('raw/year=%04d/month=%02d/day=%02d/hour=%02d/%s', year(event_ts), month(event_ts),

@@ -66,6 +66,8 @@ ANALYTICS: dict[str, Query] = {
     "revenue_pivot": _on_curated(lambda df: A.revenue_pivot(df, MARKET_SEGMENTS)),
     "abandoned_cart_products": _on_curated(A.abandoned_cart_products),
     "events_per_5min": _on_curated(lambda df: A.events_per_window(df, 5)),
+    # 7 does not divide 60: windows restart every hour (:00, :07, ... :56), unlike epoch-aligned ones.
+    "events_per_7min": _on_curated(lambda df: A.events_per_window(df, 7)),
     "partition_key": _partition_key,
 }
 
