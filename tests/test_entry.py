@@ -30,7 +30,7 @@ def duck():
                                   "abandoned_cart_products", "events_per_5min", "dq_funnel_shape",
                                   "etl_clean_counts", "revenue_pivot", "curated_write_readback",
                                   "file_landing_counts", "dq_unexpected_keys", "stream_session_stage",
-                                  "batch_stream_union", "dq_missing_partitions"])
+                                  "batch_stream_union", "dq_missing_partitions", "events_per_7min"])
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     rel = duck.execute(E.oracle_sql()[name])
