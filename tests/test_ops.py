@@ -63,10 +63,11 @@ def test_compaction(spark, tmp_path):
     df = to_curated(edf(spark, rows)).repartition(8)
     src = str(tmp_path / "small")
     df.write.partitionBy("year", "month", "day").parquet(src)
-    res = {r.partition: (r.files_before, r.files_after)
-           for r in O.compact(spark, src, str(tmp_path / "big"), ["year", "month", "day"]).collect()}
+    out = O.compact(spark, src, str(tmp_path / "big"), ["year", "month", "day"]).collect()
+    res = {r.partition: (r.files_before, r.files_after) for r in out}
     assert set(res) == {"year=2026/month=09/day=10", "year=2026/month=09/day=11"}
     assert all(before > after == 1 for before, after in res.values())
+    assert all(r.rows_before == r.rows_after == 20 for r in out)
     assert spark.read.parquet(str(tmp_path / "big")).count() == 40
 
 
