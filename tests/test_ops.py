@@ -80,3 +80,16 @@ def test_constant_table_types_and_quotes(spark):
     empty = constant_table(spark, [], [("s", "string")])
     assert empty.count() == 0 and empty.dtypes == [("s", "string")]
     assert "LocalTableScan" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_list_objects_dates_by_partition_and_tiers(spark, tmp_path):
+    from conftest import edf, event
+    from shoplake.operators.landing import land_batch
+    root = str(tmp_path / "lake")
+    land_batch(edf(spark, [event("1", ts="2026-01-05T10:00:00")]), f"{root}/raw")
+    inv = O.list_objects(spark, root)
+    keys = [r.key for r in inv.collect()]
+    assert keys and all(k.startswith("raw/year=2026/month=01/day=05/hour=10/") for k in keys)
+    assert {str(r.last_modified.date()) for r in inv.collect()} == {"2026-01-05"}
+    rows = {(r.prefix, r.tier): r.objects for r in O.tier_audit(inv, O.lifecycle_rules(spark), "2026-04-20").collect()}
+    assert rows == {("raw/", "GLACIER_IR"): len(keys)}  # 105 days old
