@@ -151,3 +151,19 @@ def test_stream_landing_files_per_batch(spark, tmp_path):
     assert 1 <= len(files) <= 2
     from shoplake.sources.raw import read_raw
     assert read_raw(spark, out).count() == 6
+
+
+def test_parse_events_on_a_text_stream(spark, tmp_path):
+    from shoplake.sources.raw import parse_events
+    src = tmp_path / "msgs"
+    src.mkdir()
+    (src / "m.txt").write_text(json.dumps(event("m1", "purchase", product="p", category="toys", price=2.0)) + "\n"
+                               + '{"event_id": "m2", "timest' + "\n")
+    parsed = parse_events(spark.readStream.text(str(src)))
+    out = str(tmp_path / "out")
+    q = (parsed.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(availableNow=True).start(out))
+    _run(q)
+    rows = {r.event_id: r for r in spark.read.parquet(out).collect()}
+    assert rows["m1"].price == 2.0 and rows["m1"]._corrupt_record is None
+    assert any(r._corrupt_record is not None for r in rows.values())
