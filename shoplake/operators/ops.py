@@ -106,11 +106,19 @@ def _strip_scheme(path: str) -> str:
     return path
 
 
-def files_per_partition(spark: SparkSession, path: str) -> DataFrame:
-    """Data files per partition directory: ``partition, files, bytes`` (listing only)."""
+def files_per_partition(spark: SparkSession, path: str, partition_cols: list[str] | None = None) -> DataFrame:
+    """Data files per partition directory: ``partition, files, bytes`` (listing only).
+
+    With ``partition_cols`` the label is built from exactly those ``col=value`` folders, so
+    ``key=value`` folders above the table (a version folder, say) do not leak into it.
+    """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
              .select("path", "length").where(~F.col("path").rlike(r"/_[^/]*$|/\.[^/]*$")))
-    part = F.regexp_extract("path", r"((?:[^/=]+=[^/]*/)*[^/=]+=[^/]*)/[^/]+$", 1)
+    if partition_cols:
+        part = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.regexp_extract("path", f"/{c}=([^/]*)/", 1))
+                                  for c in partition_cols])
+    else:
+        part = F.regexp_extract("path", r"((?:[^/=]+=[^/]*/)*[^/=]+=[^/]*)/[^/]+$", 1)
     return files.groupBy(part.alias("partition")).agg(F.count(F.lit(1)).alias("files"),
                                                       F.sum("length").alias("bytes"))
 
@@ -134,7 +142,8 @@ def compact(spark: SparkSession, src: str, dst: str, partition_cols: list[str],
     write_partitioned(spark.read.format(fmt).load(src), dst, partition_cols, fmt, "full")
     sides = []
     for side, path in (("before", src), ("after", dst)):
-        files = files_per_partition(spark, path).select("partition", F.col("files").alias(f"files_{side}"))
+        files = files_per_partition(spark, path, partition_cols).select(
+            "partition", F.col("files").alias(f"files_{side}"))
         rows = _rows_per_partition(spark, path, partition_cols, fmt).select(
             "partition", F.col("rows").alias(f"rows_{side}"))
         sides.append(files.join(rows, "partition", "full"))

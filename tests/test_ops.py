@@ -93,3 +93,14 @@ def test_list_objects_dates_by_partition_and_tiers(spark, tmp_path):
     assert {str(r.last_modified.date()) for r in inv.collect()} == {"2026-01-05"}
     rows = {(r.prefix, r.tier): r.objects for r in O.tier_audit(inv, O.lifecycle_rules(spark), "2026-04-20").collect()}
     assert rows == {("raw/", "GLACIER_IR"): len(keys)}  # 105 days old
+
+
+def test_compaction_labels_ignore_folders_above_the_table(spark, tmp_path):
+    from conftest import edf, event
+    from shoplake.operators.etl import to_curated
+    df = to_curated(edf(spark, [event(str(i), ts="2026-09-10T10:00:00") for i in range(10)])).repartition(4)
+    src = str(tmp_path / "v=1" / "cur")
+    df.write.partitionBy("year", "month", "day").parquet(src)
+    out = O.compact(spark, src, str(tmp_path / "v=2" / "cur"), ["year", "month", "day"]).collect()
+    assert [(r.partition, r.files_after, r.rows_before, r.rows_after) for r in out] == [
+        ("year=2026/month=09/day=10", 1, 10, 10)]
