@@ -81,6 +81,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     root = _checkpoint_root(spark)
     if not root:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            # A machine-local folder is invisible to executors on other hosts.
+            raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="shoplake-")
         try:
             spark.sparkContext.setCheckpointDir(root)
