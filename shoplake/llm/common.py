@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -103,13 +104,15 @@ def link_in_buckets(rows: DataFrame, linked: Linked, width: int, block: int = 10
                     rows_per_task: int = 20_000) -> DataFrame:
     """Edges (a, b) that connect what is linked inside each bucket.
 
-    ``rows``: bucket long, id long (unique inside a bucket), data binary of ``width`` bytes.
+    ``rows``: bucket long, id long (unique inside a bucket), data binary of ``width`` bytes. Without a
+    data column the id's eight little-endian bytes are the data.
     ``linked(A, B)`` gets two uint8 arrays (one row of ``width`` bytes each) and returns a boolean
     matrix. The edges span each bucket's components instead of listing all pairs: at most one per
     member and comparison. A bucket of more than ``block`` rows is cut into blocks by id, and each
     pair of blocks is compared in a task group of its own, so no group exceeds two blocks and every
     pair is still compared. Small buckets share task groups of about ``rows_per_task`` rows.
     """
+    with_data = "data" in rows.columns
     rows = materialize(rows, "buckets")
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     large = materialize(sizes.filter(F.col("n") > block)
@@ -124,7 +127,7 @@ def link_in_buckets(rows: DataFrame, linked: Linked, width: int, block: int = 10
         .withColumn("other", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(-1).cast("long")))
                                        .otherwise(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
         .select(
-            "bucket", "id", "data",
+            "bucket", "id", *["data"] * with_data,
             F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
             F.when(F.col("blocks").isNull() | (F.col("mine") == F.col("other")), F.lit(2))
             .when(F.col("mine") < F.col("other"), F.lit(0)).otherwise(F.lit(1)).alias("side"),
@@ -137,7 +140,7 @@ def link_in_buckets(rows: DataFrame, linked: Linked, width: int, block: int = 10
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["bucket", "lo", "hi", "id"], kind="stable", ignore_index=True)
         ids, side = pdf["id"].to_numpy(), pdf["side"].to_numpy()
-        data = np.frombuffer(b"".join(pdf["data"]), np.uint8).reshape(len(pdf), width)
+        data = (np.frombuffer(b"".join(pdf["data"]), np.uint8) if with_data else ids.view(np.uint8)).reshape(len(pdf), width)
         key = pdf[["bucket", "lo", "hi"]].fillna(-1).to_numpy()
         cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
         edges: list[tuple[int, int]] = []
@@ -184,6 +187,25 @@ def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_lists(text: str | None, limit: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words (UTF-8, A-Z lower-cased) in lists of about ``limit`` bytes of text, so that a very long
+    text never becomes one list. Null and white space give nothing."""
+    data = (text or "").encode("utf-8", "surrogatepass").lower()
+    start = 0
+    while start < len(data):
+        end = start + limit
+        if end < len(data):
+            space = _SPACE.search(data, end)
+            end = space.start() if space else len(data)
+        # bytes.split() splits at exactly the six ASCII white-space bytes of the contracts.
+        if words := data[start:end].split():
+            yield words
+        start = end
+
+
 def batches_of(texts: Iterator[pd.Series]) -> Iterator[list[str]]:
     """Texts of each batch as a list, null as the empty text."""
     for s in texts:

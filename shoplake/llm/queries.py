@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplake.llm import mixing
+from shoplake.llm import mixing, simhash
 from shoplake.llm.common import table
 from shoplake.llm.oracle import ORACLES
 from shoplake.session import configure
@@ -20,8 +20,15 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document."""
+    configure(spark)
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex(found["fp"]).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing,)}
+    return {f.__name__: f for f in (op1_mixing, op5_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
