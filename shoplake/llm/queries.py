@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplake.llm import mixing, simhash
+from shoplake.llm import mixing, simhash, toxicity, url_filter
 from shoplake.llm.common import table
 from shoplake.llm.oracle import ORACLES
 from shoplake.session import configure
@@ -20,6 +20,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by the rules, and by the language-model ratio where none fits."""
+    configure(spark)
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     configure(spark)
@@ -27,8 +33,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    configure(spark)
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op5_simhash)}
+    return {f.__name__: f for f in (op1_mixing, op2_url_filter, op5_simhash, op7_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
