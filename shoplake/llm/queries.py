@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplake.llm import mixing, simhash, toxicity, url_filter
+from shoplake.llm import knn, mixing, simhash, toxicity, url_filter
 from shoplake.llm.common import table
 from shoplake.llm.oracle import ORACLES
 from shoplake.session import configure
@@ -33,6 +33,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def op6_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows by inner product for every twentieth embedding."""
+    configure(spark)
+    return knn.search(table(spark, sf_dir, "embeddings"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     configure(spark)
@@ -40,7 +46,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op2_url_filter, op5_simhash, op7_toxicity)}
+    return {f.__name__: f for f in (op1_mixing, op2_url_filter, op5_simhash, op6_knn, op7_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
