@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoplake.llm import knn, mixing, simhash, toxicity, url_filter
+from shoplake.llm import knn, mixing, pieces, simhash, token_store, toxicity, url_filter
 from shoplake.llm.common import table
 from shoplake.llm.oracle import ORACLES
-from shoplake.session import configure
+from shoplake.session import configure, scratch_dir
+
+# Files of the public tokenizers package.
+PIECES, BYTE_BPE = "piece_bpe_32k.model", "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +31,16 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and the text decoded from them."""
+    configure(spark)
+    segmenter = pieces.Segmenter(pieces.Vocabulary.read(public_tokenizers.path(PIECES)))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    encoded = pieces.encode(docs, segmenter)
+    decoded = pieces.decode(encoded, segmenter)
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     configure(spark)
@@ -45,8 +60,18 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids written to Parquet list columns and read back."""
+    configure(spark)
+    path = scratch_dir(spark, "llm-tokens")
+    token_store.write(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), path)
+    stored = token_store.read(spark, path)
+    return stored.select("doc_id", "start", "n_tokens", token_store.crc_of_ids(stored["ids"]).alias("ids_crc32"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op2_url_filter, op5_simhash, op6_knn, op7_toxicity)}
+    return {f.__name__: f for f in (op1_mixing, op2_url_filter, op4_pieces, op5_simhash, op6_knn,
+                                    op7_toxicity, op8_token_store)}
 
 
 def oracle_sql() -> dict[str, str]:
