@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import knn, mixing, pieces, simhash, token_store, toxicity, url_filter
+from shoplake.llm import edit_fingerprint, knn, mixing, pieces, simhash, token_store, toxicity, url_filter
 from shoplake.llm.common import table
 from shoplake.llm.oracle import ORACLES
 from shoplake.session import configure, scratch_dir
@@ -69,9 +69,15 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("doc_id", "start", "n_tokens", token_store.crc_of_ids(stored["ids"]).alias("ids_crc32"))
 
 
+def op9_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edit-embedding fingerprints of every document and its edited text, compared."""
+    configure(spark)
+    return edit_fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_mixing, op2_url_filter, op4_pieces, op5_simhash, op6_knn,
-                                    op7_toxicity, op8_token_store)}
+                                    op7_toxicity, op8_token_store, op9_edit_fingerprint)}
 
 
 def oracle_sql() -> dict[str, str]:

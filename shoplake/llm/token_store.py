@@ -30,7 +30,7 @@ BATCH_CHARS = 1 << 20
 # pieces encoded once.
 _CHUNK = re.compile(r"[ \n]?\S+|\s+(?=\s\S)|\s+")
 # Characters that Python and the tokenizer may class differently as white space: such a text is not cut.
-_UNSURE = re.compile("[\x1c-\x1f\x85᠎​-‏⁠﻿]")
+_UNSURE = re.compile("[\x1c-\x1f\x85" + "".join(map(chr, (0x180E, *range(0x200B, 0x2010), 0x2060, 0xFEFF))) + "]")
 
 
 class Encoder:

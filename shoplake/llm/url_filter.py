@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from shoplake.llm.common import materialize
 
 ORDER = 4
-START, END = "\u0002", "\u0003"
+START, END = chr(2), chr(3)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 UNIT = 1e9  # log ratios are summed as whole billionths, so that sums don't depend on their order
 BINS_PER_NAT = 256
