@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import edit_fingerprint, knn, mixing, pieces, simhash, token_store, toxicity, url_filter
+from shoplake.llm import edit_fingerprint, knn, mixing, pieces, simhash, surrogates, token_store, toxicity, url_filter
 from shoplake.llm.common import table
 from shoplake.llm.oracle import ORACLES
 from shoplake.session import configure, scratch_dir
@@ -16,6 +16,9 @@ from shoplake.session import configure, scratch_dir
 # Files of the public tokenizers package.
 PIECES, BYTE_BPE = "piece_bpe_32k.model", "byte_bpe_50k.json"
 
+# A deployment passes a key of its own; who has it can repeat the replacement.
+SURROGATE_KEY = "demonstration key"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -31,6 +34,13 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by surrogates."""
+    configure(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.pseudonymised(docs, SURROGATE_KEY)
+
+
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and the text decoded from them."""
     configure(spark)
@@ -76,7 +86,7 @@ def op9_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op2_url_filter, op4_pieces, op5_simhash, op6_knn,
+    return {f.__name__: f for f in (op1_mixing, op2_url_filter, op3_surrogates, op4_pieces, op5_simhash, op6_knn,
                                     op7_toxicity, op8_token_store, op9_edit_fingerprint)}
 
 
