@@ -10,12 +10,24 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.session import scratch_dir
+from shoplake.session import configure, scratch_dir
 
 # Fixed value of the contracts: a word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Python workers get small batches, so that a few very long texts do not fill their memory.
+ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings the operators' jobs rely on."""
+    configure(spark)
+    for key, value in ARROW_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import edit_fingerprint, knn, mixing, pieces, simhash, surrogates, token_store, toxicity, url_filter
-from shoplake.llm.common import table
+from shoplake.llm import deleted_interpolation, edit_fingerprint, knn, mixing, pieces, simhash, surrogates, token_store, toxicity, url_filter
+from shoplake.llm.common import prepare, table
 from shoplake.llm.oracle import ORACLES
-from shoplake.session import configure, scratch_dir
+from shoplake.session import scratch_dir
 
 # Files of the public tokenizers package.
 PIECES, BYTE_BPE = "piece_bpe_32k.model", "byte_bpe_50k.json"
@@ -24,26 +24,26 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the weights 5, 2, 1 by source, at most three times each."""
-    configure(spark)
+    prepare(spark)
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged by the rules, and by the language-model ratio where none fits."""
-    configure(spark)
+    prepare(spark)
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
 def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced by surrogates."""
-    configure(spark)
+    prepare(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return surrogates.pseudonymised(docs, SURROGATE_KEY)
 
 
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and the text decoded from them."""
-    configure(spark)
+    prepare(spark)
     segmenter = pieces.Segmenter(pieces.Vocabulary.read(public_tokenizers.path(PIECES)))
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     encoded = pieces.encode(docs, segmenter)
@@ -53,26 +53,26 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
-    configure(spark)
+    prepare(spark)
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex(found["fp"]).alias("fingerprint"), "component_id")
 
 
 def op6_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best rows by inner product for every twentieth embedding."""
-    configure(spark)
+    prepare(spark)
     return knn.search(table(spark, sf_dir, "embeddings"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
-    configure(spark)
+    prepare(spark)
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids written to Parquet list columns and read back."""
-    configure(spark)
+    prepare(spark)
     path = scratch_dir(spark, "llm-tokens")
     token_store.write(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), path)
     stored = token_store.read(spark, path)
@@ -81,13 +81,20 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edit-embedding fingerprints of every document and its edited text, compared."""
-    configure(spark)
+    prepare(spark)
     return edit_fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op10_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bigram language-model score of every document, beside a smoothed unigram score."""
+    prepare(spark)
+    return deleted_interpolation.score(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_mixing, op2_url_filter, op3_surrogates, op4_pieces, op5_simhash, op6_knn,
-                                    op7_toxicity, op8_token_store, op9_edit_fingerprint)}
+                                    op7_toxicity, op8_token_store, op9_edit_fingerprint,
+                                    op10_deleted_interpolation)}
 
 
 def oracle_sql() -> dict[str, str]:
