@@ -318,23 +318,25 @@ class Segmenter:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-def encode(docs: DataFrame, segmenter: Segmenter, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Replace column ``text`` by ``ids`` (array of int). Null and empty texts have no ids; rows and the other
-    columns stay as they are. A U+2581 in a text is taken for a space. An empty table stays empty."""
+def encode(docs: DataFrame, segmenter: Segmenter, text: str = "text", ids: str = "ids",
+           keep_text: bool = False) -> DataFrame:
+    """Add ``ids`` (array of int), in place of the text unless ``keep_text``. Null and empty texts have no ids;
+    rows and the other columns stay as they are. A U+2581 in a text is taken for a space. An empty table
+    stays empty."""
     shared = docs.sparkSession.sparkContext.broadcast(segmenter)
-    rest = [c for c in docs.columns if c not in (text, ids)]
+    rest = [c for c in docs.columns if c not in (text, ids)] + [text] * keep_text
+    read = docs.select(*[c for c in rest if c != text], text)
+    place = read.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = shared.value.encode(t or "" for t in batch.column(len(rest)).to_pylist())
+            found = shared.value.encode(t or "" for t in batch.column(place).to_pylist())
             ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
             values = pa.array(np.concatenate([np.zeros(0, "<i4"), *found]), pa.int32())
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(rest)], pa.ListArray.from_arrays(ends, values)],
                                              names=[*rest, ids])
 
-    rows = docs.select(*rest, F.col(text))
-    schema = docs.select(*rest, F.array(F.lit(0)).alias(ids)).schema
-    return rows.mapInArrow(run, schema)
+    return read.mapInArrow(run, docs.select(*rest, F.array(F.lit(0)).alias(ids)).schema)
 
 
 def decode(encoded: DataFrame, segmenter: Segmenter, ids: str = "ids", text: str = "decoded") -> DataFrame:
