@@ -22,10 +22,10 @@ MARK = "▁"
 # Fixed values of the model file format: piece types, and the score of an unknown character below the lowest score.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
-MEMO_WORDS = 400_000  # words a task remembers; it then starts anew
+MEMO_WORDS = 250_000  # words a task remembers; it then starts anew
 MEMO_LENGTH = 64
 PIECE_CHARS = 1 << 20  # a longer text is cut before a white space near this length
-CHUNK_CHARS = 1 << 20  # characters of short texts that are segmented together
+CHUNK_CHARS = 1 << 18  # characters of short texts that are segmented together
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
