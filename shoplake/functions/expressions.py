@@ -14,12 +14,19 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# A date and a time of day, in the extended ISO form. Anything less (a bare time would be taken as today, a
+# bare year as its first day) and the basic form without separators is not a date-time here.
+DATE_TIME = r"^\s*\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?\s*(Z|UTC|[+-]\d{2}(:?\d{2})?)?\s*$"
+
+
 def parse_ts(c: str | Column) -> Column:
     """ISO-8601 text -> TIMESTAMP (an instant, shown in the UTC session zone); null when unparseable.
 
-    Accepts a date-time with or without a UTC offset, with or without fractional seconds.
+    Accepts a date-time with or without a UTC offset, with or without fractional seconds. A text that
+    is only a date, a time or a year, and the basic form (``20260910T100000Z``), gives null.
     """
-    return F.try_to_timestamp(col_(c))
+    text = col_(c)
+    return F.when(text.rlike(DATE_TIME), F.try_to_timestamp(text))
 
 
 def parse_ts_ntz(c: str | Column) -> Column:
@@ -100,16 +107,15 @@ def money_sum(c: str | Column) -> Column:
 
 
 def money_mean(total_cents: str | Column, n: str | Column) -> Column:
-    """Mean of non-negative amounts, rounded half-up to the cent, from a cent total and a count.
+    """Mean of amounts, rounded half away from zero to the cent, from a cent total and a count.
 
-    Integer arithmetic only, so the result is exact for any count: ``((2c + n) div 2n) / 100``. The
-    integer quotient is taken as ``(a - a mod b) / b``, an exact division.
+    Integer division only (``div`` on bigint), so the cents are exact for any total and count; the
+    sign is put back after rounding the absolute value, as ROUND does for refunds.
     """
     total_cents, n = col_(total_cents).cast("bigint"), col_(n).cast("bigint")
-    a = F.lit(2) * total_cents + n
-    b = F.lit(2) * n
-    rounded = (a - F.pmod(a, b)) / b
-    return F.when(n > 0, rounded.cast("double") / F.lit(100.0))
+    whole = F.call_function("div", F.lit(2) * F.abs(total_cents) + n, F.nullif(F.lit(2) * n, F.lit(0)))
+    signed = F.when(total_cents < 0, -whole).otherwise(whole)
+    return F.when(n > 0, signed.cast("double") / F.lit(100.0))
 
 
 def scan_cost_usd(bytes_scanned: str | Column) -> Column:

@@ -8,10 +8,9 @@ Scale notes, per job:
   third of all rows turns into one partial row per task, not one huge task.
 * Distinct counts are authored two-level (group by key and session, then sum flags) instead of
   ``count(DISTINCT ...)``, which would plan an Expand that multiplies the input rows.
-* The anti join is authored as ``left_anti``; the literal ``LEFT JOIN ... IS NULL`` form stays an
-  outer join plus filter in Catalyst. The purchase pairs are deduplicated before the join (a
-  partial aggregate); Catalyst moves the cart-side distinct above the join, where it still
-  pre-aggregates map-side.
+* Carts without a purchase are found without a join: one aggregate per (session, product) carries a
+  cart flag and a purchase flag, so the events are read and shuffled once and hot pairs collapse
+  map-side.
 """
 
 from __future__ import annotations
@@ -25,11 +24,21 @@ from shoplake.functions import cents, event_time, money_mean, money_sum, pct, wi
 from shoplake.schema import DEVICE_TYPES, EVENT_COLUMNS, PAGE_LIKE_EVENTS
 
 
+# The pivot's column for devices outside of its list.
+OTHER = "other"
+
+
 def _flag(event_type: str):
     """1 if the group has an event of the type, else 0 (also when event types are null)."""
     return F.max(F.when(F.col("event_type") == F.lit(event_type), F.lit(1)).otherwise(F.lit(0)))
 
 
+def _session_flag(event_type: str):
+    """As ``_flag``, but an event without a session counts for no session."""
+    has = (F.col("event_type") == F.lit(event_type)) & F.col("session_id").isNotNull()
+    return F.max(F.when(has, F.lit(1)).otherwise(F.lit(0)))
+
+
 def event_type_counts(df: DataFrame) -> DataFrame:
     """``event_type, event_count``."""
     return df.groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count"))
@@ -38,12 +47,13 @@ def event_type_counts(df: DataFrame) -> DataFrame:
 def funnel_by_category(df: DataFrame) -> DataFrame:
     """D2 + D4: distinct sessions per category that viewed / carted / bought, and step rates in %.
 
-    The three stages are independent sets (no ordering is enforced), as in the source question.
+    The three stages are independent sets (no ordering is enforced), as in the source question. Events
+    without a session count for none, but their category stays, with 0.
     """
     per_session = (
-        df.where(F.col("category").isNotNull() & F.col("session_id").isNotNull())
-        .groupBy("category", "session_id")
-        .agg(_flag("product_view").alias("v"), _flag("add_to_cart").alias("c"), _flag("purchase").alias("p"))
+        df.where(F.col("category").isNotNull()).groupBy("category", "session_id")
+        .agg(_session_flag("product_view").alias("v"), _session_flag("add_to_cart").alias("c"),
+             _session_flag("purchase").alias("p"))
     )
     funnel = per_session.groupBy("category").agg(
         F.sum("v").cast("bigint").alias("viewed_sessions"),
@@ -134,26 +144,28 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def revenue_pivot(df: DataFrame, devices: Sequence[str] = DEVICE_TYPES) -> DataFrame:
-    """Revenue per country with one column per device; empty cells are 0.
+    """Revenue per country with one column per device and ``other``; empty cells are 0.
 
     The device list is passed, which fixes the output schema and spares the job that would collect
-    the distinct pivot values to the driver.
+    the distinct pivot values to the driver. Revenue of any other device, or of none, is in
+    ``other``, so a row's cells always sum up to the country's revenue.
     """
-    return (_purchases(df).groupBy("country").pivot("device_type", list(devices))
-            .agg(money_sum("price")).na.fill(0.0, subset=list(devices)))
+    listed = F.when(F.col("device_type").isin(*devices), F.col("device_type")).otherwise(F.lit(OTHER))
+    return (_purchases(df).withColumn("device_type", listed).groupBy("country")
+            .pivot("device_type", [*devices, OTHER]).agg(money_sum("price")).na.fill(0.0, subset=[*devices, OTHER]))
 
 
 def abandoned_cart_products(df: DataFrame, n: int | None = 20) -> DataFrame:
     """C1 + C2 + D9 + D10 + F1: products added to a cart and not bought in the same session.
 
-    Distinct cart pairs anti-joined with distinct purchase pairs. A cart pair with a null session
-    never matches and so counts as abandoned, like the outer-join form it replaces. Top ``n`` by
-    count, ties broken by product_id.
+    One row per (session, product) with a cart and a purchase flag; a pair with a cart and no
+    purchase is abandoned. A null session never matches a purchase, so its pair counts as abandoned
+    whenever it has a cart. Top ``n`` by count, ties broken by product_id.
     """
-    pairs = df.where(F.col("product_id").isNotNull()).select("event_type", "session_id", "product_id")
-    carts = pairs.where(F.col("event_type") == F.lit("add_to_cart")).select("session_id", "product_id").distinct()
-    buys = pairs.where(F.col("event_type") == F.lit("purchase")).select("session_id", "product_id").distinct()
-    abandoned = carts.join(buys, ["session_id", "product_id"], "left_anti")
+    pairs = (df.where(F.col("product_id").isNotNull() & F.col("event_type").isin("add_to_cart", "purchase"))
+             .groupBy("session_id", "product_id")
+             .agg(_flag("add_to_cart").alias("cart"), _flag("purchase").alias("bought")))
+    abandoned = pairs.where((F.col("cart") == 1) & ((F.col("bought") == 0) | F.col("session_id").isNull()))
     counted = abandoned.groupBy("product_id").agg(F.count(F.lit(1)).alias("abandoned_count"))
     ordered = counted.orderBy(F.desc("abandoned_count"), F.asc("product_id"))
     return ordered.limit(n) if n else ordered

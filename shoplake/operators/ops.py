@@ -22,7 +22,7 @@ from shoplake.functions.tables import constant_table
 LIFECYCLE_RULES = [
     ("raw/", 30, "STANDARD_IA"),
     ("raw/", 90, "GLACIER_IR"),
-    ("results/", 7, "EXPIRE"),
+    ("athena-results/", 7, "EXPIRE"),
     ("test-intelligent-tiering/", 0, "INTELLIGENT_TIERING"),
 ]
 # Storage classes with a minimum billable object size, and that size in bytes.
@@ -51,27 +51,34 @@ def top_prefix(key: str | F.Column) -> F.Column:
     return F.concat(F.substring_index(k, "/", 1), F.lit("/"))
 
 
-def tier_audit(inventory: DataFrame, rules: DataFrame, as_of) -> DataFrame:
-    """K1: storage tier each object should be in at ``as_of`` and what it bills.
+def object_tiers(inventory: DataFrame, rules: DataFrame, as_of) -> DataFrame:
+    """K1: the inventory with ``prefix`` (top-level folder) and the storage ``tier`` of each object at ``as_of``.
 
     ``inventory``: key, size_bytes, last_modified. ``rules``: prefix (a top-level folder ending in
     ``/``), min_age_days, action. The applicable rule of an object is the one of its folder with the
     largest age threshold it has reached; EXPIRE wins over transitions. Objects without a rule stay
-    STANDARD. Billable bytes apply the minimum object size of the infrequent-access classes.
-    Returns ``prefix, tier, objects, bytes, billable_bytes``.
+    STANDARD.
     """
     age = F.datediff(F.lit(as_of).cast("date"), F.col("last_modified").cast("date"))
-    objs = inventory.select("key", "size_bytes", age.alias("age_days"), top_prefix("key").alias("prefix"))
+    objs = inventory.select("key", "size_bytes", "last_modified", age.alias("age_days"), top_prefix("key").alias("prefix"))
     rank = F.when(F.col("action") == F.lit("EXPIRE"), F.lit(1_000_000)).otherwise(F.col("min_age_days"))
-    # One row per folder holding its rules: a handful of rows, broadcast to every task. Each object
-    # then picks its rule inside the row, so the inventory is never shuffled per object.
+    # One row per folder holding its rules; each object then picks its rule inside the row.
     rule_sets = rules.groupBy("prefix").agg(
         F.collect_list(F.struct(rank.alias("rank"), F.col("action"), F.col("min_age_days"))).alias("rules"))
-    with_rules = objs.join(F.broadcast(rule_sets), "prefix", "left")
+    with_rules = objs.join(rule_sets, "prefix", "left")
     reached = F.filter("rules", lambda r: F.col("age_days") >= r["min_age_days"])
     action = F.array_max(reached)["action"]
     tier = F.coalesce(F.when(action == F.lit("EXPIRE"), F.lit("EXPIRED")).otherwise(action), F.lit("STANDARD"))
-    tiered = with_rules.select("prefix", tier.alias("tier"), "size_bytes")
+    return with_rules.select("key", "prefix", tier.alias("tier"), "size_bytes", "last_modified")
+
+
+def tier_audit(inventory: DataFrame, rules: DataFrame, as_of) -> DataFrame:
+    """K1: what each folder's objects (see ``object_tiers``) bill in their tier at ``as_of``.
+
+    Billable bytes apply the minimum object size of the infrequent-access classes. Returns
+    ``prefix, tier, objects, bytes, billable_bytes``.
+    """
+    tiered = object_tiers(inventory, rules, as_of)
     billable = F.when(F.col("tier").isin(*MIN_BILLABLE_CLASSES),
                       F.greatest("size_bytes", F.lit(MIN_BILLABLE_BYTES))).otherwise(F.col("size_bytes"))
     return (tiered.groupBy("prefix", "tier")
@@ -242,7 +249,7 @@ def budget_status(billing: DataFrame, budget_table: DataFrame) -> DataFrame:
     month = F.date_format("usage_date", "yyyy-MM")
     spent = billing.groupBy(month.alias("month"), "project_tag").agg(
         F.sum("cost_usd").cast("double").alias("spent_usd"))
-    return (spent.join(F.broadcast(budget_table), "project_tag")
+    return (spent.join(budget_table, "project_tag")
             .select("month", F.col("name").alias("budget"), "limit_usd", F.round("spent_usd", 2).alias("spent_usd"),
                     "threshold_pct",
                     (F.col("spent_usd") > F.col("limit_usd") * F.col("threshold_pct") / 100.0).alias("crossed")))

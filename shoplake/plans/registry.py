@@ -13,10 +13,12 @@ from shoplake.operators import analytics as A
 from shoplake.operators import catalog as C
 from shoplake.operators import ops as O
 from shoplake.operators import quality as Q
-from shoplake.operators.etl import quarantine_by_reason, split_bad
+from shoplake.operators.etl import quarantine_by_reason
 from shoplake.operators.landing import land_batch, land_files
-from shoplake.plans.zones import build_zones, land_raw_zone
+from shoplake.plans.oracle import AUDIT_AS_OF
+from shoplake.plans.zones import build_defective_zones, build_zones, defective_zone, land_raw_zone
 from shoplake.schema import (
+    CATEGORIES,
     CORRUPT_COLUMN,
     CURATED_COLUMNS,
     CURATED_PARTITIONS,
@@ -25,7 +27,7 @@ from shoplake.schema import (
     RAW_PARTITIONS,
 )
 from shoplake.session import configure, scratch_dir
-from shoplake.sources.adapter import MARKET_SEGMENTS, curated_events
+from shoplake.sources.adapter import MARKET_SEGMENTS, curated_events, read_table
 from shoplake.sources.raw import read_curated, read_raw, read_raw_text
 from shoplake.sources.sinks import write_curated, write_result_csv
 from shoplake.streaming import jobs as S
@@ -53,6 +55,12 @@ def _partition_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("event_id", partition_key(ts, file_name, "raw").alias("partition_key"))
 
 
+def _null_sessions(df: DataFrame) -> DataFrame:
+    """Every eleventh event, and all events of one category, without a session."""
+    gap = (F.col("event_id").cast("bigint") % 11 == 0) | F.coalesce(F.col("category") == CATEGORIES[0], F.lit(False))
+    return df.withColumn("session_id", F.when(~gap, F.col("session_id")))
+
+
 ANALYTICS: dict[str, Query] = {
     "event_type_counts": _on_curated(A.event_type_counts),
     "funnel_by_category": _on_curated(A.funnel_by_category),
@@ -63,8 +71,12 @@ ANALYTICS: dict[str, Query] = {
     "revenue_trend": _on_curated(A.revenue_trend),
     "revenue_trend_dated": _on_curated(A.revenue_trend_dated),
     "curated_row_count": _on_curated(A.row_count),
-    "revenue_pivot": _on_curated(lambda df: A.revenue_pivot(df, MARKET_SEGMENTS)),
+    # A list shorter than the data's: the other segments' revenue is in "other".
+    "revenue_pivot": _on_curated(lambda df: A.revenue_pivot(df, MARKET_SEGMENTS[:3])),
     "abandoned_cart_products": _on_curated(A.abandoned_cart_products),
+    "abandoned_cart_null_session": _on_curated(lambda df: A.abandoned_cart_products(_null_sessions(df))),
+    "funnel_null_session": _on_curated(lambda df: A.funnel_by_category(_null_sessions(df)).select(
+        "category", "viewed_sessions", "purchased_sessions")),
     "events_per_5min": _on_curated(lambda df: A.events_per_window(df, 5)),
     # 7 does not divide 60: windows restart every hour (:00, :07, ... :56), unlike epoch-aligned ones.
     "events_per_7min": _on_curated(lambda df: A.events_per_window(df, 7)),
@@ -91,14 +103,15 @@ def raw_landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A6 + A12 + E3: the landed JSON files landed again, each routed by its first line; rows per hour.
-
-    Every landed file holds one hour, so routing by the first line must agree with routing by row.
-    """
-    zones = land_raw_zone(spark, sf_dir)
-    relanded = scratch_dir(spark, "raw-files")
-    land_files(spark, zones.raw, relanded, glob="*.json", route="file_first")
-    return read_raw(spark, relanded).groupBy(*RAW_PARTITIONS).agg(F.count(F.lit(1)).alias("event_count"))
+    """A6 + A12 + E3: JSON files of six hours each, landed whole by the hour of their first line; rows per hour."""
+    files, landed = scratch_dir(spark, "six-hours"), scratch_dir(spark, "raw-files")
+    df = curated(spark, sf_dir, with_event_ts=True)
+    block = F.concat(F.date_format("event_ts", "yyyyMMdd"), F.lit("-"), F.floor(F.hour("event_ts") / 6))
+    # A block's rows are one file, in time order: what a generator's batch would hand over.
+    (df.withColumn("block", block).repartition("block").sortWithinPartitions("block", "event_ts")
+     .select("block", *EVENT_COLUMNS).write.partitionBy("block").json(files))
+    land_files(spark, files, landed, glob="*.json", route="file_first")
+    return read_raw(spark, landed).groupBy(*RAW_PARTITIONS).agg(F.count(F.lit(1)).alias("event_count"))
 
 
 def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,8 +126,8 @@ def partition_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def etl_clean_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B1 + B10 + J9: land, ETL with quarantine; the reconciliation row observed in the write pass."""
-    return build_zones(spark, sf_dir).reconciliation
+    """B1 + B10 + J9: ETL of the zone with defects; the reconciliation row observed in the write pass."""
+    return build_defective_zones(spark, sf_dir).reconciliation
 
 
 def etl_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,10 +143,15 @@ def curated_write_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A8 + B2: rejected raw records per reason (every reason listed)."""
-    zones = land_raw_zone(spark, sf_dir)
-    _, bad = split_bad(read_raw(spark, zones.raw))
-    return quarantine_by_reason(bad)
+    """A8 + B2: rejected records per reason (every reason listed), read back from the written quarantine."""
+    zones = build_defective_zones(spark, sf_dir)
+    return quarantine_by_reason(spark.read.schema("event_id string, error_type string").parquet(zones.quarantine))
+
+
+def defective_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ETL keeps of the zone with defects, with the discount code that older records lack."""
+    zones = build_defective_zones(spark, sf_dir)
+    return read_curated(spark, zones.curated).select("event_id", "user_id", "timestamp", "discount_code", *CURATED_PARTITIONS)
 
 
 def result_csv_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,6 +199,7 @@ BATCH: dict[str, Query] = {
     "etl_partition_counts": etl_partition_counts,
     "curated_write_readback": curated_write_readback,
     "quarantine_by_reason": quarantine_counts,
+    "defective_curated": defective_curated,
     "result_csv_readback": result_csv_readback,
     "catalog_refresh": catalog_refresh,
     "catalog_publish": catalog_publish,
@@ -192,18 +211,23 @@ BATCH: dict[str, Query] = {
 
 def _on_raw_text(fn: Callable[[DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(read_raw_text(spark, land_raw_zone(spark, sf_dir).raw))
+        return fn(read_raw_text(spark, defective_zone(spark, sf_dir).raw))
     return run
 
 
 def dq_partition_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.check_partitions(read_raw(spark, land_raw_zone(spark, sf_dir).raw))
+    return Q.check_partitions(read_raw(spark, defective_zone(spark, sf_dir).raw))
+
+
+def dq_duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that the curated table of the zone with defects holds more than once."""
+    return Q.check_duplicate_ids(read_curated(spark, build_defective_zones(spark, sf_dir).curated))
 
 
 QUALITY: dict[str, Query] = {
     "dq_funnel_shape": _on_curated(Q.check_funnel),
     "dq_stage_rates": _on_curated(Q.check_stage_rates),
-    "dq_duplicate_ids": _on_curated(Q.check_duplicate_ids),
+    "dq_duplicate_ids": dq_duplicate_ids,
     "dq_domain_violations": _on_curated(Q.check_domains),
     "dq_product_presence": _on_curated(Q.check_product_presence),
     "dq_unexpected_keys": _on_raw_text(Q.check_keys),
@@ -214,12 +238,9 @@ QUALITY: dict[str, Query] = {
 
 # --- streaming -------------------------------------------------------------------------------------
 
-def _run(query, timeout_s: int = 900) -> None:
-    """Wait for an ``availableNow`` query to drain its input; surface its failure."""
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
-        query.stop()
-        raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")
+def _run(query) -> None:
+    """Wait for an ``availableNow`` query to drain its input, however long that takes; surface its failure."""
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
 
@@ -232,9 +253,11 @@ def _stream_landed(spark: SparkSession, sf_dir: str, partition_time: str) -> str
 
 
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A7 + I1 + I3: stream into gzip JSON under ingest-time hour partitions; rows per partition."""
+    """A7 + I1 + I3: stream into gzip JSON under ingest-time hour partitions; rows landed, and rows without an
+    hour. (Which hours depends on the clock.)"""
     path = _stream_landed(spark, sf_dir, "ingest")
-    return read_raw(spark, path).groupBy(*RAW_PARTITIONS).agg(F.count(F.lit(1)).alias("event_count"))
+    return read_raw(spark, path).agg(F.count(F.lit(1)).alias("event_count"),
+                                     F.count(F.when(F.col("hour").isNull(), F.lit(1))).alias("without_hour"))
 
 
 def stream_landing_by_event_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +268,7 @@ def stream_landing_by_event_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I6 + A8: a raw JSON stream split into kept records and a quarantine by reason; rows per outcome."""
-    zones = land_raw_zone(spark, sf_dir)
+    zones = defective_zone(spark, sf_dir)
     good_path, bad_path = scratch_dir(spark, "stream-good"), scratch_dir(spark, "stream-bad")
 
     def good_sink(batch: DataFrame, batch_id: int) -> None:
@@ -260,27 +283,47 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.unionByName(reasons)
 
 
+def _event_files(spark: SparkSession, sf_dir: str) -> str:
+    """The events in several files, each with rows of all times, so that every micro-batch but the first has
+    rows older than some that came before."""
+    path = scratch_dir(spark, "event-files")
+    read_table(spark, sf_dir, "events").repartition(6, "event_id").write.parquet(path)
+    return path
+
+
+def _shuffled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return S.driver_event_stream(spark, sf_dir, files=_event_files(spark, sf_dir), max_files=2)
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events deduplicated on event_id per micro-batch and against earlier batches, exactly once."""
-    path = scratch_dir(spark, "stream-dedup")
-    _run(S.dedup_into(S.driver_event_stream(spark, sf_dir), path, scratch_dir(spark, "ckpt"), available_now=True))
+    """Events deduplicated on event_id per micro-batch and against earlier batches, exactly once.
+
+    Each file of events comes twice, so every row has a copy in a later batch."""
+    configure(spark)
+    files, path = _event_files(spark, sf_dir), scratch_dir(spark, "stream-dedup")
+    spark.read.parquet(files).write.mode("append").parquet(files)
+    stream = S.driver_event_stream(spark, sf_dir, files=files, max_files=4)
+    _run(S.dedup_into(stream, path, scratch_dir(spark, "ckpt"), available_now=True))
     return spark.read.parquet(f"{path}/data").select(*CURATED_COLUMNS)
 
 
 def stream_session_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I8: furthest funnel stage per session, from a stateful stream folded over its updates."""
+    """I8: furthest funnel stage per session, from micro-batches out of time order."""
     path = scratch_dir(spark, "stream-stage")
-    updates = S.session_stage_updates(S.driver_event_stream(spark, sf_dir))
-    _run(S.write_updates(updates, path, scratch_dir(spark, "ckpt"), available_now=True))
-    return S.fold_max(spark, path, ["session_id"], "stage_rank")
+    _run(S.write_partials(_shuffled_stream(spark, sf_dir), S.session_stage, path, scratch_dir(spark, "ckpt"),
+                          available_now=True))
+    return S.fold(spark, path, ["session_id"], "stage_rank", "max")
 
 
-def stream_events_per_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events per 5-minute window on the stream, watermarked, folded over its updates."""
-    path = scratch_dir(spark, "stream-windows")
-    updates = S.window_count_updates(S.driver_event_stream(spark, sf_dir), 5)
-    _run(S.write_updates(updates, path, scratch_dir(spark, "ckpt"), available_now=True))
-    return S.windowed_result(spark, path)
+def _stream_windows(minutes: int) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_dir(spark, "stream-windows")
+        _run(S.write_partials(_shuffled_stream(spark, sf_dir), lambda b: S.window_counts(b, minutes), path,
+                              scratch_dir(spark, "ckpt"), available_now=True))
+        return S.windowed_result(spark, path)
+    run.__doc__ = f"I9: events per {minutes}-minute window, from micro-batches out of time order."
+    return run
 
 
 def batch_stream_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,32 +348,30 @@ STREAMING: dict[str, Query] = {
     "stream_quarantine": stream_quarantine,
     "stream_dedup": stream_dedup,
     "stream_session_stage": stream_session_stage,
-    "stream_events_per_5min": stream_events_per_5min,
+    "stream_events_per_5min": _stream_windows(5),
+    "stream_events_per_7min": _stream_windows(7),
     "batch_stream_union": batch_stream_union,
 }
 
 
 # --- operations ----------------------------------------------------------------------------------
 
-# Report date of the storage audit: late enough that the oldest landed hours have passed both
-# transition ages of the raw zone.
-AUDIT_AS_OF = "2024-04-15"
-
-
 def _lake_root(spark: SparkSession, sf_dir: str) -> str:
     """A lake with raw/, curated/ and results/ folders built from the driver tables."""
     root = scratch_dir(spark, "lake")
     df = curated(spark, sf_dir)
     land_batch(df, f"{root}/raw")
     write_curated(df, f"{root}/curated")
-    write_result_csv(A.revenue_by_country_device(read_curated(spark, f"{root}/curated")), f"{root}/results")
+    write_result_csv(A.revenue_by_country_device(read_curated(spark, f"{root}/curated")), f"{root}/athena-results")
     return root
 
 
 def tier_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1: tiers, objects and billable bytes per folder of a lake built from the tables."""
+    """K1: per folder and tier of a lake built from the tables, the days whose objects belong there."""
     root = _lake_root(spark, sf_dir)
-    return O.tier_audit(O.list_objects(spark, root), O.lifecycle_rules(spark), AUDIT_AS_OF)
+    tiers = O.object_tiers(O.list_objects(spark, root), O.lifecycle_rules(spark), AUDIT_AS_OF)
+    day = F.when(F.col("key").contains("year="), F.col("last_modified").cast("date"))
+    return tiers.groupBy("prefix", "tier").agg(F.count_distinct(day).alias("days"))
 
 
 def compaction_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,7 +380,9 @@ def compaction_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, dst = scratch_dir(spark, "curated-small"), scratch_dir(spark, "curated-compact")
     # The naive write: no shuffle by day, so every task writes a file into every day it touches.
     df.repartition(16).write.mode("overwrite").partitionBy(*CURATED_PARTITIONS).parquet(src)
-    return O.compact(spark, src, dst, CURATED_PARTITIONS)
+    report = O.compact(spark, src, dst, CURATED_PARTITIONS)
+    return report.select("partition", "rows_before", "rows_after",
+                         (F.col("files_after") <= F.col("files_before")).alias("not_more_files"))
 
 
 def scan_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,7 +395,8 @@ def scan_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     parquet_scan = O.scan_bytes(spark, f"{root}/curated", "parquet", needed).select(
         F.lit("revenue_by_country_device").alias("query_name"), F.lit("parquet").alias("source_format"),
         "bytes_scanned")
-    return O.scan_cost(json_scan.unionByName(parquet_scan))
+    cost = O.scan_cost(json_scan.unionByName(parquet_scan))
+    return cost.select("query_name", "source_format", (F.col("reduction_pct") > 0).alias("saves"))
 
 
 OPS: dict[str, Query] = {

@@ -15,7 +15,6 @@ REFERRERS = ["google_organic", "google_ads", "direct", "email_campaign", "social
 COUNTRIES = ["US", "GB", "CA", "DE", "FR", "AU", "IN", "BR", "JP", "MX"]
 CATEGORIES = ["electronics", "apparel", "home_goods", "beauty", "sporting_goods", "toys", "books",
               "grocery"]
-DISCOUNT_CODES = ["SAVE10", "WELCOME15", "FREESHIP", "VIP20"]
 # Funnel stages in order, and the designed conversion rate of each step from the stage before it.
 FUNNEL_STAGES = ["page_view", "product_view", "add_to_cart", "checkout_start", "purchase"]
 STAGE_RATES = [("page_view", "product_view", 0.40), ("product_view", "add_to_cart", 0.375),
@@ -52,8 +51,6 @@ RAW_SCHEMA = T.StructType(EVENT_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T
 RAW_PARTITIONS = ["year", "month", "day", "hour"]
 CURATED_PARTITIONS = ["year", "month", "day"]
 CURATED_COLUMNS = EVENT_COLUMNS + CURATED_PARTITIONS
-CURATED_SCHEMA = T.StructType(
-    EVENT_SCHEMA.fields + [T.StructField(p, T.StringType(), True) for p in CURATED_PARTITIONS])
 
 # Quarantine reasons, in the order they are tested.
 ERROR_TYPES = ["malformed_json", "missing_event_id", "missing_timestamp", "unparseable_timestamp"]

@@ -46,7 +46,7 @@ def user_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """user_id -> device_type, country (customer joined to nation)."""
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (customer.join(nation, customer.c_nationkey == nation.n_nationkey, "inner")
+    return (customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
             .select(F.col("c_custkey").alias("user_key"),
                     F.col("c_mktsegment").alias("device_type"),
                     F.col("n_name").alias("country")))
@@ -66,7 +66,8 @@ def conform_events(events: DataFrame, users: DataFrame, with_event_ts: bool = Fa
     categories = F.array(*[F.lit(c) for c in CATEGORIES])
     ts = F.col("ts").cast("timestamp_ntz")
     user = F.col("user_id").cast("string")
-    conformed = events.join(users, events.user_id == users.user_key, "inner").select(
+    # A left join: an event whose user is unknown keeps its row, without device and country.
+    conformed = events.join(users, events.user_id == users.user_key, "left").select(
         F.col("event_id").cast("string").alias("event_id"),
         shop_event_type().alias("event_type"),
         user.alias("user_id"),

@@ -10,7 +10,10 @@ Partition values stay zero-padded strings (type inference of partition columns i
 from __future__ import annotations
 
 import datetime as dt
+import zlib
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +39,9 @@ def read_raw(spark: SparkSession, path: str, glob: str | None = None, start_date
 
     A date range reads only the matching ``year=/month=/day=`` directories (a daily load reads
     one day of the zone, not all of it). A bad line never fails the read (it lands in
-    ``_corrupt_record``); a file that cannot be read at all (a broken gzip stream) does, unless
-    ``skip_unreadable_files``, in which case the load goes on and ``unread_files`` reports them.
+    ``_corrupt_record``); a file that cannot be read to its end (a broken gzip stream) does, unless
+    ``skip_unreadable_files``: then the load goes on without any row of such files, and
+    ``unread_files`` names them. That costs a pass that decompresses the gzip files.
     """
     configure(spark)
     reader = (spark.read.schema(RAW_SCHEMA)
@@ -47,7 +51,12 @@ def read_raw(spark: SparkSession, path: str, glob: str | None = None, start_date
         reader = reader.option("ignoreCorruptFiles", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return _date_range(reader.json(path), start_date, end_date)
+    raw = _date_range(reader.json(path), start_date, end_date)
+    if skip_unreadable_files:
+        names = raw.columns
+        failed = unread_files(spark, path, glob).withColumnRenamed("path", "_file")
+        raw = raw.withColumn("_file", F.col("_metadata.file_path")).join(failed, "_file", "left_anti").select(*names)
+    return raw
 
 
 def read_raw_text(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -118,13 +127,36 @@ def register_views(spark: SparkSession, raw_path: str | None = None, curated_pat
     return names
 
 
-def unread_files(spark: SparkSession, path: str, raw: DataFrame) -> DataFrame:
-    """Files under ``path`` that contributed no row to ``raw`` (unreadable or empty): ``path``.
+def unread_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Gzip files under ``path`` that do not decompress to their end: ``path``.
 
-    The listing (binary-file source, content pruned) is anti-joined with the distinct source
-    files of the rows, so skipped inputs are reported instead of silently lost.
+    Every file is decompressed in a task, piece by piece; nothing but its outcome is kept.
     """
-    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-              .select(F.col("path")))
-    seen = raw.select(F.col("_metadata.file_path").alias("path")).distinct()
-    return listed.join(seen, "path", "left_anti")
+    def broken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bad = [p for p, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
+                   if not _whole_gzip(content.as_buffer())]
+            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.string())], names=["path"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob or "*.gz")
+    listed = files.load(path).where(F.col("path").endswith(".gz"))
+    return listed.select(F.col("_metadata.file_path").alias("path"), "content").mapInArrow(broken, "path string")
+
+
+def _whole_gzip(data: pa.Buffer, piece: int = 1 << 20) -> bool:
+    """Whether the bytes are gzip members that decompress to their end."""
+    stream, left = zlib.decompressobj(31), memoryview(data)
+    try:
+        while len(left):
+            taken, left = left[:piece], left[piece:]
+            while taken:
+                stream.decompress(taken, piece)
+                taken = stream.unconsumed_tail
+                if stream.eof:
+                    rest = bytes(stream.unused_data)
+                    if not rest and not len(left):
+                        return True
+                    stream, taken = zlib.decompressobj(31), rest
+    except zlib.error:
+        return False
+    return False

@@ -6,11 +6,11 @@ Design rules used throughout:
   processed inputs (``cleanSource``).
 * Every query has its own checkpoint below the shared scratch folder, so a restarted driver or a
   lost executor resumes from the last committed batch (file sinks are exactly-once).
-* Stateful operators run with a watermark so their state is evicted; results that must be exact at
-  the end of the input are written as *updates* (``outputMode("update")`` + ``foreachBatch``
-  writing each batch's changed rows to a folder of its own batch id) and folded with ``max`` on
-  read. Counts and stage ranks only grow, so the latest update of a key is its largest one, and
-  the folded table equals a batch run.
+* Counts per window and stages per session keep no state: every micro-batch is aggregated like a
+  batch and written under its own batch id (``write_partials``), and ``fold`` adds up or takes the
+  maximum of what all batches wrote. A late row is counted by the batch it comes in, so the folded
+  table equals a batch run whatever the order of arrival. Only ``dedup_stream`` uses a watermark,
+  and says so.
 """
 
 from __future__ import annotations
@@ -18,11 +18,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shoplake.functions import parse_ts, window_key
+from shoplake.functions import event_time, parse_ts, window_key, window_start
 from shoplake.operators.etl import error_type, rejected_rows
 from shoplake.schema import (
     CORRUPT_COLUMN,
@@ -41,17 +42,19 @@ def _trigger(writer, interval: str | None, available_now: bool):
     return writer.trigger(processingTime=interval or "60 seconds")
 
 
-def driver_event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+def driver_event_stream(spark: SparkSession, sf_dir: str, files: str | None = None,
+                        max_files: int | None = None) -> DataFrame:
     """The driver's ``events`` table as a file stream, conformed to curated columns plus ``event_ts``.
 
-    The user dimension is joined as a static side (stream-static inner join).
+    ``files``: a folder that holds the same rows in several Parquet files, taken ``max_files`` at a time.
+    The user dimension is joined as a static side (stream-static left join).
     """
     configure(spark)
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    events = reader.parquet(sf_dir)
+    events = reader.parquet(files) if files else reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     conformed = conform_events(events, user_dimension(spark, sf_dir), with_event_ts=True)
     return conformed.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
 
@@ -134,7 +137,8 @@ def split_stream(stream: DataFrame, good_sink: Callable[[DataFrame, int], None],
     ``good_sink(batch, batch_id)`` should be idempotent per batch id (see ``write_batch``).
 
     Counts of input and rejected rows per reason are observed in the stream's progress
-    (``observedMetrics['stream_counts']``) instead of being lost.
+    (``observedMetrics['stream_counts']``) instead of being lost. The batch is parsed once and kept
+    (memory, then disk) for the two writes, so it is also counted once.
     """
     tagged = stream.withColumn("error_type", error_type(stream, strict))
     metrics = [F.count(F.lit(1)).alias("input_rows"),
@@ -144,8 +148,12 @@ def split_stream(stream: DataFrame, good_sink: Callable[[DataFrame, int], None],
     def handle(batch: DataFrame, batch_id: int) -> None:
         # Rejected rows as in the batch ETL: raw fields, reason, and the raw partition's date (or
         # the load date when the source has no date partitions).
-        write_batch(rejected_rows(batch), bad_path, batch_id, partition_cols=("error_type", "year", "month", "day"))
-        good_sink(batch.where(F.col("error_type").isNull()).drop("error_type"), batch_id)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_batch(rejected_rows(batch), bad_path, batch_id, partition_cols=("error_type", "year", "month", "day"))
+            good_sink(batch.where(F.col("error_type").isNull()).drop("error_type"), batch_id)
+        finally:
+            batch.unpersist()
 
     writer = observed.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _trigger(writer, interval, available_now).start()
@@ -169,13 +177,15 @@ def dedup_into(stream: DataFrame, path: str, checkpoint: str, key: str = "event_
     Spark's stateful dedup sends every copy of a key to one state partition without any map-side
     step. Here each micro-batch is deduplicated as a batch (a partial aggregate: copies collapse
     inside every task before the shuffle), then anti-joined with the keys already seen. Seen keys
-    are a Parquet table partitioned by event day; only days within ``horizon_days`` of the batch's
-    earliest event are read, so the lookup stays bounded. Output and seen keys are written per batch
-    id (``write_batch``) and a batch only consults earlier batches, so a replayed batch yields the
-    same rows again: exactly-once. Output lands in ``<path>/data``.
+    are a Parquet table partitioned by event day (``none`` without a time); only days within
+    ``horizon_days`` of the batch's earliest event, and ``none``, are read, so the lookup stays
+    bounded. Only rows without a time look through all days, as nothing bounds their copies. Rows
+    without a key can't be copies of anything and are all kept. Output and seen keys are written per
+    batch id (``write_batch``) and a batch only consults earlier batches, so a replayed batch yields
+    the same rows again: exactly-once. Output lands in ``<path>/data``.
     """
     data_path, seen_path = f"{path.rstrip('/')}/data", f"{path.rstrip('/')}/seen"
-    day = F.date_format(F.col(event_time), "yyyy-MM-dd")
+    day = F.coalesce(F.date_format(F.col(event_time), "yyyy-MM-dd"), F.lit("none"))
     spark = stream.sparkSession
     key_type = dict(stream.dtypes)[key]
     seen_schema = f"`{key}` {key_type}, batch_id int, day string"
@@ -184,17 +194,27 @@ def dedup_into(stream: DataFrame, path: str, checkpoint: str, key: str = "event_
      .write.mode("overwrite").partitionBy("day").parquet(f"{seen_path}/batch_id=-1"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        unique = batch.dropDuplicates([key])
-        first_day = unique.select(F.min(day)).first()[0]
-        if first_day is None:
-            return
-        lo = (dt.date.fromisoformat(first_day) - dt.timedelta(days=horizon_days)).isoformat()
-        seen = batch.sparkSession.read.schema(seen_schema).parquet(seen_path)
-        earlier = seen.where((F.col("batch_id") < F.lit(batch_id)) & (F.col("day") >= F.lit(lo)))
-        unique = unique.join(earlier.select(key), key, "left_anti")
-        write_batch(unique, data_path, batch_id)
+        # One row of each key, a timed one if there is any.
+        order = F.struct(F.col(event_time).isNull(), F.col(event_time))
+        keyed = batch.where(F.col(key).isNotNull()).groupBy(key).agg(
+            F.min_by(F.struct(*batch.columns), order).alias("row")).select("row.*")
+        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            timed = F.col(event_time).isNotNull()
+            first_day = keyed.where(timed).select(F.min(day)).first()[0]
+            seen = batch.sparkSession.read.schema(seen_schema).parquet(seen_path)
+            seen = seen.where(F.col("batch_id") < F.lit(batch_id))
+            new = keyed.where(~timed).join(seen.select(key), key, "left_anti")
+            if first_day is not None:
+                lo = (dt.date.fromisoformat(first_day) - dt.timedelta(days=horizon_days)).isoformat()
+                near = seen.where((F.col("day") >= F.lit(lo)) | (F.col("day") == F.lit("none")))
+                new = new.unionByName(keyed.where(timed).join(near.select(key), key, "left_anti"))
+            write_batch(new.select(*batch.columns).unionByName(batch.where(F.col(key).isNull())), data_path, batch_id)
+        finally:
+            keyed.unpersist()
         written = batch.sparkSession.read.parquet(f"{data_path}/batch_id={int(batch_id)}")
-        write_batch(written.select(key, day.alias("day")), seen_path, batch_id, partition_cols=("day",))
+        write_batch(written.where(F.col(key).isNotNull()).select(key, day.alias("day")), seen_path, batch_id,
+                    partition_cols=("day",))
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _trigger(writer, interval, available_now).start()
@@ -208,48 +228,51 @@ def stage_rank() -> F.Column:
     return rank
 
 
-def session_stage_updates(stream: DataFrame, event_time: str = "event_ts", delay: str = "1 hour",
-                          session_span: str = "1 day") -> DataFrame:
-    """I8: per session, the furthest funnel stage reached so far (update-mode aggregate).
+def session_stage(events: DataFrame) -> DataFrame:
+    """I8: per session, the furthest funnel stage reached (``session_id, stage_rank``) by these events."""
+    ranked = events.select("session_id", stage_rank().alias("rank")).where(F.col("rank").isNotNull())
+    return ranked.groupBy("session_id").agg(F.max("rank").alias("stage_rank"))
 
-    Grouping also by an event-time window of ``session_span`` lets the watermark evict finished
-    sessions. A session spanning two windows yields two rows; ``fold_max`` merges them.
-    """
-    ranked = stream.select("session_id", event_time, stage_rank().alias("rank")).where(F.col("rank").isNotNull())
-    return (ranked.withWatermark(event_time, delay)
-            .groupBy("session_id", F.window(event_time, session_span).alias("span"))
-            .agg(F.max("rank").alias("stage_rank"))
-            .select("session_id", "stage_rank"))
-
-
-def window_count_updates(stream: DataFrame, minutes: int = 5, event_time: str = "event_ts",
-                         delay: str = "10 minutes") -> DataFrame:
-    """Events per N-minute window (N divides 60, so windows are hour-aligned), update mode."""
-    if 60 % minutes:
-        raise ValueError("streaming windows need N dividing 60")
-    return (stream.withWatermark(event_time, delay)
-            .groupBy(F.window(event_time, f"{minutes} minutes").alias("w"))
-            .agg(F.count(F.lit(1)).alias("event_count"))
-            .select(F.col("w.start").alias("window_start"), "event_count"))
-
-
-def write_updates(updates: DataFrame, path: str, checkpoint: str, interval: str | None = None,
-                  available_now: bool = False) -> StreamingQuery:
-    """Write each micro-batch's updated rows (update mode) to a Parquet table, one folder per batch."""
+
+def window_counts(events: DataFrame, minutes: int = 5) -> DataFrame:
+    """Events per hour-aligned N-minute window (``window_start, event_count``), for any N up to 60."""
+    return (events.select(window_start(event_time(events), minutes).alias("window_start"))
+            .groupBy("window_start").agg(F.count(F.lit(1)).alias("event_count")))
+
+
+def write_partials(stream: DataFrame, aggregate: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
+                   interval: str | None = None, available_now: bool = False) -> StreamingQuery:
+    """Write ``aggregate`` of each micro-batch to a Parquet table, one folder per batch id."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id)
+        write_batch(aggregate(batch), path, batch_id)
 
-    writer = (updates.writeStream.outputMode("update").foreachBatch(handle)
-              .option("checkpointLocation", checkpoint))
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _trigger(writer, interval, available_now).start()
 
 
-def fold_max(spark: SparkSession, path: str, keys: list[str], value: str) -> DataFrame:
-    """Final table of an update log: the largest value written for each key."""
-    return spark.read.parquet(path).groupBy(*keys).agg(F.max(value).alias(value))
+def fold(spark: SparkSession, path: str, keys: list[str], value: str, how: str) -> DataFrame:
+    """The table that a log of partial results stands for: ``how`` is ``sum`` or ``max`` over all batches."""
+    return _folded(spark.read.parquet(path), keys, value, how)
+
+
+def _folded(log: DataFrame, keys: list[str], value: str, how: str) -> DataFrame:
+    merge = {"sum": F.sum, "max": F.max}[how]
+    return log.groupBy(*keys).agg(merge(value).alias(value))
+
+
+def compact_partials(spark: SparkSession, src: str, dst: str, keys: list[str], value: str, how: str,
+                     upto_batch: int) -> DataFrame:
+    """Fold the batches of a log up to ``upto_batch`` into one folder of ``dst`` and copy the later ones, so that
+    a long-running log stays about as large as its result. Returns the log at ``dst``."""
+    log = spark.read.parquet(src)
+    value_type = dict(log.dtypes)[value]
+    old = _folded(log.where(F.col("batch_id") <= upto_batch), keys, value, how)
+    old = old.withColumn(value, F.col(value).cast(value_type)).withColumn("batch_id", F.lit(int(upto_batch)))
+    later = log.where(F.col("batch_id") > upto_batch)
+    old.unionByName(later).write.mode("overwrite").partitionBy("batch_id").parquet(dst)
+    return spark.read.parquet(dst)
 
 
 def windowed_result(spark: SparkSession, path: str) -> DataFrame:
-    folded = fold_max(spark, path, ["window_start"], "event_count")
-    start = F.col("window_start").cast("timestamp_ntz")
-    return folded.select(start.alias("window_start"), window_key(start).alias("window_key"), "event_count")
+    folded = fold(spark, path, ["window_start"], "event_count", "sum")
+    return folded.select("window_start", window_key("window_start").alias("window_key"), "event_count")

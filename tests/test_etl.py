@@ -170,10 +170,11 @@ def test_unreadable_file_is_skipped_and_reported(spark, tmp_path):
     from shoplake.sources.raw import unread_files
     hour = tmp_path / "raw" / "year=2026" / "month=09" / "day=10" / "hour=10"
     _write_lines(hour, _sample_lines()[:4])
-    good_gz = gzip.compress((json.dumps(event("g1", ts="2026-09-10T10:30:00")) + "\\n").encode())
-    (hour / "good.jsonl.gz").write_bytes(good_gz)
-    (hour / "broken.jsonl.gz").write_bytes(good_gz[: len(good_gz) // 2])  # a truncated gzip stream
+    good_gz = gzip.compress((json.dumps(event("g1", ts="2026-09-10T10:30:00")) + chr(10)).encode())
+    (hour / "good one.jsonl.gz").write_bytes(good_gz + good_gz)  # two members, a blank in the name
+    many = gzip.compress("".join(json.dumps(event(f"m{i}", ts="2026-09-10T10:30:00")) + chr(10) for i in range(5000)).encode())
+    (hour / "broken.jsonl.gz").write_bytes(many[: len(many) // 2])  # cut in the middle, after many good lines
     raw = read_raw(spark, str(tmp_path / "raw"), skip_unreadable_files=True)
-    assert raw.count() == 5  # the four lines of the plain file and the good gzip line
-    missed = [r.path.rsplit("/", 1)[-1] for r in unread_files(spark, str(tmp_path / "raw"), raw).collect()]
+    assert raw.count() == 6  # the four lines of the plain file and the good gzip lines, none of the cut file
+    missed = [r.path.rsplit("/", 1)[-1] for r in unread_files(spark, str(tmp_path / "raw")).collect()]
     assert missed == ["broken.jsonl.gz"]

@@ -136,6 +136,59 @@ def test_dedup_into_hot_copies_and_across_batches(spark, tmp_path):
     assert len({r.batch_id for r in rows}) == 2
 
 
+def _stream_of(spark, src, batches):
+    """One micro-batch per list of records."""
+    import os
+    src.mkdir()
+    for i, recs in enumerate(batches):
+        f = src / f"f{i}.jsonl"
+        f.write_text("\n".join(json.dumps(r) for r in recs) + "\n")
+        os.utime(f, (1_700_000_000 + 60 * i, 1_700_000_000 + 60 * i))
+    return (S.json_stream(spark, str(src), max_files_per_trigger=1).drop("_corrupt_record")
+            .withColumn("event_ts", F.try_to_timestamp("timestamp")))
+
+
+def test_dedup_into_keeps_rows_without_time_or_key(spark, tmp_path):
+    stream = _stream_of(spark, tmp_path / "in", [
+        [event("a", ts=None), event("b", ts="2026-09-10T10:00:00")],  # a batch that starts with no time at all
+        [event("c", ts="garbage"), event("c", ts=None)],  # only rows without a time
+        [event("a", ts="2026-09-12T10:00:00"), event("b", ts=None), event(None, ts="2026-09-12T10:00:00"),
+         event(None, ts=None), event("d", ts="2026-09-12T10:00:00")]])
+    out = str(tmp_path / "dedup")
+    _run(S.dedup_into(stream, out, str(tmp_path / "ck"), available_now=True))
+    got = [r.event_id for r in spark.read.parquet(f"{out}/data").collect()]
+    assert sorted(x or "" for x in got) == ["", "", "a", "b", "c", "d"]
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    hours = [12, 13, 10]
+    stream = _stream_of(spark, tmp_path / "in", [[event(f"{h}-{i}", ts=f"2026-09-10T{h}:0{i}:00", session=f"s{h}")
+                                                  for i in range(4)] for h in hours])
+    for minutes, path in ((5, str(tmp_path / "w5")), (7, str(tmp_path / "w7"))):
+        _run(S.write_partials(stream, lambda b, m=minutes: S.window_counts(b, m), path, path + "-ck", available_now=True))
+        assert sum(r.event_count for r in S.windowed_result(spark, path).collect()) == 12
+        kept = S.compact_partials(spark, path, path + "-small", ["window_start"], "event_count", "sum", 1)
+        assert kept.select("batch_id").distinct().count() == 2
+        same = {tuple(r) for r in S.windowed_result(spark, path).collect()}
+        assert {tuple(r) for r in S.windowed_result(spark, path + "-small").collect()} == same
+    path = str(tmp_path / "stage")
+    _run(S.write_partials(stream, S.session_stage, path, path + "-ck", available_now=True))
+    assert {r.session_id for r in S.fold(spark, path, ["session_id"], "stage_rank", "max").collect()} == {"s10", "s12", "s13"}
+
+
+def test_stream_counts_equal_the_outputs(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.jsonl").write_text(json.dumps(event("1")) + "\n" + json.dumps(event("2")) + "\n" + '{"event_id": "x", "ti\n')
+    good = str(tmp_path / "good")
+    q = S.split_stream(S.json_stream(spark, str(src)), lambda b, i: S.write_batch(b, good, i), str(tmp_path / "bad"),
+                       str(tmp_path / "ck"), available_now=True)
+    _run(q)
+    counts = [p["observedMetrics"]["stream_counts"] for p in q.recentProgress if p["numInputRows"]]
+    assert [(c["input_rows"], c["kept_rows"]) for c in counts] == [(3, 2)]
+    assert spark.read.parquet(good).count() == 2
+
+
 def test_stream_landing_files_per_batch(spark, tmp_path):
     import os
     src = tmp_path / "in"
