@@ -210,6 +210,8 @@ def bucket(context_counts: np.ndarray) -> np.ndarray:
 
 def learn_weights(cells: pd.DataFrame, distinct: int, rounds: int = 100) -> Weights:
     """Expectation-maximisation over held-out counts: columns bucket, bigram, word (estimates), n."""
+    if not distinct:  # no training tokens: only the uniform share is a distribution
+        return Weights(np.tile([0.0, 0.0, 1.0], (BUCKETS, 1)))
     least = 1e-4
     start = np.array([0.5, 0.4, 0.1])
 
