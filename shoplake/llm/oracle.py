@@ -34,6 +34,77 @@ SELECT doc_id, size, source_size, target,
 FROM c
 """
 
+def _step(k: int) -> str:
+    """Estimates of the windows' last characters after contexts of up to k - 1 characters."""
+    mixed = ", ".join(f"CASE WHEN c.{x}n > 0 THEN (coalesce(g.{x}, 0)::DOUBLE + c.{x}t::DOUBLE * p.p{x}) / (c.{x}n + c.{x}t)::DOUBLE "
+                      f"ELSE p.p{x} END AS p{x}" for x in "ar")
+    return f"""p{k} AS (
+  SELECT p.win, {mixed} FROM p{k - 1} p
+  LEFT JOIN grams g ON g.gram = substr(p.win, {6 - k}, {k}) LEFT JOIN contexts c ON c.context = substr(p.win, {6 - k}, {k - 1})
+)"""
+
+
+# Character models: every window of five characters (padded), its suffixes' counts in both classes, Witten-Bell
+# estimates from the shortest context up, log ratios in whole billionths summed per address, and the threshold
+# with the best balanced accuracy on the addresses kept out.
+OP2_URL_FILTER = r"""
+WITH parsed AS (
+  SELECT page_id, coalesce(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END, '') AS rest FROM pages
+), judged AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parsed
+), rules AS (
+  SELECT * FROM (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                        ('com', '/fr/', 'allow'), ('com', '/de/', 'block')) t(host, path, verdict)
+), fitting AS (
+  SELECT j.host, j.path, max_by(r.host || r.path, length(r.host || r.path)) AS rule,
+         max_by(r.verdict, length(r.host || r.path)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM judged) j
+  JOIN rules r ON (j.host = r.host OR ends_with(j.host, '.' || r.host)) AND starts_with(j.path, r.path) GROUP BY 1, 2
+), ruled AS (
+  SELECT j.*, j.host || j.path AS address, f.rule, f.verdict FROM judged j LEFT JOIN fitting f ON f.host = j.host AND f.path = j.path
+), addresses AS (
+  SELECT address, max(verdict) = 'allow' AS accepted, ('0x' || substr(md5(address), 1, 8))::BIGINT % 5 = 0 AS held,
+         repeat(chr(2), 4) || address || chr(3) AS padded
+  FROM ruled GROUP BY address
+), places AS (
+  SELECT address, accepted, held, substr(padded, i, 5) AS win
+  FROM (SELECT *, unnest(range(1, length(address) + 2)) AS i FROM addresses)
+), whole AS (
+  SELECT win, count(*) FILTER (WHERE accepted) AS a, count(*) FILTER (WHERE NOT accepted) AS r
+  FROM places WHERE accepted IS NOT NULL AND NOT held GROUP BY win
+), grams AS (
+  SELECT substr(win, 6 - k, k) AS gram, substr(win, 6 - k, k - 1) AS context, sum(a) AS a, sum(r) AS r
+  FROM whole, range(1, 6) t(k) GROUP BY 1, 2
+), contexts AS (
+  SELECT context, sum(a) AS an, sum(r) AS rn, count(*) FILTER (WHERE a > 0) AS at, count(*) FILTER (WHERE r > 0) AS rt
+  FROM grams GROUP BY context
+), p0 AS (
+  SELECT win, even AS pa, even AS pr
+  FROM (SELECT DISTINCT win FROM places), (SELECT 1.0::DOUBLE / (count(DISTINCT substr(win, 5, 1)) + 1) AS even FROM places)
+), """ + ", ".join(_step(k) for k in range(1, 6)) + r""", ratios AS (
+  SELECT win, round((ln(pa) - ln(pr)) * 1e9)::BIGINT AS ratio FROM p5
+), scores AS (
+  SELECT address, any_value(accepted) AS accepted, any_value(held) AS held,
+         sum(ratio)::BIGINT::DOUBLE / 1e9 / count(*)::DOUBLE AS score
+  FROM places JOIN ratios USING (win) GROUP BY address
+), held AS (
+  SELECT accepted, floor(least(greatest(score, -40), 40) * 256)::INTEGER AS bin FROM scores WHERE held AND accepted IS NOT NULL
+), edges AS (
+  SELECT bin FROM held UNION SELECT max(bin) + 1 FROM held
+), tried AS (
+  SELECT e.bin, count(*) FILTER (WHERE accepted) AS good, count(*) FILTER (WHERE NOT accepted) AS bad,
+         count(*) FILTER (WHERE accepted AND h.bin < e.bin) AS below_a, count(*) FILTER (WHERE NOT accepted AND h.bin < e.bin) AS below_r
+  FROM edges e, held h GROUP BY e.bin
+), threshold AS (
+  SELECT coalesce((SELECT bin / 256.0::DOUBLE FROM tried WHERE good > 0 AND bad > 0
+    ORDER BY (good - below_a)::DOUBLE / good::DOUBLE + below_r::DOUBLE / bad::DOUBLE DESC, abs(bin), bin LIMIT 1), 0.0) AS t
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN score >= t THEN 'allow' ELSE 'block' END) AS verdict,
+       round(score, 6) AS score
+FROM ruled JOIN scores USING (address), threshold
+"""
+
 OP6_KNN = """
 WITH v AS (
   SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
@@ -50,5 +121,6 @@ QUALIFY rank <= 20
 
 ORACLES = {
     "op1_mixing": OP1_MIXING,
+    "op2_url_filter": OP2_URL_FILTER,
     "op6_knn": OP6_KNN,
 }

@@ -10,66 +10,101 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-MEMO_CHUNKS = 300_000  # pieces of text a task remembers; it then starts anew
+MEMO_WORDS, MEMO_MATCHES = 900_000, 600_000  # what a task remembers; it then starts anew
 MEMO_LENGTH = 64
-BATCH_CHARS = 1 << 20
 
-# The byte-level pattern of the tokenizer never joins what lies on both sides of a white space that follows a
-# non-space, except for that one character and what comes after it. So a text can be cut there and equal
-# pieces encoded once.
-_CHUNK = re.compile(r"[ \n]?\S+|\s+(?=\s\S)|\s+")
-# Characters that Python and the tokenizer may class differently as white space: such a text is not cut.
-_UNSURE = re.compile("[\x1c-\x1f\x85" + "".join(map(chr, (0x180E, *range(0x200B, 0x2010), 0x2060, 0xFEFF))) + "]")
+# The byte-level tokenizer encodes the matches of its pattern one by one, so equal matches need encoding once.
+# Fixed value of the tokenizer: its pattern.
+_PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
-class Encoder:
-    """Encodes texts with a tokenizers file; created in each task."""
+def _range(first: int, last: int) -> str:
+    return f"{chr(first)}-{chr(last)}"
+
+
+# Characters whose class is the same in every version of Unicode's tables: ASCII but for separators, Latin, Greek,
+# Cyrillic, general punctuation, kana, common ideographs, Hangul. A text with others goes to the tokenizer whole.
+_OTHER = re.compile("[^" + "\t\n\r" + "".join(_range(*r) for r in (
+    (0x20, 0x7E), (0xA1, 0x17F), (0x388, 0x38A), (0x38E, 0x3A1), (0x3A3, 0x3CE), (0x400, 0x481), (0x2010, 0x2027),
+    (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3))) + "]")
+
+
+# Where no blank meets another white space or a text's end, the text can be cut before every blank: no match
+# reaches across. These are the white spaces that pass the check above.
+_MEETING = [" " + c for c in " \t\n\r"] + [c + " " for c in "\t\n\r"]
+
+
+def _byte_characters() -> dict[int, str]:
+    """The characters by which byte-level vocabularies write the bytes: visible ones stand for themselves, the
+    others follow from U+0100."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = (b for b in range(256) if b not in visible)
+    return {b: chr(b) for b in visible} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+
+
+class _Matches(dict):
+    """Ids of the pattern's matches, encoded by the tokenizer's model when first asked for."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.memo: dict[str, bytes] = {}
-
-    def _encode(self, chunks: list[str]) -> Iterator[bytes]:
-        for found in self.tokenizer.encode_batch(chunks, add_special_tokens=False):
-            yield np.array(found.ids, "<u4").tobytes()
-
-    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        waiting: list[list[str]] = []
-        size = 0
-        for text in texts:
-            waiting.append([text] if _UNSURE.search(text) else _CHUNK.findall(text))
-            size += len(text)
-            if size >= BATCH_CHARS:
-                yield from self._flush(waiting)
-                waiting, size = [], 0
-        yield from self._flush(waiting)
-
-    def _flush(self, waiting: list[list[str]]) -> Iterator[bytes]:
-        memo = self.memo
-        if len(memo) > MEMO_CHUNKS:
-            memo.clear()
-        new = list(set().union(*waiting) - memo.keys())
-        memo.update(zip(new, self._encode(new), strict=True))
-        for chunks in waiting:
-            yield b"".join(map(memo.__getitem__, chunks))
-        for chunk in new:
-            if len(chunk) > MEMO_LENGTH:
-                del memo[chunk]
+        self.characters = _byte_characters()
+
+    def __missing__(self, text: str) -> bytes:
+        written = text.encode().decode("latin-1").translate(self.characters)
+        found = array("I", [t.id for t in self.tokenizer.model.tokenize(written)]).tobytes()
+        if len(text) <= MEMO_LENGTH and len(self) < MEMO_MATCHES:
+            self[text] = found
+        return found
+
+
+class _Words(dict):
+    """Ids of words with a blank before them, put together from their matches."""
+
+    def __init__(self, matches: _Matches):
+        self.matches = matches
+
+    def __missing__(self, word: str) -> bytes:
+        found = b"".join(map(self.matches.__getitem__, _PATTERN.findall(" " + word)))
+        if len(word) <= MEMO_LENGTH and len(self) < MEMO_WORDS:
+            self[word] = found
+        return found
+
+
+class Encoder:
+    """Encodes texts with a tokenizers file; created in each task."""
+
+    def __init__(self, path: str):
+        self.matches = _Matches(path)
+        self.words = _Words(self.matches)
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as unsigned 32-bit integers."""
+        matches, words = self.matches, self.words
+        for memo, most in ((matches, MEMO_MATCHES), (words, MEMO_WORDS)):
+            if len(memo) >= most:
+                memo.clear()
+        if _OTHER.search(text):
+            return array("I", matches.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if text[:1] == " " or text[-1:] == " " or any(m in text for m in _MEETING):
+            return b"".join(map(matches.__getitem__, _PATTERN.findall(text)))
+        first, *rest = text.split(" ")
+        return b"".join(map(matches.__getitem__, _PATTERN.findall(first))) + b"".join(map(words.__getitem__, rest))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -113,7 +148,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, encoding:
                 return out
 
             texts = (t.as_py() or "" for t in batch.column(1))
-            for ids in encoder(tokenizer).encode(texts):
+            for ids in map(encoder(tokenizer).encode, texts):
                 done.append(ids + end)
                 size += len(ids)
                 if size > 16 << 20:

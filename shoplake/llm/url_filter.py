@@ -142,7 +142,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, held_share: int = 5)
     # Equal addresses are scored once. The same address always falls under the same rule.
     addresses = materialize(judged.groupBy("address").agg(F.max("by_rule").alias("by_rule")), "url-addresses")
     accepted = (F.col("by_rule") == "allow").alias("accepted")
-    held = F.pmod(F.xxhash64("address"), F.lit(held_share)) == 0
+    held = F.conv(F.substring(F.md5(F.col("address").cast("binary")), 1, 8), 16, 10).cast("long") % held_share == 0
     labelled = addresses.filter("by_rule IS NOT NULL").select("address", accepted, held.alias("held"))
     grams, contexts = train(labelled.filter(~F.col("held")))
     places = windows(addresses, "address")
@@ -155,4 +155,5 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, held_share: int = 5)
     threshold = calibrate(labelled.filter("held").join(scores, "address").select("accepted", "score"))
     by_method = F.when(F.col("score") >= F.lit(threshold), F.lit("allow")).otherwise(F.lit("block"))
     return judged.join(scores, "address").select(
-        "page_id", "host", "path", "rule", F.coalesce("by_rule", by_method).alias("verdict"), "score")
+        "page_id", "host", "path", "rule", F.coalesce("by_rule", by_method).alias("verdict"),
+        F.round("score", 6).alias("score"))
