@@ -58,12 +58,18 @@ def land_batch(df: DataFrame, path: str, minutes: int = 5, prefix: str = "raw",
     """A6 + A11: events -> raw JSON zone partitioned by the hour of their batch; returns the manifest.
 
     Rows land under ``hour=HH/batch=<load_id>``. A stable ``load_id`` makes a re-run replace its
-    own earlier output; by default each call gets a fresh id (plain append).
+    own earlier output; by default each call gets a fresh id (plain append). The manifest of a real
+    load also has ``location``, the folder below ``path`` that holds a batch's rows: all batches of an
+    hour share it, and rows without a time are in the default partition, as ``location`` says.
     """
     manifest = batch_manifest(df, minutes, prefix)
     if not dry_run:
         start = window_start(event_time(df), minutes)
         load = load_id or uuid.uuid4().hex[:16]
+        hour = F.try_to_timestamp(F.regexp_extract("source", r"(\d{8}_\d{2})", 1), F.lit("yyyyMMdd_HH"))
+        parts = [F.concat(F.lit(f"{c}="), F.coalesce(v, F.lit("__HIVE_DEFAULT_PARTITION__")))
+                 for c, v in zip(RAW_PARTITIONS, _parts(hour), strict=True)]
+        manifest = manifest.withColumn("location", F.concat_ws("/", *parts, F.lit(f"{BATCH_COLUMN}={load}")))
         out = df.select(*EVENT_COLUMNS, *_parts(start), F.lit(load).alias(BATCH_COLUMN))
         # A fresh id matches no existing directory, so a plain append is the same and skips the
         # staging and renames of a dynamic overwrite; a caller's id may repeat, so it overwrites.

@@ -239,6 +239,10 @@ BATCH = {
                   COUNT(*) AS rows
            FROM w GROUP BY window_start""",
         f"w AS (SELECT {WINDOW_5} AS window_start FROM curated)"),
+    "landing_agreement": with_curated(
+        f"""SELECT 'year=' || year || '/month=' || month || '/day=' || day || '/hour=' || hour || '/batch=all' AS location,
+                   COUNT(*) AS manifest_rows, COUNT(*) AS landed_rows
+            FROM (SELECT {_HOUR_PARTS} FROM curated) GROUP BY 1"""),
     "partition_listing": with_curated(
         """SELECT DISTINCT 'year=' || year || '/month=' || month || '/day=' || day || '/hour=' || hour AS partition,
                   year, month, day, hour FROM p""",

@@ -119,6 +119,16 @@ def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land_batch(curated(spark, sf_dir), "unused", minutes=5, dry_run=True)
 
 
+def landing_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 + A11: per folder, rows by the load's manifest and rows read back from there."""
+    path = scratch_dir(spark, "raw")
+    manifest = land_batch(curated(spark, sf_dir), path, load_id="all")
+    said = manifest.groupBy("location").agg(F.sum("rows").alias("manifest_rows"))
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"(year=[^/]*/month=[^/]*/day=[^/]*/hour=[^/]*/batch=[^/]*)/", 1)
+    found = spark.read.text(path).groupBy(folder.alias("location")).agg(F.count(F.lit(1)).alias("landed_rows"))
+    return said.join(found, "location", "full")
+
+
 def partition_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: hour partitions discovered on storage after landing, values kept zero-padded."""
     zones = land_raw_zone(spark, sf_dir)
@@ -194,6 +204,7 @@ BATCH: dict[str, Query] = {
     "raw_landing_counts": raw_landing_counts,
     "file_landing_counts": file_landing_counts,
     "landing_manifest": landing_manifest,
+    "landing_agreement": landing_agreement,
     "partition_listing": partition_listing,
     "etl_clean_counts": etl_clean_counts,
     "etl_partition_counts": etl_partition_counts,
