@@ -194,12 +194,13 @@ def dedup_into(stream: DataFrame, path: str, checkpoint: str, key: str = "event_
      .write.mode("overwrite").partitionBy("day").parquet(f"{seen_path}/batch_id=-1"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # One row of each key, a timed one if there is any.
-        order = F.struct(F.col(event_time).isNull(), F.col(event_time))
-        keyed = batch.where(F.col(key).isNotNull()).groupBy(key).agg(
-            F.min_by(F.struct(*batch.columns), order).alias("row")).select("row.*")
-        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
+        # The source is read once: the batch is kept (memory, then disk) for the steps below.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            # One row of each key, a timed one if there is any.
+            order = F.struct(F.col(event_time).isNull(), F.col(event_time))
+            keyed = batch.where(F.col(key).isNotNull()).groupBy(key).agg(
+                F.min_by(F.struct(*batch.columns), order).alias("row")).select("row.*")
             timed = F.col(event_time).isNotNull()
             first_day = keyed.where(timed).select(F.min(day)).first()[0]
             seen = batch.sparkSession.read.schema(seen_schema).parquet(seen_path)
@@ -211,7 +212,7 @@ def dedup_into(stream: DataFrame, path: str, checkpoint: str, key: str = "event_
                 new = new.unionByName(keyed.where(timed).join(near.select(key), key, "left_anti"))
             write_batch(new.select(*batch.columns).unionByName(batch.where(F.col(key).isNull())), data_path, batch_id)
         finally:
-            keyed.unpersist()
+            batch.unpersist()
         written = batch.sparkSession.read.parquet(f"{data_path}/batch_id={int(batch_id)}")
         write_batch(written.where(F.col(key).isNotNull()).select(key, day.alias("day")), seen_path, batch_id,
                     partition_cols=("day",))
