@@ -25,7 +25,7 @@ UNKNOWN_PENALTY = 10.0
 MEMO_WORDS = 250_000  # words a task remembers; it then starts anew
 MEMO_LENGTH = 64
 PIECE_CHARS = 1 << 20  # a longer text is cut before a white space near this length
-CHUNK_CHARS = 1 << 18  # characters of short texts that are segmented together
+CHUNK_CHARS = 1 << 17  # characters of short texts that are segmented together
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
