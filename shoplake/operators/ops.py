@@ -161,7 +161,7 @@ def compact(spark: SparkSession, src: str, dst: str, partition_cols: list[str],
 
 
 def scan_bytes(spark: SparkSession, path: str, fmt: str, columns: list[str] | None = None) -> DataFrame:
-    """Bytes a query must read from ``path``: ``files, bytes_scanned``.
+    """Bytes a query must read from ``path``: ``files, bytes_scanned, unopened_footers``.
 
     Row formats (json, csv, text) are read whole. For Parquet only the chunks of the needed
     ``columns`` plus each file's footer are read; the footers are opened with Arrow inside the tasks
@@ -170,7 +170,8 @@ def scan_bytes(spark: SparkSession, path: str, fmt: str, columns: list[str] | No
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
                .select("path", "length").where(~F.col("path").rlike(r"/_[^/]*$|/\.[^/]*$")))
     if fmt != "parquet":
-        return listing.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes_scanned"))
+        return listing.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes_scanned"),
+                           F.lit(0).cast("bigint").alias("unopened_footers"))
     wanted = list(columns or [])
 
     def footer_bytes(batches):
@@ -179,7 +180,7 @@ def scan_bytes(spark: SparkSession, path: str, fmt: str, columns: list[str] | No
         from pyarrow import fs as pafs
 
         for pdf in batches:
-            out = []
+            out, unopened = [], []
             for p, length in zip(pdf["path"], pdf["length"]):
                 uri = p.replace("file:/", "file:///", 1) if p.startswith("file:/") and not p.startswith("file:///") else p
                 uri = uri.replace("s3a://", "s3://", 1)
@@ -188,9 +189,11 @@ def scan_bytes(spark: SparkSession, path: str, fmt: str, columns: list[str] | No
                     with filesystem.open_input_file(inner) as fh:
                         meta = pq.ParquetFile(fh).metadata
                 except (OSError, ValueError):
-                    # A store Arrow cannot open here: count the whole file (an upper bound).
+                    # A store Arrow cannot open here: count the whole file (an upper bound) and say so.
                     out.append(int(length))
+                    unopened.append(1)
                     continue
+                unopened.append(0)
                 total = int(meta.serialized_size) + 8
                 for g in range(meta.num_row_groups):
                     rg = meta.row_group(g)
@@ -199,10 +202,11 @@ def scan_bytes(spark: SparkSession, path: str, fmt: str, columns: list[str] | No
                         if not wanted or chunk.path_in_schema.split(".")[0] in wanted:
                             total += int(chunk.total_compressed_size)
                 out.append(min(total, int(length)))
-            yield pd.DataFrame({"bytes": out})
+            yield pd.DataFrame({"bytes": out, "unopened": unopened}, dtype="int64")
 
-    chunks = listing.mapInPandas(footer_bytes, "bytes long")
-    return chunks.agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes_scanned"))
+    chunks = listing.mapInPandas(footer_bytes, "bytes long, unopened long")
+    return chunks.agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes_scanned"),
+                      F.coalesce(F.sum("unopened"), F.lit(0)).alias("unopened_footers"))
 
 
 def scan_cost(query_log: DataFrame) -> DataFrame:
