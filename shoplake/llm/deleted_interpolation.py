@@ -4,11 +4,12 @@ A word's probability after another mixes three estimates: the bigram's and the w
 estimates and a uniform share. The mixture weights depend on how often the context occurs (buckets of
 powers of two) and are learned by expectation-maximisation on the bigram counts of held-out documents.
 
-Counting and scoring shuffle packed blocks: a map task turns some two million tokens into distinct
-(word, context) pairs, dealt to ``groups`` by hash and packed column by column. What would be too large for
-one group is known beforehand: words and pairs that make up at least 1 / 2^17 of all tokens. There are at
-most 2^17 of either, so they are broadcast. Words below that have no contexts of their own: they share one
-rare context, whose mixture has no bigram part.
+Every training word is a context with a count of its own. Counting and scoring shuffle packed blocks: a map
+task turns some two million tokens into distinct (word, context) pairs, dealt to ``groups`` by hash and packed
+column by column. Words of at least 1 / 2^17 of the training tokens and pairs of at least 1 / 2^17 of all
+tokens (at most 2^17 of either) are broadcast, which saves sending them; it doesn't alter the result. Rare
+words and pairs go by 64-bit hash: for the weights, held-out pairs are joined with the words' counts; for the
+scores, the groups answer each block with the counts of its rare words and of its pairs.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -28,14 +29,16 @@ from pyspark.sql import functions as F
 
 from shoplake.llm.common import crc_of_id, materialize, word_lists
 
-FREQUENT = 1 << 17  # a frequent word or pair makes up at least 1 / FREQUENT of all tokens
-CONTEXT_BITS = 18  # FREQUENT contexts, the rare one and the begin of a text
+FREQUENT = 1 << 17  # a frequent word or pair makes up at least 1 / FREQUENT of the tokens
+CONTEXT_BITS = 18  # FREQUENT contexts and the begin of a text
 BLOCK_TOKENS = 2_000_000
 GROUP_TOKENS = 4_000_000
+SLICE = 1 << 18  # tokens scored at a time, to bound memory
 VOCABULARY = 700_000  # words a task remembers; it then starts anew
 CELLS_PER_OCTAVE = 4  # estimates are rounded to quarter powers of two for learning the weights
 FIT, HELD, TEST = 0, 1, 2
 END = b"\n"  # no word holds white space
+BEGIN = np.uint64(xxhash.xxh64_intdigest(b" ", 1))  # stands for the begin of a text among the words' hashes
 
 
 class _Vocabulary(dict):
@@ -168,9 +171,12 @@ class Frequent:
     distinct: int  # words (with the end) in training documents
     train_docs: int
     fit_docs: int
+    whole: bool  # every word is a context, not the frequent ones alone
+    words: DataFrame | None  # h, fit, train and more of every word; not broadcast
 
     @property
-    def rare(self) -> int:
+    def begin(self) -> int:
+        """Number of a text's begin; a block's rare words have the numbers after it."""
         return len(self.hashes)
 
     def place(self, hashes: np.ndarray) -> np.ndarray:
@@ -180,10 +186,6 @@ class Frequent:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, at, -1)
 
-    def context_counts(self, fit: bool) -> np.ndarray:
-        """Occurrences of every context: the frequent words, the rare context (0: no bigram part) and the begin."""
-        return np.r_[self.fit if fit else self.train, 0, self.fit_docs if fit else self.train_docs].astype(np.float64)
-
     @property
     def hot(self) -> float:
         return max(1.0, self.tokens / FREQUENT)
@@ -239,10 +241,15 @@ def learn_weights(cells: pd.DataFrame, distinct: int, rounds: int = 100) -> Weig
 
 # --- passes ---------------------------------------------------------------------------------------------------
 
-def count_words(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, share: int = FREQUENT) -> Frequent:
+def count_words(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, share: int | None = None,
+                broadcast: int = FREQUENT) -> Frequent:
     """Count all words by fold (one row per word and block, summed by Spark) and keep the frequent ones, those
-    that make up at least 1 / ``share`` (FREQUENT at most) of all tokens."""
-    if share > FREQUENT:
+    that make up at least 1 / ``broadcast`` (FREQUENT at most) of the training tokens.
+
+    With a ``share``, the frequent words are those of at least 1 / ``share`` of all tokens, and no other word
+    is a context: a smaller model, which the queries don't use.
+    """
+    if (share or broadcast) > FREQUENT:
         raise ValueError(f"at most {FREQUENT} frequent words fit the codes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,53 +268,99 @@ def count_words(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, share: int =
     total = words.agg(F.sum(F.col("train") + F.col("test")), F.sum("train"), F.sum("fit"),
                       F.sum((F.col("train") > 0).cast("long"))).first()
     tokens, train, fit, distinct = (int(x or 0) for x in total)
-    # The counts sum up to ``tokens``, so at most ``share`` words reach the bound.
-    frequent = words.filter(F.col("train") + F.col("test") >= max(1.0, tokens / share)).select("h", "train", "fit").collect()
+    # The counts sum up to the totals, so at most ``share`` or ``broadcast`` words reach the bound.
+    enough = (F.col("train") + F.col("test") >= max(1.0, tokens / share) if share
+              else F.col("train") >= max(1.0, train / broadcast))
+    frequent = words.filter(enough).select("h", "train", "fit").collect()
     hashes = np.array([r["h"] for r in frequent], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     end = xxhash.xxh64_intdigest(END, 1)
     ends = words.filter(F.col("h") == F.lit(end - (1 << 64) if end >= 1 << 63 else end)).select("train", "fit").first()
     return Frequent(hashes[order], np.array([r["train"] for r in frequent], np.int64)[order],
                     np.array([r["fit"] for r in frequent], np.int64)[order], tokens, train, fit, distinct,
-                    *(ends if ends else (0, 0)))
+                    *(ends if ends else (0, 0)), share is None, words)
+
+
+def pair_keys(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """64-bit identity of each pair, from the hashes of its context and word."""
+    with np.errstate(over="ignore"):
+        x = contexts * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(32)
+        x += words
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+        return x
 
 
 @dataclass
 class Tokens:
-    """A block's tokens by their place among the frequent words."""
+    """Words and contexts of a block as numbers: frequent words, a text's begin, then the block's rare words."""
 
-    hashes: np.ndarray
-    place: np.ndarray  # of the word, -1: rare
-    context: np.ndarray
-    code: np.ndarray  # place and context in one number, for frequent words
-    group: np.ndarray
+    words: np.ndarray
+    contexts: np.ndarray
+    rare: np.ndarray  # hashes of the rare words, sorted
+    begin: int
 
     @classmethod
-    def of(cls, b: Block, frequent: Frequent, groups: int) -> Tokens:
-        known = frequent.place(b.hashes)
-        place = known[b.words]
-        context = np.where(b.contexts < 0, frequent.rare + 1, known[b.contexts])
-        context = np.where(context < 0, frequent.rare, context)
-        hashes = b.hashes[b.words]
-        code = (place.astype(np.int64) << CONTEXT_BITS) | context
-        # Frequent words are dealt by pair, rare ones by word, so that a group knows a rare word's whole count.
-        with np.errstate(over="ignore"):
-            key = np.where(place >= 0, code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), hashes)
-        return cls(hashes, place, context, code, ((key >> np.uint64(24)) % np.uint64(groups)).astype(np.int64))
-
-
-def _by_group(group: np.ndarray, groups: int) -> Iterator[tuple[int, np.ndarray]]:
+    def of(cls, b: Block, frequent: Frequent) -> Tokens:
+        known = frequent.place(b.hashes).astype(np.int32)
+        seen = np.zeros(len(b.hashes), bool)
+        seen[b.words] = True
+        seen[b.contexts[b.contexts >= 0]] = True  # a text's first context may stand in the block before
+        rare = np.flatnonzero(seen & (known < 0))
+        rare = rare[np.argsort(b.hashes[rare])]
+        known[rare] = frequent.begin + 1 + np.arange(len(rare))
+        return cls(known[b.words], np.where(b.contexts < 0, np.int32(frequent.begin), known[b.contexts]), b.hashes[rare], frequent.begin)
+
+    def common(self) -> np.ndarray:
+        """Pairs of a frequent word with a frequent word or a begin before it."""
+        return (self.words < self.begin) & (self.contexts <= self.begin)
+
+    def code(self, at: np.ndarray) -> np.ndarray:
+        """Word and context in one number, for common pairs."""
+        return (self.words[at].astype(np.int64) << CONTEXT_BITS) | self.contexts[at]
+
+    def hashes(self, frequent: Frequent) -> np.ndarray:
+        return np.concatenate([frequent.hashes, np.array([BEGIN], np.uint64), self.rare])
+
+    def keys(self, at: np.ndarray, frequent: Frequent) -> np.ndarray:
+        hashes = self.hashes(frequent)
+        return pair_keys(hashes[self.contexts[at]], hashes[self.words[at]])
+
+    def hot(self, codes: np.ndarray) -> np.ndarray:
+        """Place of each token's pair among the hot ones, or -1."""
+        out = np.full(len(self.words), -1, np.int32)
+        if len(codes):
+            common = np.flatnonzero(self.common())
+            code = self.code(common)
+            at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            out[common] = np.where(codes[at] == code, at, -1)
+        return out
+
+
+def _by_group(keys: np.ndarray, groups: int) -> list[np.ndarray]:
+    """Places of the keys dealt to each group."""
+    group = ((keys >> np.uint64(24)) % np.uint64(groups)).astype(np.int64)
     order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(groups + 1))
-    for g in range(groups):
-        if cuts[g] < cuts[g + 1]:
-            yield g, order[cuts[g]:cuts[g + 1]]
+    return np.split(order, np.searchsorted(group[order], np.arange(1, groups)))
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, the place of one occurrence of each, and every value's number among them."""
+    order = np.argsort(values)
+    ascending = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = ascending[1:] != ascending[:-1]
+    numbers = np.empty(len(values), np.int32)
+    numbers[order] = np.cumsum(new, dtype=np.int32) - 1
+    return ascending[new], order[new], numbers
 
 
 def _number(hashes: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     """Distinct values over all arrays, and each array's values as numbers among them."""
-    flat = np.concatenate([np.zeros(0, np.uint64), *hashes])
-    distinct, inverse = np.unique(flat, return_inverse=True)
+    distinct, _, inverse = _distinct(np.concatenate([np.zeros(0, np.uint64), *hashes]))
     return distinct, np.split(inverse, np.cumsum([len(h) for h in hashes])[:-1]) if hashes else []
 
 
@@ -315,58 +368,89 @@ def count_pairs(docs: DataFrame, frequent: Frequent, groups: int,
                 block_tokens: int = BLOCK_TOKENS) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
     """Held-out counts by bucket and rounded estimates, and the hot pairs (codes, training counts).
 
-    Everything that comes to the driver is bounded: the cells by their grid, the hot pairs by FREQUENT.
+    Held-out pairs with a rare word or context are joined with the words' counts. Everything that comes to
+    the driver is bounded: the cells by their grid, the hot pairs by FREQUENT.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    shared = docs.sparkSession.sparkContext.broadcast(replace(frequent, words=None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = shared.value
         for b in blocks(batches, block_tokens):
-            t, fold = Tokens.of(b, f, groups), b.folds[b.docs].astype(np.uint64)
+            t, fold = Tokens.of(b, f), b.folds[b.docs]
+            common = t.common()
+            codes, n = _runs(np.sort((t.code(np.flatnonzero(common)).astype(np.uint64) << np.uint64(2))
+                                     | fold[common].astype(np.uint64)))
+            with np.errstate(over="ignore"):
+                code_groups = _by_group((codes >> np.uint64(2)) * np.uint64(0x9E3779B97F4A7C15), groups)
+            rare = np.flatnonzero(~common & (fold != TEST))
+            hashes = t.hashes(f)
+            keys, first, inverse = _distinct(t.keys(rare, f))
+            fit, held = (np.bincount(inverse, fold[rare] == x, minlength=len(keys)).astype(np.uint32) for x in (FIT, HELD))
             out = []
-            for g, at in _by_group(t.group, groups):
-                common, rare = at[t.place[at] >= 0], at[t.place[at] < 0]
-                codes, n = _runs(np.sort((t.code[common].astype(np.uint64) << np.uint64(2)) | fold[common]))
-                words, numbers = np.unique(t.hashes[rare], return_inverse=True)
-                pairs, rare_n = _runs(np.sort((numbers.astype(np.uint64) << np.uint64(CONTEXT_BITS + 2))
-                                              | (t.context[rare].astype(np.uint64) << np.uint64(2)) | fold[rare]))
-                per_word = np.bincount((pairs >> np.uint64(CONTEXT_BITS + 2)).astype(np.int64), minlength=len(words))
-                rest = (pairs & np.uint64((1 << CONTEXT_BITS + 2) - 1)).astype(np.uint32)
-                out.append((g, pack(_steps(codes), n, _steps(words), per_word.astype(np.uint32), rest, rare_n)))
+            for g, (at, of) in enumerate(zip(code_groups, _by_group(keys, groups), strict=True)):
+                named = rare[first[of[held[of] > 0]]]
+                out.append((g, pack(_steps(codes[at]), n[at], _steps(keys[of]), fit[of], held[of],
+                                    hashes[t.words[named]], hashes[t.contexts[named]])))
             yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in out], pa.int32()),
                                               pa.array([d for _, d in out], pa.binary())], names=["g", "data"])
 
+    def known_fit(f: Frequent, hashes: np.ndarray, rare: int) -> np.ndarray:
+        """Fit counts of the begin and the frequent words; -1 is looked up later."""
+        place = f.place(hashes)
+        return np.where(hashes == BEGIN, f.fit_docs, np.where(place >= 0, np.r_[f.fit, 0][place], rare))
+
     def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
         f = shared.value
         parts = [unpack(d) for d in pdf["data"]]
-        # Frequent words: sum up by pair and fold.
+        # Frequent words and contexts: sum up by pair and fold.
         codes = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
         pairs, inverse = np.unique(codes >> np.uint64(2), return_inverse=True)
         counts = np.bincount(inverse * 3 + (codes & np.uint64(3)).astype(np.int64),
                              weights=np.concatenate([p[1] for p in parts]), minlength=3 * len(pairs)).reshape(-1, 3)
         pairs = pairs.astype(np.int64)
-        word_fit = f.fit[pairs >> CONTEXT_BITS] if len(pairs) else np.zeros(0)
-        context = pairs & ((1 << CONTEXT_BITS) - 1)
         hot = counts.sum(axis=1) >= f.hot
         out = [pd.DataFrame({"kind": 1, "a": pairs[hot], "b": counts[hot, :2].sum(axis=1).astype(np.int64), "n": 1})]
-        out.append(_held_cells(counts, context, word_fit, f))
-        # Rare words: the group holds all of each.
-        words, numbers = _number([np.cumsum(p[2], dtype=np.uint64) for p in parts])
-        if len(words):
-            number = np.concatenate([np.repeat(x, p[3]) for x, p in zip(numbers, parts, strict=True)])
-            rest = np.concatenate([p[4] for p in parts]).astype(np.int64)
-            n = np.concatenate([p[5] for p in parts])
-            code, inverse = np.unique((number << CONTEXT_BITS) | (rest >> 2), return_inverse=True)
-            counts = np.bincount(inverse * 3 + (rest & 3), weights=n, minlength=3 * len(code)).reshape(-1, 3)
-            fit = np.bincount(code >> CONTEXT_BITS, weights=counts[:, FIT], minlength=len(words))
-            out.append(_held_cells(counts, code & ((1 << CONTEXT_BITS) - 1), fit[code >> CONTEXT_BITS], f))
-        return pd.concat(out, ignore_index=True).astype({"kind": "int32"})
-
-    cells = (docs.mapInArrow(run, "g int, data binary").groupBy("g")
-             .applyInPandas(reduce, "kind int, a long, b long, n long")
-             .groupBy("kind", "a", "b").agg(F.sum("n").alias("n")))
-    found = materialize(cells, "lm-pairs").toPandas()
-    held, hot = found[found["kind"] == 0], found[found["kind"] == 1].sort_values("a")
+        held = counts[:, HELD] > 0
+        of = pairs[held]
+        out.append(_held_cells(counts[held, HELD], counts[held, FIT], np.r_[f.fit, f.fit_docs][of & ((1 << CONTEXT_BITS) - 1)],
+                               np.r_[f.fit, 0][of >> CONTEXT_BITS], f.fit_tokens))
+        # The others: one row for each held-out pair, with what is known of its counts.
+        pairs, numbers = _number([np.cumsum(p[2], dtype=np.uint64) for p in parts])
+        fit, held = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
+        word, context = np.zeros(len(pairs), np.uint64), np.zeros(len(pairs), np.uint64)
+        for number, p in zip(numbers, parts, strict=True):
+            fit[number] += p[3]
+            held[number] += p[4]
+            word[number[p[4] > 0]], context[number[p[4] > 0]] = p[5], p[6]
+        at = held > 0
+        pairs, word, context = pairs[at], word[at], context[at]
+        word_fit, context_fit = known_fit(f, word, -1), known_fit(f, context, -1 if f.whole else 0)
+        # Known counts need no join: the pair's own key in their place spreads the rows.
+        out.append(pd.DataFrame({
+            "kind": 2, "a": np.where(word_fit < 0, word, pairs).view(np.int64),
+            "b": np.where(context_fit < 0, context, pairs).view(np.int64), "n": held[at], "fit": fit[at],
+            "word_fit": word_fit, "context_fit": context_fit}))
+        return pd.concat(out, ignore_index=True).fillna(0).astype(dict.fromkeys(
+            ("a", "b", "n", "fit", "word_fit", "context_fit"), "int64") | {"kind": "int32"})
+
+    found = materialize(docs.mapInArrow(run, "g int, data binary").groupBy("g").applyInPandas(
+        reduce, "kind int, a long, b long, n long, fit long, word_fit long, context_fit long"), "lm-pairs")
+    counts = frequent.words.filter("fit > 0")
+    looked_up = found.filter("kind = 2").drop("kind")
+    for key, column in (("a", "word_fit"), ("b", "context_fit")):
+        of = counts.select(F.col("h").alias(key), F.col("fit").alias("found"))
+        looked_up = looked_up.join(of, key, "left").withColumn(
+            column, F.when(F.col(column) >= 0, F.col(column)).otherwise(F.coalesce("found", F.lit(0)))).drop("found")
+    fit_tokens = frequent.fit_tokens
+
+    def cells_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield _held_cells(*(pdf[c].to_numpy() for c in ("n", "fit", "context_fit", "word_fit")), fit_tokens)
+
+    schema = "kind int, a long, b long, n long"
+    cells = (found.filter("kind < 2").select("kind", "a", "b", "n").unionByName(looked_up.mapInPandas(cells_of, schema))
+             .groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))).toPandas()
+    held, hot = cells[cells["kind"] == 0], cells[cells["kind"] == 1].sort_values("a")
     bigram, word = held["b"].to_numpy() >> 16, held["b"].to_numpy() & 0xFFFF
     table = pd.DataFrame({"bucket": held["a"].to_numpy(), "bigram": _estimate(bigram), "word": _estimate(word),
                           "n": held["n"].to_numpy()})
@@ -382,132 +466,103 @@ def _estimate(cell: np.ndarray) -> np.ndarray:
     return np.where(cell > 0, 2.0 ** (-(cell - 1) / CELLS_PER_OCTAVE), 0.0)
 
 
-def _held_cells(counts: np.ndarray, context: np.ndarray, word_fit: np.ndarray, f: Frequent) -> pd.DataFrame:
-    held = counts[:, HELD] > 0
-    of_context = f.context_counts(fit=True)[context[held]]
-    bigram = np.divide(counts[held, FIT], of_context, out=np.zeros(int(held.sum())), where=of_context > 0)
-    cell = (_cell(bigram) << 16) | _cell(word_fit[held] / max(f.fit_tokens, 1))
-    rows = pd.DataFrame({"kind": 0, "a": bucket(of_context).astype(np.int64), "b": cell,
-                         "n": counts[held, HELD].astype(np.int64)})
-    return rows.groupby(["kind", "a", "b"], as_index=False)["n"].sum()
+def _held_cells(held: np.ndarray, fit: np.ndarray, context_fit: np.ndarray, word_fit: np.ndarray,
+                fit_tokens: int) -> pd.DataFrame:
+    bigram = np.divide(fit, context_fit, out=np.zeros(len(held)), where=context_fit > 0)
+    cell = (_cell(bigram) << 16) | _cell(word_fit / max(fit_tokens, 1))
+    rows = pd.DataFrame({"kind": 0, "a": bucket(context_fit).astype(np.int64), "b": cell, "n": held.astype(np.int64)})
+    return rows.groupby(["kind", "a", "b"], as_index=False)["n"].sum().astype({"kind": "int32"})
 
 
-def score(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, share: int = FREQUENT) -> DataFrame:
+def score(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, share: int | None = None,
+          broadcast: int = FREQUENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     Tokens are the words (A-Z lower-cased) and one end; the model learns from documents that are not held
-    out. Null and empty texts have the end alone. Repeated rows get equal scores; null ids count as the
-    empty text in the split. Without training documents both scores rest on the uniform share alone. An empty
-    table gives an empty result; other columns are ignored.
+    out, and every word in them is a context (with a ``share``: see ``count_words``). Null and empty texts
+    have the end alone. Repeated rows get equal scores; null ids count as the empty text in the split.
+    Without training documents both scores rest on the uniform share alone. An empty table gives an empty
+    result; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    frequent = count_words(rows, block_tokens, share)
+    frequent = count_words(rows, block_tokens, share, broadcast)
     groups = max(12, frequent.tokens // GROUP_TOKENS)
     cells, hot_codes, hot_counts = count_pairs(rows, frequent, groups, block_tokens)
     weights = learn_weights(cells, frequent.distinct)
-    shared = docs.sparkSession.sparkContext.broadcast((frequent, weights, hot_codes, hot_counts))
-
-    def base(counts: np.ndarray, f: Frequent) -> np.ndarray:
-        return np.log10((counts + 0.5) / (f.train_tokens + 0.5 * (f.distinct + 1)))
-
-    def log_probability(pair: np.ndarray, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        f, w, _, _ = shared.value
-        return np.log10(w.probability(pair, f.context_counts(fit=False)[context], word, f.train_tokens, f.distinct))
+    shared = docs.sparkSession.sparkContext.broadcast((replace(frequent, words=None), weights, hot_codes, hot_counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f, _, codes, counts = shared.value
-        hot_values = log_probability(counts.astype(np.float64), codes & ((1 << CONTEXT_BITS) - 1), f.train[codes >> CONTEXT_BITS])
+        f, _, codes, _ = shared.value
         for b in blocks(batches, block_tokens):
-            t, n = Tokens.of(b, f, groups), len(b.rows)
-            train = (b.folds[b.docs] != TEST).astype(np.uint32)
-            posting = (b.docs.astype(np.uint32) << np.uint32(1)) | train
-            # What needs no other block: the frequent words' base scores and the hot pairs.
-            known = t.place >= 0
-            word_counts = f.train[t.place[known]]
-            sums = np.bincount(b.docs[known], weights=base(word_counts, f), minlength=n)
-            seen = np.bincount(b.docs[known], weights=word_counts > 0, minlength=n)
-            at = np.minimum(np.searchsorted(codes, t.code), max(len(codes) - 1, 0))
-            hot = known & (codes[at] == t.code) if len(codes) else np.zeros(len(known), bool)
-            scores = np.bincount(b.docs[hot], weights=hot_values[at[hot]], minlength=n)
+            t, n = Tokens.of(b, f), len(b.rows)
+            train = b.folds[b.docs] != TEST
+            left = np.flatnonzero(t.hot(codes) < 0)
+            keys, _, inverse = _distinct(t.keys(left, f))
+            in_pairs = np.bincount(inverse, train[left], minlength=len(keys)).astype(np.uint32)
+            is_rare = t.words > f.begin
+            in_words = np.bincount(t.words[is_rare] - f.begin - 1, train[is_rare], minlength=len(t.rare)).astype(np.uint32)
+            lengths = np.bincount(b.docs, minlength=n)
             ids = np.array([0 if i is None else i for i in b.doc_ids], np.int64)
             own = pack(b.rows.astype(np.uint64), ids.view(np.uint64), np.array([i is None for i in b.doc_ids], np.uint8),
-                       np.bincount(b.docs, minlength=n).astype(np.uint64), seen.astype(np.uint64), sums, scores)
+                       lengths.astype(np.uint64), t.contexts[np.cumsum(lengths) - lengths].astype(np.uint32),
+                       t.words.astype(np.uint32), _steps(t.rare))
             out = [(b.number % groups, b.number, True, own)]
-            left = np.flatnonzero(~hot)
-            for g, at in _by_group(t.group[left], groups):
-                at = left[at]
-                common, rare = at[t.place[at] >= 0], at[t.place[at] < 0]
-                order = common[np.argsort(t.code[common], kind="stable")]
-                pairs, n_pairs = _runs(t.code[order].astype(np.uint64))
-                words, numbers = np.unique(t.hashes[rare], return_inverse=True)
-                rare_code = (numbers.astype(np.int64) << CONTEXT_BITS) | t.context[rare]
-                rare_order = np.argsort(rare_code, kind="stable")
-                rare_pairs, n_rare = _runs(rare_code[rare_order])
-                per_word = np.bincount(rare_pairs >> CONTEXT_BITS, minlength=len(words)).astype(np.uint32)
-                rest = (rare_pairs & ((1 << CONTEXT_BITS) - 1)).astype(np.uint32)
-                out.append((g, b.number, False, pack(
-                    _steps(pairs), n_pairs, posting[order], _steps(words), per_word, rest, n_rare, posting[rare[rare_order]])))
+            for g, (at, of) in enumerate(zip(_by_group(keys, groups), _by_group(t.rare, groups), strict=True)):
+                out.append((g, b.number, False, pack(_steps(keys[at]), in_pairs[at], _steps(t.rare[of]), in_words[of])))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int64()),
                  pa.array([x[2] for x in out]), pa.array([x[3] for x in out], pa.binary())],
                 names=["g", "block", "own", "data"])
 
     def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
-        f = shared.value[0]
-        pdf = pdf.sort_values(["own", "block"], ignore_index=True)
+        """Each block's keys and words answered with their training counts over all blocks."""
         g, own = int(pdf["g"].iloc[0]), pdf[pdf["own"]]
         out = [(block, -1, data) for block, data in zip(own["block"], own["data"], strict=True)]
         pdf = pdf[~pdf["own"]]
         parts = [unpack(d) for d in pdf["data"]]
-
-        def trained(posting: np.ndarray, n: np.ndarray) -> np.ndarray:
-            starts = np.cumsum(n, dtype=np.int64) - n
-            return np.add.reduceat((posting & 1).astype(np.float64), starts) if len(n) else np.zeros(0)
-
-        # Frequent words: a pair's training count over all blocks.
-        pairs, numbers = _number([np.cumsum(p[0], dtype=np.uint64) for p in parts])
-        count = np.zeros(len(pairs))
-        for number, p in zip(numbers, parts, strict=True):
-            count[number] += trained(p[2], p[1])
-        code = pairs.astype(np.int64)
-        value = log_probability(count, code & ((1 << CONTEXT_BITS) - 1), f.train[code >> CONTEXT_BITS]) if len(code) else count
-        # Rare words: a word's and a pair's count.
-        words, word_numbers = _number([np.cumsum(p[3], dtype=np.uint64) for p in parts])
-        rare_codes = [(np.repeat(x, p[4]).astype(np.uint64) << np.uint64(CONTEXT_BITS)) | p[5]
-                      for x, p in zip(word_numbers, parts, strict=True)]
-        rare_pairs, rare_numbers = _number(rare_codes)
-        rare_count = np.zeros(len(rare_pairs))
-        for number, p in zip(rare_numbers, parts, strict=True):
-            rare_count[number] += trained(p[7], p[6])
-        rare_code = rare_pairs.astype(np.int64)
-        word_of = rare_code >> CONTEXT_BITS
-        word_count = np.bincount(word_of, weights=rare_count, minlength=len(words))
-        rare_value = log_probability(rare_count, rare_code & ((1 << CONTEXT_BITS) - 1), word_count[word_of])
-        rare_base, rare_known = base(word_count, f)[word_of], (word_count > 0)[word_of]
-        for block, p, number, rare_number in zip(pdf["block"], parts, numbers, rare_numbers, strict=True):
-            doc, rare_doc = (p[2] >> 1).astype(np.int64), (p[7] >> 1).astype(np.int64)
-            rare_of = np.repeat(rare_number, p[6])
-            docs_here, at = np.unique(np.r_[doc, rare_doc], return_inverse=True)
-            values = np.r_[value[np.repeat(number, p[1])], rare_value[rare_of]]
-            size = len(docs_here)
-            out.append((block, g, pack(
-                docs_here.astype(np.uint32), np.bincount(at, weights=values, minlength=size),
-                np.bincount(at[len(doc):], weights=rare_base[rare_of], minlength=size),
-                np.bincount(at[len(doc):], weights=rare_known[rare_of], minlength=size).astype(np.uint32))))
+        answers = []
+        for place in (0, 2):
+            found, numbers = _number([np.cumsum(p[place], dtype=np.uint64) for p in parts])
+            count = np.zeros(len(found), np.uint64)
+            for number, p in zip(numbers, parts, strict=True):
+                count[number] += p[place + 1]
+            # Up to 2^32 training tokens a number in half the bytes.
+            kind = np.uint32 if shared.value[0].train_tokens < 1 << 32 else np.uint64
+            answers.append([count[number].astype(kind) for number in numbers])
+        out += [(block, g, pack(*both)) for block, *both in zip(pdf["block"], *answers, strict=True)]
         return pd.DataFrame(out, columns=["block", "g", "data"]).astype({"g": "int32", "block": "int64"})
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+        f, w, codes, counts = shared.value
         pdf = pdf.sort_values("g", ignore_index=True)
-        row, ids, none, n, known, sums, scores = unpack(pdf["data"].iloc[0])
-        known, sums, scores = known.astype(np.int64), sums.copy(), scores.copy()
-        for data in pdf["data"].iloc[1:]:
-            docs_here, value, rare_base, rare_known = unpack(data)
-            scores[docs_here] += value
-            sums[docs_here] += rare_base
-            known[docs_here] += rare_known
+        row, ids, none, lengths, firsts, words, rare = unpack(pdf["data"].iloc[0])
+        answers = [unpack(d) for d in pdf["data"].iloc[1:]]
+        n, lengths = len(row), lengths.astype(np.int64)
+        docs_of = np.repeat(np.arange(n), lengths)
+        words = words.view(np.int32)
+        contexts = np.concatenate([np.zeros(1, np.int32), words[:-1]])
+        contexts[np.cumsum(lengths) - lengths] = firsts
+        t = Tokens(words, contexts, np.cumsum(rare, dtype=np.uint64), f.begin)
+        hot = t.hot(codes)
+        left = np.flatnonzero(hot < 0)
+        keys, _, inverse = _distinct(t.keys(left, f))
+        of_keys, of_rare = np.zeros(len(keys)), np.zeros(len(t.rare))
+        for dealt, into, place in ((keys, of_keys, 0), (t.rare, of_rare, 1)):
+            into[np.concatenate(_by_group(dealt, groups))] = np.concatenate([x[place] for x in answers])
+        pair = np.zeros(len(words))
+        pair[left] = of_keys[inverse]
+        pair[hot >= 0] = counts[hot[hot >= 0]]
+        of_word = np.concatenate([f.train, [0], of_rare]).astype(np.float64)
+        of_context = np.concatenate([f.train, [f.train_docs], of_rare if f.whole else 0 * of_rare]).astype(np.float64)
+        base = np.log10((of_word + 0.5) / (f.train_tokens + 0.5 * (f.distinct + 1)))
+        value = np.concatenate([np.log10(w.probability(
+            pair[at:at + SLICE], of_context[contexts[at:at + SLICE]], of_word[words[at:at + SLICE]], f.train_tokens, f.distinct))
+            for at in range(0, len(words), SLICE)])
         doc_id = pd.Series(ids.view(np.int64)).astype("Int64").mask(none.astype(bool))
-        return pd.DataFrame({"row": row.view(np.int64), "doc_id": doc_id, "n_tokens": n.view(np.int64), "n_known": known,
-                             "base_score": sums, "score": scores})
+        return pd.DataFrame({
+            "row": row.view(np.int64), "doc_id": doc_id, "n_tokens": lengths,
+            "n_known": np.bincount(docs_of, of_word[words] > 0, minlength=n).astype(np.int64),
+            "base_score": np.bincount(docs_of, base[words], minlength=n), "score": np.bincount(docs_of, value, minlength=n)})
 
     sums = (rows.mapInArrow(run, "g int, block long, own boolean, data binary").groupBy("g")
             .applyInPandas(reduce, "block long, g int, data binary").groupBy("block")

@@ -111,3 +111,18 @@ def test_empty_and_untrained_tables(make_docs):
     only = next(i for i in range(99) if fold(i) == lm.TEST)
     row = lm.score(make_docs([(only, "a b", "x")])).first()
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["score"], row["base_score"]) == (3, 0, 0, 0.0, 0.0)
+
+
+def test_every_training_word_is_a_context(make_docs):
+    """With few broadcast words and blocks that texts span, scores and weights are those of the whole model."""
+    rows = corpus() + [(5003, "w3 rare7 " * 1000, "b"), (7, "rare1 rare1 w2", "c"), (None, None, None)]
+    docs = make_docs(rows)
+    slim = docs.select("doc_id", "text")
+    few = lm.count_words(slim, 500, broadcast=40)
+    assert 0 < few.begin < 40 < few.distinct
+    table, _, _ = lm.count_pairs(slim, few, 12, 500)
+    whole, _, _ = learnt(docs, 1 << 17, 2_000_000)
+    assert np.allclose(lm.learn_weights(table, few.distinct).by_bucket, whole.by_bucket)
+    got = lm.score(docs, 500, broadcast=40).collect()
+    assert sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5),
+                   round(r["score"], 5)) for r in got) == plain(rows, 1 << 17, whole)
