@@ -169,31 +169,43 @@ def _name_word(kind: Column, norm: Column, attempt: Column, stream: Column) -> C
 
 def surrogate_of(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     """Normal form of an entity's surrogate at the given attempt."""
-    stream = _stream(key, kind, norm, attempt, F.length(norm) + 16)
+    stream = _stream(key, kind, norm, attempt, F.length(norm) + 16 + attempt)
     return _let(F.struct(kind.alias("kind"), norm.alias("norm"), attempt.alias("attempt"), stream.alias("stream")),
                 lambda e: _drawn(e["kind"], e["norm"], e["attempt"], e["stream"], key))
 
 
 def _drawn(kind: Column, norm: Column, attempt: Column, stream: Column, key: str) -> Column:
+    """The draw. Later attempts are longer, so that there is room for any number of entities."""
     at = lambda i: _byte(stream, F.lit(i))
+
+    def more(alphabet: str, count: Column) -> Column:
+        places = F.sequence(F.lit(0), count.cast("int"))  # with the place 0, which gives nothing
+        return F.array_join(F.transform(places, lambda i: F.when(i > 0, _pick(alphabet, _byte(
+            stream, F.length(norm) + 8 + i))).otherwise(F.lit(""))), "")
+
+    quick, slow = F.floor(attempt / 2), F.greatest(F.lit(0), F.floor((attempt - 14) / 2))
+    spare = more(DIGITS, slow)  # for what has a fixed length and much room
     ip = F.concat_ws(".", (at(1) % 223 + 1).cast("string"), *[at(i).cast("string") for i in (2, 3, 4)])
+    ip = F.when(slow > 0, F.concat(F.lit("2001:db8:"), F.regexp_replace(
+        F.substring(stream, 1, 24), "(.{4})(?=.)", "$1:"))).otherwise(ip)
     plain = _same_class(norm, stream, F.lit(False))
     # A phone keeps what stands before its last ten digits (the country code); an area does not begin with 0 or 1.
     country = F.greatest(F.length(norm) - 10, F.lit(0))
     phone = F.concat(F.substring(norm, F.lit(1), country), _pick("23456789", at(1)),
-                     F.substring(plain, country + 2, F.length(norm)))
+                     F.substring(plain, country + 2, F.length(norm)),
+                     more(DIGITS, F.when(F.length(norm) < 10, quick).otherwise(slow)))
     # A card keeps its first digit and whether its check digit is right.
-    front = F.concat(F.substring(norm, 1, 1), F.substring(plain, F.lit(2), F.length(norm) - 2))
+    front = F.concat(F.substring(norm, 1, 1), F.substring(plain, F.lit(2), F.length(norm) - 2), spare)
 
     def checked(digits: Column) -> Column:
         right = (10 - _luhn(F.concat(digits, F.lit("0"))) % 10) % 10
         return F.concat(digits, _let(right, lambda r: F.when(_luhn(norm) % 10 == 0, r).otherwise(
             (r + 1 + at(1) % 9) % 10)).cast("string"))
 
-    iban = F.concat(F.substring(norm, 1, 2), F.substring(plain, F.lit(3), F.length(norm)))
+    iban = F.concat(F.substring(norm, 1, 2), F.substring(plain, F.lit(3), F.length(norm)), spare)
     prefix = F.regexp_extract(norm, r"^(?:AKIA|(?:sk|ghp|gho|xoxb|xoxp)[-_])", 0)
     secret = _let(prefix, lambda p: _let(F.substring(norm, F.length(p) + 1, F.length(norm)), lambda rest: F.concat(
-        p, _same_class(rest, stream, rest.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$")))))
+        p, more(DIGITS, quick), _same_class(rest, stream, rest.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$")))))
     # The domain's last two labels become a reserved name; the labels before them keep their form.
     reserved = F.concat(F.lit("example."), F.element_at(F.array(F.lit("com"), F.lit("net"), F.lit("org")), at(2) % 3 + 1))
 
@@ -203,10 +215,10 @@ def _drawn(kind: Column, norm: Column, attempt: Column, stream: Column, key: str
             _let(_stream(key, F.lit("domain"), domain, F.lit(0), F.length(domain)),
                  lambda s: _same_class(front, s, F.lit(False))), F.lit("."), reserved)).otherwise(reserved))
 
-    email = F.concat(_same_class(F.substring_index(norm, "@", 1), stream, F.lit(False)), F.lit("@"),
+    email = F.concat(_same_class(F.substring_index(norm, "@", 1), stream, F.lit(False)), more(LOWER, quick), F.lit("@"),
                      _let(F.substring_index(norm, "@", -1), host))
     return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "phone", phone)
-            .when(kind == "card", _let(front, checked)).when(kind == "ssn", plain).when(kind == "iban", iban)
+            .when(kind == "card", _let(front, checked)).when(kind == "ssn", F.concat(plain, spare)).when(kind == "iban", iban)
             .when(kind == "secret", secret).otherwise(_name_word(kind, norm, attempt, stream)))
 
 
@@ -227,9 +239,11 @@ def replacement(mention: Column, attempts: Column, key: str) -> Column:
         return surrogate_of(part["kind"], part["norm"], attempt, key)
 
     def placed(first: Column) -> Column:
-        # Letters and digits of the mention take the surrogate's in turn; separators stay.
-        return _each(text, lambda c, i: F.when(c.rlike("[0-9A-Za-z]"), F.substring(first, F.length(F.regexp_replace(
-            F.substring(text, F.lit(1), i.cast("int")), "[^0-9A-Za-z]", "")), F.lit(1))).otherwise(c))
+        # Letters and digits of the mention take the surrogate's in turn; separators stay. A longer surrogate's rest follows.
+        bare = lambda t: F.length(F.regexp_replace(t, "[^0-9A-Za-z]", ""))
+        return F.concat(_each(text, lambda c, i: F.when(c.rlike("[0-9A-Za-z]"), F.substring(first, bare(
+            F.substring(text, F.lit(1), i.cast("int"))), F.lit(1))).otherwise(c)),
+            F.substring(first, bare(text) + 1, F.length(first)))
 
     title = F.regexp_extract(text, r"^.*?\.? (?=\p{Lu})", 0)
     name = _let(title, lambda t: F.concat(t, F.array_join(F.zip_with(

@@ -76,3 +76,14 @@ def test_collisions_are_drawn_again(spark, make_docs, monkeypatch):
     stands = {ips[r["doc_id"]]: r["text"].split()[0] for r in rows}
     assert len(set(stands.values())) == 30 and not set(stands.values()) & set(ips)
     assert all(r["text"].split()[2] == stands[ips[0]] for r in rows if "and" in r["text"])
+
+
+def test_more_entities_than_short_surrogates(make_docs):
+    """One-letter addresses and short phones beyond what their own length has room for."""
+    mails = [f"a@s{i}.com" for i in range(100)]
+    phones = [f"+{i}" for i in range(1000, 6000)]
+    docs = make_docs([(i, m, "a") for i, m in enumerate(mails)] + [(100 + i, p, "a") for i, p in enumerate(phones)])
+    got = {r["doc_id"]: r["text"] for r in surrogates.pseudonymised(docs, "k").collect()}
+    assert len(set(got.values())) == 5100 and not set(got.values()) & set(mails + phones)
+    assert all(re.fullmatch(r"[a-z]+@example\.(?:com|net|org)", got[i]) for i in range(100))
+    assert all(re.fullmatch(r"\+\d{4,}", got[100 + i]) for i in range(5000))
