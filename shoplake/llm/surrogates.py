@@ -24,17 +24,25 @@ MALE, FEMALE = MALE + CYRILLIC_MALE, FEMALE + CYRILLIC_FEMALE
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLES = "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True))
-_WORD = r"\p{Lu}[\p{L}'’-]+"
+# A possessive 's is not part of the name.
+_WORD = r"\p{Lu}(?:[\p{L}-]|['’](?!s(?!\p{L})))+"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+"
 IP = rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)"
-IBAN = r"\b[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: \d{4}){3,7}(?: \d{1,3})?)\b"
+IPV6 = (r"(?<![\w:.])(?:(?:H:){7}H|(?=[0-9A-Fa-f:]*\d)(?:(?:H:){6}:H|(?:H:){5}(?::H){1,2}|(?:H:){4}(?::H){1,3}|(?:H:){3}(?::H){1,4}"
+        r"|(?:H:){2}(?::H){1,5}|H:(?::H){1,6}|:(?::H){1,7}|(?:H:){1,7}:))(?![\w:]|\.\d)").replace("H", "[0-9A-Fa-f]{1,4}")
+IP = rf"{IPV6}|{IP}"
+# In groups of four the last whole group has a digit, and eight digits follow the check digits.
+IBAN = (r"\b[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?=(?:[ A-Z]{0,5}\d){8})(?: [A-Z0-9]{4}){2,6} (?=[A-Z]*\d)[A-Z0-9]{4}"
+        r"(?: (?=[A-Z]*\d)[A-Z0-9]{1,3})?|(?: \d{4}){2} \d{3})\b")
 CARD = r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 PHONE = (r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
-         r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])")
+         r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\w.+-])(?:1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])"
+         r"|(?<![\w.+:/-])(?:\(0\d{1,4}\)|0\d{1,4})[ .-]\d{3,4}[ .-]?\d{3,4}(?![\w-])|(?<![\w.+:/-])0\d(?:[ .-]\d{2}){4}(?![\w-])")
 SECRET_WORD = r"(?i:password|passwd|pwd|secret|token|api_?key)[\"']?\s{0,2}[=:]\s{0,2}[\"']?"
 SECRET = (r"\bAKIA[0-9A-Z]{16}\b|\b(?:sk|ghp|gho|xoxb|xoxp)[-_][A-Za-z0-9_-]{16,}"
           rf"|{SECRET_WORD}(?=[A-Za-z+/_-]*\d)[A-Za-z0-9+/_-]{{6,}}={{0,2}}")
+TITLE = rf"(?:{_TITLES})\.? (?=\p{{Lu}})"
 NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? {_WORD}(?: {_WORD}){{0,2}}"
 ENTITY = "|".join((EMAIL, IP, SECRET, IBAN, CARD, SSN, PHONE, NAME))
 
@@ -133,25 +141,60 @@ def _secret_value(mention: Column) -> Column:
     return F.regexp_replace(mention, f"^{SECRET_WORD}", "")
 
 
-def parsed(mention: Column) -> Column:
-    """The mention as a struct: text, kind and its entities' (kind, norm): one, or for a name one for each word."""
+def _canonical_ip(ip: Column) -> Column:
+    """IPv4 as it is; IPv6 in lower case with all eight groups and no leading zeros."""
+    halves = F.split(F.lower(ip), "::")
+    groups = lambda h: F.filter(F.split(h, ":"), lambda x: x != "")
+    left, right = groups(halves[0]), F.when(F.size(halves) > 1, groups(F.get(halves, 1))).otherwise(F.array().cast("array<string>"))
+    whole = _let(F.struct(left.alias("l"), right.alias("r")), lambda h: F.concat(h["l"], F.array_repeat(
+        F.lit("0"), F.greatest(F.lit(0), 8 - F.size(h["l"]) - F.size(h["r"]))), h["r"]))
+    return F.when(ip.contains(":"), F.array_join(F.transform(whole, lambda x: F.regexp_replace(x, "^0+(?=.)", "")), ":")).otherwise(ip)
+
+
+def parsed(mention: Column, names: Column | None = None) -> Column:
+    """The mention as a struct: text, kind and its entities' (kind, norm): one, or for a name one for each word.
+
+    ``names``: the (kind, norm) that the document's titled names have; an untitled name's words are among them.
+    """
 
     def of(kind: Column) -> Column:
         norm = (F.when(kind == "email", F.lower(mention)).when(kind == "secret", _secret_value(mention))
                 .when(kind.isin("card", "ssn", "phone", "iban"), F.regexp_replace(mention, r"[^0-9A-Za-z]", ""))
-                .otherwise(mention))
+                .when(kind == "ip", _canonical_ip(mention)).otherwise(mention))
         one = F.array(F.struct(kind.alias("kind"), norm.alias("norm")))
-        words = F.split(F.regexp_replace(mention, r"^.*?\.? (?=\p{Lu})", ""), " ")
+        words = F.split(F.regexp_replace(mention, f"^{TITLE}", ""), " ")
         several = _let(F.struct(words.alias("words"), F.concat(F.lit("given_"), _title_gender(mention)).alias("given")),
                        lambda n: F.transform(n["words"], lambda w, i: F.struct(
                            F.when(i == F.size(n["words"]) - 1, F.lit("family")).otherwise(n["given"]).alias("kind"),
                            F.lower(w).alias("norm"))))
+        if names is not None:
+            bare = F.transform(words, lambda w: F.struct(F.array_min(F.transform(
+                F.filter(names, lambda n: n["norm"] == F.lower(w)), lambda n: n["kind"])).alias("kind"), F.lower(w).alias("norm")))
+            several = F.when(mention.rlike(f"^{TITLE}"), several).otherwise(bare)
         return F.struct(mention.alias("text"), kind.alias("kind"),
                         F.when(kind == "name", several).otherwise(one).alias("parts"))
 
     return _let(kind_of(mention), of)
 
 
+def titled_names(text: Column) -> Column:
+    """Distinct words of the names that a text has with a title, and their (kind, norm): a struct of words, parts."""
+    none = F.array().cast("array<string>")
+    found = F.when(_has_title(text), F.regexp_extract_all(text, F.lit(NAME), F.lit(0))).otherwise(none)
+    return _let(found, lambda m: F.struct(
+        F.array_distinct(F.flatten(F.transform(m, lambda x: F.split(F.regexp_replace(x, f"^{TITLE}", ""), " ")))).alias("words"),
+        F.array_distinct(F.flatten(F.transform(m, lambda x: parsed(x)["parts"]))).alias("parts")))
+
+
+def pattern_for(names: Column) -> Column:
+    """ENTITY, with the untitled names of a text (as written, capitalised or in upper case) if it has titled ones."""
+    forms = F.flatten(F.transform(names["words"], lambda w: F.array(w, F.upper(w), F.initcap(w))))
+    word = F.concat(F.lit("(?:"), F.array_join(F.array_sort(F.array_distinct(forms), lambda a, b: F.length(b) - F.length(a)), "|"),
+                    F.lit(r")(?![\p{L}\p{N}]|['’-]\p{L}{2})"))
+    untitled = F.concat(F.lit(ENTITY + r"|(?<![\p{L}\p{N}])"), word, F.lit("(?: "), word, F.lit("){0,3}"))
+    return F.when(F.size(names["words"]) > 0, untitled).otherwise(F.lit(ENTITY))
+
+
 def _name_word(kind: Column, norm: Column, attempt: Column, stream: Column) -> Column:
     """A made-up word in the script of ``norm``: syllables and an ending by gender; longer after failed attempts."""
 
@@ -186,11 +229,12 @@ def _drawn(kind: Column, norm: Column, attempt: Column, stream: Column, key: str
     quick, slow = F.floor(attempt / 2), F.greatest(F.lit(0), F.floor((attempt - 14) / 2))
     spare = more(DIGITS, slow)  # for what has a fixed length and much room
     ip = F.concat_ws(".", (at(1) % 223 + 1).cast("string"), *[at(i).cast("string") for i in (2, 3, 4)])
-    ip = F.when(slow > 0, F.concat(F.lit("2001:db8:"), F.regexp_replace(
-        F.substring(stream, 1, 24), "(.{4})(?=.)", "$1:"))).otherwise(ip)
+    ip = F.when((slow > 0) | norm.contains(":"), F.concat(F.lit("2001:db8:"), F.regexp_replace(
+        F.regexp_replace(F.substring(stream, 1, 24), "(.{4})(?=.)", "$1:"), "(^|:)0+(?=[^:])", "$1"))).otherwise(ip)
     plain = _same_class(norm, stream, F.lit(False))
-    # A phone keeps what stands before its last ten digits (the country code); an area does not begin with 0 or 1.
-    country = F.greatest(F.length(norm) - 10, F.lit(0))
+    # A phone keeps what stands before its last ten digits (the country code) and a leading 0; an area does not
+    # begin with 0 or 1.
+    country = F.greatest(F.length(norm) - 10, norm.startswith("0").cast("int"))
     phone = F.concat(F.substring(norm, F.lit(1), country), _pick("23456789", at(1)),
                      F.substring(plain, country + 2, F.length(norm)),
                      more(DIGITS, F.when(F.length(norm) < 10, quick).otherwise(slow)))
@@ -231,12 +275,13 @@ def _cased(word: Column, like: Column) -> Column:
 
 
 def replacement(mention: Column, attempts: Column, key: str) -> Column:
-    """The text to stand for a parsed mention. ``attempts``: map from "kind:norm" to the attempt, where not 0."""
+    """The text to stand for a parsed mention. ``attempts``: map from "kind:norm" to the kind to draw for and the attempt,
+    where not its own and 0."""
     text, kind = mention["text"], mention["kind"]
 
     def drawn(part: Column) -> Column:
-        attempt = F.coalesce(F.element_at(attempts, F.concat_ws(":", part["kind"], part["norm"])), F.lit(0))
-        return surrogate_of(part["kind"], part["norm"], attempt, key)
+        return _let(F.element_at(attempts, F.concat_ws(":", part["kind"], part["norm"])), lambda a: surrogate_of(
+            F.coalesce(a["as_kind"], part["kind"]), part["norm"], F.coalesce(a["attempt"], F.lit(0)), key))
 
     def placed(first: Column) -> Column:
         # Letters and digits of the mention take the surrogate's in turn; separators stay. A longer surrogate's rest follows.
@@ -245,25 +290,29 @@ def replacement(mention: Column, attempts: Column, key: str) -> Column:
             F.substring(text, F.lit(1), i.cast("int"))), F.lit(1))).otherwise(c)),
             F.substring(first, bare(text) + 1, F.length(first)))
 
-    title = F.regexp_extract(text, r"^.*?\.? (?=\p{Lu})", 0)
+    title = F.regexp_extract(text, f"^{TITLE}", 0)
     name = _let(title, lambda t: F.concat(t, F.array_join(F.zip_with(
         F.split(F.substring(text, F.length(t) + 1, F.length(text)), " "), F.transform(mention["parts"], drawn),
         lambda w, d: _cased(d, w)), " ")))
     word = F.regexp_extract(text, f"^{SECRET_WORD}", 0)
     single = _let(drawn(mention["parts"][0]), lambda first: (
         F.when(kind == "email", F.when(text == F.upper(text), F.upper(first)).otherwise(first))
-        .when(kind == "ip", first).when(kind == "secret", F.concat(word, first)).otherwise(placed(first))))
+        .when(kind == "ip", F.when(text.rlike("[A-F]"), F.upper(first)).otherwise(first)).when(kind == "secret", F.concat(word, first)).otherwise(placed(first))))
     return F.when(kind == "name", name).otherwise(single)
 
 
-def mentions_of(text: Column) -> Column:
-    """All entity mentions of a text, in order; texts without a digit, @ or title are not searched."""
+def _has_title(text: Column) -> Column:
     titled = F.lit(False)
     for title in MALE + FEMALE + NEUTRAL:
         titled = titled | text.contains(title)
-    candidate = text.rlike("[0-9@]") | titled
+    return titled
+
+
+def mentions_of(text: Column, pattern: Column) -> Column:
+    """All entity mentions of a text, in order; texts without a digit, @, :: or title are not searched."""
+    candidate = text.rlike("[0-9@]|::") | _has_title(text)
     none = F.array().cast("array<string>")
-    return F.when(candidate, F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(none)
+    return F.when(candidate, F.regexp_extract_all(text, pattern, F.lit(0))).otherwise(none)
 
 
 def attempts(entities: DataFrame, key: str, max_rounds: int = 60) -> DataFrame:
@@ -307,28 +356,44 @@ def pseudonymised(docs: DataFrame, key: str, id_column: str = "doc_id", text_col
     """
     names = [c for c in docs.columns if c != "n_entities"]
     text = F.col(text_column)
-    found = docs.select(F.explode(mentions_of(text)).alias("mention")).select(
-        F.explode(parsed(F.col("mention"))["parts"]).alias("part"))
+
+    def searched(rows: DataFrame) -> DataFrame:
+        """With __names, __pattern and __mentions, each computed once for a row."""
+        return (rows.withColumn("__names", titled_names(F.col("__text")))
+                .withColumn("__pattern", pattern_for(F.col("__names")))
+                .withColumn("__mentions", F.transform(mentions_of(F.col("__text"), F.col("__pattern")),
+                                                      lambda m: parsed(m, F.col("__names")["parts"]))))
+
+    found = searched(docs.select(text.alias("__text"))).select(F.explode("__mentions").alias("mention")).select(
+        F.explode("mention.parts").alias("part"))
     entities = materialize(found.select("part.kind", "part.norm").distinct(), "pii-entities")
-    late = materialize(attempts(entities, key), "pii-late")
-    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))
-    rows = docs.select(F.struct(*names).alias("__doc"), text.alias("__text"), F.col(id_column).alias("__id"),
-                       F.xxhash64(text).alias("__hash"), mentions_of(text).alias("__mentions"))
+    # A given name with a neutral title is the same as with Mr or Mrs, if it is known with one of them only.
+    known = (entities.filter(F.col("kind").isin("given_m", "given_f")).groupBy("norm")
+             .agg(F.min("kind").alias("as_kind"), F.max("kind").alias("other")).filter("as_kind = other").select("norm", "as_kind"))
+    resolved = materialize(entities.join(known, "norm", "left").select("kind", "norm", F.when(
+        F.col("kind") == "given_x", F.coalesce("as_kind", "kind")).otherwise(F.col("kind")).alias("as_kind")), "pii-resolved")
+    own = resolved.filter("kind = as_kind").select("kind", "norm")
+    late = resolved.join(attempts(own, key).select(F.col("kind").alias("as_kind"), "norm", "attempt"),
+                         ["as_kind", "norm"], "left").filter("attempt IS NOT NULL OR kind <> as_kind")
+    late = materialize(late.select("kind", "norm", "as_kind", F.coalesce("attempt", F.lit(0)).alias("attempt")), "pii-late")
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<struct<as_kind:string,attempt:int>>"))
+    rows = searched(docs.select(F.struct(*names).alias("__doc"), text.alias("__text"), F.col(id_column).alias("__id"),
+                                F.xxhash64(text).alias("__hash")))
     if late.isEmpty():
         rows = rows.withColumn("__attempts", empty)
     else:
-        # Per document with such an entity: its later attempts.
+        # Per document with such an entity: its later attempts and resolved kinds.
         mentioned = (rows.select("__id", "__hash", F.explode("__mentions").alias("mention"))
-                     .select("__id", "__hash", F.explode(parsed(F.col("mention"))["parts"]).alias("part"))
+                     .select("__id", "__hash", F.explode("mention.parts").alias("part"))
                      .select("__id", "__hash", "part.kind", "part.norm").distinct().join(late, ["kind", "norm"])
                      .groupBy("__id", "__hash").agg(F.map_from_entries(F.collect_list(F.struct(
-                         F.concat_ws(":", "kind", "norm"), "attempt"))).alias("__late")))
+                         F.concat_ws(":", "kind", "norm"), F.struct("as_kind", "attempt")))).alias("__late")))
         mentioned = materialize(mentioned.select(F.col("__id").alias("__lid"), F.col("__hash").alias("__lhash"), "__late"),
                                 "pii-mentioned")
         rows = rows.join(mentioned, F.col("__id").eqNullSafe(F.col("__lid")) & (F.col("__hash") == F.col("__lhash")),
                          "left").withColumn("__attempts", F.coalesce("__late", empty))
-    gaps = F.split(F.col("__text"), ENTITY, -1)
-    stands = F.transform(F.transform("__mentions", parsed), lambda m: replacement(m, F.col("__attempts"), key))
+    gaps = F.split(F.col("__text"), F.col("__pattern"), -1)
+    stands = F.transform("__mentions", lambda m: replacement(m, F.col("__attempts"), key))
     whole = F.concat(F.array_join(F.zip_with(F.slice(gaps, F.lit(1), F.size("__mentions")), stands,
                                              lambda g, s: F.concat(g, s)), ""), F.element_at(gaps, -1))
     new = F.when(F.size("__mentions") > 0, whole).otherwise(F.col("__text"))

@@ -87,3 +87,24 @@ def test_more_entities_than_short_surrogates(make_docs):
     assert len(set(got.values())) == 5100 and not set(got.values()) & set(mails + phones)
     assert all(re.fullmatch(r"[a-z]+@example\.(?:com|net|org)", got[i]) for i in range(100))
     assert all(re.fullmatch(r"\+\d{4,}", got[100 + i]) for i in range(5000))
+
+
+def test_further_forms_and_untitled_names(make_docs):
+    private = ["555 123 4567", "1-800-555-1234", "020 7946 0958", "06 12 34 56 78", "2001:db8:85a3::8a2e:370:7334", "fe80::1",
+               "GB29 NWBK 6016 1331 9268 19", "NO93 8601 1117 947"]
+    rows = [(i, f"see {p}, then {p}.", "a") for i, p in enumerate(private)]
+    rows += [(20, "Smith came. Mr. John Smith spoke; John Smith's car, Smith's and SMITH. Smithson stays.", "a"),
+             (21, "Dr John Smith", "a"), (22, "John Smith is not titled here", "a"),
+             (23, "2001:0DB8:85A3:0:0:8A2E:370:7334 at 10:30:45, std::cout, Foo::bar", "a")]
+    got = run(make_docs(rows))
+    for i, p in enumerate(private):
+        one = re.fullmatch(r"see (.+), then (.+)\.", got[i]["text"])
+        assert one and one[1] == one[2] != p and got[i]["n_entities"] == 2, p
+        if "::" not in p:
+            assert re.sub("[A-Z]", "A", re.sub(r"\d", "9", one[1])) == re.sub("[A-Z]", "A", re.sub(r"\d", "9", p))
+    ip = re.match("see (.+), then", got[4]["text"])[1]
+    assert got[23]["text"] == f"{ip.upper()} at 10:30:45, std::cout, Foo::bar" and got[23]["n_entities"] == 1
+    name = re.fullmatch(r"(\w+) came\. Mr\. (\w+) (\w+) spoke; (\w+) (\w+)'s car, (\w+)'s and (\w+)\. Smithson stays\.", got[20]["text"])
+    assert name and name[1] == name[3] == name[5] == name[6] == name[7].capitalize() != "Smith" and name[2] == name[4] != "John"
+    assert got[20]["n_entities"] == 5 and got[21]["text"] == f"Dr {name[2]} {name[3]}"
+    assert got[22]["n_entities"] == 0
