@@ -260,19 +260,22 @@ def alike(least: float):
     return linked
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32) -> DataFrame:
+def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """doc_id and component_id (smallest doc_id reachable by links) of every row.
 
-    Fingerprints are linked if at least ``least`` of their slots are equal. Candidates share a band, that is
-    SLOTS / bands sampled slots, and each is verified on all slots; copies collapse first. Null and
+    Fingerprints are linked if at least ``least`` of their slots are equal. Candidates share a band of
+    slots, and each is verified on all slots. There is one band more than slots that may differ, so every
+    linked pair shares one. Copies collapse first. Null and
     empty texts are copies of each other; null ids are never a component's smallest. An empty table gives
     an empty result; other columns are ignored.
     """
     prints = materialize(fingerprints(docs.select("doc_id", "text")), "edit-prints")
     distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
     distinct = materialize(distinct.withColumn("id", F.monotonically_increasing_id()), "edit-distinct")
-    width = 2 * SLOTS // bands
-    keys = F.array(*[F.xxhash64(F.lit(b), F.substring("fingerprint", b * width + 1, width)) for b in range(bands)])
+    differing = int(sum(1 - d / SLOTS >= least for d in range(1, SLOTS + 1)))
+    bounds = [b * SLOTS // min(differing + 1, SLOTS) for b in range(min(differing + 1, SLOTS) + 1)]
+    keys = F.array(*[F.xxhash64(F.lit(b), F.substring("fingerprint", 2 * low + 1, 2 * (high - low)))
+                     for b, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))])
     rows = distinct.select("id", F.unhex("fingerprint").alias("data"), F.explode(keys).alias("bucket"))
     found = components(link_in_buckets(rows, alike(least), SLOTS))
     rooted = distinct.join(found, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id"))

@@ -75,3 +75,15 @@ def test_near_duplicates_are_linked(make_docs):
     rows += [(98, "", "a"), (99, None, "a")]
     got = {r["doc_id"]: r["component_id"] for r in ef.near_duplicates(make_docs(rows)).collect()}
     assert got == family | {98: 98, 99: 98}
+
+
+def test_differences_spread_over_all_bands_lose_no_link(make_docs, monkeypatch):
+    """51 differing slots, one in every eight and more, leave a likeness of 0.80."""
+    from pyspark.sql import functions as F
+    spread = bytes(1 if i % 8 == 0 or i % 13 == 1 or i in (3, 5) else 0 for i in range(ef.SLOTS))
+    prints = {"a": bytes(ef.SLOTS).hex(), "b": spread.hex(), "c": (b"\x02" * ef.SLOTS).hex()}
+    assert 0.8 <= 1 - sum(spread) / ef.SLOTS < 0.81
+    monkeypatch.setattr(ef, "fingerprints", lambda docs: docs.select("doc_id", F.create_map(
+        *[F.lit(x) for kv in prints.items() for x in kv])[F.col("text")].alias("fingerprint")))
+    got = {r["doc_id"]: r["component_id"] for r in ef.near_duplicates(make_docs([(1, "a", "x"), (2, "b", "x"), (3, "c", "x")])).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
