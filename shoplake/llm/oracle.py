@@ -119,8 +119,35 @@ WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY rank <= 20
 """
 
+OP11_FILL_IN_MIDDLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), u AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS units, ('0x' || substr(h, 1, 8))::BIGINT AS h1,
+         ('0x' || substr(h, 9, 8))::BIGINT AS h2, ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+  FROM d
+), c AS (
+  SELECT *, len(units)::BIGINT AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+         greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+), p AS (
+  SELECT *, coalesce(array_to_string(units[1:a], ''), '') AS prefix, coalesce(array_to_string(units[a + 1:b], ''), '') AS middle,
+         coalesce(array_to_string(units[b + 1:], ''), '') AS suffix
+  FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(prefix || middle || suffix) AS restored_sha256
+FROM p
+"""
+
 ORACLES = {
     "op1_mixing": OP1_MIXING,
     "op2_url_filter": OP2_URL_FILTER,
     "op6_knn": OP6_KNN,
+    "op11_fill_in_middle": OP11_FILL_IN_MIDDLE,
 }

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import deleted_interpolation, edit_fingerprint, knn, mixing, pieces, simhash, surrogates, token_store, toxicity, url_filter
+from shoplake.llm import (
+    deleted_interpolation,
+    edit_fingerprint,
+    fill_in_middle,
+    knn,
+    mixing,
+    pieces,
+    sharding,
+    simhash,
+    surrogates,
+    token_store,
+    toxicity,
+    url_filter,
+    whitening,
+)
 from shoplake.llm.common import prepare, table
 from shoplake.llm.oracle import ORACLES
 from shoplake.session import scratch_dir
@@ -91,10 +105,36 @@ def op10_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deleted_interpolation.score(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two line ends and reordered, and restored from that."""
+    prepare(spark)
+    done = fill_in_middle.transform(table(spark, sf_dir, "documents"))
+    restored = fill_in_middle.restored(done["output"], done["form"])
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restored, 256).alias("restored_sha256"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents shuffled into 24 written shards, read back."""
+    prepare(spark)
+    path = scratch_dir(spark, "llm-shards")
+    sharding.write(table(spark, sf_dir, "documents"), path)
+    stored = sharding.read(spark, path)
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    return stored.select("doc_id", sharding.record_size().alias("size"), crc.alias("text_crc32"),
+                         F.lit(sharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding whitened to its 16 strongest components."""
+    prepare(spark)
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_mixing, op2_url_filter, op3_surrogates, op4_pieces, op5_simhash, op6_knn,
                                     op7_toxicity, op8_token_store, op9_edit_fingerprint,
-                                    op10_deleted_interpolation)}
+                                    op10_deleted_interpolation, op11_fill_in_middle, op12_sharding, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
