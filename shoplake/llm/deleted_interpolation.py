@@ -4,41 +4,41 @@ A word's probability after another mixes three estimates: the bigram's and the w
 estimates and a uniform share. The mixture weights depend on how often the context occurs (buckets of
 powers of two) and are learned by expectation-maximisation on the bigram counts of held-out documents.
 
-Every training word is a context with a count of its own. Counting and scoring shuffle packed blocks: a map
-task turns some two million tokens into distinct (word, context) pairs, dealt to ``groups`` by hash and packed
-column by column. Words of at least 1 / 2^17 of the training tokens and pairs of at least 1 / 2^17 of all
-tokens (at most 2^17 of either) are broadcast, which saves sending them; it doesn't alter the result. Rare
-words and pairs go by 64-bit hash: for the weights, held-out pairs are joined with the words' counts; for the
-scores, the groups answer each block with the counts of its rare words and of its pairs.
+Every training word is a context with a count of its own. Map tasks turn blocks of some million tokens into
+rows, one for each distinct (context, word) pair of a block and one for each rare word, keyed by a 64-bit hash;
+Spark sums them by key and hands every block the sums of its keys. The rows grow with the tokens, a key has at
+most one row per block, and all grouping is Spark's, which spills. Words of at least 1 / 2^17 of the training
+tokens (at most 2^17) are broadcast, which saves sending them; it doesn't alter the result.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplake.llm.common import crc_of_id, materialize, word_lists
 
-FREQUENT = 1 << 17  # a frequent word or pair makes up at least 1 / FREQUENT of the tokens
-CONTEXT_BITS = 18  # FREQUENT contexts and the begin of a text
-BLOCK_TOKENS = 2_000_000
-GROUP_TOKENS = 4_000_000
-SLICE = 1 << 18  # tokens scored at a time, to bound memory
-VOCABULARY = 700_000  # words a task remembers; it then starts anew
+FREQUENT = 1 << 17  # a frequent word makes up at least 1 / FREQUENT of the training tokens
+BLOCK_TOKENS = 1_000_000
+SLICE = 1 << 17  # tokens scored, and rows sent, at a time, to bound memory
+VOCABULARY = 300_000  # words a task remembers; it then starts anew
 CELLS_PER_OCTAVE = 4  # estimates are rounded to quarter powers of two for learning the weights
 FIT, HELD, TEST = 0, 1, 2
 END = b"\n"  # no word holds white space
-BEGIN = np.uint64(xxhash.xxh64_intdigest(b" ", 1))  # stands for the begin of a text among the words' hashes
+# Stand for the begin of a text, and for a pair that is a single word, among the words' hashes.
+BEGIN, ALONE = (np.uint64(xxhash.xxh64_intdigest(x, 1)) for x in (b" ", b"  "))
 
 
 class _Vocabulary(dict):
@@ -61,6 +61,7 @@ class Block:
     contexts: np.ndarray
     docs: np.ndarray
     hashes: np.ndarray
+    epoch: int  # blocks of one epoch number their words alike
 
 
 def fold_of(doc_id: int | None, every: int = 5, held_share: int = 10) -> int:
@@ -74,8 +75,8 @@ def fold_of(doc_id: int | None, every: int = 5, held_share: int = 10) -> int:
 def blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Block]:
     """Blocks of ``limit`` tokens or more of the documents (doc_id, text) of a task. A very long text may span blocks."""
     task = TaskContext.get().partitionId()
-    vocabulary, hashes = _Vocabulary(), []
-    number, row = task << 20, task << 40
+    vocabulary, hashes = _Vocabulary(), array("Q")
+    number, row, epoch = task << 32, task << 40, 0
     rows: list[int] = []
     ids: list[int | None] = []
     words: list[np.ndarray] = []
@@ -86,11 +87,11 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Block]:
         hashes.extend(xxhash.xxh64_intdigest(w, 1) for w in list(vocabulary)[len(hashes):])
         lengths = [len(w) for w in words]
         flat = np.concatenate(words)
-        contexts = np.r_[-1, flat[:-1]]
+        contexts = np.concatenate([np.full(1, -1, np.int32), flat[:-1]])
         starts = np.cumsum([0, *lengths[:-1]])
         contexts[starts] = firsts
         return Block(number, np.array(rows), list(ids), np.array([fold_of(i) for i in ids]), flat, contexts,
-                     np.repeat(np.arange(len(rows)), lengths), np.array(hashes, np.uint64))
+                     np.repeat(np.arange(len(rows), dtype=np.int32), lengths), np.array(hashes, np.uint64), epoch)
 
     for batch in batches:
         for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
@@ -100,7 +101,8 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Block]:
             while not last:
                 piece = next(pieces, None)
                 last = piece is None
-                found = np.array([vocabulary[END]] if last else list(map(vocabulary.__getitem__, piece)), np.int64)
+                found = (np.array([vocabulary[END]], np.int32) if last
+                         else np.fromiter(map(vocabulary.__getitem__, piece), np.int32, len(piece)))
                 if rows and rows[-1] == row:
                     words[-1] = np.concatenate([words[-1], found])
                 else:
@@ -115,7 +117,7 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Block]:
                     rows, ids, words, firsts, tokens = [], [], [], [], 0
                     if len(vocabulary) > VOCABULARY:
                         word = None if last else piece[-1]
-                        vocabulary, hashes = _Vocabulary(), []
+                        vocabulary, hashes, epoch = _Vocabulary(), array("Q"), epoch + 1
                         before = -1 if last else vocabulary[word]
     if rows:
         yield done()
@@ -148,14 +150,6 @@ def _steps(ascending: np.ndarray) -> np.ndarray:
     return np.diff(ascending, prepend=np.zeros(1, ascending.dtype))
 
 
-def _runs(ascending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values of a sorted array and how often each occurs."""
-    if not len(ascending):
-        return ascending, np.zeros(0, np.uint32)
-    firsts = np.flatnonzero(np.r_[True, ascending[1:] != ascending[:-1]])
-    return ascending[firsts], np.diff(np.r_[firsts, len(ascending)]).astype(np.uint32)
-
-
 # --- the frequent words and the model -----------------------------------------------------------------------
 
 @dataclass
@@ -165,13 +159,11 @@ class Frequent:
     hashes: np.ndarray
     train: np.ndarray
     fit: np.ndarray
-    tokens: int  # of all documents
     train_tokens: int
     fit_tokens: int
     distinct: int  # words (with the end) in training documents
     train_docs: int
     fit_docs: int
-    whole: bool  # every word is a context, not the frequent ones alone
     words: DataFrame | None  # h, fit, train and more of every word; not broadcast
 
     @property
@@ -186,10 +178,6 @@ class Frequent:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, at, -1)
 
-    @property
-    def hot(self) -> float:
-        return max(1.0, self.tokens / FREQUENT)
-
 
 @dataclass
 class Weights:
@@ -241,44 +229,46 @@ def learn_weights(cells: pd.DataFrame, distinct: int, rounds: int = 100) -> Weig
 
 # --- passes ---------------------------------------------------------------------------------------------------
 
-def count_words(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, share: int | None = None,
-                broadcast: int = FREQUENT) -> Frequent:
-    """Count all words by fold (one row per word and block, summed by Spark) and keep the frequent ones, those
-    that make up at least 1 / ``broadcast`` (FREQUENT at most) of the training tokens.
-
-    With a ``share``, the frequent words are those of at least 1 / ``share`` of all tokens, and no other word
-    is a context: a smaller model, which the queries don't use.
-    """
-    if (share or broadcast) > FREQUENT:
-        raise ValueError(f"at most {FREQUENT} frequent words fit the codes")
+def count_words(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, broadcast: int = FREQUENT) -> Frequent:
+    """Count all words by fold (one row per word and epoch of a task, summed by Spark) and keep the frequent ones,
+    those that make up at least 1 / ``broadcast`` (FREQUENT at most) of the training tokens."""
+    if broadcast > FREQUENT:
+        raise ValueError(f"at most {FREQUENT} words are broadcast")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        epoch, hashes, total = 0, np.zeros(0, np.uint64), np.zeros((3, 0), np.int64)
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            seen = np.flatnonzero(total.any(axis=0))
+            for at in range(0, len(seen), SLICE):
+                part = seen[at:at + SLICE]
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[part].view(np.int64)), *[pa.array(c[part]) for c in total]],
+                                                 names=["h", "fit", "held", "test"])
+
         for b in blocks(batches, block_tokens):
-            size = len(b.hashes)
-            fold = b.folds[b.docs]
-            counts = np.bincount(fold * size + b.words, minlength=3 * size).reshape(3, size)
-            seen = np.flatnonzero(counts.any(axis=0))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(b.hashes[seen].view(np.int64)), *[pa.array(c[seen]) for c in counts]],
-                names=["h", "fit", "held", "test"])
+            if b.epoch != epoch:
+                yield from rows()
+                epoch, total = b.epoch, np.zeros((3, 0), np.int64)
+            hashes, size, fold = b.hashes, len(b.hashes), b.folds[b.docs]
+            counts = np.stack([np.bincount(b.words[fold == x], minlength=size) for x in (FIT, HELD, TEST)])
+            counts[:, :total.shape[1]] += total
+            total = counts
+        yield from rows()
 
     words = docs.mapInArrow(run, "h long, fit long, held long, test long").groupBy("h").agg(
         *[F.sum(c).alias(c) for c in ("fit", "held", "test")])
     words = materialize(words.withColumn("train", F.col("fit") + F.col("held")), "lm-words")
-    total = words.agg(F.sum(F.col("train") + F.col("test")), F.sum("train"), F.sum("fit"),
-                      F.sum((F.col("train") > 0).cast("long"))).first()
-    tokens, train, fit, distinct = (int(x or 0) for x in total)
-    # The counts sum up to the totals, so at most ``share`` or ``broadcast`` words reach the bound.
-    enough = (F.col("train") + F.col("test") >= max(1.0, tokens / share) if share
-              else F.col("train") >= max(1.0, train / broadcast))
-    frequent = words.filter(enough).select("h", "train", "fit").collect()
+    total = words.agg(F.sum("train"), F.sum("fit"), F.sum((F.col("train") > 0).cast("long"))).first()
+    train, fit, distinct = (int(x or 0) for x in total)
+    # The counts sum up to the total, so at most ``broadcast`` words reach the bound.
+    frequent = words.filter(F.col("train") >= max(1.0, train / broadcast)).select("h", "train", "fit").collect()
     hashes = np.array([r["h"] for r in frequent], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     end = xxhash.xxh64_intdigest(END, 1)
     ends = words.filter(F.col("h") == F.lit(end - (1 << 64) if end >= 1 << 63 else end)).select("train", "fit").first()
     return Frequent(hashes[order], np.array([r["train"] for r in frequent], np.int64)[order],
-                    np.array([r["fit"] for r in frequent], np.int64)[order], tokens, train, fit, distinct,
-                    *(ends if ends else (0, 0)), share is None, words)
+                    np.array([r["fit"] for r in frequent], np.int64)[order], train, fit, distinct,
+                    *(ends if ends else (0, 0)), words)
 
 
 def pair_keys(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -311,40 +301,20 @@ class Tokens:
         seen[b.contexts[b.contexts >= 0]] = True  # a text's first context may stand in the block before
         rare = np.flatnonzero(seen & (known < 0))
         rare = rare[np.argsort(b.hashes[rare])]
-        known[rare] = frequent.begin + 1 + np.arange(len(rare))
+        known[rare] = frequent.begin + 1 + np.arange(len(rare), dtype=np.int32)
         return cls(known[b.words], np.where(b.contexts < 0, np.int32(frequent.begin), known[b.contexts]), b.hashes[rare], frequent.begin)
 
-    def common(self) -> np.ndarray:
-        """Pairs of a frequent word with a frequent word or a begin before it."""
-        return (self.words < self.begin) & (self.contexts <= self.begin)
-
-    def code(self, at: np.ndarray) -> np.ndarray:
-        """Word and context in one number, for common pairs."""
-        return (self.words[at].astype(np.int64) << CONTEXT_BITS) | self.contexts[at]
-
     def hashes(self, frequent: Frequent) -> np.ndarray:
         return np.concatenate([frequent.hashes, np.array([BEGIN], np.uint64), self.rare])
 
-    def keys(self, at: np.ndarray, frequent: Frequent) -> np.ndarray:
+    def pairs(self, frequent: Frequent) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys of the pairs, the place of one token of each, and every token's number among them."""
         hashes = self.hashes(frequent)
-        return pair_keys(hashes[self.contexts[at]], hashes[self.words[at]])
-
-    def hot(self, codes: np.ndarray) -> np.ndarray:
-        """Place of each token's pair among the hot ones, or -1."""
-        out = np.full(len(self.words), -1, np.int32)
-        if len(codes):
-            common = np.flatnonzero(self.common())
-            code = self.code(common)
-            at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-            out[common] = np.where(codes[at] == code, at, -1)
-        return out
-
+        return _distinct(pair_keys(hashes[self.contexts], hashes[self.words]))
 
-def _by_group(keys: np.ndarray, groups: int) -> list[np.ndarray]:
-    """Places of the keys dealt to each group."""
-    group = ((keys >> np.uint64(24)) % np.uint64(groups)).astype(np.int64)
-    order = np.argsort(group, kind="stable")
-    return np.split(order, np.searchsorted(group[order], np.arange(1, groups)))
+    def singles(self) -> np.ndarray:
+        """Keys of the rare words."""
+        return pair_keys(np.full(len(self.rare), ALONE), self.rare)
 
 
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -358,85 +328,81 @@ def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ascending[new], order[new], numbers
 
 
-def _number(hashes: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Distinct values over all arrays, and each array's values as numbers among them."""
-    distinct, _, inverse = _distinct(np.concatenate([np.zeros(0, np.uint64), *hashes]))
-    return distinct, np.split(inverse, np.cumsum([len(h) for h in hashes])[:-1]) if hashes else []
-
-
-def count_pairs(docs: DataFrame, frequent: Frequent, groups: int,
-                block_tokens: int = BLOCK_TOKENS) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
-    """Held-out counts by bucket and rounded estimates, and the hot pairs (codes, training counts).
-
-    Held-out pairs with a rare word or context are joined with the words' counts. Everything that comes to
-    the driver is bounded: the cells by their grid, the hot pairs by FREQUENT.
-    """
+def count_pairs(docs: DataFrame, frequent: Frequent, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """Every block's keys with their counts over all blocks: block, key, train, and for a block's held-out pairs
+    fit (over all blocks), held (in the block), word and context (hashes). One row of a block has no counts
+    but ``own``, the block's tokens and documents."""
     shared = docs.sparkSession.sparkContext.broadcast(replace(frequent, words=None))
+    names = ["block", "key", "fit", "held", "word", "context", "own"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = shared.value
         for b in blocks(batches, block_tokens):
             t, fold = Tokens.of(b, f), b.folds[b.docs]
-            common = t.common()
-            codes, n = _runs(np.sort((t.code(np.flatnonzero(common)).astype(np.uint64) << np.uint64(2))
-                                     | fold[common].astype(np.uint64)))
-            with np.errstate(over="ignore"):
-                code_groups = _by_group((codes >> np.uint64(2)) * np.uint64(0x9E3779B97F4A7C15), groups)
-            rare = np.flatnonzero(~common & (fold != TEST))
+            lengths = np.bincount(b.docs, minlength=len(b.rows))
+            ids = np.array([0 if i is None else i for i in b.doc_ids], np.int64)
+            own = pack(b.rows.astype(np.uint64), ids.view(np.uint64), np.array([i is None for i in b.doc_ids], np.uint8),
+                       lengths.astype(np.uint32), t.contexts[np.cumsum(lengths) - lengths].astype(np.uint32),
+                       t.words.astype(np.uint32), _steps(t.rare))
+            # Its key is drawn from the block's number, so that these large rows spread.
+            key = pair_keys(np.full(1, BEGIN), np.array([b.number], np.uint64)).view(np.int64)
+            none = pa.nulls(1, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([b.number]), pa.array(key), none, none, none, none, pa.array([own], pa.binary())],
+                                             names=names)
+            del own
+            keys, first, numbers = t.pairs(f)
+            rare = np.where(t.words > f.begin, t.words - f.begin - 1, -1)
+            counts = []
+            for x in (FIT, HELD):
+                at = np.flatnonzero(fold == x)
+                of_rare = rare[at]
+                counts.append(np.concatenate([np.bincount(numbers[at], minlength=len(keys)),
+                                              np.bincount(of_rare[of_rare >= 0], minlength=len(t.rare))]))
             hashes = t.hashes(f)
-            keys, first, inverse = _distinct(t.keys(rare, f))
-            fit, held = (np.bincount(inverse, fold[rare] == x, minlength=len(keys)).astype(np.uint32) for x in (FIT, HELD))
-            out = []
-            for g, (at, of) in enumerate(zip(code_groups, _by_group(keys, groups), strict=True)):
-                named = rare[first[of[held[of] > 0]]]
-                out.append((g, pack(_steps(codes[at]), n[at], _steps(keys[of]), fit[of], held[of],
-                                    hashes[t.words[named]], hashes[t.contexts[named]])))
-            yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in out], pa.int32()),
-                                              pa.array([d for _, d in out], pa.binary())], names=["g", "data"])
-
-    def known_fit(f: Frequent, hashes: np.ndarray, rare: int) -> np.ndarray:
-        """Fit counts of the begin and the frequent words; -1 is looked up later."""
-        place = f.place(hashes)
-        return np.where(hashes == BEGIN, f.fit_docs, np.where(place >= 0, np.r_[f.fit, 0][place], rare))
-
-    def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
+            named = np.flatnonzero(counts[1][:len(keys)] > 0)
+            word, context = np.zeros((2, len(counts[0])), np.uint64)
+            word[named], context[named] = hashes[t.words[first[named]]], hashes[t.contexts[first[named]]]
+            unnamed = np.ones(len(word), bool)
+            unnamed[named] = False
+            keys = np.concatenate([keys, t.singles()])
+            for at in range(0, len(keys), SLICE):
+                to = slice(at, at + SLICE)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(keys[to]), b.number)), pa.array(keys[to].view(np.int64)), pa.array(counts[0][to]),
+                     pa.array(counts[1][to]), *[pa.array(x[to].view(np.int64), mask=unnamed[to]) for x in (word, context)],
+                     pa.nulls(len(keys[to]), pa.binary())], names=names)
+
+    rows = docs.mapInArrow(run, "block long, key long, fit long, held long, word long, context long, own binary")
+    same = Window.partitionBy("key")
+    summed = rows.withColumn("fits", F.sum("fit").over(same)).withColumn("helds", F.sum("held").over(same))
+    held_pair = F.col("word").isNotNull()
+    return materialize(summed.select("block", "key", (F.col("fits") + F.col("helds")).alias("train"),
+                                     F.when(held_pair, F.col("fits")).alias("fit"), F.when(held_pair, F.col("held")).alias("held"),
+                                     "word", "context", "own"), "lm-pairs")
+
+
+def held_cells(pairs: DataFrame, frequent: Frequent) -> pd.DataFrame:
+    """Held-out counts by the context's bucket and the rounded estimates: bucket, bigram, word, n. A pair counts as
+    often as its blocks hold it. The words' counts come by a join; the cells are bounded by their grid."""
+    shared = pairs.sparkSession.sparkContext.broadcast(replace(frequent, words=None))
+
+    def known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Fit counts of the begin and the frequent words; the others are null and looked up."""
         f = shared.value
-        parts = [unpack(d) for d in pdf["data"]]
-        # Frequent words and contexts: sum up by pair and fold.
-        codes = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
-        pairs, inverse = np.unique(codes >> np.uint64(2), return_inverse=True)
-        counts = np.bincount(inverse * 3 + (codes & np.uint64(3)).astype(np.int64),
-                             weights=np.concatenate([p[1] for p in parts]), minlength=3 * len(pairs)).reshape(-1, 3)
-        pairs = pairs.astype(np.int64)
-        hot = counts.sum(axis=1) >= f.hot
-        out = [pd.DataFrame({"kind": 1, "a": pairs[hot], "b": counts[hot, :2].sum(axis=1).astype(np.int64), "n": 1})]
-        held = counts[:, HELD] > 0
-        of = pairs[held]
-        out.append(_held_cells(counts[held, HELD], counts[held, FIT], np.r_[f.fit, f.fit_docs][of & ((1 << CONTEXT_BITS) - 1)],
-                               np.r_[f.fit, 0][of >> CONTEXT_BITS], f.fit_tokens))
-        # The others: one row for each held-out pair, with what is known of its counts.
-        pairs, numbers = _number([np.cumsum(p[2], dtype=np.uint64) for p in parts])
-        fit, held = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
-        word, context = np.zeros(len(pairs), np.uint64), np.zeros(len(pairs), np.uint64)
-        for number, p in zip(numbers, parts, strict=True):
-            fit[number] += p[3]
-            held[number] += p[4]
-            word[number[p[4] > 0]], context[number[p[4] > 0]] = p[5], p[6]
-        at = held > 0
-        pairs, word, context = pairs[at], word[at], context[at]
-        word_fit, context_fit = known_fit(f, word, -1), known_fit(f, context, -1 if f.whole else 0)
-        # Known counts need no join: the pair's own key in their place spreads the rows.
-        out.append(pd.DataFrame({
-            "kind": 2, "a": np.where(word_fit < 0, word, pairs).view(np.int64),
-            "b": np.where(context_fit < 0, context, pairs).view(np.int64), "n": held[at], "fit": fit[at],
-            "word_fit": word_fit, "context_fit": context_fit}))
-        return pd.concat(out, ignore_index=True).fillna(0).astype(dict.fromkeys(
-            ("a", "b", "n", "fit", "word_fit", "context_fit"), "int64") | {"kind": "int32"})
-
-    found = materialize(docs.mapInArrow(run, "g int, data binary").groupBy("g").applyInPandas(
-        reduce, "kind int, a long, b long, n long, fit long, word_fit long, context_fit long"), "lm-pairs")
+        for pdf in batches:
+            out = {"n": pdf["held"], "fit": pdf["fit"]}
+            for c, side in (("word", "a"), ("context", "b")):
+                hashes = pdf[c].to_numpy(np.int64).view(np.uint64)
+                place = f.place(hashes)
+                found = np.where(hashes == BEGIN, f.fit_docs, np.where(place >= 0, np.r_[f.fit, 0][place], -1))
+                # What is known needs no join: the pair's own key spreads the rows.
+                out[side] = np.where(found < 0, pdf[c].to_numpy(np.int64), pdf["key"].to_numpy(np.int64))
+                out[f"{c}_fit"] = found
+            yield pd.DataFrame(out).astype("int64")
+
+    schema = "n long, fit long, a long, word_fit long, b long, context_fit long"
+    looked_up = pairs.filter(F.col("word").isNotNull()).select("key", "held", "fit", "word", "context").mapInPandas(known, schema)
     counts = frequent.words.filter("fit > 0")
-    looked_up = found.filter("kind = 2").drop("kind")
     for key, column in (("a", "word_fit"), ("b", "context_fit")):
         of = counts.select(F.col("h").alias(key), F.col("fit").alias("found"))
         looked_up = looked_up.join(of, key, "left").withColumn(
@@ -445,16 +411,15 @@ def count_pairs(docs: DataFrame, frequent: Frequent, groups: int,
 
     def cells_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield _held_cells(*(pdf[c].to_numpy() for c in ("n", "fit", "context_fit", "word_fit")), fit_tokens)
+            n, fit, context_fit, word_fit = (pdf[c].to_numpy() for c in ("n", "fit", "context_fit", "word_fit"))
+            bigram = np.divide(fit, context_fit, out=np.zeros(len(n)), where=context_fit > 0)
+            rows = pd.DataFrame({"bucket": bucket(context_fit).astype(np.int64), "bigram": _cell(bigram),
+                                 "word": _cell(word_fit / max(fit_tokens, 1)), "n": n})
+            yield rows.groupby(["bucket", "bigram", "word"], as_index=False)["n"].sum()
 
-    schema = "kind int, a long, b long, n long"
-    cells = (found.filter("kind < 2").select("kind", "a", "b", "n").unionByName(looked_up.mapInPandas(cells_of, schema))
-             .groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))).toPandas()
-    held, hot = cells[cells["kind"] == 0], cells[cells["kind"] == 1].sort_values("a")
-    bigram, word = held["b"].to_numpy() >> 16, held["b"].to_numpy() & 0xFFFF
-    table = pd.DataFrame({"bucket": held["a"].to_numpy(), "bigram": _estimate(bigram), "word": _estimate(word),
-                          "n": held["n"].to_numpy()})
-    return table, hot["a"].to_numpy(np.int64), hot["b"].to_numpy(np.int64)
+    cells = (looked_up.mapInPandas(cells_of, "bucket long, bigram long, word long, n long")
+             .groupBy("bucket", "bigram", "word").agg(F.sum("n").alias("n"))).toPandas()
+    return cells.assign(bigram=_estimate(cells["bigram"].to_numpy()), word=_estimate(cells["word"].to_numpy()))
 
 
 def _cell(estimate: np.ndarray) -> np.ndarray:
@@ -466,107 +431,53 @@ def _estimate(cell: np.ndarray) -> np.ndarray:
     return np.where(cell > 0, 2.0 ** (-(cell - 1) / CELLS_PER_OCTAVE), 0.0)
 
 
-def _held_cells(held: np.ndarray, fit: np.ndarray, context_fit: np.ndarray, word_fit: np.ndarray,
-                fit_tokens: int) -> pd.DataFrame:
-    bigram = np.divide(fit, context_fit, out=np.zeros(len(held)), where=context_fit > 0)
-    cell = (_cell(bigram) << 16) | _cell(word_fit / max(fit_tokens, 1))
-    rows = pd.DataFrame({"kind": 0, "a": bucket(context_fit).astype(np.int64), "b": cell, "n": held.astype(np.int64)})
-    return rows.groupby(["kind", "a", "b"], as_index=False)["n"].sum().astype({"kind": "int32"})
-
-
-def score(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, share: int | None = None,
-          broadcast: int = FREQUENT) -> DataFrame:
+def score(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, broadcast: int = FREQUENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     Tokens are the words (A-Z lower-cased) and one end; the model learns from documents that are not held
-    out, and every word in them is a context (with a ``share``: see ``count_words``). Null and empty texts
-    have the end alone. Repeated rows get equal scores; null ids count as the empty text in the split.
-    Without training documents both scores rest on the uniform share alone. An empty table gives an empty
-    result; other columns are ignored.
+    out, and every word in them is a context. Null and empty texts have the end alone. Repeated rows get equal
+    scores; null ids count as the empty text in the split. Without training documents both scores rest on
+    the uniform share alone. An empty table gives an empty result; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    frequent = count_words(rows, block_tokens, share, broadcast)
-    groups = max(12, frequent.tokens // GROUP_TOKENS)
-    cells, hot_codes, hot_counts = count_pairs(rows, frequent, groups, block_tokens)
-    weights = learn_weights(cells, frequent.distinct)
-    shared = docs.sparkSession.sparkContext.broadcast((replace(frequent, words=None), weights, hot_codes, hot_counts))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f, _, codes, _ = shared.value
-        for b in blocks(batches, block_tokens):
-            t, n = Tokens.of(b, f), len(b.rows)
-            train = b.folds[b.docs] != TEST
-            left = np.flatnonzero(t.hot(codes) < 0)
-            keys, _, inverse = _distinct(t.keys(left, f))
-            in_pairs = np.bincount(inverse, train[left], minlength=len(keys)).astype(np.uint32)
-            is_rare = t.words > f.begin
-            in_words = np.bincount(t.words[is_rare] - f.begin - 1, train[is_rare], minlength=len(t.rare)).astype(np.uint32)
-            lengths = np.bincount(b.docs, minlength=n)
-            ids = np.array([0 if i is None else i for i in b.doc_ids], np.int64)
-            own = pack(b.rows.astype(np.uint64), ids.view(np.uint64), np.array([i is None for i in b.doc_ids], np.uint8),
-                       lengths.astype(np.uint64), t.contexts[np.cumsum(lengths) - lengths].astype(np.uint32),
-                       t.words.astype(np.uint32), _steps(t.rare))
-            out = [(b.number % groups, b.number, True, own)]
-            for g, (at, of) in enumerate(zip(_by_group(keys, groups), _by_group(t.rare, groups), strict=True)):
-                out.append((g, b.number, False, pack(_steps(keys[at]), in_pairs[at], _steps(t.rare[of]), in_words[of])))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int64()),
-                 pa.array([x[2] for x in out]), pa.array([x[3] for x in out], pa.binary())],
-                names=["g", "block", "own", "data"])
-
-    def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Each block's keys and words answered with their training counts over all blocks."""
-        g, own = int(pdf["g"].iloc[0]), pdf[pdf["own"]]
-        out = [(block, -1, data) for block, data in zip(own["block"], own["data"], strict=True)]
-        pdf = pdf[~pdf["own"]]
-        parts = [unpack(d) for d in pdf["data"]]
-        answers = []
-        for place in (0, 2):
-            found, numbers = _number([np.cumsum(p[place], dtype=np.uint64) for p in parts])
-            count = np.zeros(len(found), np.uint64)
-            for number, p in zip(numbers, parts, strict=True):
-                count[number] += p[place + 1]
-            # Up to 2^32 training tokens a number in half the bytes.
-            kind = np.uint32 if shared.value[0].train_tokens < 1 << 32 else np.uint64
-            answers.append([count[number].astype(kind) for number in numbers])
-        out += [(block, g, pack(*both)) for block, *both in zip(pdf["block"], *answers, strict=True)]
-        return pd.DataFrame(out, columns=["block", "g", "data"]).astype({"g": "int32", "block": "int64"})
-
-    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        f, w, codes, counts = shared.value
-        pdf = pdf.sort_values("g", ignore_index=True)
-        row, ids, none, lengths, firsts, words, rare = unpack(pdf["data"].iloc[0])
-        answers = [unpack(d) for d in pdf["data"].iloc[1:]]
+    frequent = count_words(rows, block_tokens, broadcast)
+    pairs = count_pairs(rows, frequent, block_tokens)
+    weights = learn_weights(held_cells(pairs, frequent), frequent.distinct)
+    shared = docs.sparkSession.sparkContext.broadcast((replace(frequent, words=None), weights))
+
+    def finish(table: pa.Table) -> pa.Table:
+        """Scores of a block's documents."""
+        f, w = shared.value
+        own = table["own"].drop_null()[0].as_py()
+        keyed = table.filter(pc.is_null(table["own"]))
+        keys, train = keyed["key"].to_numpy().view(np.uint64), keyed["train"].to_numpy()
+        order = np.argsort(keys)
+        keys, train = keys[order], train[order]
+        row, ids, none, lengths, firsts, words, rare = unpack(own)
         n, lengths = len(row), lengths.astype(np.int64)
-        docs_of = np.repeat(np.arange(n), lengths)
         words = words.view(np.int32)
         contexts = np.concatenate([np.zeros(1, np.int32), words[:-1]])
         contexts[np.cumsum(lengths) - lengths] = firsts
         t = Tokens(words, contexts, np.cumsum(rare, dtype=np.uint64), f.begin)
-        hot = t.hot(codes)
-        left = np.flatnonzero(hot < 0)
-        keys, _, inverse = _distinct(t.keys(left, f))
-        of_keys, of_rare = np.zeros(len(keys)), np.zeros(len(t.rare))
-        for dealt, into, place in ((keys, of_keys, 0), (t.rare, of_rare, 1)):
-            into[np.concatenate(_by_group(dealt, groups))] = np.concatenate([x[place] for x in answers])
-        pair = np.zeros(len(words))
-        pair[left] = of_keys[inverse]
-        pair[hot >= 0] = counts[hot[hot >= 0]]
+        distinct, _, numbers = t.pairs(f)
+        of_pair = train[np.searchsorted(keys, distinct)]
+        of_rare = train[np.searchsorted(keys, t.singles())] if len(t.rare) else np.zeros(0, np.int64)
         of_word = np.concatenate([f.train, [0], of_rare]).astype(np.float64)
-        of_context = np.concatenate([f.train, [f.train_docs], of_rare if f.whole else 0 * of_rare]).astype(np.float64)
+        of_context = np.concatenate([f.train, [f.train_docs], of_rare]).astype(np.float64)
         base = np.log10((of_word + 0.5) / (f.train_tokens + 0.5 * (f.distinct + 1)))
-        value = np.concatenate([np.log10(w.probability(
-            pair[at:at + SLICE], of_context[contexts[at:at + SLICE]], of_word[words[at:at + SLICE]], f.train_tokens, f.distinct))
-            for at in range(0, len(words), SLICE)])
-        doc_id = pd.Series(ids.view(np.int64)).astype("Int64").mask(none.astype(bool))
-        return pd.DataFrame({
-            "row": row.view(np.int64), "doc_id": doc_id, "n_tokens": lengths,
-            "n_known": np.bincount(docs_of, of_word[words] > 0, minlength=n).astype(np.int64),
-            "base_score": np.bincount(docs_of, base[words], minlength=n), "score": np.bincount(docs_of, value, minlength=n)})
-
-    sums = (rows.mapInArrow(run, "g int, block long, own boolean, data binary").groupBy("g")
-            .applyInPandas(reduce, "block long, g int, data binary").groupBy("block")
-            .applyInPandas(finish, "row long, doc_id long, n_tokens long, n_known long, base_score double, score double"))
+        docs_of = np.repeat(np.arange(n), lengths)
+        sums = np.zeros((3, n))
+        for at in range(0, len(words), SLICE):
+            to = slice(at, at + SLICE)
+            value = np.log10(w.probability(of_pair[numbers[to]].astype(np.float64), of_context[contexts[to]], of_word[words[to]],
+                                           f.train_tokens, f.distinct))
+            for total, x in zip(sums, (of_word[words[to]] > 0, base[words[to]], value), strict=True):
+                total += np.bincount(docs_of[to], x, minlength=n)
+        return pa.table({"row": row.view(np.int64), "doc_id": pa.array(ids.view(np.int64), mask=none.astype(bool)),
+                         "n_tokens": lengths, "n_known": sums[0].astype(np.int64), "base_score": sums[1], "score": sums[2]})
+
+    sums = pairs.select("block", "key", "train", "own").groupBy("block").applyInArrow(
+        finish, "row long, doc_id long, n_tokens long, n_known long, base_score double, score double")
     # Only a text that spans blocks has several rows.
     whole = sums.groupBy("row", "doc_id").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
     return whole.select("doc_id", (crc_of_id(F.col("doc_id")) % 5 == 1).alias("held_out"), "n_tokens", "n_known",

@@ -30,25 +30,23 @@ def corpus(n=300):
     return rows
 
 
-def plain(rows, share, weights=None):
+def plain(rows, weights=None):
     """Counts, base scores and, for given weights, model scores, one token at a time."""
     train = Counter()
-    pairs, everything = Counter(), Counter()
+    pairs = Counter()
     for i, t, _ in rows:
         w = tokens(t)
-        everything.update(w)
         if fold(i) != lm.TEST:
             train.update(w)
             pairs.update(zip([None, *w[:-1]], w, strict=True))
     total, distinct = sum(train.values()), len(train)
-    frequent = {w for w, c in everything.items() if c >= max(1.0, sum(everything.values()) / share)}
     docs = sum(fold(i) != lm.TEST for i, _, _ in rows)
     out = []
     for i, t, _ in rows:
         w, base, score = tokens(t), 0.0, 0.0
         for before, word in zip([None, *w[:-1]], w, strict=True):
             base += math.log10((train[word] + 0.5) / (total + 0.5 * (distinct + 1)))
-            context = docs if before is None else train[before] if before in frequent else 0
+            context = docs if before is None else train[before]
             if weights is not None:
                 a, b, c = weights.by_bucket[0 if not context else int(math.log2(context)) + 1]
                 bigram = pairs[before, word] / context if context else 0.0
@@ -57,10 +55,10 @@ def plain(rows, share, weights=None):
     return sorted(out)
 
 
-def learnt(docs, share, block):
+def learnt(docs, broadcast, block):
     slim = docs.select("doc_id", "text")
-    frequent = lm.count_words(slim, block, share)
-    cells, codes, counts = lm.count_pairs(slim, frequent, 12, block)
+    frequent = lm.count_words(slim, block, broadcast)
+    cells = lm.held_cells(lm.count_pairs(slim, frequent, block), frequent)
     return lm.learn_weights(cells, frequent.distinct), cells, frequent
 
 
@@ -69,11 +67,11 @@ def test_scores_token_by_token(make_docs):
            (5003, "w3 w4 " * 4000, "b"), (5004, "é W1 日本", "b")]
     rows = corpus() + odd
     docs = make_docs(rows)
-    for share, block in ((1 << 17, 2_000_000), (300, 500)):  # all words frequent; many rare ones, texts that span blocks
-        weights, _, _ = learnt(docs, share, block)
-        got = lm.score(docs, block, share).collect()
+    for broadcast, block in ((1 << 17, 2_000_000), (40, 500)):  # all words frequent; many rare ones, texts that span blocks
+        weights, _, _ = learnt(docs, broadcast, block)
+        got = lm.score(docs, block, broadcast).collect()
         assert sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5),
-                       round(r["score"], 5)) for r in got) == plain(rows, share, weights)
+                       round(r["score"], 5)) for r in got) == plain(rows, weights)
         assert all(r["held_out"] == (zlib.crc32(("" if r["doc_id"] is None else str(r["doc_id"])).encode()) % 5 == 1) for r in got)
     held = [r for r in got if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
@@ -120,9 +118,19 @@ def test_every_training_word_is_a_context(make_docs):
     slim = docs.select("doc_id", "text")
     few = lm.count_words(slim, 500, broadcast=40)
     assert 0 < few.begin < 40 < few.distinct
-    table, _, _ = lm.count_pairs(slim, few, 12, 500)
+    table = lm.held_cells(lm.count_pairs(slim, few, 500), few)
     whole, _, _ = learnt(docs, 1 << 17, 2_000_000)
     assert np.allclose(lm.learn_weights(table, few.distinct).by_bucket, whole.by_bucket)
     got = lm.score(docs, 500, broadcast=40).collect()
     assert sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5),
-                   round(r["score"], 5)) for r in got) == plain(rows, 1 << 17, whole)
+                   round(r["score"], 5)) for r in got) == plain(rows, whole)
+
+
+def test_rows_dealt_grow_with_the_tokens(make_docs):
+    """Twice the documents give about twice the rows, however many blocks there are."""
+    def rows(times):
+        docs = make_docs([(i + 1000 * k, t, s) for k in range(times) for i, t, s in corpus()]).select("doc_id", "text").repartition(1)
+        return lm.count_pairs(docs, lm.count_words(docs, 500, 40), 500).count()
+
+    one, two, four = rows(1), rows(2), rows(4)
+    assert two < 2.2 * one and four < 2.2 * two
