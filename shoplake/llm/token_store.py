@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-MEMO_WORDS, MEMO_MATCHES = 900_000, 600_000  # what a task remembers; it then starts anew
+MEMO_WORDS, MEMO_MATCHES = 700_000, 300_000  # what a task remembers; it then starts anew
 MEMO_LENGTH = 64
 
 # The byte-level tokenizer encodes the matches of its pattern one by one, so equal matches need encoding once.
@@ -42,9 +42,9 @@ _OTHER = re.compile("[^" + "\t\n\r" + "".join(_range(*r) for r in (
     (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3))) + "]")
 
 
-# Where no blank meets another white space or a text's end, the text can be cut before every blank: no match
-# reaches across. These are the white spaces that pass the check above.
-_MEETING = [" " + c for c in " \t\n\r"] + [c + " " for c in "\t\n\r"]
+# Where no white space meets a blank or a text's end, the text can be cut at every line feed and before every blank: no
+# match reaches across. One line feed, or each of two, is then a match by itself; of more, all but the last are one match.
+_MEETING = ["  ", " \n", "\n ", "\n\n\n"]
 
 
 def _byte_characters() -> dict[int, str]:
@@ -62,25 +62,33 @@ class _Matches(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.characters = _byte_characters()
 
+    def ids(self, match: str) -> bytes:
+        written = match.encode().decode("latin-1").translate(self.characters)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(written)]).tobytes()
+
     def __missing__(self, text: str) -> bytes:
-        written = text.encode().decode("latin-1").translate(self.characters)
-        found = array("I", [t.id for t in self.tokenizer.model.tokenize(written)]).tobytes()
+        found = self.ids(text)
         if len(text) <= MEMO_LENGTH and len(self) < MEMO_MATCHES:
             self[text] = found
         return found
 
 
 class _Words(dict):
-    """Ids of words with a blank before them, put together from their matches."""
+    """Ids of words with ``lead`` (a blank or nothing) before them, put together from their matches."""
 
-    def __init__(self, matches: _Matches):
-        self.matches = matches
+    def __init__(self, matches: _Matches, lead: str):
+        self.matches, self.lead = matches, lead
 
     def __missing__(self, word: str) -> bytes:
-        found = b"".join(map(self.matches.__getitem__, _PATTERN.findall(" " + word)))
+        # Letters are one match with the blank; a character of another kind after them is one more.
+        if word.isalpha():
+            found = self.matches.ids(self.lead + word)
+        elif word[:-1].isalpha():
+            found = self[word[:-1]] + self.matches[word[-1]]
+        else:
+            found = b"".join(map(self.matches.__getitem__, _PATTERN.findall(self.lead + word)))
         if len(word) <= MEMO_LENGTH and len(self) < MEMO_WORDS:
             self[word] = found
         return found
@@ -91,20 +99,29 @@ class Encoder:
 
     def __init__(self, path: str):
         self.matches = _Matches(path)
-        self.words = _Words(self.matches)
+        self.words, self.heads = _Words(self.matches, " "), _Words(self.matches, "")
+        # Strings that are tokens by themselves, such as <|endoftext|>: a text with one goes to the tokenizer whole.
+        self.added = [t.content for t in self.matches.tokenizer.get_added_tokens_decoder().values()]
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as unsigned 32-bit integers."""
-        matches, words = self.matches, self.words
-        for memo, most in ((matches, MEMO_MATCHES), (words, MEMO_WORDS)):
+        matches, words = self.matches, self.words.__getitem__
+        for memo, most in ((matches, MEMO_MATCHES), (self.words, MEMO_WORDS), (self.heads, MEMO_WORDS)):
             if len(memo) >= most:
                 memo.clear()
-        if _OTHER.search(text):
+        if _OTHER.search(text) or any(a in text for a in self.added):
             return array("I", matches.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        if text[:1] == " " or text[-1:] == " " or any(m in text for m in _MEETING):
+        if (text[:1] == " " or text[-1:] == " " or text[-2:] == "\n\n" or "\t" in text or "\r" in text
+                or any(m in text for m in _MEETING)):
             return b"".join(map(matches.__getitem__, _PATTERN.findall(text)))
-        first, *rest = text.split(" ")
-        return b"".join(map(matches.__getitem__, _PATTERN.findall(first))) + b"".join(map(words.__getitem__, rest))
+        out: list[bytes] = []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            if first:
+                out.append(self.heads[first])
+            out += map(words, rest)
+            out.append(matches["\n"])
+        return b"".join(out[:-1])
 
 
 _encoders: dict[str, Encoder] = {}

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -12,20 +13,31 @@ from shoplake.llm import token_store
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
+LIBRARY = Tokenizer.from_file(PATH)
+
+
 def library_ids(text):
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer.encode(text or "", add_special_tokens=False).ids
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
 def test_encoder_equals_the_library():
-    texts = ["", " ", "a  b", "a \nb", "a\n\n b c", " \t x", "it's  don't\r\nx", "日本 語　x", "<|endoftext|> x", "x  y",
+    texts = ["", " ", "a  b", "a \nb", "a\n\n b c", " \t x", "it's  don't\r\nx", "日本 語　x", "<|endoftext|> x", "x  y", "<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>", "<|endoftext|",
+             "abc1 abc, it' don't, Straße Ελλάδα, мир! a1b x's ab's. end\n", "one two\nthree four\tfive '' ,, a, ,a a,b", "\n", "\na\n\nb c\n", "a\n\n", "a b\n\n\nc. d,\ne", "\n\n", "a\r\n\r\nb",
              "é́ ؀", "\x1c a", "a.b,c! 12 3", "word " * 50 + "\n"]
     encoder = token_store.Encoder(PATH)
     for text in texts * 2:
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library_ids(text), repr(text)
 
 
+def test_encoder_equals_the_library_on_mixed_texts():
+    rng = random.Random(1)
+    encoder = token_store.Encoder(PATH)
+    parts = [" ", " ", " ", "\n", "\n\n", "\t", "it's", "don't", "Word", "ü", "1", "23", ".", ",", "'", "--", "<|", "日本", "мир", "é", "aB"]
+    for _ in range(2000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 14)))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library_ids(text), repr(text)
+
+
 @pytest.mark.parametrize("encoding", ["delta", "dictionary"])
 def test_store_and_selective_reads(spark, make_docs, odd_texts, tmp_path, encoding):
     path = str(tmp_path / "tokens")
