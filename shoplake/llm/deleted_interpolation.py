@@ -5,19 +5,19 @@ estimates and a uniform share. The mixture weights depend on how often the conte
 powers of two) and are learned by expectation-maximisation on the bigram counts of held-out documents.
 
 Every training word is a context with a count of its own. Map tasks turn blocks of some million tokens into
-rows, one for each distinct (context, word) pair of a block and one for each rare word, keyed by a 64-bit hash;
-Spark sums them by key and hands every block the sums of its keys. The rows grow with the tokens, a key has at
-most one row per block, and all grouping is Spark's, which spills. Words of at least 1 / 2^17 of the training
-tokens (at most 2^17) are broadcast, which saves sending them; it doesn't alter the result.
+distinct keys: 64-bit hashes of the block's (context, word) pairs and of its words, with their counts. The
+keys are dealt by their leading bits to nodes that sum them up and answer every block with the sums of its keys.
+A block, or a node, has about as many keys and deals to a bounded number of nodes, so rows grow with the
+tokens; beyond some ten thousand blocks the nodes are stacked, each level summing what the one below it
+dealt.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -25,15 +25,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.llm.common import crc_of_id, materialize, word_lists
 
-FREQUENT = 1 << 17  # a frequent word makes up at least 1 / FREQUENT of the training tokens
 BLOCK_TOKENS = 1_000_000
-SLICE = 1 << 17  # tokens scored, and rows sent, at a time, to bound memory
-VOCABULARY = 300_000  # words a task remembers; it then starts anew
+TOKEN_BYTES = 4  # a token's share of the texts, about, by which the number of blocks is foreseen
+SLICE = 1 << 19  # tokens scored at a time, to bound memory
+LEVEL = 6  # of the compression
+FAN_BITS = 12  # a block or node deals to 2^FAN_BITS nodes at most
+VOCABULARY = 150_000  # words a task remembers; it then starts anew
 CELLS_PER_OCTAVE = 4  # estimates are rounded to quarter powers of two for learning the weights
 FIT, HELD, TEST = 0, 1, 2
 END = b"\n"  # no word holds white space
@@ -51,7 +53,7 @@ class _Vocabulary(dict):
 
 @dataclass
 class Block:
-    """Tokens of some documents: word and context (numbers in ``hashes``, -1 for a text's begin), document."""
+    """Tokens of some documents: word and context (numbers in ``vocabulary``, -1 for a text's begin), document."""
 
     number: int
     rows: np.ndarray
@@ -60,8 +62,7 @@ class Block:
     words: np.ndarray
     contexts: np.ndarray
     docs: np.ndarray
-    hashes: np.ndarray
-    epoch: int  # blocks of one epoch number their words alike
+    vocabulary: list[bytes]
 
 
 def fold_of(doc_id: int | None, every: int = 5, held_share: int = 10) -> int:
@@ -75,8 +76,8 @@ def fold_of(doc_id: int | None, every: int = 5, held_share: int = 10) -> int:
 def blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Block]:
     """Blocks of ``limit`` tokens or more of the documents (doc_id, text) of a task. A very long text may span blocks."""
     task = TaskContext.get().partitionId()
-    vocabulary, hashes = _Vocabulary(), array("Q")
-    number, row, epoch = task << 32, task << 40, 0
+    vocabulary = _Vocabulary()
+    number, row = task << 32, task << 40
     rows: list[int] = []
     ids: list[int | None] = []
     words: list[np.ndarray] = []
@@ -84,14 +85,13 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Block]:
     tokens, before = 0, -1
 
     def done() -> Block:
-        hashes.extend(xxhash.xxh64_intdigest(w, 1) for w in list(vocabulary)[len(hashes):])
         lengths = [len(w) for w in words]
         flat = np.concatenate(words)
         contexts = np.concatenate([np.full(1, -1, np.int32), flat[:-1]])
         starts = np.cumsum([0, *lengths[:-1]])
         contexts[starts] = firsts
         return Block(number, np.array(rows), list(ids), np.array([fold_of(i) for i in ids]), flat, contexts,
-                     np.repeat(np.arange(len(rows), dtype=np.int32), lengths), np.array(hashes, np.uint64), epoch)
+                     np.repeat(np.arange(len(rows), dtype=np.int32), lengths), list(vocabulary))
 
     for batch in batches:
         for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
@@ -117,7 +117,7 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Block]:
                     rows, ids, words, firsts, tokens = [], [], [], [], 0
                     if len(vocabulary) > VOCABULARY:
                         word = None if last else piece[-1]
-                        vocabulary, hashes, epoch = _Vocabulary(), array("Q"), epoch + 1
+                        vocabulary = _Vocabulary()
                         before = -1 if last else vocabulary[word]
     if rows:
         yield done()
@@ -126,15 +126,17 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Block]:
 # --- packed arrays -----------------------------------------------------------------------------------------
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Unsigned arrays, byte by byte of equal place, so that small numbers leave runs of zeros to the shuffle's codec."""
+    """Unsigned arrays, byte by byte of equal place, compressed: small numbers and few distinct ones take little."""
     out = []
     for a in arrays:
         a = np.ascontiguousarray(a)
         out += [struct.pack("<cq", a.dtype.char.encode(), len(a)), a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()]
-    return b"".join(out)
+    data = b"".join(out)
+    return struct.pack("<q", len(data)) + pa.Codec("zstd", compression_level=LEVEL).compress(data, asbytes=True)
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
+    data = pa.decompress(memoryview(data)[8:], struct.unpack_from("<q", data)[0], "zstd", asbytes=True)
     out, at = [], 0
     while at < len(data):
         kind, n = struct.unpack_from("<cq", data, at)
@@ -150,34 +152,7 @@ def _steps(ascending: np.ndarray) -> np.ndarray:
     return np.diff(ascending, prepend=np.zeros(1, ascending.dtype))
 
 
-# --- the frequent words and the model -----------------------------------------------------------------------
-
-@dataclass
-class Frequent:
-    """At most FREQUENT words: their hashes (sorted), counts in all training documents and in the fit part; totals."""
-
-    hashes: np.ndarray
-    train: np.ndarray
-    fit: np.ndarray
-    train_tokens: int
-    fit_tokens: int
-    distinct: int  # words (with the end) in training documents
-    train_docs: int
-    fit_docs: int
-    words: DataFrame | None  # h, fit, train and more of every word; not broadcast
-
-    @property
-    def begin(self) -> int:
-        """Number of a text's begin; a block's rare words have the numbers after it."""
-        return len(self.hashes)
-
-    def place(self, hashes: np.ndarray) -> np.ndarray:
-        """Number of each hash among the frequent words, or -1."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
-
+# --- the model ---------------------------------------------------------------------------------------------------
 
 @dataclass
 class Weights:
@@ -227,49 +202,7 @@ def learn_weights(cells: pd.DataFrame, distinct: int, rounds: int = 100) -> Weig
     return Weights(out)
 
 
-# --- passes ---------------------------------------------------------------------------------------------------
-
-def count_words(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, broadcast: int = FREQUENT) -> Frequent:
-    """Count all words by fold (one row per word and epoch of a task, summed by Spark) and keep the frequent ones,
-    those that make up at least 1 / ``broadcast`` (FREQUENT at most) of the training tokens."""
-    if broadcast > FREQUENT:
-        raise ValueError(f"at most {FREQUENT} words are broadcast")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        epoch, hashes, total = 0, np.zeros(0, np.uint64), np.zeros((3, 0), np.int64)
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            seen = np.flatnonzero(total.any(axis=0))
-            for at in range(0, len(seen), SLICE):
-                part = seen[at:at + SLICE]
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[part].view(np.int64)), *[pa.array(c[part]) for c in total]],
-                                                 names=["h", "fit", "held", "test"])
-
-        for b in blocks(batches, block_tokens):
-            if b.epoch != epoch:
-                yield from rows()
-                epoch, total = b.epoch, np.zeros((3, 0), np.int64)
-            hashes, size, fold = b.hashes, len(b.hashes), b.folds[b.docs]
-            counts = np.stack([np.bincount(b.words[fold == x], minlength=size) for x in (FIT, HELD, TEST)])
-            counts[:, :total.shape[1]] += total
-            total = counts
-        yield from rows()
-
-    words = docs.mapInArrow(run, "h long, fit long, held long, test long").groupBy("h").agg(
-        *[F.sum(c).alias(c) for c in ("fit", "held", "test")])
-    words = materialize(words.withColumn("train", F.col("fit") + F.col("held")), "lm-words")
-    total = words.agg(F.sum("train"), F.sum("fit"), F.sum((F.col("train") > 0).cast("long"))).first()
-    train, fit, distinct = (int(x or 0) for x in total)
-    # The counts sum up to the total, so at most ``broadcast`` words reach the bound.
-    frequent = words.filter(F.col("train") >= max(1.0, train / broadcast)).select("h", "train", "fit").collect()
-    hashes = np.array([r["h"] for r in frequent], np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    end = xxhash.xxh64_intdigest(END, 1)
-    ends = words.filter(F.col("h") == F.lit(end - (1 << 64) if end >= 1 << 63 else end)).select("train", "fit").first()
-    return Frequent(hashes[order], np.array([r["train"] for r in frequent], np.int64)[order],
-                    np.array([r["fit"] for r in frequent], np.int64)[order], train, fit, distinct,
-                    *(ends if ends else (0, 0)), words)
-
+# --- a block's keys -----------------------------------------------------------------------------------------------
 
 def pair_keys(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
     """64-bit identity of each pair, from the hashes of its context and word."""
@@ -284,142 +217,282 @@ def pair_keys(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
         return x
 
 
+def _ranked(counts: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The order with frequent values first (by powers of two), so that their numbers are small."""
+    return order[np.argsort(-np.frexp(counts[order])[1], kind="stable")]
+
+
 @dataclass
 class Tokens:
-    """Words and contexts of a block as numbers: frequent words, a text's begin, then the block's rare words."""
+    """Words and contexts of a block as numbers in ``vocabulary``; the number after the last is a text's begin."""
 
     words: np.ndarray
     contexts: np.ndarray
-    rare: np.ndarray  # hashes of the rare words, sorted
-    begin: int
+    vocabulary: list[bytes]
 
     @classmethod
-    def of(cls, b: Block, frequent: Frequent) -> Tokens:
-        known = frequent.place(b.hashes).astype(np.int32)
-        seen = np.zeros(len(b.hashes), bool)
-        seen[b.words] = True
+    def of(cls, b: Block) -> Tokens:
+        """The block's words numbered anew, frequent ones first and then in order, so that numbers and words pack well."""
+        counts = np.bincount(b.words, minlength=len(b.vocabulary))
+        seen = counts > 0
         seen[b.contexts[b.contexts >= 0]] = True  # a text's first context may stand in the block before
-        rare = np.flatnonzero(seen & (known < 0))
-        rare = rare[np.argsort(b.hashes[rare])]
-        known[rare] = frequent.begin + 1 + np.arange(len(rare), dtype=np.int32)
-        return cls(known[b.words], np.where(b.contexts < 0, np.int32(frequent.begin), known[b.contexts]), b.hashes[rare], frequent.begin)
+        used = np.array(sorted(np.flatnonzero(seen).tolist(), key=b.vocabulary.__getitem__))
+        used = _ranked(counts, used)
+        number = np.zeros(len(b.vocabulary) + 1, np.int32)
+        number[used] = np.arange(len(used), dtype=np.int32)
+        number[-1] = len(used)
+        return cls(number[b.words], number[b.contexts], [b.vocabulary[i] for i in used.tolist()])
 
-    def hashes(self, frequent: Frequent) -> np.ndarray:
-        return np.concatenate([frequent.hashes, np.array([BEGIN], np.uint64), self.rare])
+    def keys(self) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Sorted keys of the pairs and every token's number among them; sorted keys of the words, the begin included,
+        and every word's number among them."""
+        hashes = np.array([*(xxhash.xxh64_intdigest(w, 1) for w in self.vocabulary), BEGIN], np.uint64)
+        return (_distinct(pair_keys(hashes[self.contexts], hashes[self.words])),
+                _distinct(pair_keys(np.full(len(hashes), ALONE), hashes)))
 
-    def pairs(self, frequent: Frequent) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct keys of the pairs, the place of one token of each, and every token's number among them."""
-        hashes = self.hashes(frequent)
-        return _distinct(pair_keys(hashes[self.contexts], hashes[self.words]))
 
-    def singles(self) -> np.ndarray:
-        """Keys of the rare words."""
-        return pair_keys(np.full(len(self.rare), ALONE), self.rare)
+BEGINS = pair_keys(np.full(1, ALONE), np.full(1, BEGIN))[0]  # the key under which texts are counted
 
 
-def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct values, the place of one occurrence of each, and every value's number among them."""
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and every value's number among them."""
     order = np.argsort(values)
     ascending = values[order]
     new = np.ones(len(values), bool)
     new[1:] = ascending[1:] != ascending[:-1]
     numbers = np.empty(len(values), np.int32)
     numbers[order] = np.cumsum(new, dtype=np.int32) - 1
-    return ascending[new], order[new], numbers
+    return ascending[new], numbers
 
 
-def count_pairs(docs: DataFrame, frequent: Frequent, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Every block's keys with their counts over all blocks: block, key, train, and for a block's held-out pairs
-    fit (over all blocks), held (in the block), word and context (hashes). One row of a block has no counts
-    but ``own``, the block's tokens and documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(replace(frequent, words=None))
-    names = ["block", "key", "fit", "held", "word", "context", "own"]
+# --- dealing keys and answering them --------------------------------------------------------------------------
+
+DEALT = "node long, child long, own boolean, data binary"
+
+
+@dataclass
+class Levels:
+    """How keys are dealt: ``bits`` leading bits more at each level, and the nodes among which the senders of the
+    same leading bits are divided; one at the last level, so that it knows the sums."""
+
+    bits: int
+    chunks: list[int]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = shared.value
+    @classmethod
+    def of(cls, senders: int, fan_bits: int = FAN_BITS, slack: int = 4) -> Levels:
+        bits = min(fan_bits, max(4, senders.bit_length()))
+        chunks = []
+        while senders > slack << bits:
+            senders = -(-senders >> bits)
+            chunks.append(senders)
+        return cls(bits, [*chunks, 1])
+
+    def deal(self, level: int, child: int, sums: list[np.ndarray]) -> list[tuple]:
+        """Rows (node, child, False, data) that carry a sender's counts: sorted keys, fit and held of the pairs, and the
+        same of the words."""
+        shift = np.uint64(64 - self.bits * (level + 1))
+        leading = [sums[i] >> shift for i in (0, 3)]
+        paths = np.union1d(*leading)
+        chunk = (child * 0x9E3779B97F4A7C15 >> 40) % self.chunks[level]
+        (p, p_to), (w, w_to) = ((np.searchsorted(x, paths), np.searchsorted(x, paths, "right")) for x in leading)
+        out = []
+        for i, path in enumerate(paths.tolist()):
+            pairs, words = slice(p[i], p_to[i]), slice(w[i], w_to[i])
+            data = pack(_steps(sums[0][pairs]), _narrow(sums[1][pairs]), _narrow(sums[2][pairs]),
+                        _steps(sums[3][words]), _narrow(sums[4][words]), _narrow(sums[5][words]))
+            out.append((path * self.chunks[level] + chunk, child, False, data))
+        return out
+
+
+def _narrow(values: np.ndarray) -> np.ndarray:
+    most = int(values.max(initial=0))
+    return values.astype(next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(k).max))
+
+
+def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, and every value's number among them; frequent ones first."""
+    distinct, inverse, counts = np.unique(values, return_inverse=True, return_counts=True)
+    order = _ranked(counts, np.arange(len(distinct)))
+    number = np.empty(len(distinct), np.int64)
+    number[order] = np.arange(len(order))
+    return _narrow(distinct[order]), _narrow(number[inverse])
+
+
+def _rows(rows: list[tuple], names: tuple[str, ...] = ("node", "child", "own", "data")) -> dict[str, pa.Array]:
+    kinds = {"node": pa.int64(), "child": pa.int64(), "own": pa.bool_(), "data": pa.binary()}
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    return {n: pa.array(c, kinds[n]) for n, c in zip(names, columns, strict=True)}
+
+
+class _Sums:
+    """What a node's senders dealt it, summed by key: ``sums`` as ``Levels.deal`` takes them."""
+
+    def __init__(self, table: pa.Table):
+        self.passing = [(r["child"], -1, True, r["data"]) for r in table.filter(table["own"]).to_pylist()]
+        dealt = table.filter(pc.invert(table["own"]))
+        self.children = dealt["child"].to_pylist()
+        parts = [unpack(d) for d in dealt["data"].to_pylist()]
+        self.sums: list[np.ndarray] = []
+        self.numbers: list[list[np.ndarray]] = []
+        for of in (0, 3):
+            keys, numbers = _distinct(np.concatenate([np.zeros(0, np.uint64), *[np.cumsum(p[of], dtype=np.uint64) for p in parts]]))
+            split = np.split(numbers, np.cumsum([len(p[of]) for p in parts])[:-1]) if parts else []
+            self.sums.append(keys)
+            self.numbers.append(split)
+            for i in (1, 2):
+                total = np.zeros(len(keys), np.int64)
+                for number, p in zip(split, parts, strict=True):
+                    total[number] += p[of + i].astype(np.int64)  # a sender's keys are distinct
+                self.sums.append(total)
+
+    def answers(self, node: int, counts: list[np.ndarray]) -> list[tuple]:
+        """Rows (child, node, own, data): for each sender the counts (fit and held of pairs, and of words) of its keys,
+        in their order."""
+        of_pairs, of_words = counts[:2], counts[2:]
+        return self.passing + [(child, node, False, pack(*(_narrow(c[p]) for c in of_pairs), *(_narrow(c[w]) for c in of_words)))
+                               for child, p, w in zip(self.children, *self.numbers, strict=True)]
+
+    def totals(self) -> bytes:
+        """Distinct training words, training tokens and fit tokens among the node's words."""
+        word = self.sums[3] != BEGINS
+        fit, train = self.sums[4][word], (self.sums[4] + self.sums[5])[word]
+        return pack(np.array([(train > 0).sum(), train.sum(), fit.sum()], np.uint64))
+
+
+ANSWER = ("child", "node", "own", "data")
+TOTALS = 1000  # groups to which the nodes' totals are dealt; their senders' numbers are negative
+
+
+def _answered(table: pa.Table) -> list[np.ndarray]:
+    """The counts of a sender's keys, in their order, from all nodes' answers to it."""
+    order = np.argsort(table["node"].to_numpy(), kind="stable")  # by leading bits: a sender's nodes share the chunk
+    parts = [unpack(table["data"][int(i)].as_py()) for i in order]
+    return [np.concatenate([np.zeros(0, np.int64), *[p[i].astype(np.int64) for p in parts]]) for i in range(4)]
+
+
+def answered(rows: DataFrame, levels: Levels, level: int = 0) -> DataFrame:
+    """Answers (child, node, own, data) to the senders of the dealt rows, and the nodes' totals for the children
+    below 0; ``own`` rows are handed through."""
+    schema = "child long, node long, own boolean, data binary"
+    if level + 1 == len(levels.chunks):
+        def final(key: tuple, table: pa.Table) -> pa.Table:
+            sums, node = _Sums(table), key[0].as_py()
+            counts = [sums.sums[i] for i in (1, 2, 4, 5)]
+            return pa.table(_rows([*sums.answers(node, counts), (-1 - node % TOTALS, node, False, sums.totals())], ANSWER))
+
+        return rows.groupBy("node").applyInArrow(final, schema)
+
+    rows = materialize(rows, "lm-dealt")
+
+    def ahead(key: tuple, table: pa.Table) -> pa.Table:
+        return pa.table(_rows(levels.deal(level + 1, key[0].as_py(), _Sums(table).sums)))
+
+    above = answered(rows.filter("not own").groupBy("node").applyInArrow(ahead, DEALT), levels, level + 1)
+    above = materialize(above.withColumnRenamed("child", "at"), "lm-answers")
+
+    def back(key: tuple, table: pa.Table, found: pa.Table) -> pa.Table:
+        if not len(table):  # totals
+            return found.select(["at", *ANSWER[1:]]).rename_columns(list(ANSWER))
+        return pa.table(_rows(_Sums(table).answers(key[0].as_py(), _answered(found)), ANSWER))
+
+    return rows.groupBy("node").cogroup(above.groupBy("at")).applyInArrow(back, schema)
+
+
+def count_pairs(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, fan_bits: int = FAN_BITS, slack: int = 4) -> DataFrame:
+    """The documents' tokens with all counts they need: rows of kind 1 hold a slice of a block (``data``), rows of
+    kind 0 held-out counts n by context bucket a, rounded bigram estimate b and rounded word count c, and rows of kind 2
+    totals (a: distinct training words, b: training tokens, c: fit tokens), to be summed."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    levels = Levels.of(max(1, -(-size // (TOKEN_BYTES * block_tokens))), fan_bits, slack)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, block_tokens):
-            t, fold = Tokens.of(b, f), b.folds[b.docs]
+            t, fold = Tokens.of(b), b.folds[b.docs]
             lengths = np.bincount(b.docs, minlength=len(b.rows))
+            starts = np.cumsum(lengths) - lengths
             ids = np.array([0 if i is None else i for i in b.doc_ids], np.int64)
             own = pack(b.rows.astype(np.uint64), ids.view(np.uint64), np.array([i is None for i in b.doc_ids], np.uint8),
-                       lengths.astype(np.uint32), t.contexts[np.cumsum(lengths) - lengths].astype(np.uint32),
-                       t.words.astype(np.uint32), _steps(t.rare))
-            # Its key is drawn from the block's number, so that these large rows spread.
-            key = pair_keys(np.full(1, BEGIN), np.array([b.number], np.uint64)).view(np.int64)
-            none = pa.nulls(1, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([b.number]), pa.array(key), none, none, none, none, pa.array([own], pa.binary())],
-                                             names=names)
-            del own
-            keys, first, numbers = t.pairs(f)
-            rare = np.where(t.words > f.begin, t.words - f.begin - 1, -1)
-            counts = []
-            for x in (FIT, HELD):
+                       lengths.astype(np.uint32), t.contexts[starts].astype(np.uint32), _narrow(t.words),
+                       np.frombuffer(b" ".join(t.vocabulary), np.uint8))
+            (keys, numbers), (word_keys, of_word) = t.keys()
+            sums = [keys, None, None, word_keys, None, None]
+            begin = np.flatnonzero(t.contexts[starts] == len(t.vocabulary))  # a text's later blocks have another first context
+            for i, x in enumerate((FIT, HELD), 1):
                 at = np.flatnonzero(fold == x)
-                of_rare = rare[at]
-                counts.append(np.concatenate([np.bincount(numbers[at], minlength=len(keys)),
-                                              np.bincount(of_rare[of_rare >= 0], minlength=len(t.rare))]))
-            hashes = t.hashes(f)
-            named = np.flatnonzero(counts[1][:len(keys)] > 0)
-            word, context = np.zeros((2, len(counts[0])), np.uint64)
-            word[named], context[named] = hashes[t.words[first[named]]], hashes[t.contexts[first[named]]]
-            unnamed = np.ones(len(word), bool)
-            unnamed[named] = False
-            keys = np.concatenate([keys, t.singles()])
-            for at in range(0, len(keys), SLICE):
-                to = slice(at, at + SLICE)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys[to]), b.number)), pa.array(keys[to].view(np.int64)), pa.array(counts[0][to]),
-                     pa.array(counts[1][to]), *[pa.array(x[to].view(np.int64), mask=unnamed[to]) for x in (word, context)],
-                     pa.nulls(len(keys[to]), pa.binary())], names=names)
-
-    rows = docs.mapInArrow(run, "block long, key long, fit long, held long, word long, context long, own binary")
-    same = Window.partitionBy("key")
-    summed = rows.withColumn("fits", F.sum("fit").over(same)).withColumn("helds", F.sum("held").over(same))
-    held_pair = F.col("word").isNotNull()
-    return materialize(summed.select("block", "key", (F.col("fits") + F.col("helds")).alias("train"),
-                                     F.when(held_pair, F.col("fits")).alias("fit"), F.when(held_pair, F.col("held")).alias("held"),
-                                     "word", "context", "own"), "lm-pairs")
-
-
-def held_cells(pairs: DataFrame, frequent: Frequent) -> pd.DataFrame:
-    """Held-out counts by the context's bucket and the rounded estimates: bucket, bigram, word, n. A pair counts as
-    often as its blocks hold it. The words' counts come by a join; the cells are bounded by their grid."""
-    shared = pairs.sparkSession.sparkContext.broadcast(replace(frequent, words=None))
-
-    def known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Fit counts of the begin and the frequent words; the others are null and looked up."""
-        f = shared.value
-        for pdf in batches:
-            out = {"n": pdf["held"], "fit": pdf["fit"]}
-            for c, side in (("word", "a"), ("context", "b")):
-                hashes = pdf[c].to_numpy(np.int64).view(np.uint64)
-                place = f.place(hashes)
-                found = np.where(hashes == BEGIN, f.fit_docs, np.where(place >= 0, np.r_[f.fit, 0][place], -1))
-                # What is known needs no join: the pair's own key spreads the rows.
-                out[side] = np.where(found < 0, pdf[c].to_numpy(np.int64), pdf["key"].to_numpy(np.int64))
-                out[f"{c}_fit"] = found
-            yield pd.DataFrame(out).astype("int64")
-
-    schema = "n long, fit long, a long, word_fit long, b long, context_fit long"
-    looked_up = pairs.filter(F.col("word").isNotNull()).select("key", "held", "fit", "word", "context").mapInPandas(known, schema)
-    counts = frequent.words.filter("fit > 0")
-    for key, column in (("a", "word_fit"), ("b", "context_fit")):
-        of = counts.select(F.col("h").alias(key), F.col("fit").alias("found"))
-        looked_up = looked_up.join(of, key, "left").withColumn(
-            column, F.when(F.col(column) >= 0, F.col(column)).otherwise(F.coalesce("found", F.lit(0)))).drop("found")
-    fit_tokens = frequent.fit_tokens
-
-    def cells_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            n, fit, context_fit, word_fit = (pdf[c].to_numpy() for c in ("n", "fit", "context_fit", "word_fit"))
-            bigram = np.divide(fit, context_fit, out=np.zeros(len(n)), where=context_fit > 0)
-            rows = pd.DataFrame({"bucket": bucket(context_fit).astype(np.int64), "bigram": _cell(bigram),
-                                 "word": _cell(word_fit / max(fit_tokens, 1)), "n": n})
-            yield rows.groupby(["bucket", "bigram", "word"], as_index=False)["n"].sum()
-
-    cells = (looked_up.mapInPandas(cells_of, "bucket long, bigram long, word long, n long")
-             .groupBy("bucket", "bigram", "word").agg(F.sum("n").alias("n"))).toPandas()
-    return cells.assign(bigram=_estimate(cells["bigram"].to_numpy()), word=_estimate(cells["word"].to_numpy()))
+                sums[i] = np.bincount(numbers[at], minlength=len(keys))
+                sums[3 + i] = np.bincount(of_word[t.words[at]], minlength=len(word_keys))
+                sums[3 + i][of_word[-1]] += np.count_nonzero(b.folds[begin] == x)
+            rows = levels.deal(0, b.number, sums)
+            # The tokens go along to one of the nodes.
+            rows.append((rows[b.number % len(rows)][0], b.number, True, own))
+            yield pa.RecordBatch.from_pydict(_rows(rows))
+
+    def gather(key: tuple, table: pa.Table) -> pa.Table:
+        def out(kind: int, data: list[bytes | None], *columns: np.ndarray) -> pa.Table:
+            n = len(data)
+            return pa.table({"kind": pa.array(np.full(n, kind), pa.int32()), "data": pa.array(data, pa.binary()),
+                             **{c: x.astype(np.int64) for c, x in zip("abcn", [*columns, *[np.zeros(n)] * (4 - len(columns))], strict=True)}})
+
+        if key[0].as_py() < 0:
+            totals = np.sum([unpack(d)[0] for d in table["data"].to_pylist()], axis=0)
+            return out(2, [None], *totals[:, None])
+        row, ids, none, lengths, firsts, words, vocabulary = unpack(table.filter(table["own"])["data"][0].as_py())
+        fit, held, word_fit, word_held = _answered(table.filter(pc.invert(table["own"])))
+        words, lengths = words.astype(np.int32), lengths.astype(np.int64)
+        contexts = np.concatenate([np.zeros(1, np.int32), words[:-1]])
+        contexts[np.cumsum(lengths) - lengths] = firsts
+        t = Tokens(words, contexts, vocabulary.tobytes().split(b" "))  # no word holds a blank
+        (_, numbers), (_, of_word) = t.keys()
+        train, word_fit, word_train = fit + held, word_fit[of_word], (word_fit + word_held)[of_word]
+        doc_ids = [None if no else i for i, no in zip(ids.view(np.int64).tolist(), none, strict=True)]
+        docs_of = np.repeat(np.arange(len(row)), lengths)
+        data = []
+        for at in range(0, len(words), SLICE):
+            to = slice(at, at + SLICE)
+            part = docs_of[to]
+            own = slice(part[0], part[-1] + 1)
+            # A token's context is the token before it; only those of each document's first tokens are sent.
+            lengths_in = np.bincount(part - part[0])
+            of_first = word_train[contexts[to][np.cumsum(lengths_in) - lengths_in]]
+            data.append(pack(row[own], ids[own], none[own], lengths_in.astype(np.uint32), _narrow(of_first),
+                             _narrow(train[numbers[to]]), *_coded(word_train[words[to]])))
+        # Held-out tokens by cell.
+        at = np.flatnonzero(np.array([fold_of(i) for i in doc_ids])[docs_of] == HELD)
+        of_context = word_fit[contexts[at]]
+        bigram = np.divide(fit[numbers[at]], of_context, out=np.zeros(len(at)), where=of_context > 0)
+        cells = np.stack([bucket(of_context), _cell(bigram), _count_cell(word_fit[words[at]])])
+        cells, n = np.unique(cells, axis=1, return_counts=True)
+        return pa.concat_tables([out(0, [None] * len(n), *cells, n), out(1, data)]).combine_chunks()
+
+    answers = answered(docs.mapInArrow(deal, DEALT), levels)
+    return materialize(answers.groupBy("child").applyInArrow(
+        gather, "kind int, data binary, a long, b long, c long, n long"), "lm-counted")
+
+
+@dataclass
+class Totals:
+    """Of the training documents: distinct words (with the end), tokens, and tokens of the fit part."""
+
+    distinct: int
+    train_tokens: int
+    fit_tokens: int
+
+    @classmethod
+    def of(cls, counted: DataFrame) -> Totals:
+        return cls(*(int(x or 0) for x in counted.filter("kind = 2").agg(F.sum("a"), F.sum("b"), F.sum("c")).first()))
+
+
+def held_cells(counted: DataFrame, totals: Totals) -> pd.DataFrame:
+    """Held-out counts by the context's bucket and the rounded estimates: bucket, bigram, word, n. Bounded by the grid."""
+    cells = counted.filter("kind = 0").groupBy("a", "b", "c").agg(F.sum("n").alias("n")).toPandas()
+    word = cells["c"].to_numpy()
+    word = np.where(word > 0, 2.0 ** ((word - 1) / CELLS_PER_OCTAVE), 0.0) / max(totals.fit_tokens, 1)
+    return pd.DataFrame({"bucket": cells["a"], "bigram": _estimate(cells["b"].to_numpy()), "word": word, "n": cells["n"]})
+
+
+def _count_cell(count: np.ndarray) -> np.ndarray:
+    """0 for 0, else 1 plus the number of quarter octaves above 1."""
+    return np.where(count > 0, 1 + np.round(CELLS_PER_OCTAVE * np.log2(np.maximum(count, 1))), 0).astype(np.int64)
 
 
 def _cell(estimate: np.ndarray) -> np.ndarray:
@@ -431,7 +504,7 @@ def _estimate(cell: np.ndarray) -> np.ndarray:
     return np.where(cell > 0, 2.0 ** (-(cell - 1) / CELLS_PER_OCTAVE), 0.0)
 
 
-def score(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, broadcast: int = FREQUENT) -> DataFrame:
+def score(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, fan_bits: int = FAN_BITS, slack: int = 4) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     Tokens are the words (A-Z lower-cased) and one end; the model learns from documents that are not held
@@ -440,45 +513,28 @@ def score(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, broadcast: int = FR
     the uniform share alone. An empty table gives an empty result; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    frequent = count_words(rows, block_tokens, broadcast)
-    pairs = count_pairs(rows, frequent, block_tokens)
-    weights = learn_weights(held_cells(pairs, frequent), frequent.distinct)
-    shared = docs.sparkSession.sparkContext.broadcast((replace(frequent, words=None), weights))
-
-    def finish(table: pa.Table) -> pa.Table:
-        """Scores of a block's documents."""
-        f, w = shared.value
-        own = table["own"].drop_null()[0].as_py()
-        keyed = table.filter(pc.is_null(table["own"]))
-        keys, train = keyed["key"].to_numpy().view(np.uint64), keyed["train"].to_numpy()
-        order = np.argsort(keys)
-        keys, train = keys[order], train[order]
-        row, ids, none, lengths, firsts, words, rare = unpack(own)
-        n, lengths = len(row), lengths.astype(np.int64)
-        words = words.view(np.int32)
-        contexts = np.concatenate([np.zeros(1, np.int32), words[:-1]])
-        contexts[np.cumsum(lengths) - lengths] = firsts
-        t = Tokens(words, contexts, np.cumsum(rare, dtype=np.uint64), f.begin)
-        distinct, _, numbers = t.pairs(f)
-        of_pair = train[np.searchsorted(keys, distinct)]
-        of_rare = train[np.searchsorted(keys, t.singles())] if len(t.rare) else np.zeros(0, np.int64)
-        of_word = np.concatenate([f.train, [0], of_rare]).astype(np.float64)
-        of_context = np.concatenate([f.train, [f.train_docs], of_rare]).astype(np.float64)
-        base = np.log10((of_word + 0.5) / (f.train_tokens + 0.5 * (f.distinct + 1)))
-        docs_of = np.repeat(np.arange(n), lengths)
-        sums = np.zeros((3, n))
-        for at in range(0, len(words), SLICE):
-            to = slice(at, at + SLICE)
-            value = np.log10(w.probability(of_pair[numbers[to]].astype(np.float64), of_context[contexts[to]], of_word[words[to]],
-                                           f.train_tokens, f.distinct))
-            for total, x in zip(sums, (of_word[words[to]] > 0, base[words[to]], value), strict=True):
-                total += np.bincount(docs_of[to], x, minlength=n)
-        return pa.table({"row": row.view(np.int64), "doc_id": pa.array(ids.view(np.int64), mask=none.astype(bool)),
-                         "n_tokens": lengths, "n_known": sums[0].astype(np.int64), "base_score": sums[1], "score": sums[2]})
-
-    sums = pairs.select("block", "key", "train", "own").groupBy("block").applyInArrow(
+    counted = count_pairs(rows, block_tokens, fan_bits, slack)
+    totals = Totals.of(counted)
+    weights = learn_weights(held_cells(counted, totals), totals.distinct)
+    train_tokens, distinct = totals.train_tokens, totals.distinct
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column(0):
+                row, ids, none, lengths, firsts, pair, counts, word = unpack(data.as_py())
+                docs_of, word = np.repeat(np.arange(len(row)), lengths), counts.astype(np.float64)[word]
+                context = np.concatenate([[0.0], word[:-1]])
+                context[np.cumsum(lengths) - lengths] = firsts
+                base = np.log10((word + 0.5) / (train_tokens + 0.5 * (distinct + 1)))
+                value = np.log10(weights.probability(pair.astype(np.float64), context, word, train_tokens, distinct))
+                known, base, value = (np.bincount(docs_of, x, minlength=len(row)) for x in (word > 0, base, value))
+                yield pa.RecordBatch.from_pydict({
+                    "row": row.view(np.int64), "doc_id": pa.array(ids.view(np.int64), mask=none.astype(bool)),
+                    "n_tokens": lengths.astype(np.int64), "n_known": known.astype(np.int64), "base_score": base, "score": value})
+
+    sums = counted.filter("kind = 1").select("data").mapInArrow(
         finish, "row long, doc_id long, n_tokens long, n_known long, base_score double, score double")
-    # Only a text that spans blocks has several rows.
+    # A text may be cut into several slices.
     whole = sums.groupBy("row", "doc_id").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
     return whole.select("doc_id", (crc_of_id(F.col("doc_id")) % 5 == 1).alias("held_out"), "n_tokens", "n_known",
-                        F.lit(frequent.train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+                        F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -55,11 +55,11 @@ def plain(rows, weights=None):
     return sorted(out)
 
 
-def learnt(docs, broadcast, block):
-    slim = docs.select("doc_id", "text")
-    frequent = lm.count_words(slim, block, broadcast)
-    cells = lm.held_cells(lm.count_pairs(slim, frequent, block), frequent)
-    return lm.learn_weights(cells, frequent.distinct), cells, frequent
+def learnt(docs, block):
+    counted = lm.count_pairs(docs.select("doc_id", "text"), block)
+    totals = lm.Totals.of(counted)
+    cells = lm.held_cells(counted, totals)
+    return lm.learn_weights(cells, totals.distinct), cells, totals
 
 
 def test_scores_token_by_token(make_docs):
@@ -67,9 +67,9 @@ def test_scores_token_by_token(make_docs):
            (5003, "w3 w4 " * 4000, "b"), (5004, "é W1 日本", "b")]
     rows = corpus() + odd
     docs = make_docs(rows)
-    for broadcast, block in ((1 << 17, 2_000_000), (40, 500)):  # all words frequent; many rare ones, texts that span blocks
-        weights, _, _ = learnt(docs, broadcast, block)
-        got = lm.score(docs, block, broadcast).collect()
+    for block in (2_000_000, 500):  # one block per task; texts that span blocks
+        weights, _, _ = learnt(docs, block)
+        got = lm.score(docs, block).collect()
         assert sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5),
                        round(r["score"], 5)) for r in got) == plain(rows, weights)
         assert all(r["held_out"] == (zlib.crc32(("" if r["doc_id"] is None else str(r["doc_id"])).encode()) % 5 == 1) for r in got)
@@ -78,12 +78,12 @@ def test_scores_token_by_token(make_docs):
 
 
 def test_weights_rise_the_held_out_likelihood(make_docs):
-    weights, cells, frequent = learnt(make_docs(corpus()), 1 << 17, 2_000_000)
+    weights, cells, totals = learnt(make_docs(corpus()), 2_000_000)
     assert np.allclose(weights.by_bucket.sum(axis=1), 1) and (weights.by_bucket[:, 1:] > 0).all() and weights.by_bucket[0, 0] == 0
     assert cells["n"].sum() == sum(len(tokens(t)) for i, t, _ in corpus() if fold(i) == lm.HELD)
 
     def likelihood(w):
-        estimates = np.stack([cells["bigram"], cells["word"], np.full(len(cells), 1 / (frequent.distinct + 1))], axis=1)
+        estimates = np.stack([cells["bigram"], cells["word"], np.full(len(cells), 1 / (totals.distinct + 1))], axis=1)
         return (cells["n"] * np.log((w[cells["bucket"]] * estimates).sum(axis=1))).sum()
 
     best = likelihood(weights.by_bucket)
@@ -111,26 +111,30 @@ def test_empty_and_untrained_tables(make_docs):
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["score"], row["base_score"]) == (3, 0, 0, 0.0, 0.0)
 
 
-def test_every_training_word_is_a_context(make_docs):
-    """With few broadcast words and blocks that texts span, scores and weights are those of the whole model."""
+def test_weights_do_not_depend_on_the_blocks(make_docs):
     rows = corpus() + [(5003, "w3 rare7 " * 1000, "b"), (7, "rare1 rare1 w2", "c"), (None, None, None)]
+    (few, _, one), (whole, _, other) = (learnt(make_docs(rows), block) for block in (500, 2_000_000))
+    assert np.allclose(few.by_bucket, whole.by_bucket) and one == other
+
+
+def test_stacked_nodes_give_the_same_scores(make_docs):
+    rows = corpus(120)
     docs = make_docs(rows)
-    slim = docs.select("doc_id", "text")
-    few = lm.count_words(slim, 500, broadcast=40)
-    assert 0 < few.begin < 40 < few.distinct
-    table = lm.held_cells(lm.count_pairs(slim, few, 500), few)
-    whole, _, _ = learnt(docs, 1 << 17, 2_000_000)
-    assert np.allclose(lm.learn_weights(table, few.distinct).by_bucket, whole.by_bucket)
-    got = lm.score(docs, 500, broadcast=40).collect()
-    assert sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5),
-                   round(r["score"], 5)) for r in got) == plain(rows, whole)
-
-
-def test_rows_dealt_grow_with_the_tokens(make_docs):
-    """Twice the documents give about twice the rows, however many blocks there are."""
-    def rows(times):
-        docs = make_docs([(i + 1000 * k, t, s) for k in range(times) for i, t, s in corpus()]).select("doc_id", "text").repartition(1)
-        return lm.count_pairs(docs, lm.count_words(docs, 500, 40), 500).count()
-
-    one, two, four = rows(1), rows(2), rows(4)
-    assert two < 2.2 * one and four < 2.2 * two
+    levels = lm.Levels.of(60, 1, 1)
+    assert len(levels.chunks) > 1 and levels.chunks[-1] == 1
+    want = sorted(map(str, ((r["doc_id"], r["n_known"], round(r["score"], 6)) for r in lm.score(docs).collect())))
+    got = lm.score(docs, 100, fan_bits=1, slack=1).collect()
+    assert sorted(map(str, ((r["doc_id"], r["n_known"], round(r["score"], 6)) for r in got))) == want
+
+
+def test_rows_dealt_grow_with_the_tokens():
+    """A sender deals a bounded number of rows, and each level has about as many nodes as there are senders."""
+    for senders in (10, 1000, 50_000, 10_000_000):
+        levels = lm.Levels.of(senders)
+        nodes = [chunks << levels.bits * (i + 1) for i, chunks in enumerate(levels.chunks)]
+        assert all(n <= 4 * max(senders, 16) << (levels.bits if i + 1 == len(nodes) else 0) for i, n in enumerate(nodes))
+        keys = np.sort(np.random.default_rng(0).integers(0, 2**63, 100_000).astype(np.uint64) * np.uint64(2))
+        counts = [np.ones(len(keys), int), np.zeros(len(keys), int)]
+        dealt = levels.deal(0, 7, [keys, *counts, keys[:10], counts[0][:10], counts[1][:10]])
+        assert len(dealt) <= 1 << levels.bits <= 4096
+        assert np.array_equal(np.concatenate([np.cumsum(lm.unpack(d)[0], dtype=np.uint64) for *_, d in dealt]), keys)
