@@ -2,8 +2,10 @@
 
 Counting is done with ``DataFrame.observe`` inside the write's own pass: the input, kept and
 per-reason dropped counts come out of the same scan that writes the curated table, instead of
-separate ``count()`` jobs that each rescan the raw zone. The quarantine write is a second pass that
-runs only when there are rejected rows, and keeps only those.
+separate ``count()`` jobs that each rescan the raw zone. ``etl_outcomes`` writes kept and rejected rows
+in one job, side by side below one folder, so that the raw zone is scanned and parsed once whatever is
+in it. ``etl`` writes to two unrelated folders, for which Spark needs two jobs: its quarantine write is a
+second pass that runs only when there are rejected rows.
 """
 
 from __future__ import annotations
@@ -12,11 +14,22 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoplake.functions import is_blank, parse_ts
 from shoplake.functions.tables import constant_table
-from shoplake.schema import CORRUPT_COLUMN, CURATED_COLUMNS, CURATED_PARTITIONS, ERROR_TYPES, EVENT_COLUMNS
-from shoplake.sources.sinks import write_curated, write_quarantine
+from shoplake.schema import (
+    CORRUPT_COLUMN,
+    CURATED_COLUMNS,
+    CURATED_PARTITIONS,
+    ERROR_TYPES,
+    EVENT_COLUMNS,
+    EVENT_SCHEMA,
+    RAW_SCHEMA,
+)
+from shoplake.sources.sinks import write_curated, write_partitioned, write_quarantine
+
+EVENT_TYPES_OF = {f.name: f.dataType for f in EVENT_SCHEMA.fields}
 
 
 def error_type(df: DataFrame, strict: bool = True) -> Column:
@@ -79,6 +92,56 @@ def to_curated(good: DataFrame, with_event_ts: bool = False, keep: tuple[str, ..
     return df.select(*cols)
 
 
+KEPT = "kept"
+OUTCOME_PARTITIONS = ["outcome", *CURATED_PARTITIONS]
+
+
+def conform_outcomes(raw: DataFrame, strict: bool = True) -> DataFrame:
+    """Every raw row once: the 12 event columns, the corrupt record, its ``outcome`` (kept or the reason it is
+    rejected) and its date, the event's for kept rows and the raw partition's (or the load's) for others."""
+    tagged = raw.withColumn("error_type", error_type(raw, strict)).withColumn("_ts", parse_ts("timestamp"))
+    if CORRUPT_COLUMN not in raw.columns:
+        tagged = tagged.withColumn(CORRUPT_COLUMN, F.lit(None).cast("string"))
+    good = F.col("error_type").isNull()
+    dated = all(c in raw.columns for c in CURATED_PARTITIONS)
+    parts = [F.when(good, F.date_format("_ts", form)).otherwise(F.col(c) if dated else F.date_format(F.current_date(), form)).alias(c)
+             for c, form in zip(CURATED_PARTITIONS, ("yyyy", "MM", "dd"), strict=True)]
+    events = [(F.col(c) if c in raw.columns else F.lit(None)).cast(t).alias(c) for c, t in EVENT_TYPES_OF.items()]
+    return tagged.select(*events, CORRUPT_COLUMN, F.coalesce("error_type", F.lit(KEPT)).alias("outcome"), *parts)
+
+
+def etl_outcomes(raw: DataFrame, path: str, mode: str = "full", strict: bool = True) -> DataFrame:
+    """A8 + B1-B10 + J9 in one pass: kept and rejected rows to ``path`` by outcome and date; the reconciliation row.
+
+    One job scans the raw rows once, tags them, rebalances by outcome and date, counts (``observe``, after
+    the shuffle, so once per row even under retries) and writes ``outcome=/year=/month=/day=``. Both sides
+    become visible with that job's commit; a full load replaces both, an incremental one the outcomes and
+    days it holds. ``kept_path`` is the curated table, ``read_rejected`` the quarantine.
+    """
+    obs = Observation(f"etl_outcomes_{uuid.uuid4().hex[:8]}")
+    outcome = F.col("outcome")
+    metrics = [F.count(F.lit(1)).alias("input_rows"), F.count(F.when(outcome == KEPT, F.lit(1))).alias("kept_rows")]
+    metrics += [F.count(F.when(outcome == F.lit(r), F.lit(1))).alias(r) for r in ERROR_TYPES]
+    rows = conform_outcomes(raw, strict).hint("rebalance", *OUTCOME_PARTITIONS).observe(obs, *metrics)
+    write_partitioned(rows, path, OUTCOME_PARTITIONS, "parquet", mode, {"compression": "snappy"}, rebalance=False)
+    counts = obs.get
+    if counts["input_rows"] != counts["kept_rows"] + sum(counts[r] for r in ERROR_TYPES):
+        raise AssertionError(f"reconciliation failed: {counts}")
+    return reconciliation(raw.sparkSession, counts)
+
+
+def kept_path(path: str) -> str:
+    """The curated table below the folder of ``etl_outcomes``."""
+    return f"{path}/outcome={KEPT}"
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """The quarantine below the folder of ``etl_outcomes``: raw fields, ``error_type`` and date; kept rows are not read."""
+    schema = T.StructType([*RAW_SCHEMA.fields, *[T.StructField(c, T.StringType()) for c in OUTCOME_PARTITIONS]])
+    rows = spark.read.schema(schema).parquet(path).where(F.col("outcome") != KEPT)
+    return rows.withColumnRenamed("outcome", "error_type")
+
+
 def reconciliation(spark: SparkSession, counts: dict) -> DataFrame:
     """One row: input, kept and dropped rows and the dropped rows per reason."""
     row = {"input_rows": int(counts.get("input_rows", 0) or 0), "kept_rows": int(counts.get("kept_rows", 0) or 0)}

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.functions import event_time, parse_ts_ntz, partition_key, window_key, window_start
@@ -78,9 +78,18 @@ def land_batch(df: DataFrame, path: str, minutes: int = 5, prefix: str = "raw",
     return manifest
 
 
-def land_files(spark: SparkSession, src: str, dst: str, glob: str = "*.jsonl", route: str = "file_first",
-               prefix: str = "raw", dry_run: bool = False) -> DataFrame:
-    """A6 + A11 + A12 + E3: existing JSON-lines files -> raw zone, lines unchanged.
+def batch_of(file: Column) -> Column:
+    """Folder of a file's rows: its name without extension, and a hash of its path."""
+    name = F.regexp_replace(F.element_at(F.split(file, "/"), -1), r"\.[^.]*$", "")
+    return F.concat(name, F.lit("-"), F.substring(F.sha2(file, 256), 1, 12))
+
+
+def land_files(spark: SparkSession, src: str | list[str], dst: str, glob: str = "*.jsonl", route: str = "file_first",
+               prefix: str = "raw", dry_run: bool = False, by_path: bool = False) -> DataFrame:
+    """A6 + A11 + A12 + E3: existing JSON-lines files (a folder, or a list of files) -> raw zone, lines unchanged.
+
+    With ``by_path`` files are told apart by their whole path, also in the name of their folder, and the
+    manifest has their path as ``file``.
 
     Raises if no file matches ``glob`` under ``src`` (the reader refuses an empty input).
     """
@@ -97,23 +106,26 @@ def land_files(spark: SparkSession, src: str, dst: str, glob: str = "*.jsonl", r
         raise FileNotFoundError(f"no non-empty file matching {glob!r} under {src}")
     ts = parse_ts_ntz(F.get_json_object("value", "$.timestamp"))
     if route == "row":
-        routed = lines.select("value", "source", *_parts(ts))
+        routed = lines.select("value", "source", "file_path", *_parts(ts))
     else:
         first = (lines.where(F.col("block_start") == 0)
                  .groupBy("file_path")
                  .agg(F.min_by(F.struct(ts.alias("ts")), F.col("row_id")).alias("first")))
         first = first.select("file_path", F.col("first.ts").alias("first_ts"))
-        routed = lines.join(first, "file_path", "left").select("value", "source", *_parts(F.col("first_ts")))
+        routed = lines.join(first, "file_path", "left").select("value", "source", "file_path", *_parts(F.col("first_ts")))
     # A line (row route) or file (first-line route) without a parseable time cannot be routed: it is
     # reported as failed and not landed, and the other inputs carry on.
     landed = F.col("hour").isNotNull()
     key = F.format_string("%s/year=%s/month=%s/day=%s/hour=%s/%s", F.lit(prefix), "year", "month", "day",
                           "hour", "source")
-    manifest = (routed.groupBy("source", *RAW_PARTITIONS).agg(F.count(F.lit(1)).alias("rows"))
-                .select("source", F.when(landed, key).alias("target"), "rows",
+    file = ["file_path"] if by_path else []
+    manifest = (routed.groupBy("source", *file, *RAW_PARTITIONS).agg(F.count(F.lit(1)).alias("rows"))
+                .select("source", *[F.col(f).alias("file") for f in file], F.when(landed, key).alias("target"), "rows",
                         F.when(landed, F.lit("landed")).otherwise(F.lit("failed")).alias("status")))
     if not dry_run:
         batch = F.regexp_replace("source", r"\.[^.]*$", "")  # the file name without its extension
+        if by_path:
+            batch = batch_of(F.col("file_path"))
         write_partitioned(routed.where(landed).select("value", *RAW_PARTITIONS, batch.alias(BATCH_COLUMN)), dst,
                           [*RAW_PARTITIONS, BATCH_COLUMN], "text", "incremental")
     return manifest

@@ -219,7 +219,43 @@ _REASON_COUNTS = f"""reason_counts AS (
     SELECT r.error_type, CAST(COUNT(t.error_type) AS BIGINT) AS rows
     FROM {_REASONS} LEFT JOIN tagged t ON t.error_type = r.error_type GROUP BY r.error_type)"""
 
+# Files of six hours; every fifth is broken at first.
+_FILES = """files AS (
+    SELECT COUNT(*) AS n, (day(MIN(event_ts)) * 4 + hour(MIN(event_ts)) // 6) % 5 = 0 AS broken
+    FROM curated GROUP BY date_trunc('day', event_ts), hour(event_ts) // 6)"""
+_LINES = f"""lines AS (SELECT * FROM defects WHERE m <> {D.TRUNCATED})"""
+
+
+def _merged_columns() -> str:
+    """Columns of the merged raw table: type, change, and how many whole lines have the key."""
+    rows = []
+    for c in EVENT_COLUMNS:
+        have = {"discount_code": "has_discount", "referrer": f"m <> {D.NO_REFERRER}"}.get(c, "true")
+        change = {"price": "widened", "discount_code": "added"}.get(c, "kept")
+        rows.append(f"""SELECT '{c}' AS column_name, '{"double" if c == "price" else "string"}' AS table_type, '{change}' AS change,
+                        COUNT(*) FILTER (WHERE {have}) AS rows FROM lines""")
+    rows.append(f"SELECT 'utm', 'string', 'added', COUNT(*) FILTER (WHERE m = {D.EXTRA_KEY}) FROM lines")
+    return " UNION ALL ".join(rows)
+
+
 BATCH = {
+    "load_ledger": with_curated(
+        """SELECT load, state, COUNT(*) AS files, CAST(SUM(rows) AS BIGINT) AS rows FROM (
+               SELECT 'first' AS load, CASE WHEN broken THEN 'failed' ELSE 'loaded' END AS state, CASE WHEN broken THEN 0 ELSE n END AS rows
+               FROM files
+               UNION ALL SELECT 'second', 'loaded', n FROM files WHERE broken) GROUP BY ALL""", _FILES),
+    "delete_after_load": with_curated(
+        """SELECT CASE WHEN broken THEN 'failed' ELSE 'loaded' END AS state, COUNT(*) AS files,
+                  COUNT(*) FILTER (WHERE broken) AS files_left, CAST(SUM(CASE WHEN broken THEN 0 ELSE n END) AS BIGINT) AS rows
+           FROM files GROUP BY broken""", _FILES),
+    "outcome_publish": with_curated(
+        "SELECT COALESCE(error_type, 'kept') AS outcome, COUNT(*) AS rows FROM defects GROUP BY 1", _DEFECTS),
+    "catalog_snapshot_changes": with_curated(
+        """SELECT 'year=' || year || '/month=' || month || '/day=' || day AS partition,
+                  CASE WHEN d = (SELECT MAX(d) FROM days) THEN 'added' ELSE 'changed' END AS change, true AS registered
+           FROM days WHERE d = (SELECT MAX(d) FROM days) OR d = (SELECT MIN(d) FROM days)""",
+        "days AS (SELECT DISTINCT year, month, day, year || '-' || month || '-' || day AS d FROM curated)"),
+    "catalog_schema_merge": with_curated(_merged_columns(), _DEFECTS, _LINES),
     "raw_scan": with_curated(
         "SELECT " + ", ".join(f'"{c}"' if c == "timestamp" else c for c in EVENT_COLUMNS)
         + f", CAST(NULL AS VARCHAR) AS _corrupt_record, {_HOUR_PARTS} FROM curated"),
@@ -276,6 +312,8 @@ _COUNTS = """counts AS (
 _DOMAIN_VALUES = ", ".join(f"('{c}', '{v}')" for c, vs in DOMAINS.items() for v in vs)
 _LO, _HI = PURCHASE_RATE_BOUNDS
 
+BATCH["resumed_landing_counts"] = BATCH["file_landing_counts"]
+
 QUALITY = {
     "dq_funnel_shape": with_curated(
         """SELECT rule, observed, lower, upper,

@@ -7,13 +7,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoplake.functions import partition_key, window_key, window_start
 from shoplake.operators import analytics as A
 from shoplake.operators import catalog as C
 from shoplake.operators import ops as O
 from shoplake.operators import quality as Q
-from shoplake.operators.etl import quarantine_by_reason
+from shoplake.operators import ledger as L
+from shoplake.operators.etl import quarantine_by_reason, read_rejected
 from shoplake.operators.landing import land_batch, land_files
 from shoplake.plans.oracle import AUDIT_AS_OF
 from shoplake.plans.zones import build_defective_zones, build_zones, defective_zone, land_raw_zone
@@ -114,6 +116,56 @@ def file_landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, landed).groupBy(*RAW_PARTITIONS).agg(F.count(F.lit(1)).alias("event_count"))
 
 
+def _hour_files(spark: SparkSession, sf_dir: str, path: str, cut: bool | None) -> None:
+    """Gzip JSON files of six hours each, in time order. Every fifth file is broken (its lines are cut) unless
+    ``cut`` is False; then only those are written anew, whole, in place of the broken ones."""
+    ts = F.col("event_ts")
+    block = F.concat(F.date_format(ts, "yyyyMMdd"), F.lit("-"), F.floor(F.hour(ts) / 6))
+    fifth = (F.dayofmonth(ts) * 4 + F.floor(F.hour(ts) / 6)) % 5 == 0
+    line = F.to_json(F.struct(*EVENT_COLUMNS), {"ignoreNullFields": "false"})
+    events = curated(spark, sf_dir, with_event_ts=True).select(
+        block.alias("block"), "event_ts", fifth.alias("fifth"), F.when(fifth & F.lit(cut), F.left(line, F.lit(20))).otherwise(line).alias("value"))
+    events = events if cut else events.where("fifth")
+    (events.repartition("block").sortWithinPartitions("block", "event_ts").select("block", "value")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "gzip").partitionBy("block").text(path))
+
+
+def _loaded_twice(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Raw zone and ledger after a load of all files, of which some are broken, and one after these were mended."""
+    files, landed, ledger = (scratch_dir(spark, x) for x in ("arrivals", "raw-ledger", "ledger"))
+    _hour_files(spark, sf_dir, files, cut=True)
+    L.load(spark, files, landed, ledger, "first", "*.gz")
+    _hour_files(spark, sf_dir, files, cut=False)
+    L.load(spark, files, landed, ledger, "second", "*.gz")
+    return landed, ledger
+
+
+def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and rows by load and state: the second load takes only what the first could not."""
+    configure(spark)
+    _, ledger = _loaded_twice(spark, sf_dir)
+    return (L.read_ledger(spark, ledger).groupBy("load", "state")
+            .agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")))
+
+
+def resumed_landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per hour after both loads: every row once."""
+    configure(spark)
+    landed, _ = _loaded_twice(spark, sf_dir)
+    return read_raw(spark, landed).groupBy(*RAW_PARTITIONS).agg(F.count(F.lit(1)).alias("event_count"))
+
+
+def delete_after_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files by outcome of a load that deletes what it landed, and how many of them are still there."""
+    configure(spark)
+    files, landed, ledger = (scratch_dir(spark, x) for x in ("arrivals", "raw-ledger", "ledger"))
+    _hour_files(spark, sf_dir, files, cut=True)
+    outcomes = L.load(spark, files, landed, ledger, "only", "*.gz", delete=True)
+    left = L.list_files(spark, files, "*.gz").select("file", F.lit(True).alias("there"))
+    return outcomes.join(left, "file", "left").groupBy("state").agg(
+        F.count(F.lit(1)).alias("files"), F.count("there").alias("files_left"), F.sum("rows").alias("rows"))
+
+
 def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dry run of the batch landing: target key and rows per 5-minute batch, nothing written."""
     return land_batch(curated(spark, sf_dir), "unused", minutes=5, dry_run=True)
@@ -155,7 +207,7 @@ def curated_write_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A8 + B2: rejected records per reason (every reason listed), read back from the written quarantine."""
     zones = build_defective_zones(spark, sf_dir)
-    return quarantine_by_reason(spark.read.schema("event_id string, error_type string").parquet(zones.quarantine))
+    return quarantine_by_reason(read_rejected(spark, zones.outcomes))
 
 
 def defective_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,6 +238,44 @@ def catalog_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(view).groupBy(*CURATED_PARTITIONS).agg(F.count(F.lit(1)).alias("event_count"))
 
 
+def outcome_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 + A10: kept and rejected rows published together; rows per view and reason read through them."""
+    view = _table_name("outcomes_live")
+    C.publish_outcomes(spark, view, build_defective_zones(spark, sf_dir).outcomes)
+    kept = spark.table(f"{view}_curated").agg(F.count("*").alias("rows")).select(F.lit("kept").alias("outcome"), "rows")
+    return kept.unionByName(spark.table(f"{view}_quarantine").groupBy(F.col("error_type").alias("outcome"))
+                            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+def catalog_snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + J8: the partitions that differ from the last listing snapshot, and whether the catalog has them: the last
+    day arrives, and the first day's rows come in once more, after the first refresh."""
+    df = curated(spark, sf_dir)
+    date_key = F.concat_ws("-", *CURATED_PARTITIONS)
+    first, last = df.agg(F.min(date_key), F.max(date_key)).first()
+    path, snapshots, name = scratch_dir(spark, "curated"), scratch_dir(spark, "snapshots"), _table_name("curated")
+    write_curated(df.where(date_key < last), path)
+    C.register_table(spark, name, path, EVENT_SCHEMA, CURATED_PARTITIONS)
+    C.refresh_from_snapshots(spark, name, path, CURATED_PARTITIONS, snapshots)
+    write_curated(df.where(date_key.isin(first, last)), path, mode="append")
+    changes = C.refresh_from_snapshots(spark, name, path, CURATED_PARTITIONS, snapshots)
+    known = C.catalog_partitions(spark, name).withColumn("registered", F.lit(True))
+    return changes.join(known, "partition", "left").select("partition", "change", F.coalesce("registered", F.lit(False)).alias("registered"))
+
+
+def catalog_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: a raw table registered before the discount code existed, with whole prices, brought up to the keys and
+    types that the zone with defects holds."""
+    raw = defective_zone(spark, sf_dir).raw
+    old = T.StructType([T.StructField(f.name, T.LongType() if f.name == "price" else f.dataType)
+                        for f in EVENT_SCHEMA.fields if f.name != "discount_code"])
+    name = _table_name("raw")
+    C.refresh_table(spark, name, raw, old, RAW_PARTITIONS, "json")
+    merged = C.merge_schema(spark, name, raw, RAW_PARTITIONS, C.discover_schema(read_raw_text(spark, raw)))
+    columns = spark.createDataFrame(spark.table(name).dtypes, "column_name string, table_type string")
+    return merged.join(columns, "column_name").select("column_name", "table_type", "change", "rows")
+
+
 def dq_missing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog is refreshed before the last day arrives; that day is on storage, not in the catalog."""
     df = curated(spark, sf_dir)
@@ -203,6 +293,9 @@ BATCH: dict[str, Query] = {
     "raw_scan": raw_scan,
     "raw_landing_counts": raw_landing_counts,
     "file_landing_counts": file_landing_counts,
+    "load_ledger": load_ledger,
+    "resumed_landing_counts": resumed_landing_counts,
+    "delete_after_load": delete_after_load,
     "landing_manifest": landing_manifest,
     "landing_agreement": landing_agreement,
     "partition_listing": partition_listing,
@@ -214,6 +307,9 @@ BATCH: dict[str, Query] = {
     "result_csv_readback": result_csv_readback,
     "catalog_refresh": catalog_refresh,
     "catalog_publish": catalog_publish,
+    "outcome_publish": outcome_publish,
+    "catalog_snapshot_changes": catalog_snapshot_changes,
+    "catalog_schema_merge": catalog_schema_merge,
     "dq_missing_partitions": dq_missing_partitions,
 }
 

@@ -2,7 +2,7 @@
 
 raw zone       <- conformed events landed as JSON lines by hour (``land_batch``), plain and gzip
 defective zone <- the same events with defects (``plans.defects``), plain and gzip
-curated zone   <- ETL of a raw zone into Parquet by day (``etl``)
+curated zone   <- ETL of a raw zone into Parquet by outcome and day, in one pass (``etl_outcomes``)
 
 Every registered query that needs a zone works on the whole input. A zone is built once for each session
 and input and then shared. The scratch folder is read from the session's ``spark.checkpoint.dir``.
@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.operators.etl import etl
+from shoplake.operators.etl import etl_outcomes, kept_path
 from shoplake.operators.landing import land_batch
 from shoplake.plans.defects import defective_lines
 from shoplake.schema import RAW_PARTITIONS
@@ -30,7 +30,7 @@ from shoplake.sources.sinks import write_partitioned
 class Zones:
     raw: str
     curated: str | None = None
-    quarantine: str | None = None
+    outcomes: str | None = None  # folder of kept and rejected rows
     reconciliation: DataFrame | None = None
 
 
@@ -73,9 +73,9 @@ def defective_zone(spark: SparkSession, sf_dir: str) -> Zones:
 
 def _with_curated(spark: SparkSession, sf_dir: str, kind: str, raw: Callable[..., Zones]) -> Zones:
     def build() -> Zones:
-        zones = Zones(raw=raw(spark, sf_dir).raw, curated=scratch_dir(spark, "curated"),
-                      quarantine=scratch_dir(spark, "quarantine"))
-        zones.reconciliation = etl(read_raw(spark, zones.raw), zones.curated, zones.quarantine)
+        path = scratch_dir(spark, "outcomes")
+        zones = Zones(raw=raw(spark, sf_dir).raw, curated=kept_path(path), outcomes=path)
+        zones.reconciliation = etl_outcomes(read_raw(spark, zones.raw), path)
         return zones
 
     return _shared(spark, sf_dir, kind, build)

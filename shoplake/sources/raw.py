@@ -14,6 +14,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,36 +128,37 @@ def register_views(spark: SparkSession, raw_path: str | None = None, curated_pat
     return names
 
 
-def unread_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Gzip files under ``path`` that do not decompress to their end: ``path``.
+def unread_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """Gzip files under ``path`` (a folder, or a list of files) that do not decompress to their end: ``path``.
 
-    Every file is decompressed in a task, piece by piece; nothing but its outcome is kept.
+    The files are listed, not read, by Spark; each is then decompressed in a task as a stream, piece by piece, so
+    its size does not matter.
     """
     def broken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bad = [p for p, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
-                   if not _whole_gzip(content.as_buffer())]
+            bad = [p for p in batch.column(0).to_pylist() if not _whole_gzip(p)]
             yield pa.RecordBatch.from_arrays([pa.array(bad, pa.string())], names=["path"])
 
+    if isinstance(path, list) and not path:
+        return spark.createDataFrame([], "path string")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob or "*.gz")
     listed = files.load(path).where(F.col("path").endswith(".gz"))
-    return listed.select(F.col("_metadata.file_path").alias("path"), "content").mapInArrow(broken, "path string")
+    return listed.select(F.col("_metadata.file_path").alias("path")).mapInArrow(broken, "path string")
 
 
-def _whole_gzip(data: pa.Buffer, piece: int = 1 << 20) -> bool:
-    """Whether the bytes are gzip members that decompress to their end."""
-    stream, left = zlib.decompressobj(31), memoryview(data)
+def _whole_gzip(file: str, piece: int = 1 << 20) -> bool:
+    """Whether the file (URI) holds gzip members that decompress to their end."""
+    system, path = pafs.FileSystem.from_uri(file)
+    member, ended = zlib.decompressobj(31), False
     try:
-        while len(left):
-            taken, left = left[:piece], left[piece:]
-            while taken:
-                stream.decompress(taken, piece)
-                taken = stream.unconsumed_tail
-                if stream.eof:
-                    rest = bytes(stream.unused_data)
-                    if not rest and not len(left):
-                        return True
-                    stream, taken = zlib.decompressobj(31), rest
+        with system.open_input_stream(path, compression=None) as stream:
+            while taken := stream.read(piece):
+                while taken:
+                    if ended:
+                        member, ended = zlib.decompressobj(31), False
+                    member.decompress(taken, piece)
+                    ended = member.eof
+                    taken = member.unused_data if ended else member.unconsumed_tail
     except zlib.error:
         return False
-    return False
+    return ended
