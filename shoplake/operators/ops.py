@@ -52,20 +52,26 @@ def top_prefix(key: str | F.Column) -> F.Column:
 
 
 def object_tiers(inventory: DataFrame, rules: DataFrame, as_of) -> DataFrame:
-    """K1: the inventory with ``prefix`` (top-level folder) and the storage ``tier`` of each object at ``as_of``.
+    """K1: the inventory with the ``prefix`` that governs each object and its storage ``tier`` at ``as_of``.
 
-    ``inventory``: key, size_bytes, last_modified. ``rules``: prefix (a top-level folder ending in
-    ``/``), min_age_days, action. The applicable rule of an object is the one of its folder with the
-    largest age threshold it has reached; EXPIRE wins over transitions. Objects without a rule stay
-    STANDARD.
+    ``inventory``: key, size_bytes, last_modified. ``rules``: prefix, min_age_days, action; prefixes may nest.
+    The rules of the longest prefix that a key starts with govern it; of these the one with the
+    largest age threshold it has reached applies, and EXPIRE wins over transitions. An object without a
+    rule stays STANDARD, under its top-level folder.
     """
     age = F.datediff(F.lit(as_of).cast("date"), F.col("last_modified").cast("date"))
-    objs = inventory.select("key", "size_bytes", "last_modified", age.alias("age_days"), top_prefix("key").alias("prefix"))
+    objs = inventory.select("key", "size_bytes", "last_modified", age.alias("age_days"))
     rank = F.when(F.col("action") == F.lit("EXPIRE"), F.lit(1_000_000)).otherwise(F.col("min_age_days"))
-    # One row per folder holding its rules; each object then picks its rule inside the row.
+    # One row per prefix holding its rules. Prefixes of one length are looked up by equality with the key's first
+    # characters, the longest first: as many small joins as there are different lengths, and no pairs.
     rule_sets = rules.groupBy("prefix").agg(
         F.collect_list(F.struct(rank.alias("rank"), F.col("action"), F.col("min_age_days"))).alias("rules"))
-    with_rules = objs.join(rule_sets, "prefix", "left")
+    lengths = sorted((r[0] for r in rules.select(F.length("prefix")).distinct().collect()), reverse=True)
+    for n in lengths:
+        of = rule_sets.where(F.length("prefix") == n).select(F.col("prefix").alias(f"p{n}"), F.col("rules").alias(f"r{n}"))
+        objs = objs.withColumn("head", F.left("key", F.lit(n))).join(of, F.col("head") == F.col(f"p{n}"), "left").drop("head")
+    with_rules = objs.withColumns({"prefix": F.coalesce(*[F.col(f"p{n}") for n in lengths], top_prefix("key")),
+                                   "rules": F.coalesce(*[F.col(f"r{n}") for n in lengths], F.array())})
     reached = F.filter("rules", lambda r: F.col("age_days") >= r["min_age_days"])
     action = F.array_max(reached)["action"]
     tier = F.coalesce(F.when(action == F.lit("EXPIRE"), F.lit("EXPIRED")).otherwise(action), F.lit("STANDARD"))
@@ -160,19 +166,21 @@ def compact(spark: SparkSession, src: str, dst: str, partition_cols: list[str],
                        for c in ("files_before", "files_after", "rows_before", "rows_after")])
 
 
-def scan_bytes(spark: SparkSession, path: str, fmt: str, columns: list[str] | None = None) -> DataFrame:
+def scan_bytes(spark: SparkSession, path: str, fmt: str, columns: list[str] | None = None,
+               ranges: dict[str, tuple] | None = None) -> DataFrame:
     """Bytes a query must read from ``path``: ``files, bytes_scanned, unopened_footers``.
 
     Row formats (json, csv, text) are read whole. For Parquet only the chunks of the needed
-    ``columns`` plus each file's footer are read; the footers are opened with Arrow inside the tasks
-    (one task per slice of the file listing), never on the driver.
+    ``columns`` plus each file's footer are read, and of these only the row groups whose statistics overlap the
+    query's ``ranges`` (column -> lowest and highest value its filter lets through). The footers are opened with
+    Arrow inside the tasks (one task per slice of the file listing), never on the driver.
     """
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
                .select("path", "length").where(~F.col("path").rlike(r"/_[^/]*$|/\.[^/]*$")))
     if fmt != "parquet":
         return listing.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes_scanned"),
                            F.lit(0).cast("bigint").alias("unopened_footers"))
-    wanted = list(columns or [])
+    wanted, bounds = list(columns or []), dict(ranges or {})
 
     def footer_bytes(batches):
         import pandas as pd
@@ -197,6 +205,8 @@ def scan_bytes(spark: SparkSession, path: str, fmt: str, columns: list[str] | No
                 total = int(meta.serialized_size) + 8
                 for g in range(meta.num_row_groups):
                     rg = meta.row_group(g)
+                    if _skipped(rg, bounds):
+                        continue
                     for c in range(rg.num_columns):
                         chunk = rg.column(c)
                         if not wanted or chunk.path_in_schema.split(".")[0] in wanted:
@@ -209,6 +219,18 @@ def scan_bytes(spark: SparkSession, path: str, fmt: str, columns: list[str] | No
                       F.coalesce(F.sum("unopened"), F.lit(0)).alias("unopened_footers"))
 
 
+def _skipped(group, bounds: dict[str, tuple]) -> bool:
+    """Whether a row group's statistics show that no row passes."""
+    for c in range(group.num_columns):
+        chunk = group.column(c)
+        stats = chunk.statistics
+        if chunk.path_in_schema in bounds and stats is not None and stats.has_min_max:
+            low, high = bounds[chunk.path_in_schema]
+            if stats.max < low or stats.min > high:
+                return True
+    return False
+
+
 def scan_cost(query_log: DataFrame) -> DataFrame:
     """K3: per query and source format, bytes scanned, cost at the per-TiB price, and the saving of
     each format against the largest scan of the same query.

@@ -24,6 +24,9 @@ from shoplake.sources.adapter import MARKET_SEGMENTS
 # Report date of the storage audit: late enough that the oldest landed hours have passed both transition ages.
 AUDIT_AS_OF = "2024-04-15"
 
+# Rules below the lifecycle's own folders: part of the raw zone is kept warm, one day's results are kept.
+NESTED_RULES = [("raw/year=2024/month=01/day=1", 60, "STANDARD_IA"), ("athena-results/2024-01-03", 400, "EXPIRE")]
+
 _CATEGORY_LIST = "[" + ", ".join(f"'{c}'" for c in CATEGORIES) + "]"
 
 CURATED_CTE = f"""curated AS (
@@ -391,6 +394,30 @@ STREAMING = {
     "stream_session_stage": with_curated(
         """SELECT c.session_id, MAX(r.rank) AS stage_rank FROM curated c JOIN ranks r ON c.event_type = r.stage
            GROUP BY c.session_id""", _STAGE_RANKS),
+    # A step is an event of a later stage than all before it in its session.
+    "stream_session_transitions": with_curated(
+        """SELECT s.session_id, CAST(ROW_NUMBER() OVER (PARTITION BY s.session_id ORDER BY s.reached) AS INTEGER) AS step,
+                  f.stage AS from_stage, t.stage AS to_stage, CAST(s.reached AS TIMESTAMP) AS reached_at,
+                  CASE WHEN furthest = (SELECT MAX(rank) FROM ranks) THEN 'completed'
+                       WHEN date_sub('minute', last, (SELECT MAX(event_ts) FROM curated)) >= 1440 THEN 'dropped' ELSE 'open' END AS state
+           FROM (SELECT *, MAX(rank) OVER (PARTITION BY session_id ORDER BY reached ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+                 FROM times) s
+           JOIN lasts USING (session_id) JOIN ranks t ON t.rank = s.rank LEFT JOIN ranks f ON f.rank = s.before
+           WHERE s.before IS NULL OR s.rank > s.before""", _STAGE_RANKS,
+        """times AS (SELECT session_id, event_ts AS reached, MAX(rank) AS rank FROM curated JOIN ranks ON event_type = stage
+                     GROUP BY session_id, event_ts)""",
+        """lasts AS (SELECT session_id, MAX(event_ts) AS last, MAX(rank) AS furthest FROM curated LEFT JOIN ranks ON event_type = stage
+                     GROUP BY session_id)"""),
+    "stream_flushes": """WITH RECURSIVE sized AS (
+            SELECT event_id, strlen(props) AS size, event_id % 8 AS buffer,
+                   ROW_NUMBER() OVER (PARTITION BY event_id % 8 ORDER BY event_id) AS place FROM events
+        ), walk AS (
+            SELECT buffer, event_id, size, place, CAST(0 AS BIGINT) AS flush, CAST(size AS BIGINT) AS held FROM sized WHERE place = 1
+            UNION ALL
+            SELECT s.buffer, s.event_id, s.size, s.place, w.flush + CASE WHEN w.held >= 4096 THEN 1 ELSE 0 END,
+                   s.size + CASE WHEN w.held >= 4096 THEN 0 ELSE w.held END
+            FROM walk w JOIN sized s ON s.buffer = w.buffer AND s.place = w.place + 1
+        ) SELECT buffer, event_id, CAST(size AS BIGINT) AS size, flush FROM walk""",
     "stream_events_per_5min": ANALYTICS["events_per_5min"],
     "stream_events_per_7min": ANALYTICS["events_per_7min"],
     "batch_stream_union": with_curated(
@@ -405,6 +432,38 @@ OPS = {
             FROM (SELECT DISTINCT date_diff('day', CAST(event_ts AS DATE), DATE '{AUDIT_AS_OF}') AS age FROM curated) GROUP BY 2
             UNION ALL SELECT 'curated/', 'STANDARD', COUNT(DISTINCT CAST(event_ts AS DATE)) FROM curated
             UNION ALL SELECT 'athena-results/', 'STANDARD', 0"""),
+    # An object's rules by trying every rule against its key.
+    "tier_bytes": f"""WITH objects AS (
+            SELECT key, SUM(bytes) AS size_bytes, MAX(day) AS day FROM (
+                SELECT unnest([strftime(w, 'raw/year=%Y/month=%m/day=%d/hour=%H/events_%Y%m%d_%H%M.jsonl'),
+                               strftime(ts, 'curated/day=%Y-%m-%d.parquet'), strftime(ts, 'athena-results/%Y-%m-%d.csv')]) AS key,
+                       unnest([400, 20, 1]) * strlen(props) AS bytes, CAST(ts AS DATE) AS day
+                FROM (SELECT *, time_bucket(INTERVAL 5 MINUTE, CAST(ts AS TIMESTAMP)) AS w FROM events)) GROUP BY key
+        ), rules AS (
+            SELECT * FROM (VALUES ('raw/', 30, 'STANDARD_IA'), ('raw/', 90, 'GLACIER_IR'), ('athena-results/', 7, 'EXPIRED'),
+                           ('test-intelligent-tiering/', 0, 'INTELLIGENT_TIERING'),
+                           ('{NESTED_RULES[0][0]}', {NESTED_RULES[0][1]}, '{NESTED_RULES[0][2]}'),
+                           ('{NESTED_RULES[1][0]}', {NESTED_RULES[1][1]}, 'EXPIRED')) t(prefix, days, tier)
+        ), governed AS (
+            SELECT o.*, (SELECT arg_max(prefix, length(prefix)) FROM rules r WHERE starts_with(o.key, r.prefix)) AS rule FROM objects o
+        ), tiered AS (
+            SELECT *, COALESCE((SELECT arg_max(tier, days) FROM rules r WHERE r.prefix = g.rule
+                                AND date_diff('day', g.day, DATE '{AUDIT_AS_OF}') >= r.days), 'STANDARD') AS tier FROM governed g
+        )
+        SELECT COALESCE(rule, regexp_extract(key, '^[^/]*/')) AS prefix, tier, COUNT(*) AS objects, CAST(SUM(size_bytes) AS BIGINT) AS bytes,
+               CAST(SUM(CASE WHEN tier IN ('STANDARD_IA', 'GLACIER_IR') THEN greatest(size_bytes, 131072) ELSE size_bytes END) AS BIGINT) AS billable_bytes
+        FROM tiered GROUP BY 1, 2""",
+    "scan_cost_log": """WITH days AS (
+            SELECT CAST(ts AS DATE) AS day, SUM(strlen(props) + 64) AS whole FROM events GROUP BY 1
+        ), per AS (
+            SELECT event_type AS query_name, CAST(SUM(n) * 24 AS BIGINT) AS parquet, CAST(SUM(whole) AS BIGINT) AS json
+            FROM (SELECT event_type, CAST(ts AS DATE) AS day, COUNT(*) AS n FROM events GROUP BY ALL) JOIN days USING (day) GROUP BY 1
+        ), formats AS (
+            UNPIVOT per ON json, parquet INTO NAME source_format VALUE bytes_scanned
+        )
+        SELECT query_name, source_format, bytes_scanned, bytes_scanned / 1099511627776.0::DOUBLE * 5.0::DOUBLE AS cost_usd,
+               ROUND((1 - bytes_scanned / (SELECT MAX(b.bytes_scanned) FROM formats b WHERE b.query_name = formats.query_name)::DOUBLE) * 100, 2) AS reduction_pct
+        FROM formats""",
     "compaction_effect": with_curated(
         """SELECT 'year=' || year || '/month=' || month || '/day=' || day AS partition, COUNT(*) AS rows_before,
                   COUNT(*) AS rows_after, true AS not_more_files FROM curated GROUP BY 1"""),

@@ -17,7 +17,7 @@ from shoplake.operators import quality as Q
 from shoplake.operators import ledger as L
 from shoplake.operators.etl import quarantine_by_reason, read_rejected
 from shoplake.operators.landing import land_batch, land_files
-from shoplake.plans.oracle import AUDIT_AS_OF
+from shoplake.plans.oracle import AUDIT_AS_OF, NESTED_RULES
 from shoplake.plans.zones import build_defective_zones, build_zones, defective_zone, land_raw_zone
 from shoplake.schema import (
     CATEGORIES,
@@ -32,6 +32,7 @@ from shoplake.session import configure, scratch_dir
 from shoplake.sources.adapter import MARKET_SEGMENTS, curated_events, read_table
 from shoplake.sources.raw import read_curated, read_raw, read_raw_text
 from shoplake.sources.sinks import write_curated, write_result_csv
+from shoplake.streaming import buffers
 from shoplake.streaming import jobs as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -423,6 +424,32 @@ def stream_session_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.fold(spark, path, ["session_id"], "stage_rank", "max")
 
 
+def stream_session_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I8: every session's steps along the funnel and its state, from micro-batches out of time order; sessions count
+    as dropped after a day without events."""
+    path = scratch_dir(spark, "stream-firsts")
+    _run(S.write_partials(_shuffled_stream(spark, sf_dir), S.session_firsts, path, scratch_dir(spark, "ckpt"),
+                          available_now=True))
+    return S.session_transitions(spark.read.parquet(path), gap_minutes=24 * 60)
+
+
+FLUSH_BUFFERS, FLUSH_BYTES = 8, 4096
+
+
+def stream_flushes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flush of every event in eight delivery buffers that go at 4 KB (or after an hour, which this stream
+    does not last), from micro-batches in the order of the event ids."""
+    configure(spark)
+    files, out = scratch_dir(spark, "id-files"), scratch_dir(spark, "flushes")
+    events = read_table(spark, sf_dir, "events").select("event_id", F.octet_length("props").alias("size"))
+    events.withColumn("buffer", F.col("event_id") % FLUSH_BUFFERS).repartitionByRange(4, "event_id").write.parquet(files)
+    records = spark.readStream.schema("event_id long, size int, buffer long").parquet(files)
+    flushed = buffers.flushes(records, "event_id", FLUSH_BYTES, 3600)
+    _run(flushed.writeStream.format("parquet").outputMode("append").option("checkpointLocation", scratch_dir(spark, "ckpt"))
+         .trigger(availableNow=True).start(out))
+    return spark.read.parquet(out)
+
+
 def _stream_windows(minutes: int) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_dir(spark, "stream-windows")
@@ -455,6 +482,8 @@ STREAMING: dict[str, Query] = {
     "stream_quarantine": stream_quarantine,
     "stream_dedup": stream_dedup,
     "stream_session_stage": stream_session_stage,
+    "stream_session_transitions": stream_session_transitions,
+    "stream_flushes": stream_flushes,
     "stream_events_per_5min": _stream_windows(5),
     "stream_events_per_7min": _stream_windows(7),
     "batch_stream_union": batch_stream_union,
@@ -481,6 +510,38 @@ def tier_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiers.groupBy("prefix", "tier").agg(F.count_distinct(day).alias("days"))
 
 
+def _inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of a lake as the events would fill it: a raw file for each five minutes, a curated file and a query
+    result for each day; sizes from the events' properties."""
+    df = read_table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp_ntz").alias("ts"), F.octet_length("props").alias("size"))
+    start = window_start(F.col("ts"), 5)
+    raw = partition_key(start, F.concat(F.lit("events_"), window_key(start), F.lit(".jsonl")), "raw")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    kinds = [(raw, 400), (F.concat(F.lit("curated/day="), day, F.lit(".parquet")), 20), (F.concat(F.lit("athena-results/"), day, F.lit(".csv")), 1)]
+    objects = F.array(*[F.struct(key.alias("key"), (F.col("size") * times).alias("bytes")) for key, times in kinds])
+    return (df.select(F.explode(objects).alias("o"), F.col("ts").cast("date").alias("day")).groupBy(F.col("o.key").alias("key"))
+            .agg(F.sum("o.bytes").alias("size_bytes"), F.max("day").cast("timestamp").alias("last_modified")))
+
+
+def tier_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: objects, bytes and billable bytes by governing prefix and tier, under rules of which one is nested."""
+    configure(spark)
+    rules = O.lifecycle_rules(spark, [*O.LIFECYCLE_RULES, *NESTED_RULES])
+    return O.tier_audit(_inventory(spark, sf_dir), rules, AUDIT_AS_OF)
+
+
+def scan_cost_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 + H13: bytes, dollars and saving by query and format, from a log with one run per event type, day and
+    format: JSON runs read all of the day's rows, Parquet runs three columns of the type's rows."""
+    configure(spark)
+    df = read_table(spark, sf_dir, "events").select(F.col("event_type").alias("query_name"), F.to_date("ts").alias("day"), F.octet_length("props").alias("size"))
+    days = df.groupBy("day").agg(F.sum(F.col("size") + 64).alias("all_bytes"))
+    runs = df.groupBy("query_name", "day").agg((F.count(F.lit(1)) * 24).alias("own_bytes")).join(days, "day")
+    log = runs.select("query_name", F.inline(F.array(*[F.struct(F.lit(f).alias("source_format"), F.col(c).alias("bytes_scanned"))
+                                                       for f, c in (("json", "all_bytes"), ("parquet", "own_bytes"))])))
+    return O.scan_cost(log)
+
+
 def compaction_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: a curated zone written the naive way (one file per task and day), then compacted."""
     df = curated(spark, sf_dir)
@@ -508,6 +569,8 @@ def scan_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPS: dict[str, Query] = {
     "tier_audit": tier_audit,
+    "tier_bytes": tier_bytes,
+    "scan_cost_log": scan_cost_log,
     "compaction_effect": compaction_effect,
     "scan_cost": scan_cost,
 }

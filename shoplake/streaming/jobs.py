@@ -4,6 +4,7 @@ Design rules used throughout:
 
 * Sources carry an explicit schema; file sources can cap a micro-batch by bytes or files and clean up
   processed inputs (``cleanSource``).
+* Delivery buffers (``streaming.buffers``) are the one job with state per key: a counter and a timer per buffer.
 * Every query has its own checkpoint below the shared scratch folder, so a restarted driver or a
   lost executor resumes from the last committed batch (file sinks are exactly-once).
 * Counts per window and stages per session keep no state: every micro-batch is aggregated like a
@@ -19,7 +20,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -235,6 +236,53 @@ def session_stage(events: DataFrame) -> DataFrame:
     return ranked.groupBy("session_id").agg(F.max("rank").alias("stage_rank"))
 
 
+def session_firsts(events: DataFrame) -> DataFrame:
+    """I8: per session and funnel stage, the first and last time among these events: ``session_id, stage_rank,
+    first_ts, last_ts``. At most one row per stage, however many events a session has; events of other types have
+    no rank and only prolong the session."""
+    ranked = events.select("session_id", stage_rank().alias("stage_rank"), event_time(events).alias("ts"))
+    return (ranked.where(F.col("session_id").isNotNull() & F.col("ts").isNotNull()).groupBy("session_id", "stage_rank")
+            .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")))
+
+
+def session_transitions(log: DataFrame, as_of=None, gap_minutes: int | None = None) -> DataFrame:
+    """I8: the stage transitions of every session in a log of ``session_firsts``: ``session_id, step, from_stage,
+    to_stage, reached_at, state``.
+
+    A session starts in the stage of its first ranked event and advances whenever an event is of a later stage than
+    all before it (of events at one time, the furthest stage counts). It is ``completed`` by the last stage; else
+    ``dropped`` once ``gap_minutes`` have passed without any event at ``as_of`` (the log's last event by default),
+    and ``open`` until then. Rows may arrive in any order: the log is folded before the steps are read.
+    """
+    seen = (log.groupBy("session_id", "stage_rank").agg(F.min("first_ts").alias("at"), F.max("last_ts").alias("last_ts")))
+    by_time = Window.partitionBy("session_id").orderBy("at", F.desc("stage_rank"))  # at most one row per stage
+    whole = Window.partitionBy("session_id")
+    last_stage = len(FUNNEL_STAGES) - 1
+    before = F.max("stage_rank").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
+    steps = (seen.withColumn("last", F.max("last_ts").over(whole)).withColumn("furthest", F.max("stage_rank").over(whole))
+             .withColumn("before", before)
+             .where(F.col("stage_rank").isNotNull() & (F.col("before").isNull() | (F.col("stage_rank") > F.col("before")))))
+    now = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.lit(seen.agg(F.max("last_ts")).first()[0])
+    idle = F.lit(False) if gap_minutes is None else F.timestamp_diff("MINUTE", F.col("last"), now) >= gap_minutes
+    state = F.when(F.col("furthest") == last_stage, "completed").when(idle, "dropped").otherwise("open")
+    names = F.array(*[F.lit(x) for x in FUNNEL_STAGES])
+    stage = lambda c: F.get(names, F.col(c))
+    return steps.select("session_id", F.row_number().over(by_time).alias("step"), stage("before").alias("from_stage"),
+                        stage("stage_rank").alias("to_stage"), F.col("at").alias("reached_at"), state.alias("state"))
+
+
+def expire_sessions(spark: SparkSession, src: str, dst: str, upto_batch: int, before) -> DataFrame:
+    """I8: fold a log of ``session_firsts`` up to a batch and leave out the sessions whose last event is older than
+    ``before``, so that what is kept is bounded by the sessions still alive. Returns the log at ``dst``."""
+    log = spark.read.parquet(src)
+    folded = (log.where(F.col("batch_id") <= upto_batch).groupBy("session_id", "stage_rank")
+              .agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")).withColumn("batch_id", F.lit(int(upto_batch))))
+    kept = folded.unionByName(log.where(F.col("batch_id") > upto_batch))
+    alive = kept.groupBy("session_id").agg(F.max("last_ts").alias("last")).where(F.col("last") >= F.lit(before).cast("timestamp_ntz"))
+    kept.join(alive.select("session_id"), "session_id", "left_semi").write.mode("overwrite").partitionBy("batch_id").parquet(dst)
+    return spark.read.parquet(dst)
+
+
 def window_counts(events: DataFrame, minutes: int = 5) -> DataFrame:
     """Events per hour-aligned N-minute window (``window_start, event_count``), for any N up to 60."""
     return (events.select(window_start(event_time(events), minutes).alias("window_start"))

@@ -104,3 +104,27 @@ def test_compaction_labels_ignore_folders_above_the_table(spark, tmp_path):
     out = O.compact(spark, src, str(tmp_path / "v=2" / "cur"), ["year", "month", "day"]).collect()
     assert [(r.partition, r.files_after, r.rows_before, r.rows_after) for r in out] == [
         ("year=2026/month=09/day=10", 1, 10, 10)]
+
+
+def test_the_longest_prefix_governs(spark):
+    rules = O.lifecycle_rules(spark, [("raw/", 30, "STANDARD_IA"), ("raw/", 90, "GLACIER_IR"), ("raw/keep/", 400, "EXPIRE"),
+                                      ("raw/keep/x", 5, "STANDARD_IA"), ("results/", 7, "EXPIRE")])
+    inv = spark.sql("""SELECT * FROM VALUES ('raw/a', 10L, TIMESTAMP '2026-01-01'), ('raw/keep/b', 10L, TIMESTAMP '2026-01-01'),
+                       ('raw/keep/xy', 10L, TIMESTAMP '2026-04-01'), ('rawer/c', 10L, TIMESTAMP '2020-01-01'), ('top', 10L, TIMESTAMP '2020-01-01'),
+                       ('results/d', 10L, TIMESTAMP '2026-04-09'), ('results/e', 10L, TIMESTAMP '2026-04-01'), (NULL, 10L, NULL)
+                       AS t(key, size_bytes, last_modified)""")
+    got = {r.key: (r.prefix, r.tier) for r in O.object_tiers(inv, rules, "2026-04-11").collect()}
+    assert got == {"raw/a": ("raw/", "GLACIER_IR"), "raw/keep/b": ("raw/keep/", "STANDARD"), "raw/keep/xy": ("raw/keep/x", "STANDARD_IA"),
+                   "rawer/c": ("rawer/", "STANDARD"), "top": ("top/", "STANDARD"), "results/d": ("results/", "STANDARD"),
+                   "results/e": ("results/", "EXPIRED"), None: (None, "STANDARD")}
+
+
+def test_row_groups_outside_the_filter_are_not_scanned(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    (tmp_path / "t").mkdir()
+    pq.write_table(pa.table({"k": list(range(4000)), "v": [f"{i:040d}" for i in range(4000)]}), tmp_path / "t" / "f.parquet", row_group_size=1000)
+    whole, part, none = (O.scan_bytes(spark, str(tmp_path / "t"), "parquet", ["v"], r).first()["bytes_scanned"]
+                         for r in (None, {"k": (500, 1500)}, {"k": (-5, -1)}))
+    assert none < part < 0.6 * whole

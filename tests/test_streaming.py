@@ -220,3 +220,61 @@ def test_parse_events_on_a_text_stream(spark, tmp_path):
     rows = {r.event_id: r for r in spark.read.parquet(out).collect()}
     assert rows["m1"].price == 2.0 and rows["m1"]._corrupt_record is None
     assert any(r._corrupt_record is not None for r in rows.values())
+
+
+def test_session_transitions_by_any_arrival(spark):
+    from shoplake.streaming import jobs as S
+
+    rows = [("a", "page_view", 1), ("a", "product_view", 2), ("a", "page_view", 3), ("a", "add_to_cart", 4), ("a", "purchase", 9),
+            ("b", "add_to_cart", 1), ("b", "product_view", 5), ("b", "search", 50), ("c", "page_view", 58), (None, "purchase", 1), ("d", "search", 1)]
+    df = spark.createDataFrame([(s, t, f"2026-09-10T10:{m:02d}:00") for s, t, m in rows], "session_id string, event_type string, timestamp string")
+    log = S.session_firsts(df.where("event_type <> 'page_view'")).unionByName(S.session_firsts(df.where("event_type = 'page_view'")))
+    got = {(r["session_id"], r["step"]): (r["from_stage"], r["to_stage"], r["reached_at"].minute, r["state"])
+           for r in S.session_transitions(log, gap_minutes=5).collect()}
+    assert got == {("a", 1): (None, "page_view", 1, "completed"), ("a", 2): ("page_view", "product_view", 2, "completed"),
+                   ("a", 3): ("product_view", "add_to_cart", 4, "completed"), ("a", 4): ("add_to_cart", "purchase", 9, "completed"),
+                   ("b", 1): (None, "add_to_cart", 1, "dropped"), ("c", 1): (None, "page_view", 58, "open")}
+
+
+def test_expired_sessions_leave_the_log(spark, tmp_path):
+    from shoplake.streaming import jobs as S
+
+    rows = [("old", "page_view", 1), ("new", "page_view", 2), ("new", "purchase", 30)]
+    df = spark.createDataFrame([(s, t, f"2026-09-10T10:{m:02d}:00") for s, t, m in rows], "session_id string, event_type string, timestamp string")
+    for batch in (0, 1):
+        S.write_batch(S.session_firsts(df), str(tmp_path / "log"), batch)
+    before = S.session_transitions(spark.read.parquet(str(tmp_path / "log"))).where("session_id = 'new'").collect()
+    kept = S.expire_sessions(spark, str(tmp_path / "log"), str(tmp_path / "kept"), 0, "2026-09-10 10:10:00")
+    assert {r["session_id"] for r in kept.collect()} == {"new"}
+    assert sorted(map(str, S.session_transitions(kept).collect())) == sorted(map(str, before))
+
+
+def test_buffers_flush_by_size_or_time():
+    import pandas as pd
+
+    from shoplake.streaming.buffers import Buffers
+
+    class Value:
+        value = None
+        exists = lambda self: self.value is not None
+        get = lambda self: self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+    buffers = Buffers("at", 100, 60)
+    buffers.init(Handle())
+
+    def send(sizes, second, first=0):
+        rows = pd.DataFrame({"at": range(first, first + len(sizes)), "size": sizes, "arrived": second * 1000}).sample(frac=1, random_state=1)
+        out = pd.concat(buffers.handleInputRows((3,), iter([rows[:1], rows[1:]]), None))
+        return out.sort_values("at")["flush"].tolist()
+
+    assert send([40, 40, 40, 40, 200, 10], 0) == [0, 0, 0, 1, 1, 2]  # the filling record closes its flush
+    assert send([10, 10], 59, 10) == [2, 2]
+    assert send([10], 60, 20) == [3]  # the open one was due a minute after its first record
+    assert send([10], 119, 30) == [3] and send([10], 120, 40) == [4]
