@@ -91,8 +91,10 @@ def thresholds(measured: DataFrame, wanted: DataFrame, max_repeat: int = 3) -> D
     edge = F.when(F.col("base") + F.col("words") / 2 <= F.col("rest"), F.col("first")).otherwise(F.col("first") - 1)
     found = open_.select(F.col("source").alias("s"), edge.alias("upto"))
     joined = wanted.join(found, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    # A source without a crossing is taken whole only if its rest asks for all of it, which passes already count.
-    return materialize(joined.withColumn("upto", F.coalesce("upto", F.lit(-1).cast("long"))), "thresholds")
+    # A source without a crossing is taken whole only if its rest asks for all of it, which passes already count;
+    # one without a rest, such as a source at its cap, gives nothing more, not even empty documents.
+    upto = F.when(F.col("rest") > 0, F.col("upto"))
+    return materialize(joined.withColumn("upto", F.coalesce(upto, F.lit(-1).cast("long"))), "thresholds")
 
 
 def choose(rows: DataFrame, limits: DataFrame) -> DataFrame:

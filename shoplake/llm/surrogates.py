@@ -125,6 +125,16 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), add)
 
 
+def _mod97(text: Column) -> Column:
+    """The text's number modulo 97, letters standing for 10 to 35."""
+
+    def add(rest: Column, c: Column) -> Column:
+        digit = F.instr(F.lit(DIGITS + UPPER), F.upper(c)) - 1
+        return F.pmod(rest * F.when(digit > 9, 100).otherwise(10) + digit, F.lit(97)).cast("int")
+
+    return F.aggregate(F.split(text, ""), F.lit(0), add)
+
+
 def _title_gender(mention: Column) -> Column:
     title = F.regexp_extract(mention, r"^(.*?)\.? ", 1)
     return F.when(title.isin(*MALE), F.lit("m")).when(title.isin(*FEMALE), F.lit("f")).otherwise(F.lit("x"))
@@ -246,7 +256,16 @@ def _drawn(kind: Column, norm: Column, attempt: Column, stream: Column, key: str
         return F.concat(digits, _let(right, lambda r: F.when(_luhn(norm) % 10 == 0, r).otherwise(
             (r + 1 + at(1) % 9) % 10)).cast("string"))
 
-    iban = F.concat(F.substring(norm, 1, 2), F.substring(plain, F.lit(3), F.length(norm)), spare)
+    # So does an IBAN its country and whether its two check digits are right.
+    country = F.substring(norm, 1, 2)
+    valid = _mod97(F.concat(F.substring(norm, F.lit(5), F.length(norm)), F.substring(norm, 1, 4))) == 1
+
+    def with_check(body: Column) -> Column:
+        right = 98 - _mod97(F.concat(body, country, F.lit("00")))
+        digits = F.when(valid, right).otherwise(2 + (right - 2 + 1 + at(1) % 95) % 97)
+        return F.concat(country, F.lpad(digits.cast("string"), 2, "0"), body)
+
+    iban = _let(F.concat(F.substring(plain, F.lit(5), F.length(norm)), spare), with_check)
     prefix = F.regexp_extract(norm, r"^(?:AKIA|(?:sk|ghp|gho|xoxb|xoxp)[-_])", 0)
     secret = _let(prefix, lambda p: _let(F.substring(norm, F.length(p) + 1, F.length(norm)), lambda rest: F.concat(
         p, more(DIGITS, quick), _same_class(rest, stream, rest.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$")))))

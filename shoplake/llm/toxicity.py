@@ -1,9 +1,10 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the hashed character n-grams of the lower-cased text, present or absent. Each gets the log
-ratio of its smoothed document frequencies in the two classes; features whose frequencies don't differ
+Features are the character n-grams of the lower-cased text (64-bit hashes), present or absent. Each gets the
+log ratio of its smoothed document frequencies in the two classes; features whose frequencies don't differ
 clearly (log-likelihood ratio below ``SURPRISE``) are left out. A logistic regression on the scaled
-features gives the score.
+features scores windows of ``WINDOW`` characters; a text's score is that of its highest window, so that a
+long text isn't marked for the many n-grams that any long text has.
 """
 
 from __future__ import annotations
@@ -13,94 +14,109 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.llm.common import crc_of_id, materialize
 
-ORDERS = (3, 6)  # shortest and longest n-gram
-HASH_BITS = 20
+ORDERS = (5, 8)  # shortest and longest n-gram
 SURPRISE = 16.0
 # The model is fitted on at most so many labelled documents of each class, those with the smallest id hash.
 MAX_PER_CLASS = 3000
-PIECE = 1 << 20  # characters of a long text that are hashed at a time
+WINDOW = 5000  # characters
+TABLE_BITS = 20
+NONE = np.zeros(0, np.uint64)
 
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of the chosen hash buckets (already scaled by the log-count ratios) and the bias."""
+    """The chosen n-grams' hashes (sorted), their weights (already scaled by the log-count ratios) and the bias."""
 
-    buckets: np.ndarray
+    keys: np.ndarray
     weights: np.ndarray
     bias: float
 
+    def table(self) -> np.ndarray:
+        """Which leading bits any of the hashes has: most others are told apart without a search."""
+        out = np.zeros(1 << TABLE_BITS, bool)
+        out[(self.keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
+        return out
 
-def _hashes(text: str | None) -> Iterator[np.ndarray]:
-    """Hash buckets of all n-grams, in arrays; white space marks the text's ends."""
+    def places(self, hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """Numbers of the chosen n-grams among some hashes, each once."""
+        hashes = hashes[table[(hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]]
+        if not len(hashes):
+            return np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.unique(at[self.keys[at] == hashes])
+
+
+def windows(text: str | None) -> Iterator[np.ndarray]:
+    """Hashes of the n-grams that begin in each window of a text; white space marks the text's ends."""
     lowest, highest = ORDERS
     text = f" {(text or '').lower()} "
-    for at in range(0, len(text), PIECE):
-        codes = np.frombuffer(text[at:at + PIECE + highest - 1].encode("utf-32-le", "surrogatepass"), np.uint32)
-        h = codes
+    for at in range(0, len(text), WINDOW):
+        codes = np.frombuffer(text[at:at + WINDOW + highest - 1].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        h, found = codes, []
         for n in range(2, highest + 1):
             if len(codes) < n:
                 break
-            h = h[:-1] * np.uint32(16777619) + codes[n - 1:]
+            h = h[:-1] * np.uint64(0x100000001B3) + codes[n - 1:]
             if n >= lowest:
-                yield (h * np.uint32(2654435761)) >> np.uint32(32 - HASH_BITS)
+                found.append(h[:WINDOW] * np.uint64(0x9E3779B97F4A7C15))
+        yield np.concatenate([NONE, *found])
 
 
 def features(text: str | None) -> np.ndarray:
-    """The distinct hash buckets of a text, sorted."""
-    present = np.zeros(1 << HASH_BITS, bool)
-    for found in _hashes(text):
-        present[found] = True
-    return np.flatnonzero(present).astype(np.int32)
+    """The distinct hashes of a text's n-grams, sorted."""
+    out = NONE
+    for found in windows(text):
+        out = np.union1d(out, found)
+    return out
+
+
+def surprise(counts: np.ndarray, many: int, few: int) -> np.ndarray:
+    """Log-likelihood ratio of features that ``counts[0]`` of many and ``counts[1]`` of few documents have."""
+    share = np.array([many, few])[:, None] / (many + few)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return 2 * np.where(counts > 0, counts * np.log(counts / (counts.sum(axis=0) * share)), 0).sum(axis=0)
 
 
-def train(rows: list[np.ndarray], toxic: np.ndarray, smoothing: float = 1.0, penalty: float = 0.1,
-          rounds: int = 200) -> Model:
-    """Fit the classifier on feature arrays and 0/1 labels; with one class only, a constant score."""
-    n, size = len(rows), 1 << HASH_BITS
+def train(rows: list[np.ndarray], toxic: np.ndarray, counts: np.ndarray, smoothing: float = 1.0, penalty: float = 0.1,
+          rounds: int = 200) -> tuple[np.ndarray, float]:
+    """Weights and bias fitted on each document's features (numbers) and 0/1 label; ``counts``: documents of either
+    class that have each feature. With one class only, or no feature, a constant score."""
+    n, size = len(rows), counts.shape[1]
     many, few = int((toxic == 0).sum()), int((toxic == 1).sum())
     if not many or not few:
-        return Model(np.zeros(0, np.int32), np.zeros(0), float(np.log((few + 0.5) / (many + 0.5))))
-    counts = np.zeros((2, size), np.int64)
-    for x, label in zip(rows, toxic, strict=True):
-        counts[label][x] += 1
-    share = np.array([many, few])[:, None] / n
-    with np.errstate(divide="ignore", invalid="ignore"):
-        surprise = 2 * np.where(counts > 0, counts * np.log(counts / (counts.sum(axis=0) * share)), 0).sum(axis=0)
-    chosen = np.flatnonzero(surprise > SURPRISE)
-    if not len(chosen):
-        return Model(np.zeros(0, np.int32), np.zeros(0), float(np.log(few / many)))
-    ratio = (np.log((counts[1, chosen] + smoothing) / (few + 2 * smoothing))
-             - np.log((counts[0, chosen] + smoothing) / (many + 2 * smoothing)))
-    place = np.full(size, -1, np.int64)
-    place[chosen] = np.arange(len(chosen))
-    kept = [p[p >= 0] for p in (place[x] for x in rows)]
-    column = np.concatenate(kept)
-    row = np.repeat(np.arange(n), [len(k) for k in kept])
+        return np.zeros(size), float(np.log((few + 0.5) / (many + 0.5)))
+    if not size:
+        return np.zeros(0), float(np.log(few / many))
+    ratio = np.log((counts[1] + smoothing) / (few + 2 * smoothing)) - np.log((counts[0] + smoothing) / (many + 2 * smoothing))
+    column = np.concatenate(rows)
+    row = np.repeat(np.arange(n), [len(r) for r in rows])
     value = ratio[column]
     # The rarer class counts for more, by the square root of the classes' ratio.
     each = np.where(toxic == 1, np.sqrt(many / few), 1.0)
-    w, bias = np.zeros(len(chosen)), float(np.log(few / many) / 2)
-    seen, seen_bias = np.full(len(chosen), 1e-8), 1e-8
+    w, bias = np.zeros(size), float(np.log(few / many) / 2)
+    seen, seen_bias = np.full(size, 1e-8), 1e-8
     for _ in range(rounds):  # AdaGrad over the whole sample
         z = np.bincount(row, weights=w[column] * value, minlength=n) + bias
         error = (1 / (1 + np.exp(-z)) - toxic) * each
-        gradient = np.bincount(column, weights=error[row] * value, minlength=len(chosen)) + penalty * w
+        gradient = np.bincount(column, weights=error[row] * value, minlength=size) + penalty * w
         seen += gradient**2
         w -= 0.1 * gradient / np.sqrt(seen)
         seen_bias += error.sum() ** 2
         bias -= 0.3 * error.sum() / np.sqrt(seen_bias)
-    return Model(chosen.astype(np.int32), w * ratio, float(bias))
+    return w * ratio, float(bias)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, max_per_class: int = MAX_PER_CLASS) -> Model:
     """Fit on labelled documents (doc_id, text; doc_id, toxic). ``learn``: condition on doc_id of the rows to learn from.
 
-    At most ``max_per_class`` documents of each class are used; the bias is set back to the classes'
+    At most ``max_per_class`` documents of each class are used, and of each only the chosen features reach the
+    task that fits the weights; the bias is set back to the classes'
     shares among all labelled documents. Null labels and ids are left out; several labels of a
     document count as the largest, several texts as the smallest.
     """
@@ -116,48 +132,64 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, max_per
         sample = part if sample is None else sample.unionByName(part)
     sample = materialize(sample, "toxic-sample")  # at most 2 * max_per_class rows of two numbers
 
-    @F.pandas_udf("array<int>")
-    def extract(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([features(t) for t in texts])
+    texts = materialize(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+                        .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "toxic-texts")
+    used = {label: min(totals.get(label, 0), max_per_class) for label in (0, 1)}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(features(t.as_py()), label.as_py()) for t, label in zip(batch.column(0), batch.column(1), strict=True)]
+            for label in (0, 1):
+                keys, n = np.unique(np.concatenate([NONE, *[x for x, of in found if of == label]]), return_counts=True)
+                none = np.zeros(len(n), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *(pa.array(n if of == label else none) for of in (0, 1))],
+                                                 names=["key", "clean", "toxic"])
 
-    texts = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-             .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
-    rows = texts.select(F.lit(0).alias("model"), "doc_id", "toxic", extract("text").alias("x"))
+    def clear(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf[surprise(pdf[["clean", "toxic"]].to_numpy().T, used[0], used[1]) > SURPRISE]
+
+    kept = None
+    if used[0] and used[1]:
+        # Spark counts the sample's n-grams; only those that the classes clearly differ in come to the driver.
+        counted = texts.select("text", "toxic").mapInArrow(count, "key long, clean long, toxic long").groupBy("key").agg(
+            F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        kept = counted.mapInPandas(clear, "key long, clean long, toxic long").toPandas()
+    keys = kept["key"].to_numpy(np.int64).view(np.uint64) if kept is not None else NONE
+    order = np.argsort(keys)
+    counts = kept[["clean", "toxic"]].to_numpy(np.int64).T[:, order] if kept is not None else np.zeros((2, 0), np.int64)
+    chosen = Model(keys[order], np.zeros(len(keys)), 0.0)
+
+    @F.pandas_udf("array<int>")
+    def numbers(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        table = chosen.table()
+        for part in batches:
+            yield pd.Series([chosen.places(features(t), table).astype(np.int32) for t in part])
 
     def learn_from(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("doc_id", ignore_index=True)
-        model = train([np.asarray(x, np.int32) for x in pdf["x"]], pdf["toxic"].to_numpy())
-        return pd.DataFrame({"buckets": [model.buckets], "weights": [model.weights], "bias": [model.bias]})
+        weights, bias = train([np.asarray(x, np.int32) for x in pdf["x"]], pdf["toxic"].to_numpy(), counts)
+        return pd.DataFrame({"weights": [weights], "bias": [bias]})
 
-    fitted = rows.groupBy("model").applyInPandas(
-        learn_from, "buckets array<int>, weights array<double>, bias double").collect()
+    rows = texts.select(F.lit(0).alias("model"), "doc_id", "toxic", numbers("text").alias("x"))
+    fitted = rows.groupBy("model").applyInPandas(learn_from, "weights array<double>, bias double").collect()
     if not fitted:
-        return Model(np.zeros(0, np.int32), np.zeros(0), 0.0)
-    used = {label: min(totals.get(label, 0), max_per_class) for label in (0, 1)}
+        return Model(NONE, np.zeros(0), 0.0)
     shift = 0.0
     if used[0] and used[1]:
         shift = float(np.log(totals[1] / totals[0]) - np.log(used[1] / used[0])) / 2
-    found = fitted[0]
-    return Model(np.array(found["buckets"], np.int32), np.array(found["weights"]), found["bias"] + shift)
+    return Model(chosen.keys, np.array(fitted[0]["weights"]), fitted[0]["bias"] + shift)
 
 
 def score(text: Column, model: Model) -> Column:
-    """Score between 0 and 1 of every whole text, higher for toxic; null as the empty text."""
+    """Score between 0 and 1 of every whole text, higher for toxic: that of its highest window; null as the empty text."""
 
     @F.pandas_udf("double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        weight = np.zeros(1 << HASH_BITS)
-        weight[model.buckets] = model.weights
-        used = np.zeros(1 << HASH_BITS, bool)
-        used[model.buckets] = True
+        table = model.table()
         for texts in batches:
-            out = np.empty(len(texts))
-            for i, text in enumerate(texts):
-                hits = [found[used[found]] for found in _hashes(text)]
-                z = model.bias + (weight[np.unique(np.concatenate(hits))].sum() if hits else 0.0)
-                out[i] = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
-            yield pd.Series(out)
+            z = np.array([max(model.weights[model.places(w, table)].sum() for w in windows(t)) for t in texts]) + model.bias
+            yield pd.Series(1 / (1 + np.exp(-np.clip(z, -700, 700))))
 
     return of(text)
 

@@ -52,3 +52,11 @@ def test_mixed_documents_repeat_rows(make_docs, odd_texts):
     assert rows.columns == docs.columns
     words = sum(len((r["text"] or "").encode().split()) for r in rows.collect())
     assert words == taken["taken"].sum()
+
+
+def test_empty_documents_of_a_capped_source_are_not_repeated_beyond_the_cap(make_docs):
+    """Source a is at its cap of three takes; its empty document is not taken a fourth time."""
+    docs = make_docs([(1, "", "a"), (4, "x y z", "a"), *[(10 + i, "w " * 50, "b") for i in range(5)]])
+    copies = mixing.mixed_documents(docs, weights=(5, 1)).groupBy("doc_id").count().collect()
+    assert all(r["count"] <= 3 for r in copies)
+    assert {r["doc_id"]: r["count"] for r in copies}[4] == 3

@@ -57,12 +57,63 @@ def test_no_labels_and_no_documents(spark, make_docs):
     assert toxicity.judge(make_docs([]), none).count() == 0
     only = spark.createDataFrame([(i, 1) for i in range(9)], "doc_id long, toxic int")
     model = toxicity.fit(make_docs([(i, "a b", "x") for i in range(9)]), only)
-    assert not len(model.buckets) and model.bias > 0
+    assert not len(model.keys) and model.bias > 0
 
 
 def test_sample_is_bounded(spark, make_docs):
     rows, labels = corpus(300)
     marks = spark.createDataFrame(labels, "doc_id long, toxic int")
     model = toxicity.fit(make_docs(rows), marks, max_per_class=40)
-    assert len(model.buckets)
+    assert len(model.keys)
     assert toxicity.features("a" * 10).size > 0 and F is not None
+
+
+def plainly(docs, marks, learn, max_per_class=3000):
+    """Model as {n-gram: weight}, bias: the same steps with strings, sets and loops over documents."""
+    def grams(text):
+        text = f" {(text or '').lower()} "
+        return {text[i:i + n] for n in range(toxicity.ORDERS[0], toxicity.ORDERS[1] + 1) for i in range(len(text) - n + 1)}
+
+    sample = sorted((i, t, m) for i, t, m in ((i, t, marks.get(i)) for i, t in docs) if m is not None and learn(i))
+    of = [grams(t) for _, t, _ in sample]
+    toxic = np.array([m for *_, m in sample])
+    few, many = int(toxic.sum()), int((1 - toxic).sum())
+    counts = {}
+    for x, m in zip(of, toxic, strict=True):
+        for g in x:
+            counts.setdefault(g, [0, 0])[m] += 1
+    chosen = {}
+    for g, (a, b) in counts.items():
+        g2 = sum(2 * c * np.log(c / ((a + b) * share / (many + few))) for c, share in ((a, many), (b, few)) if c)
+        if g2 > toxicity.SURPRISE:
+            chosen[g] = len(chosen)
+    rows = [np.array([chosen[g] for g in x if g in chosen], int) for x in of]
+    weights, bias = toxicity.train(rows, toxic, np.array([counts[g] for g in chosen]).T)
+    return dict(zip(chosen, weights, strict=True)), bias
+
+
+def test_scores_equal_a_plain_version(spark, make_docs):
+    rows, labels = corpus(200)
+    docs, marks = make_docs(rows), {i: t for i, t in labels if t is not None}
+    weights, bias = plainly([r[:2] for r in rows], marks, lambda i: zlib.crc32(str(i).encode()) % 3 != 1)
+    assert len(weights) > 20
+    got = toxicity.judge(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    texts = {r[0]: r[1] for r in rows}
+    for r in got:
+        text = f" {texts[r['doc_id']].lower()} "
+        z = bias + sum(w for g, w in weights.items() if g in text)
+        assert abs(r["score"] - 1 / (1 + np.exp(-z))) < 1e-6
+
+
+def test_long_texts_of_many_letters_are_not_toxic(spark, make_docs):
+    """Random letters hold any short n-gram; however long they are, their score is that of a window."""
+    rows, labels = corpus(600)
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz "))
+    long_ = [(5000 + k, "".join(rng.choice(letters, n)), "b") for k, n in enumerate((10_000, 100_000, 1_000_000))]
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(make_docs(rows), marks)
+    got = {r["doc_id"]: r["s"] for r in make_docs(long_ + [(6000, long_[2][1] + " zqscum " + long_[1][1], "b")]).select(
+        "doc_id", toxicity.score(F.col("text"), model).alias("s")).collect()}
+    assert all(got[5000 + k] < 0.7 for k in range(3))
+    assert got[6000] > got[5002]  # a toxic word is found wherever it stands
