@@ -3,6 +3,10 @@
 Toxic documents go, one document of each near-duplicate group stays, personal data is replaced, the
 sources are mixed to their weights, and what is left is encoded into pieces. Every stage works on all
 rows of its predecessor.
+
+Odd rows, in every stage: null and empty texts count as empty texts, and very long ones are taken whole; null ids
+and sources are values of their own; repeated rows stay repeated where the stage says nothing else; ties go by the
+operators' rules; columns beyond the documents' own pass through, whatever their names; empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -17,19 +21,26 @@ from shoplake.llm.queries import PIECES, SURROGATE_KEY
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score stays under 0.7; the classifier learns from the labelled ones among them."""
+    """Documents whose toxicity score stays under 0.7; the classifier learns from the labelled ones among them.
+
+    Empty and null texts are scored as texts without n-grams; rows without an id are never learnt from.
+    """
     prepare(spark)
     return toxicity.clean_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of SimHash near-duplicates."""
+    """One document, the one with the smallest id, of each group of SimHash near-duplicates.
+
+    Null, empty and white texts have the fingerprint zero and so form a group; of repeated rows one stays; rows
+    without an id are a group's last choice.
+    """
     prepare(spark)
     return simhash.deduplicated(docs)
 
 
 def surrogate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with surrogates for personal data; n_chars follows the new text."""
+    """Documents with surrogates for personal data; n_chars follows the new text. Null texts stay null."""
     prepare(spark)
     replaced = surrogates.pseudonymised(docs, SURROGATE_KEY)
     n_chars = F.when(F.col("n_entities") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
@@ -37,7 +48,8 @@ def surrogate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources (weights 5, 2, 1) takes them: not at all to three times."""
+    """Documents as often as the mix of sources (weights 5, 2, 1) takes them: not at all to three times, empty ones
+    included. Rows equal in id and text are taken equally often."""
     prepare(spark)
     return mixing.mixed_documents(docs)
 
