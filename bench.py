@@ -29,7 +29,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from shoplake.operators import analytics as A  # noqa: E402
 from shoplake.operators import ops as O  # noqa: E402
 from shoplake.operators import quality as Q  # noqa: E402
-from shoplake.operators.etl import etl  # noqa: E402
+from shoplake.operators.etl import etl_outcomes, kept_path  # noqa: E402
 from shoplake.operators.landing import land_batch  # noqa: E402
 from shoplake.plans import registry as R  # noqa: E402
 from shoplake.session import build_session, scratch_dir  # noqa: E402
@@ -82,9 +82,10 @@ def main() -> None:
     times["land_raw_json"] = round(land_sec, 3)
 
     # 2. ETL: raw -> curated with quarantine; counts observed in the same pass.
-    curated = scratch_dir(spark, "bench-curated")
+    outcomes = scratch_dir(spark, "bench-outcomes")
+    curated = kept_path(outcomes)
     t0 = time.perf_counter()
-    recon = etl(read_raw(spark, raw), curated, scratch_dir(spark, "bench-quarantine")).first().asDict()
+    recon = etl_outcomes(read_raw(spark, raw), outcomes).first().asDict()
     etl_sec = time.perf_counter() - t0
     times["etl_raw_to_curated"] = round(etl_sec, 3)
     extras["etl_rows"] = recon["input_rows"]
