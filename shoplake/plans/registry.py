@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from shoplake.functions import partition_key, window_key, window_start
 from shoplake.operators import analytics as A
 from shoplake.operators import catalog as C
+from shoplake.operators import compaction as K
 from shoplake.operators import ops as O
 from shoplake.operators import quality as Q
 from shoplake.operators import ledger as L
@@ -31,7 +32,7 @@ from shoplake.schema import (
 from shoplake.session import configure, scratch_dir
 from shoplake.sources.adapter import MARKET_SEGMENTS, curated_events, read_table
 from shoplake.sources.raw import read_curated, read_raw, read_raw_text
-from shoplake.sources.sinks import write_curated, write_result_csv
+from shoplake.sources.sinks import write_curated, write_partitioned, write_result_csv
 from shoplake.streaming import buffers
 from shoplake.streaming import jobs as S
 
@@ -411,8 +412,8 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     files, path = _event_files(spark, sf_dir), scratch_dir(spark, "stream-dedup")
     spark.read.parquet(files).write.mode("append").parquet(files)
-    stream = S.driver_event_stream(spark, sf_dir, files=files, max_files=4)
-    _run(S.dedup_into(stream, path, scratch_dir(spark, "ckpt"), available_now=True))
+    stream = S.driver_event_stream(spark, sf_dir, files=files, max_files=3)
+    _run(S.dedup_into(stream, path, scratch_dir(spark, "ckpt"), available_now=True, fold_every=2))
     return spark.read.parquet(f"{path}/data").select(*CURATED_COLUMNS)
 
 
@@ -553,6 +554,25 @@ def compaction_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("files_after") <= F.col("files_before")).alias("not_more_files"))
 
 
+def compaction_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: days with an even number written four times over, each time a fourth of the events, the others once; then
+    packed through the catalog. Files per day before and after, and whether the day moved."""
+    path, runs, name = scratch_dir(spark, "scattered"), scratch_dir(spark, "packed"), _table_name("scattered")
+    rows = read_curated(spark, build_zones(spark, sf_dir).curated)
+    even, fourth = F.col("day").cast("int") % 2 == 0, F.col("event_id").cast("bigint") % 4
+    write_partitioned(rows.where(~even), path, CURATED_PARTITIONS)
+    for part in range(4):
+        write_partitioned(rows.where(even & (fourth == part)), path, CURATED_PARTITIONS, mode="append")
+    C.refresh_table(spark, name, path, EVENT_SCHEMA, CURATED_PARTITIONS)
+    moves = K.compact_table(spark, name, path, runs, CURATED_PARTITIONS)
+    label = F.concat_ws("/", *[F.concat(F.lit(f"{p}="), F.col(p)) for p in CURATED_PARTITIONS])
+    files = spark.table(name).groupBy(label.alias("partition"), F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    now = files.groupBy("partition").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("files_after"))
+    return now.join(moves.select("partition", "files_before"), "partition", "left").select(
+        "partition", "rows", F.coalesce("files_before", "files_after").alias("files_before"), "files_after",
+        F.col("files_before").isNotNull().alias("moved"))
+
+
 def scan_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: bytes and cost of the revenue query over the raw JSON zone and over curated Parquet."""
     root = _lake_root(spark, sf_dir)
@@ -572,6 +592,7 @@ OPS: dict[str, Query] = {
     "tier_bytes": tier_bytes,
     "scan_cost_log": scan_cost_log,
     "compaction_effect": compaction_effect,
+    "compaction_moves": compaction_moves,
     "scan_cost": scan_cost,
 }
 

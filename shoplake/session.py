@@ -93,3 +93,21 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             spark.conf.set("spark.checkpoint.dir", root)
     root = root.rstrip("/")
     return f"{root}/shoplake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _on_storage(spark: SparkSession, path: str):
+    """The Hadoop path and its file system, so that any store Spark can read will do."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    at, store = _on_storage(spark, path)
+    return store.exists(at)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it; an absent one is fine."""
+    at, store = _on_storage(spark, path)
+    store.delete(at, True)

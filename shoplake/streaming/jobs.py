@@ -33,8 +33,9 @@ from shoplake.schema import (
     RAW_PARTITIONS,
     RAW_SCHEMA,
 )
-from shoplake.session import configure
+from shoplake.session import configure, delete_folder, folder_exists
 from shoplake.sources.adapter import conform_events, user_dimension
+from shoplake.sources.sinks import write_partitioned
 
 
 def _trigger(writer, interval: str | None, available_now: bool):
@@ -172,7 +173,8 @@ def dedup_stream(stream: DataFrame, event_time: str = "event_ts", delay: str = "
 
 
 def dedup_into(stream: DataFrame, path: str, checkpoint: str, key: str = "event_id", event_time: str = "event_ts",
-               horizon_days: int = 1, interval: str | None = None, available_now: bool = False) -> StreamingQuery:
+               horizon_days: int = 1, interval: str | None = None, available_now: bool = False,
+               fold_every: int = 16, keep_days: int | None = None) -> StreamingQuery:
     """I7 for streams where one event's copies may be a large share of all rows.
 
     Spark's stateful dedup sends every copy of a key to one state partition without any map-side
@@ -180,21 +182,51 @@ def dedup_into(stream: DataFrame, path: str, checkpoint: str, key: str = "event_
     inside every task before the shuffle), then anti-joined with the keys already seen. Seen keys
     are a Parquet table partitioned by event day (``none`` without a time); only days within
     ``horizon_days`` of the batch's earliest event, and ``none``, are read, so the lookup stays
-    bounded. Only rows without a time look through all days, as nothing bounds their copies. Rows
-    without a key can't be copies of anything and are all kept. Output and seen keys are written per
-    batch id (``write_batch``) and a batch only consults earlier batches, so a replayed batch yields
-    the same rows again: exactly-once. Output lands in ``<path>/data``.
+    bounded, and of these only the batch's own keys go into the anti join: a semi join, broadcast while the
+    batch is small. Only rows without a time look through all days, as nothing bounds their copies. Rows
+    without a key can't be copies of anything and are all kept. Output lands in ``<path>/data``.
+
+    The keys of ``fold_every`` batches are folded into one run, so many runs into a larger one, and so on
+    (``seen_runs``): a batch reads a number of runs that grows with the logarithm of the batch number, and a key is
+    rewritten as often. With ``keep_days`` a fold drops days further than that before its latest one; a copy that
+    comes later still then counts as new, and so does one without a time (None keeps all days).
+
+    Output and seen keys are written per batch id, the runs follow from the batch id alone, and a batch only
+    consults earlier batches, so a replayed batch yields the same rows again: exactly-once. Folded runs are
+    deleted once the run that holds them is complete.
     """
+    if keep_days is not None and keep_days < horizon_days:
+        raise ValueError("keep_days must cover horizon_days")
     data_path, seen_path = f"{path.rstrip('/')}/data", f"{path.rstrip('/')}/seen"
     day = F.coalesce(F.date_format(F.col(event_time), "yyyy-MM-dd"), F.lit("none"))
-    spark = stream.sparkSession
     key_type = dict(stream.dtypes)[key]
-    seen_schema = f"`{key}` {key_type}, batch_id int, day string"
-    # An empty seen table before the first batch, so every batch can read it by schema.
-    (spark.range(0).select(F.lit(None).cast(key_type).alias(key), F.lit(None).cast("string").alias("day"))
-     .write.mode("overwrite").partitionBy("day").parquet(f"{seen_path}/batch_id=-1"))
+
+    def seen_in(spark: SparkSession, runs: list[tuple[int, int]]) -> DataFrame:
+        schema = f"`{key}` {key_type}, day string"
+        if not runs:
+            return spark.createDataFrame([], schema)
+        folders = [_run_folder(seen_path, *run) for run in runs]
+        return spark.read.schema(schema).option("basePath", seen_path).parquet(*folders).select(key, "day")
+
+    def fold_seen(spark: SparkSession, batch_id: int) -> None:
+        level = 1
+        while batch_id and batch_id % fold_every ** level == 0:
+            width = fold_every ** (level - 1)
+            parts = [(level - 1, batch_id - i * width) for i in range(fold_every, 0, -1)]
+            keys = seen_in(spark, parts)
+            if keep_days is not None:
+                latest = keys.where(F.col("day") != "none").select(F.max("day")).first()[0]
+                if latest is not None:
+                    keys = keys.where(F.col("day") >= _days_before(latest, keep_days))  # "none" sorts after all dates
+            write_partitioned(keys, _run_folder(seen_path, level, batch_id - fold_every * width), ["day"])
+            for part in parts:
+                delete_folder(spark, _run_folder(seen_path, *part))
+            level += 1
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if not folder_exists(spark, f"{_run_folder(seen_path, 0, batch_id)}/_SUCCESS"):
+            fold_seen(spark, batch_id)
         # The source is read once: the batch is kept (memory, then disk) for the steps below.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -204,24 +236,45 @@ def dedup_into(stream: DataFrame, path: str, checkpoint: str, key: str = "event_
                 F.min_by(F.struct(*batch.columns), order).alias("row")).select("row.*")
             timed = F.col(event_time).isNotNull()
             first_day = keyed.where(timed).select(F.min(day)).first()[0]
-            seen = batch.sparkSession.read.schema(seen_schema).parquet(seen_path)
-            seen = seen.where(F.col("batch_id") < F.lit(batch_id))
-            new = keyed.where(~timed).join(seen.select(key), key, "left_anti")
+            seen = seen_in(spark, seen_runs(batch_id, fold_every))
+
+            def unseen(rows: DataFrame, among: DataFrame) -> DataFrame:
+                return rows.join(among.select(key).join(rows.select(key), key, "left_semi"), key, "left_anti")
+
+            new = unseen(keyed.where(~timed), seen)
             if first_day is not None:
-                lo = (dt.date.fromisoformat(first_day) - dt.timedelta(days=horizon_days)).isoformat()
-                near = seen.where((F.col("day") >= F.lit(lo)) | (F.col("day") == F.lit("none")))
-                new = new.unionByName(keyed.where(timed).join(near.select(key), key, "left_anti"))
+                new = new.unionByName(unseen(keyed.where(timed), seen.where(F.col("day") >= _days_before(first_day, horizon_days))))
             write_batch(new.select(*batch.columns).unionByName(batch.where(F.col(key).isNull())), data_path, batch_id)
         finally:
             batch.unpersist()
-        written = batch.sparkSession.read.parquet(f"{data_path}/batch_id={int(batch_id)}")
-        write_batch(written.where(F.col(key).isNotNull()).select(key, day.alias("day")), seen_path, batch_id,
-                    partition_cols=("day",))
+        written = spark.read.parquet(f"{data_path}/batch_id={int(batch_id)}")
+        write_partitioned(written.where(F.col(key).isNotNull()).select(key, day.alias("day")),
+                          _run_folder(seen_path, 0, batch_id), ["day"])
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _trigger(writer, interval, available_now).start()
 
 
+def seen_runs(batch_id: int, fold_every: int) -> list[tuple[int, int]]:
+    """(level, first batch) of the runs that hold the keys of all batches before ``batch_id``: a run of a level holds
+    ``fold_every`` to that power batches, as the digits of the batch number in that base say."""
+    runs, at = [], 0
+    for level in range(batch_id.bit_length(), -1, -1):
+        width = fold_every ** level
+        while at + width <= batch_id:
+            runs.append((level, at))
+            at += width
+    return runs
+
+
+def _run_folder(seen_path: str, level: int, start: int) -> str:
+    return f"{seen_path}/level={level}/start={start}"
+
+
+def _days_before(day: str, days: int) -> F.Column:
+    return F.lit((dt.date.fromisoformat(day) - dt.timedelta(days=days)).isoformat())
+
+
 def stage_rank() -> F.Column:
     """Rank of an event type along the funnel (page_view 0 ... purchase 4); null for other types."""
     rank = F.lit(None).cast("int")

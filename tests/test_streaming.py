@@ -160,6 +160,30 @@ def test_dedup_into_keeps_rows_without_time_or_key(spark, tmp_path):
     assert sorted(x or "" for x in got) == ["", "", "a", "b", "c", "d"]
 
 
+def test_seen_runs_cover_all_earlier_batches():
+    for k in (2, 3, 16):
+        for b in range(200):
+            runs = S.seen_runs(b, k)
+            assert [x for level, start in runs for x in range(start, start + k ** level)] == list(range(b))
+            assert len(runs) <= (k - 1) * (b.bit_length() + 1)
+
+
+def test_dedup_into_folds_seen_keys(spark, tmp_path):
+    days = [f"2026-09-{10 + i:02}" for i in range(9)]
+    # Each batch: a new event of its day, a copy of the day before's, one of the first day's and one without a time.
+    stream = _stream_of(spark, tmp_path / "in", [
+        [event(f"e{i}", ts=f"{d}T10:00:00"), event(f"e{max(i - 1, 0)}", ts=f"{days[max(i - 1, 0)]}T10:00:00"), event("none", ts=None)]
+        for i, d in enumerate(days)])
+    out = tmp_path / "dedup"
+    _run(S.dedup_into(stream, str(out), str(tmp_path / "ck"), available_now=True, fold_every=2, keep_days=3))
+    got = sorted(r.event_id for r in spark.read.parquet(f"{out}/data").collect())
+    assert got == sorted([f"e{i}" for i in range(9)] + ["none"])
+    left = sorted(str(p.relative_to(out / "seen")) for p in (out / "seen").glob("level=*/start=*"))
+    assert left == ["level=0/start=8", "level=3/start=0"]  # eight batches are one run
+    kept = sorted(p.name for p in (out / "seen/level=3/start=0").glob("day=*"))
+    assert kept == ["day=2026-09-14", "day=2026-09-15", "day=2026-09-16", "day=2026-09-17", "day=none"]
+
+
 def test_late_rows_are_counted(spark, tmp_path):
     hours = [12, 13, 10]
     stream = _stream_of(spark, tmp_path / "in", [[event(f"{h}-{i}", ts=f"2026-09-10T{h}:0{i}:00", session=f"s{h}")
