@@ -45,6 +45,9 @@ SECRET = (r"\bAKIA[0-9A-Z]{16}\b|\b(?:sk|ghp|gho|xoxb|xoxp)[-_][A-Za-z0-9_-]{16,
 TITLE = rf"(?:{_TITLES})\.? (?=\p{{Lu}})"
 NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? {_WORD}(?: {_WORD}){{0,2}}"
 ENTITY = "|".join((EMAIL, IP, SECRET, IBAN, CARD, SSN, PHONE, NAME))
+# One word that may be a name; a possessive or single letter after a hyphen or apostrophe is not part of it.
+CAPITALISED = r"\p{Lu}\p{L}*+(?:[-'’](?!s(?!\p{L}))\p{L}{2,}+)*+(?!\p{N})"
+ENTITY_OR_WORD = rf"{ENTITY}|(?<![\p{{L}}\p{{N}}]){CAPITALISED}"
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HEX = "0123456789abcdef"
@@ -72,6 +75,22 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _find(entries: Column, field: str, value: Column) -> Column:
+    """The first of the entries (structs sorted by ``field``) that has this value there, or null: a binary search, as
+    a look-up in a map takes time in proportion to its size."""
+    size = F.size(entries)
+
+    def halved(a: Column, _: Column) -> Column:
+        middle = F.floor((a["low"] + a["high"]) / 2).cast("int")
+        right = F.get(entries, middle)[field] < value
+        return F.when(a["low"] >= a["high"], a).when(right, F.struct((middle + 1).alias("low"), a["high"].alias("high"))).otherwise(
+            F.struct(a["low"].alias("low"), middle.alias("high")))
+
+    place = F.aggregate(F.sequence(F.lit(1), F.length(F.bin(size.cast("long")))),
+                        F.struct(F.lit(0).alias("low"), size.alias("high")), halved, lambda a: a["low"])
+    return _let(F.get(entries, place), lambda found: F.when(found[field] == value, found))
+
+
 def _pick(alphabet: str, number: Column) -> Column:
     return F.substring(F.lit(alphabet), (number % len(alphabet) + 1).cast("int"), F.lit(1))
 
@@ -162,9 +181,9 @@ def _canonical_ip(ip: Column) -> Column:
 
 
 def parsed(mention: Column, names: Column | None = None) -> Column:
-    """The mention as a struct: text, kind and its entities' (kind, norm): one, or for a name one for each word.
-
-    ``names``: the (kind, norm) that the document's titled names have; an untitled name's words are among them.
+    """The mention as a struct: text, kind, its entities' (kind, norm), and whether it is a bare word. A mention has one
+    entity, a name with a title one for each word. A bare word is a name if it is among ``names`` (see
+    ``titled_names``); any other one has the kind ``word`` and no entities.
     """
 
     def of(kind: Column) -> Column:
@@ -172,37 +191,44 @@ def parsed(mention: Column, names: Column | None = None) -> Column:
                 .when(kind.isin("card", "ssn", "phone", "iban"), F.regexp_replace(mention, r"[^0-9A-Za-z]", ""))
                 .when(kind == "ip", _canonical_ip(mention)).otherwise(mention))
         one = F.array(F.struct(kind.alias("kind"), norm.alias("norm")))
-        words = F.split(F.regexp_replace(mention, f"^{TITLE}", ""), " ")
-        several = _let(F.struct(words.alias("words"), F.concat(F.lit("given_"), _title_gender(mention)).alias("given")),
+        several = _let(F.struct(_name_words(mention).alias("words"), F.concat(F.lit("given_"), _title_gender(mention)).alias("given")),
                        lambda n: F.transform(n["words"], lambda w, i: F.struct(
                            F.when(i == F.size(n["words"]) - 1, F.lit("family")).otherwise(n["given"]).alias("kind"),
                            F.lower(w).alias("norm"))))
-        if names is not None:
-            bare = F.transform(words, lambda w: F.struct(F.array_min(F.transform(
-                F.filter(names, lambda n: n["norm"] == F.lower(w)), lambda n: n["kind"])).alias("kind"), F.lower(w).alias("norm")))
-            several = F.when(mention.rlike(f"^{TITLE}"), several).otherwise(bare)
-        return F.struct(mention.alias("text"), kind.alias("kind"),
-                        F.when(kind == "name", several).otherwise(one).alias("parts"))
+        return F.struct(mention.alias("text"), kind.alias("kind"), F.when(kind == "name", several).otherwise(one).alias("parts"),
+                        F.lit(False).alias("bare"))
+
+    whole = _let(kind_of(mention), of)
+    if names is None:
+        return whole
+    bare = _let(_find(names, "form", mention), lambda known: F.struct(
+        mention.alias("text"), F.when(known.isNull(), F.lit("word")).otherwise(F.lit("name")).alias("kind"),
+        F.when(known.isNull(), F.array().cast("array<struct<kind:string,norm:string>>")).otherwise(
+            F.array(F.struct(known["kind"].alias("kind"), known["norm"].alias("norm")))).alias("parts"), F.lit(True).alias("bare")))
+    return F.when(mention.rlike(f"^{CAPITALISED}$") & ~mention.rlike(f"^(?:{SECRET})$"), bare).otherwise(whole)
 
-    return _let(kind_of(mention), of)
+
+def _name_words(mention: Column) -> Column:
+    return F.split(F.regexp_replace(mention, f"^{TITLE}", ""), " ")
 
 
 def titled_names(text: Column) -> Column:
-    """Distinct words of the names that a text has with a title, and their (kind, norm): a struct of words, parts."""
+    """The words of the names that a text has with a title: structs of form (as written, capitalised and in upper
+    case), kind and norm, sorted. A word of several kinds is found by its first."""
     none = F.array().cast("array<string>")
     found = F.when(_has_title(text), F.regexp_extract_all(text, F.lit(NAME), F.lit(0))).otherwise(none)
-    return _let(found, lambda m: F.struct(
-        F.array_distinct(F.flatten(F.transform(m, lambda x: F.split(F.regexp_replace(x, f"^{TITLE}", ""), " ")))).alias("words"),
-        F.array_distinct(F.flatten(F.transform(m, lambda x: parsed(x)["parts"]))).alias("parts")))
+
+    def forms(word: Column, part: Column) -> Column:
+        plain = F.regexp_replace(word, "[-'’]+$", "")
+        return F.transform(F.array(plain, F.upper(plain), F.initcap(plain)), lambda f: F.struct(
+            f.alias("form"), part["kind"].alias("kind"), part["norm"].alias("norm")))
+
+    return F.sort_array(F.flatten(F.flatten(F.transform(found, lambda m: F.zip_with(_name_words(m), parsed(m)["parts"], forms)))))
 
 
 def pattern_for(names: Column) -> Column:
-    """ENTITY, with the untitled names of a text (as written, capitalised or in upper case) if it has titled ones."""
-    forms = F.flatten(F.transform(names["words"], lambda w: F.array(w, F.upper(w), F.initcap(w))))
-    word = F.concat(F.lit("(?:"), F.array_join(F.array_sort(F.array_distinct(forms), lambda a, b: F.length(b) - F.length(a)), "|"),
-                    F.lit(r")(?![\p{L}\p{N}]|['’-]\p{L}{2})"))
-    untitled = F.concat(F.lit(ENTITY + r"|(?<![\p{L}\p{N}])"), word, F.lit("(?: "), word, F.lit("){0,3}"))
-    return F.when(F.size(names["words"]) > 0, untitled).otherwise(F.lit(ENTITY))
+    """ENTITY, and capitalised words too if the text has titled names."""
+    return F.when(F.size(names) > 0, F.lit(ENTITY_OR_WORD)).otherwise(F.lit(ENTITY))
 
 
 def _name_word(kind: Column, norm: Column, attempt: Column, stream: Column) -> Column:
@@ -294,12 +320,12 @@ def _cased(word: Column, like: Column) -> Column:
 
 
 def replacement(mention: Column, attempts: Column, key: str) -> Column:
-    """The text to stand for a parsed mention. ``attempts``: map from "kind:norm" to the kind to draw for and the attempt,
-    where not its own and 0."""
+    """The text to stand for a parsed mention. ``attempts``: structs, sorted, of name ("kind:norm"), the kind to draw for
+    and the attempt, where not its own and 0."""
     text, kind = mention["text"], mention["kind"]
 
     def drawn(part: Column) -> Column:
-        return _let(F.element_at(attempts, F.concat_ws(":", part["kind"], part["norm"])), lambda a: surrogate_of(
+        return _let(_find(attempts, "name", F.concat_ws(":", part["kind"], part["norm"])), lambda a: surrogate_of(
             F.coalesce(a["as_kind"], part["kind"]), part["norm"], F.coalesce(a["attempt"], F.lit(0)), key))
 
     def placed(first: Column) -> Column:
@@ -317,7 +343,7 @@ def replacement(mention: Column, attempts: Column, key: str) -> Column:
     single = _let(drawn(mention["parts"][0]), lambda first: (
         F.when(kind == "email", F.when(text == F.upper(text), F.upper(first)).otherwise(first))
         .when(kind == "ip", F.when(text.rlike("[A-F]"), F.upper(first)).otherwise(first)).when(kind == "secret", F.concat(word, first)).otherwise(placed(first))))
-    return F.when(kind == "name", name).otherwise(single)
+    return F.when(kind == "word", text).when(kind == "name", name).otherwise(single)
 
 
 def _has_title(text: Column) -> Column:
@@ -381,11 +407,19 @@ def pseudonymised(docs: DataFrame, key: str, id_column: str = "doc_id", text_col
         return (rows.withColumn("__names", titled_names(F.col("__text")))
                 .withColumn("__pattern", pattern_for(F.col("__names")))
                 .withColumn("__mentions", F.transform(mentions_of(F.col("__text"), F.col("__pattern")),
-                                                      lambda m: parsed(m, F.col("__names")["parts"]))))
+                                                      lambda m: parsed(m, F.col("__names")))))
+
+    def parts_of(rows: DataFrame, *keys: str) -> DataFrame:
+        """Distinct kind and norm of the entities, by ``keys``.
+
+        ``explode_outer``, as Spark puts a filter on the array below a plain ``explode``; the filter would hold all of
+        ``searched`` as one expression, with the names found again in every step of a look-up.
+        """
+        found = rows.select(*keys, F.explode_outer("__mentions").alias("mention")).select(
+            *keys, F.explode_outer("mention.parts").alias("part"))
+        return found.filter("part IS NOT NULL").select(*keys, "part.kind", "part.norm").distinct()
 
-    found = searched(docs.select(text.alias("__text"))).select(F.explode("__mentions").alias("mention")).select(
-        F.explode("mention.parts").alias("part"))
-    entities = materialize(found.select("part.kind", "part.norm").distinct(), "pii-entities")
+    entities = materialize(parts_of(searched(docs.select(text.alias("__text")))), "pii-entities")
     # A given name with a neutral title is the same as with Mr or Mrs, if it is known with one of them only.
     known = (entities.filter(F.col("kind").isin("given_m", "given_f")).groupBy("norm")
              .agg(F.min("kind").alias("as_kind"), F.max("kind").alias("other")).filter("as_kind = other").select("norm", "as_kind"))
@@ -395,26 +429,28 @@ def pseudonymised(docs: DataFrame, key: str, id_column: str = "doc_id", text_col
     late = resolved.join(attempts(own, key).select(F.col("kind").alias("as_kind"), "norm", "attempt"),
                          ["as_kind", "norm"], "left").filter("attempt IS NOT NULL OR kind <> as_kind")
     late = materialize(late.select("kind", "norm", "as_kind", F.coalesce("attempt", F.lit(0)).alias("attempt")), "pii-late")
-    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<struct<as_kind:string,attempt:int>>"))
+    empty = F.array().cast("array<struct<name:string,as_kind:string,attempt:int>>")
     rows = searched(docs.select(F.struct(*names).alias("__doc"), text.alias("__text"), F.col(id_column).alias("__id"),
                                 F.xxhash64(text).alias("__hash")))
     if late.isEmpty():
         rows = rows.withColumn("__attempts", empty)
     else:
         # Per document with such an entity: its later attempts and resolved kinds.
-        mentioned = (rows.select("__id", "__hash", F.explode("__mentions").alias("mention"))
-                     .select("__id", "__hash", F.explode("mention.parts").alias("part"))
-                     .select("__id", "__hash", "part.kind", "part.norm").distinct().join(late, ["kind", "norm"])
-                     .groupBy("__id", "__hash").agg(F.map_from_entries(F.collect_list(F.struct(
-                         F.concat_ws(":", "kind", "norm"), F.struct("as_kind", "attempt")))).alias("__late")))
+        mentioned = (parts_of(rows, "__id", "__hash").join(late, ["kind", "norm"])
+                     .groupBy("__id", "__hash").agg(F.sort_array(F.collect_list(F.struct(
+                         F.concat_ws(":", "kind", "norm").alias("name"), "as_kind", "attempt"))).alias("__late")))
         mentioned = materialize(mentioned.select(F.col("__id").alias("__lid"), F.col("__hash").alias("__lhash"), "__late"),
                                 "pii-mentioned")
         rows = rows.join(mentioned, F.col("__id").eqNullSafe(F.col("__lid")) & (F.col("__hash") == F.col("__lhash")),
                          "left").withColumn("__attempts", F.coalesce("__late", empty))
-    gaps = F.split(F.col("__text"), F.col("__pattern"), -1)
+    rows = rows.withColumn("__gaps", F.split(F.col("__text"), F.col("__pattern"), -1))
+    gaps = F.col("__gaps")
     stands = F.transform("__mentions", lambda m: replacement(m, F.col("__attempts"), key))
     whole = F.concat(F.array_join(F.zip_with(F.slice(gaps, F.lit(1), F.size("__mentions")), stands,
                                              lambda g, s: F.concat(g, s)), ""), F.element_at(gaps, -1))
     new = F.when(F.size("__mentions") > 0, whole).otherwise(F.col("__text"))
     kept = [new.alias(c) if c == text_column else F.col("__doc")[c].alias(c) for c in names]
-    return rows.select(*kept, F.coalesce(F.size("__mentions"), F.lit(0)).cast("long").alias("n_entities"))
+    # Bare words of a name that follow each other are one mention.
+    counted = F.transform("__mentions", lambda m, i: (m["kind"] != "word") & ~F.when(i > 0, m["bare"] & _let(
+        F.get("__mentions", i - 1), lambda b: b["bare"] & (b["kind"] != "word")) & (F.get(gaps, i) == " ")).otherwise(F.lit(False)))
+    return rows.select(*kept, F.coalesce(F.size(F.filter(counted, lambda x: x)), F.lit(0)).cast("long").alias("n_entities"))

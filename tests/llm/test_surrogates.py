@@ -123,3 +123,17 @@ def test_iban_surrogates_keep_their_check(make_docs):
         assert found[i] != x and found[i][:2] == x[:2] and len(found[i]) >= len(x)
         assert (rest(found[i]) == 1) == (x in right), found[i]
     assert len(set(found.values())) == len(found)
+
+
+def test_thousands_of_names_in_one_text(make_docs):
+    """A text of 3,000 titled names, each mentioned once more without its title: time grows with the text, not its square."""
+    def word(i):
+        return "".join(chr(97 + i // 26 ** k % 26) for k in range(4)).capitalize()
+
+    words = [word(i * 101) for i in range(3000)]
+    text = " ".join(f"Mr. {w} saw that. {w} left, Yes." for w in words)
+    got = run(make_docs([(1, text, "a"), (2, "Yes, nothing.", "a")]))
+    pairs = re.findall(r"Mr\. (\w+) saw that\. (\w+) left, Yes\.", got[1]["text"])
+    assert len(pairs) == len(set(pairs)) == 3000 and got[1]["n_entities"] == 6000
+    assert all(a == b for a, b in pairs) and not {a for a, _ in pairs} & set(words)
+    assert got[2]["n_entities"] == 0
