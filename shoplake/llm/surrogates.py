@@ -443,7 +443,8 @@ def pseudonymised(docs: DataFrame, key: str, id_column: str = "doc_id", text_col
                                 "pii-mentioned")
         rows = rows.join(mentioned, F.col("__id").eqNullSafe(F.col("__lid")) & (F.col("__hash") == F.col("__lhash")),
                          "left").withColumn("__attempts", F.coalesce("__late", empty))
-    rows = rows.withColumn("__gaps", F.split(F.col("__text"), F.col("__pattern"), -1))
+    # A column of its own, as ``counted`` looks into it once for each mention.
+    rows = rows.withColumn("__gaps", F.when(F.size("__mentions") > 0, F.split(F.col("__text"), F.col("__pattern"), -1)))
     gaps = F.col("__gaps")
     stands = F.transform("__mentions", lambda m: replacement(m, F.col("__attempts"), key))
     whole = F.concat(F.array_join(F.zip_with(F.slice(gaps, F.lit(1), F.size("__mentions")), stands,
