@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -68,3 +69,32 @@ def test_store_and_selective_reads(spark, make_docs, odd_texts, tmp_path, encodi
 def test_empty_table(spark, make_docs, tmp_path):
     token_store.write(make_docs([]), PATH, str(tmp_path / "none"))
     assert token_store.read(spark, str(tmp_path / "none")).count() == 0
+
+
+@pytest.mark.parametrize("piece_bytes", [1, 5, 30, 4 << 20])
+def test_batches_equal_the_library(monkeypatch, piece_bytes):
+    monkeypatch.setattr(token_store, "PIECE_BYTES", piece_bytes)
+    rng = random.Random(piece_bytes)
+    encoder = token_store.Encoder(PATH)
+    parts = [" ", " ", " ", "  ", "\n", "\t", "\r\n", "'s", "'re", "'ll", "'v", "'", "''", "e", "it's", "Word", "ü", "½", "1", ".", ",",
+             "日本", "мир", "가", "’", "<|", "<|endoftext|>", "\u3000", "😀"]
+    for kind in (pa.string(), pa.large_string()):
+        texts = ["".join(rng.choices(parts[:rng.choice([25, len(parts)])], k=rng.randrange(20))) for _ in range(1000)]
+        texts[::100] = [None] * 10
+        found = encoder.encode_all(pa.array(["it's"] + texts, kind).slice(1)).to_pylist()
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [library_ids(t) for t in texts]
+    assert len(encoder.encode_all(pa.array([], pa.string()))) == 0
+
+
+def test_a_match_is_encoded_once(monkeypatch):
+    """The model sees each distinct match once, whatever signs stand around it."""
+    encoder = token_store.Encoder(PATH)
+    seen, looked_up = [], []
+    tokenize, missing = encoder.matches.tokenize, type(encoder.matches).__getitem__
+    encoder.matches.tokenize = lambda match: seen.append(match) or tokenize(match)
+    monkeypatch.setattr(type(encoder.matches), "__getitem__", lambda d, m: looked_up.append(m) or missing(d, m), raising=False)
+    texts = ["a word, a word. a word! a word; a word&&& a word*** a word"] * 50
+    found = encoder.encode_all(pa.array(texts)).to_pylist()
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [library_ids(t) for t in texts]
+    assert sorted(seen) == sorted({"a", "Ġa", "Ġword", ",", ".", "!", ";", "&&&", "***"})
+    assert len(looked_up) == len(seen)  # 50 texts, one look-up a distinct match
