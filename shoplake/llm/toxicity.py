@@ -26,6 +26,7 @@ SURPRISE = 16.0
 MAX_PER_CLASS = 3000
 WINDOW = 5000  # characters
 TABLE_BITS = 20
+COUNTED = 1 << 20  # n-grams that are counted at a time
 NONE = np.zeros(0, np.uint64)
 
 
@@ -76,6 +77,65 @@ def features(text: str | None) -> np.ndarray:
     return out
 
 
+def counted(texts: Iterator[tuple[str, int, str | None]], slices: int) -> Iterator[tuple[int, int, str | None, np.ndarray, np.ndarray]]:
+    """Documents (id, label, text) that have each n-gram, as rows of slice, label, document, sorted hashes, counts.
+
+    Hashes fall into ``slices`` even ranges. About ``COUNTED`` n-grams are held at a time: shorter texts are counted
+    together, the document is null; a longer one comes in parts, whose n-grams may repeat, under its id.
+    """
+    bounds = np.array([(i << 64) // slices for i in range(1, slices)], np.uint64)
+
+    def rows(label: int, document: str | None, keys: np.ndarray, counts: np.ndarray):
+        cuts = [0, *np.searchsorted(keys, bounds), len(keys)]
+        for i in range(slices):
+            if cuts[i] < cuts[i + 1]:
+                yield i, label, document, keys[cuts[i]:cuts[i + 1]], counts[cuts[i]:cuts[i + 1]]
+
+    held: dict[int, list[np.ndarray]] = {}
+
+    def flush():
+        for label, found in held.items():
+            keys, n = np.unique(np.concatenate(found), return_counts=True)
+            yield from rows(label, None, keys, n.astype(np.int32))
+        held.clear()
+
+    for document, label, text in texts:
+        part, size, parts = [], 0, 0
+        for found in windows(text):
+            part.append(found)
+            size += len(found)
+            if size >= COUNTED:
+                keys = np.unique(np.concatenate(part))
+                yield from rows(label, document, keys, np.ones(len(keys), np.int32))
+                part, size, parts = [], 0, parts + 1
+        keys = np.unique(np.concatenate([NONE, *part]))
+        if parts:
+            yield from rows(label, document, keys, np.ones(len(keys), np.int32))
+        else:
+            held.setdefault(label, []).append(keys)
+            if sum(len(x) for found in held.values() for x in found) >= COUNTED:
+                yield from flush()
+    yield from flush()
+
+
+def added(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of one slice, sorted, and how many documents of either class have them, from rows of ``counted``."""
+    def unpacked(part: pd.DataFrame, column: str, kind: type) -> np.ndarray:
+        return np.frombuffer(b"".join(part[column]), kind)
+
+    alone = rows["document"].notna()
+    found = [(unpacked(part, "keys", np.uint64), unpacked(part, "counts", np.int32), label)
+             for label, part in rows[~alone].groupby("toxic")]
+    for (label, _), part in rows[alone].groupby(["toxic", "document"]):
+        keys = np.unique(unpacked(part, "keys", np.uint64))
+        found.append((keys, np.ones(len(keys), np.int32), label))
+    keys = np.unique(np.concatenate([NONE, *[k for k, _, _ in found]]))
+    counts = np.zeros((2, len(keys)), np.int64)
+    for k, n, label in found:
+        counts[label] += np.bincount(np.searchsorted(keys, k), weights=n, minlength=len(keys)).astype(np.int64)
+    return keys, counts
+
+
 def surprise(counts: np.ndarray, many: int, few: int) -> np.ndarray:
     """Log-likelihood ratio of features that ``counts[0]`` of many and ``counts[1]`` of few documents have."""
     share = np.array([many, few])[:, None] / (many + few)
@@ -136,25 +196,28 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, max_per
                         .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "toxic-texts")
     used = {label: min(totals.get(label, 0), max_per_class) for label in (0, 1)}
 
+    # Hashes travel packed, a row for each slice and some million n-grams, so that neither the shuffle nor a task
+    # holds a row for each n-gram.
+    size = texts.agg(F.sum(F.length("text") + 2)).first()[0] or 0
+    slices = 1 + size * (ORDERS[1] - ORDERS[0] + 1) // COUNTED
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [(features(t.as_py()), label.as_py()) for t, label in zip(batch.column(0), batch.column(1), strict=True)]
-            for label in (0, 1):
-                keys, n = np.unique(np.concatenate([NONE, *[x for x, of in found if of == label]]), return_counts=True)
-                none = np.zeros(len(n), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *(pa.array(n if of == label else none) for of in (0, 1))],
-                                                 names=["key", "clean", "toxic"])
-
-    def clear(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf[surprise(pdf[["clean", "toxic"]].to_numpy().T, used[0], used[1]) > SURPRISE]
+        schema = pa.schema([("slice", pa.int32()), ("toxic", pa.int32()), ("document", pa.string()), ("keys", pa.binary()), ("counts", pa.binary())])
+        rows = ((i.as_py(), label.as_py(), t.as_py()) for batch in batches for i, label, t in zip(*batch.columns, strict=True))
+        for i, label, document, keys, n in counted(rows, slices):
+            yield pa.RecordBatch.from_pylist([{"slice": i, "toxic": label, "document": document, "keys": keys.tobytes(), "counts": n.tobytes()}], schema)
+
+    def clear(pdf: pd.DataFrame) -> pd.DataFrame:
+        found, n = added(pdf)
+        high = surprise(n, used[0], used[1]) > SURPRISE
+        return pd.DataFrame({"key": found[high].view(np.int64), "clean": n[0, high], "toxic": n[1, high]})
 
     kept = None
     if used[0] and used[1]:
         # Spark counts the sample's n-grams; only those that the classes clearly differ in come to the driver.
-        counted = texts.select("text", "toxic").mapInArrow(count, "key long, clean long, toxic long").groupBy("key").agg(
-            F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        kept = counted.mapInPandas(clear, "key long, clean long, toxic long").toPandas()
+        packed = texts.select(F.col("doc_id").cast("string"), "toxic", "text").mapInArrow(
+            count, "slice int, toxic int, document string, keys binary, counts binary")
+        kept = packed.groupBy("slice").applyInPandas(clear, "key long, clean long, toxic long").toPandas()
     keys = kept["key"].to_numpy(np.int64).view(np.uint64) if kept is not None else NONE
     order = np.argsort(keys)
     counts = kept[["clean", "toxic"]].to_numpy(np.int64).T[:, order] if kept is not None else np.zeros((2, 0), np.int64)
@@ -164,7 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, max_per
     def numbers(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = chosen.table()
         for part in batches:
-            yield pd.Series([chosen.places(features(t), table).astype(np.int32) for t in part])
+            yield pd.Series([np.unique(np.concatenate([chosen.places(w, table) for w in windows(t)])).astype(np.int32) for t in part])
 
     def learn_from(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("doc_id", ignore_index=True)

@@ -117,3 +117,41 @@ def test_long_texts_of_many_letters_are_not_toxic(spark, make_docs):
         "doc_id", toxicity.score(F.col("text"), model).alias("s")).collect()}
     assert all(got[5000 + k] < 0.7 for k in range(3))
     assert got[6000] > got[5002]  # a toxic word is found wherever it stands
+
+
+def test_ngrams_are_counted_in_bounded_parts(monkeypatch):
+    """Texts beyond what is counted at a time come in parts; the sums are those of whole texts."""
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abc "))
+    docs = [(str(i), i % 2, "".join(rng.choice(letters, n))) for i, n in enumerate((0, 3, 40, 40, 2000, 7000, 16_000, 30, 12_000))]
+    docs += [("9", 1, None), ("10", 0, docs[6][2]), ("11", 0, "a" * 20_000)]
+    monkeypatch.setattr(toxicity, "COUNTED", 10_000)
+    want = {}
+    for _, label, text in docs:
+        for k in toxicity.features(text).tolist():
+            want.setdefault(k, [0, 0])[label] += 1
+    for slices in (1, 7):
+        names = ["slice", "toxic", "document", "keys", "counts"]
+        rows = pd.DataFrame(toxicity.counted(iter(docs), slices), columns=names)
+        assert rows["document"].notna().any() and rows["document"].isna().any()
+        assert max(len(k) for k in rows["keys"]) <= toxicity.COUNTED + 4 * toxicity.WINDOW
+        rows["keys"], rows["counts"] = rows["keys"].map(np.ndarray.tobytes), rows["counts"].map(np.ndarray.tobytes)
+        got, last = {}, -1
+        for _, part in rows.groupby("slice"):
+            keys, n = toxicity.added(part)
+            assert last < int(keys[0])  # slices are ranges of the hashes
+            last = int(keys[-1])
+            got |= dict(zip(keys.tolist(), n.T.tolist(), strict=True))
+        assert got == want
+
+
+def test_model_is_the_same_counted_in_parts(spark, make_docs, monkeypatch):
+    rows, labels = corpus(200)
+    rows[4] = (4, " ".join(r[1] for r in rows), "a")
+    docs, marks = make_docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    whole = toxicity.fit(docs, marks)
+    monkeypatch.setattr(toxicity, "COUNTED", 20_000)
+    parts = toxicity.fit(docs, marks)
+    assert len(whole.keys) and whole.keys.tolist() == parts.keys.tolist() and whole.weights.tolist() == parts.weights.tolist()
