@@ -16,8 +16,9 @@ from shoplake.session import configure, scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-# Python workers get small batches, so that a few very long texts do not fill their memory.
-ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+# Python workers and the Parquet reader get small batches, so that a few very long texts do not fill their memory.
+ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+              "spark.sql.parquet.columnarReaderBatchSize": "256"}
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -87,3 +87,13 @@ def test_differences_spread_over_all_bands_lose_no_link(make_docs, monkeypatch):
         *[F.lit(x) for kv in prints.items() for x in kv])[F.col("text")].alias("fingerprint")))
     got = {r["doc_id"]: r["component_id"] for r in ef.near_duplicates(make_docs([(1, "a", "x"), (2, "b", "x"), (3, "c", "x")])).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_texts_are_read_in_small_batches(spark, make_docs, tmp_path):
+    """The reader holds few rows at a time: 256 texts of 30,000 characters are 8 MB, 4,096 would be 123 MB."""
+    from shoplake.llm import queries
+
+    make_docs([(i, f"{i} " * 50, "a") for i in range(600)]).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op9_edit_fingerprint(spark, str(tmp_path))
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 256
+    assert sorted(r["doc_id"] for r in got.collect()) == list(range(600))
